@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, quality_rules, sharding, warc
+from . import decontaminate, licenses, packing, quality_pu, quality_rules, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
