@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, licenses, packing, quality_pu, quality_rules, sharding, warc
+from . import ctw, decontaminate, jaccard, licenses, packing, quality_pu, quality_rules, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op6_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(_table(spark, sf_dir, "documents"))
 
