@@ -13,7 +13,9 @@ other columns aren't read. The plan grows with `size`, not with the documents.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -34,6 +36,16 @@ CACHED = 600_000
 _TAIL = ".,!?;:|*$%&#"
 
 
+def _byte_signs() -> list[str]:
+    """The sign of each byte in byte-level vocabularies: printable Latin-1 stands for itself, others follow from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
+
+
+_SIGNS = _byte_signs()
+
+
 class WordIds:
     """Token ids of texts by their words: white space never joins two words in this kind of vocabulary."""
 
@@ -44,9 +56,14 @@ class WordIds:
         self.cores: dict[str, bytes] = {"": b""}
 
     def _core(self, core: str) -> bytes:
-        if core not in self.cores:
-            self.cores[core] = np.array([t.id for t in self.model.tokenize(core)], "<u4").tobytes()
-        return self.cores[core]
+        """Ids of a word of letters only; a capital one, beside a sigma, is left to the tokenizer."""
+        got = self.cores.get(core)
+        if got is None and core != core.lower():
+            got = self.cores[core] = self._whole([core])[0]
+        elif got is None:
+            signs = core if core.isascii() else "".join(map(_SIGNS.__getitem__, core.encode()))
+            got = self.cores[core] = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return got
 
     def _whole(self, words: list[str]) -> list[bytes]:
         """Ids of words by one call over them all, told apart by where their tokens begin."""
@@ -57,27 +74,30 @@ class WordIds:
         return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def learn(self, words: set[str]) -> None:
-        """Plain ASCII words take the merges at once, cut from closing signs; others the whole tokenizer."""
-        whole, split = [], []
+        """Words of letters take the merges at once, cut from closing signs; others the whole tokenizer."""
+        whole = []
+        held, cores, core = self.held, self.cores, self._core
         for w in words:
-            core = w.rstrip(_TAIL)
-            if core.isascii() and core.isalpha():
-                split.append((w, core.lower(), w[len(core) :]))
+            low = w.rstrip(_TAIL)
+            if low.isalpha() and (low.isascii() or unicodedata.is_normalized("NFC", low)):
+                tail = w[len(low) :]
+                if tail and tail not in cores:
+                    cores[tail] = self._whole([tail])[0]
+                held[w] = core(low) + cores[tail] if tail else core(low)
             else:
                 whole.append(w)
-        tails = {t for _, _, t in split} - self.cores.keys()
-        for some, to in ((sorted(tails), self.cores), (whole, self.held)):
-            for i in range(0, len(some), 500):
-                to.update(zip(some[i : i + 500], self._whole(some[i : i + 500]), strict=True))
-        for w, core, tail in split:
-            self.held[w] = self._core(core) + self.cores[tail]
+        for i in range(0, len(whole), 500):
+            held.update(zip(whole[i : i + 500], self._whole(whole[i : i + 500]), strict=True))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+        """Little-endian unsigned 32-bit ids of each text.
+
+        Lower-casing is what the tokenizer does first; only a capital sigma is lowered by its place in Python.
+        """
         if len(self.held) > CACHED:
             self.held, self.cores = {"": b""}, {"": b""}
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self.learn({w for s in split for w in s} - self.held.keys())
+        split = [(t if "\u03a3" in t else t.lower()).replace("\n", " ").split(" ") for t in (t or "" for t in texts)]
+        self.learn(set().union(*split) - self.held.keys())
         get = self.held.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -93,8 +113,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
             _READY[tokenizer] = WordIds(tokenizer)
         words, step = _READY[tokenizer], size * 4
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
                 rows = []
                 for d, ids in zip(part.column("doc_id").to_pylist(), words.ids(part.column("text").to_pylist()), strict=True):
                     ids += END.to_bytes(4, "little")
