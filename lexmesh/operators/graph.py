@@ -1,0 +1,126 @@
+"""Bounded traversal of a typed multigraph held as vertices (id, label, name) and edges (id, edge_type, src, dst, ...).
+
+Paths are grown by joins on ids alone; a path never repeats an edge, but may return to a vertex, and every
+path is a row. Vertices are joined once, at the end.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.names import context_line, plain_line
+
+MAX_DEPTH, HUB_DEGREE = 3, 300
+MAX_LINES, MAX_NODES, MAX_EDGES = 300, 1000, 1500
+
+
+def clamp(depth: int) -> int:
+    return max(1, min(depth, MAX_DEPTH))
+
+
+def adjacency(edges: DataFrame, direction: str = "both", edge_types: Sequence[str] | None = None) -> DataFrame:
+    """(a, b, edge_id, edge_type): steps in the direction. A self-loop is one step, also in both directions."""
+    if edge_types:
+        edges = edges.filter(F.col("edge_type").isin(*edge_types))
+    out = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("id").alias("edge_id"), "edge_type")
+    back = edges.select(F.col("dst").alias("a"), F.col("src").alias("b"), F.col("id").alias("edge_id"), "edge_type")
+    if direction == "out":
+        return out
+    if direction == "in":
+        return back
+    if direction != "both":
+        raise ValueError(f"direction is both, out or in, not {direction!r}")
+    return out.unionByName(back.filter("a <> b"))
+
+
+def degree(edges: DataFrame) -> DataFrame:
+    """(id, degree): edges at a vertex in either direction."""
+    return adjacency(edges).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
+
+
+def capped(seeds: DataFrame, edges: DataFrame, depth: int, hub_degree: int = HUB_DEGREE) -> DataFrame:
+    """seeds (id, ...) with the depth each is expanded to: hubs stop at one step. Edges of other vertices aren't counted."""
+    depth = clamp(depth)
+    if depth == 1:
+        return seeds.withColumns({"degree": F.lit(None).cast("long"), "depth": F.lit(1)})
+    steps = adjacency(edges).join(seeds.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
+    degrees = steps.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
+    return seeds.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("depth", F.when(F.col("degree") > hub_degree, 1).otherwise(depth))
+
+
+def expand(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequence[str] | None = None, direction: str = "both", one_type: bool | None = None) -> DataFrame:
+    """(seed, path, types, last, hops): all paths of 1..depth steps from seeds (id[, depth]).
+
+    A column depth of the seeds bounds each. With edge_types a path keeps the type it began with, unless one_type is False.
+    """
+    depth = clamp(depth)
+    one_type = bool(edge_types) if one_type is None else one_type
+    steps = adjacency(edges, direction, edge_types)
+    own = F.col("depth") if "depth" in seeds.columns else F.lit(depth)
+    start = seeds.select(F.col("id").alias("seed"), own.alias("_depth")).distinct()
+    now = start.join(steps, F.col("seed") == F.col("a")).select("seed", "_depth", F.array("edge_id").alias("path"), F.array("edge_type").alias("types"), F.col("b").alias("last"))
+    found = [now]
+    for hop in range(2, depth + 1):
+        grown = now.filter(F.col("_depth") >= hop).join(steps, F.col("last") == F.col("a"))
+        fresh = ~F.array_contains("path", F.col("edge_id"))
+        if one_type:
+            fresh = fresh & (F.col("edge_type") == F.get("types", F.lit(0)))
+        now = grown.filter(fresh).select("seed", "_depth", F.array_append("path", F.col("edge_id")).alias("path"), F.array_append("types", F.col("edge_type")).alias("types"), F.col("b").alias("last"))
+        found.append(now)
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    return out.drop("_depth").withColumn("hops", F.size("path"))
+
+
+def with_ends(paths: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Labels and names of both ends; paths with a missing end go."""
+    end = lambda side: vertices.select(F.col("id").alias(side), F.col("label").alias(f"{side}_label"), F.col("name").alias(f"{side}_name"))
+    return paths.join(end("seed"), "seed").join(end("last"), "last")
+
+
+def path_edges(paths: DataFrame, edges: DataFrame) -> DataFrame:
+    """A row per edge of a path, with its own ends (edge_src, edge_dst) beside those of the path (seed, last)."""
+    each = paths.select("*", F.posexplode("path").alias("place", "edge_id"))
+    facts = edges.withColumnsRenamed({"id": "edge_id", "src": "edge_src", "dst": "edge_dst"})
+    return each.join(facts, "edge_id")
+
+
+def path_order() -> list[Column]:
+    """A fixed order of discovery: seed, type, length, path."""
+    return [F.col("seed"), F.get("types", F.lit(0)), F.col("hops"), F.array_join("path", ","), F.col("last"), F.col("place")]
+
+
+def context(paths: DataFrame, edges: DataFrame, vertices: DataFrame, limit: int = MAX_LINES) -> DataFrame:
+    """(line, position): distinct context lines in order of discovery, the first `limit`."""
+    rows = path_edges(with_ends(paths, vertices), edges)
+    line = context_line(F.col("source_law"), F.col("article_no"), F.col("paragraph_no"), F.col("seed_name"), F.col("edge_type"), F.col("last_name"), F.col("modality"), F.col("voice"))
+    first = rows.select(line.alias("line"), F.struct(*(c.alias(f"k{i}") for i, c in enumerate(path_order()))).alias("at")).groupBy("line").agg(F.min("at").alias("at"))
+    return first.orderBy("at", "line").limit(limit)
+
+
+def plain_context(paths: DataFrame, edges: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(line): distinct plain lines; a vertex without a name goes by its id."""
+    named = vertices.withColumn("name", F.coalesce("name", "id", F.lit("?")))
+    rows = path_edges(with_ends(paths, named), edges)
+    return rows.select(plain_line(F.col("seed_label"), F.col("seed_name"), F.col("edge_type"), F.col("last_label"), F.col("last_name")).alias("line")).distinct()
+
+
+def find_by_name(vertices: DataFrame, name: str, labels: Sequence[str]) -> DataFrame:
+    """The first vertex of that name: labels in order, then the id."""
+    rank = F.array_position(F.array(*map(F.lit, labels)), F.col("label"))
+    return vertices.filter((F.col("name") == name) & (rank > 0)).orderBy(rank, "id").limit(1)
+
+
+def resolved_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Edges whose both ends exist."""
+    ids = vertices.select("id")
+    return edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+
+
+def collapse_parallel(edges: DataFrame) -> DataFrame:
+    """One edge for each (src, edge_type, dst), of the largest id."""
+    return edges.groupBy("src", "edge_type", "dst").agg(F.max("id").alias("id"), F.count("*").alias("n"))
