@@ -107,7 +107,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 2 << 20) -> Iterator[Words]:
+def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 1 << 20) -> Iterator[Words]:
     """Hashes of all words, in runs of whole texts of about at_once bytes."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(column)

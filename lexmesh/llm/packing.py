@@ -31,7 +31,7 @@ SIZE, END = 2048, 0
 #: Middle lengths that patterns of three use, and rounds of the fit.
 MIDDLES, ROUNDS = 12, 400
 #: Distinct words that a worker keeps the ids of.
-CACHED = 600_000
+CACHED = 250_000
 
 _TAIL = ".,!?;:|*$%&#"
 
