@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import cut
 
 BLOCK = 1024
+#: Members up to which a cell is compared as it is, many cells at once.
+SMALL = 8
 
 
 def shared(keys: DataFrame) -> DataFrame:
@@ -31,12 +33,12 @@ def shared(keys: DataFrame) -> DataFrame:
     return dealt.join(once, "key").select(F.col("key").alias("cell"), "id", "n")
 
 
-def candidates(cells: DataFrame, about: DataFrame, find: Callable, first: bool, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that find() names.
+def candidates(cells: DataFrame, about: DataFrame, finder, first: bool, block: int = BLOCK) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that the finder names.
 
-    cells: (cell, id, n); about: a row per id with what find() needs. find(rows, left, right, first) takes
-    the rows of two blocks as Arrow columns and yields index pairs. In the second round `about` has a
-    component, and a cell of one component alone isn't read.
+    cells: (cell, id, n); about: a row per id with what the finder needs. finder.pairs(rows, i, j, first) says
+    which pairs of rows may link, finder.blocks(rows, left, right, first) yields pairs of larger cells. In
+    the second round `about` has a component, and a cell of one component alone isn't read.
     """
     rows = cells.join(about, "id")
     names = about.columns
@@ -44,49 +46,66 @@ def candidates(cells: DataFrame, about: DataFrame, find: Callable, first: bool,
         mixed = rows.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("cell")
         rows = rows.join(mixed, "cell", "left_semi")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    rows = rows.withColumn("mine", F.when(blocks > 1, F.pmod(F.xxhash64("id"), blocks).cast("int")).otherwise(0))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
     rows = rows.select("cell", "lo", "hi", "mine", *names).repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "id")
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def one(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Of whole runs of rows, a run being a cell's pair of blocks. Rows are in the order of their ids."""
         n = table.num_rows
-        if n < 2:
-            return
-        mine = table.column("mine").to_numpy()
-        left = np.arange(n) if lo == hi else np.flatnonzero(mine == lo)
-        right = left if lo == hi else np.flatnonzero(mine == hi)
+        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("cell", "lo", "hi")])
+        run = np.cumsum(np.r_[False, (key[:, 1:] != key[:, :-1]).any(0)])
+        size = np.bincount(run)
         ids = table.column("id").combine_chunks()
-        for i, j in find(table, left, right, first):
-            # rows are in the order of their ids
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.minimum(i, j))), ids.take(pa.array(np.maximum(i, j)))], ["a", "b"])
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        small = (size <= SMALL)[run]
+        for k in range(1, SMALL):
+            i = np.flatnonzero(small[: n - k] & (run[: n - k] == run[k:])) if n > k else np.zeros(0, np.int64)
+            if not len(i):
+                break
+            keep = finder.pairs(table, i, i + k, first)
+            out.append((i[keep], i[keep] + k))
+        ends = np.cumsum(size)
+        for r in np.flatnonzero(size > SMALL):
+            lo, hi = ends[r] - size[r], ends[r]
+            part = table.slice(lo, size[r])
+            mine = part.column("mine").to_numpy()
+            same = key[1, lo] == key[2, lo]
+            left = np.arange(hi - lo) if same else np.flatnonzero(mine == key[1, lo])
+            right = left if same else np.flatnonzero(mine == key[2, lo])
+            out += [(lo + np.minimum(i, j), lo + np.maximum(i, j)) for i, j in finder.blocks(part, left, right, first)]
+        i, j = (np.concatenate(x) for x in zip(*out, strict=True))
+        if len(i):
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), ids.take(pa.array(j))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
+        rest: list[pa.RecordBatch] = []
         for b in batches:
             if not b.num_rows:
                 continue
-            key = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("cell", "lo", "hi")])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
-            for s, t in zip(cuts[:-1], cuts[1:], strict=True):
-                now = tuple(key[:, s])
-                if last is not None and now != last:
-                    yield from one(pa.Table.from_batches(held))
-                    held = []
-                last = now
-                held.append(b.slice(s, t - s))
-        if held:
-            yield from one(pa.Table.from_batches(held))
+            same = np.ones(b.num_rows, bool)
+            for c in ("cell", "lo", "hi"):
+                x = b.column(c).to_numpy()
+                same &= x == x[-1]
+            last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            if last == 0 and rest and any(rest[-1].column(c)[-1] != b.column(c)[0] for c in ("cell", "lo", "hi")):
+                yield from pairs(pa.Table.from_batches(rest).combine_chunks())
+                rest = []
+            if last:
+                yield from pairs(pa.Table.from_batches([*rest, b.slice(0, last)]).combine_chunks())
+                rest = []
+            rest.append(b.slice(last))
+        if rest:
+            yield from pairs(pa.Table.from_batches(rest).combine_chunks())
 
     return rows.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
 
-def linked(cells: DataFrame, about: DataFrame, find: Callable, verify: Callable, components: Callable) -> DataFrame:
+def linked(cells: DataFrame, about: DataFrame, finder, verify: Callable, components: Callable) -> DataFrame:
     """Verified links (a, b) that span every component: both rounds."""
-    links = cut(verify(candidates(cells, about, find, True)))
+    links = cut(verify(candidates(cells, about, finder, True)))
     found = components(links).withColumnsRenamed({"node": "id"})
     about = about.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    return links.unionByName(cut(verify(candidates(cells, about, find, False))))
+    return links.unionByName(cut(verify(candidates(cells, about, finder, False))))

@@ -197,26 +197,41 @@ def traverse(a: SignatureTree, b: SignatureTree, percent: int, same: bool) -> tu
     return a.order[i], b.order[j]
 
 
-def _finder(percent: int):
-    def find(table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool):
-        n = table.num_rows
-        bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64).reshape(n, -1)
-        sizes, spare = table.column("size").to_numpy().astype(np.int64), table.column("spare").to_numpy().astype(np.int64)
+class _Finder:
+    """What may link by bitmaps and sizes."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    @staticmethod
+    def _read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64).reshape(table.num_rows, -1)
+        return bits, table.column("size").to_numpy().astype(np.int64), table.column("spare").to_numpy().astype(np.int64)
+
+    @staticmethod
+    def _component(table: pa.Table) -> np.ndarray:
+        fields = table.column("component").combine_chunks().flatten()
+        return np.unique(np.stack([x.to_numpy() for x in fields], 1), axis=0, return_inverse=True)[1].ravel()
+
+    def pairs(self, table: pa.Table, i: np.ndarray, j: np.ndarray, first: bool) -> np.ndarray:
+        bits, sizes, spare = self._read(table)
+        leaves = (bits, sizes, sizes, spare, np.arange(len(sizes)) if first else self._component(table))
+        return np.concatenate([_allowed(leaves, leaves, i[s : s + 65536], j[s : s + 65536], self.percent, True) for s in range(0, len(i), 65536)])
+
+    def blocks(self, table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        bits, sizes, spare = self._read(table)
         if first:
-            yield _leaders(bits, sizes, left, right, percent)
+            yield _leaders(bits, sizes, left, right, self.percent)
             return
-        fields = table.column("component").combine_chunks().flatten()
-        component = np.unique(np.stack([x.to_numpy() for x in fields], 1), axis=0, return_inverse=True)[1].ravel()
+        component = self._component(table)
         if left is right:
             tree = SignatureTree(bits, sizes, spare, component)
-            yield traverse(tree, tree, percent, True)
+            yield traverse(tree, tree, self.percent, True)
         elif len(left) and len(right):
             a, b = (SignatureTree(bits[s], sizes[s], spare[s], component[s]) for s in (left, right))
-            i, j = traverse(a, b, percent, False)
+            i, j = traverse(a, b, self.percent, False)
             yield left[i], right[j]
 
-    return find
-
 
 def _leaders(bits: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Each member of the right block with the first leader, of the left one, that the bound allows; others lead themselves.
@@ -257,7 +272,7 @@ def components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         both = F.size(F.array_intersect("sa", "sb"))
         return pairs.join(left, "a").join(right, "b").filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    links = linked(cells, about.drop("shingles"), _finder(percent), verify, connected)
+    links = linked(cells, about.drop("shingles"), _Finder(percent), verify, connected)
     named_by = connected(links).withColumnRenamed("node", "id")
     joined = classes.drop("keys").join(named_by, "id", "left").filter("copies > 1 or component is not null")
     return joined.select(F.col("id.s").alias("s1"), "s2", "n_shingles", F.coalesce("component.doc", "id.doc").alias("component_id"))

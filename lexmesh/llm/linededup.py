@@ -34,16 +34,29 @@ _TABLE = byte_table(NOT_ALNUM, lower=True)
 _MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
 
 
+#: Bit b of a byte as a count in the b-th byte of a 64-bit number: eight counts are added at once.
+_SPREAD = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(7 - b)) & np.uint64(1)) << np.uint64(8 * b) for b in range(8))
+_LANES = 255
+
+
 def simhash(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """A 64-bit SimHash of each run of word hashes that begins at `first` and has n words."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > n[:, None], axis=1).view(np.uint64).ravel()
+    parts = -(-n // _LANES)
+    part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    at = np.repeat(first, parts) + part * _LANES
+    owner = np.cumsum(parts) - parts
+    octets = hashes.view(np.uint8).reshape(-1, 8)
+    out = np.empty((len(first), 8), np.uint8)
+    for k in range(8):
+        lanes = np.add.reduceat(_SPREAD[octets[:, k]], at).view(np.uint8).reshape(-1, 8)
+        ones = np.add.reduceat(lanes.astype(np.int32), owner, axis=0)
+        out[:, k] = np.packbits(2 * ones > n[:, None], axis=1).ravel()
+    return out.view(np.uint64).ravel()
 
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, h1, h2, simhash, words) of every line of min_words or more; h1 and h2 tell lines apart."""
-    names = ["doc_id", "line", "h1", "h2", "simhash", "words"]
+    """(doc_id, line, hash, simhash) of every line of min_words or more; equal hashes are equal normalised lines."""
+    names = ["doc_id", "line", "hash", "simhash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -54,17 +67,20 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     continue
                 breaks = np.flatnonzero(data[offsets[w.lo] : offsets[w.hi]] == 10)
                 doc = np.repeat(np.arange(w.hi - w.lo), np.diff(w.first))
-                line = np.searchsorted(breaks, w.start) - np.searchsorted(breaks, w.bounds[:-1])[doc]
+                line = np.searchsorted(breaks, w.start)
                 first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
                 n = np.diff(np.r_[first, len(doc)])
-                place = (np.arange(len(doc)) - np.repeat(first, n)).astype(np.uint64)
-                h1, h2 = (np.add.reduceat(mix64(w.hash + place * np.uint64(c)), first) for c in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5))
                 keep = n >= min_words
-                columns = [ids[w.lo + doc[first]], line[first].astype(np.int32), h1.view(np.int64), h2.view(np.int64), simhash(w.hash, first, n).view(np.int64), n.astype(np.int32)]
+                place = (np.arange(len(doc)) - np.repeat(first, n)).astype(np.uint64)
+                hashed = np.add.reduceat(mix64(w.hash + place * np.uint64(0xD1342543DE82EF95)), first)
+                similar = simhash(w.hash, first, n)
+                of = doc[first]
+                number = line[first] - np.searchsorted(breaks, w.bounds[:-1])[of]
+                columns = [ids[w.lo + of], number.astype(np.int32), hashed.view(np.int64), similar.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names)
 
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, line int, h1 long, h2 long, simhash long, words int")
+    return slim.mapInArrow(run, "doc_id long, line int, hash long, simhash long")
 
 
 def block_keys(c: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Column:
@@ -74,22 +90,32 @@ def block_keys(c: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Col
     return F.array(*(F.xxhash64(F.lit(k), *(part[i] for i in some)) for k, some in enumerate(combinations(range(blocks), blocks - distance))))
 
 
-def _finder(distance: int):
-    def find(table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool):
+class _Finder:
+    """What may link by SimHash."""
+
+    def __init__(self, distance: int):
+        self.distance = distance
+
+    def pairs(self, table: pa.Table, i: np.ndarray, j: np.ndarray, first: bool) -> np.ndarray:
+        h = table.column("simhash").to_numpy()
+        near = np.bitwise_count((h[i] ^ h[j]).view(np.uint64)) <= self.distance
+        if not first:
+            c = table.column("component").to_numpy()
+            near &= c[i] != c[j]
+        return near
+
+    def blocks(self, table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         h = table.column("simhash").to_numpy().view(np.uint64)
         if first:
-            yield _leaders(h, left, right, distance)
+            yield _leaders(h, left, right, self.distance)
             return
-        fields = table.column("component").combine_chunks().flatten()
-        component = np.unique(np.stack([x.to_numpy().astype(np.int64) for x in fields], 1), axis=0, return_inverse=True)[1].ravel()
-        near = np.bitwise_count(h[left][:, None] ^ h[right][None, :]) <= distance
+        component = table.column("component").to_numpy()
+        near = np.bitwise_count(h[left][:, None] ^ h[right][None, :]) <= self.distance
         near &= component[left][:, None] != component[right][None, :]
         i, j = np.nonzero(near)
         fit = left[i] < right[j] if left is right else np.ones(len(i), bool)
         yield left[i[fit]], right[j[fit]]
 
-    return find
-
 
 def _leaders(h: np.ndarray, left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Members with the first leader within the distance; members without one lead."""
@@ -135,29 +161,36 @@ def normal(line: str) -> list[bytes]:
     return line.encode().translate(_MAP).split()
 
 
-def _line_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the lines in ids."""
-    wanted = ids.groupBy(F.col("id.doc_id").alias("doc_id")).agg(F.collect_set("id.line").alias("wanted"))
+#: A place orders lines by document, then by number, in one decimal.
+_LINES = 1 << 31
+
+
+def _place(doc_id: Column, line: Column) -> Column:
+    return (doc_id.cast("decimal(20,0)") * F.lit(_LINES).cast("decimal(10,0)") + line.cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def _line_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, text) of the lines in places (id, place)."""
+    line = F.pmod("place", F.lit(_LINES).cast("decimal(38,0)"))
+    at = places.select("id", line.cast("int").alias("line"), F.expr(f"cast((place - pmod(place, {_LINES})) div {_LINES} as bigint)").alias("doc_id"))
+    wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
-    found = let(F.split("text", "\n"), lambda x: F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get(x, i).alias("text"))))
-    rows = texts.select("doc_id", F.explode(found).alias("x"))
-    return rows.select(F.struct("doc_id", "x.line").alias("id"), "x.text").dropDuplicates(["id"])
+    found = let(F.split("text", "\n"), lambda x: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get(x, w["line"]).alias("text"))))
+    return texts.select(F.explode(found).alias("x")).select("x.id", "x.text").dropDuplicates(["id"])
 
 
 def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, gone): numbers of the lines of a document that go."""
+    place = _place(F.col("doc_id"), F.col("line"))
     every = cut(lines(docs))
-    place = F.struct("doc_id", "line")
-    different = cut(every.groupBy("h1", "h2").agg(F.min(place).alias("id"), F.first("simhash").alias("simhash"), F.count("*").alias("n")))
+    different = cut(every.groupBy(F.col("hash").alias("id")).agg(F.max("simhash").alias("simhash"), F.min(place).alias("place"), F.count("*").alias("n")))
     cells = cut(shared(different.select(F.explode(block_keys(F.col("simhash"), distance, blocks)).alias("key"), "id")))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = _line_texts(docs, ids)
+        texts = _line_texts(docs, different.select("id", "place").join(ids, "id"))
         left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
-        both = pairs.join(left, "a").join(right, "b")
-        kind = "struct<doc_id: long, line: int>"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -167,13 +200,15 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
                     keep.append(edits(x, y) <= (1 - similar) * max(len(x), len(y)) + 1e-9)
                 yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-        return both.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
-    links = linked(cells, different.select("id", "simhash"), _finder(distance), verify, connected)
+    links = linked(cells, different.select("id", "simhash"), _Finder(distance), verify, connected)
     named = connected(links).withColumnRenamed("node", "id")
     # lines that stand once and are linked with none are left out: they stay
-    kept = different.join(named, "id", "left").filter("n > 1 or component is not null").select("h1", "h2", F.coalesce("component", "id").alias("stays"))
-    gone = every.join(kept, ["h1", "h2"]).filter(place != F.col("stays"))
+    lot = different.join(named, "id", "left").filter("n > 1 or component is not null").select("id", "place", F.coalesce("component", "id").alias("component"))
+    first = lot.groupBy("component").agg(F.min("place").alias("stays"))
+    stays = lot.join(first, "component").select(F.col("id").alias("hash"), "stays")
+    gone = every.join(stays, "hash").filter(place != F.col("stays"))
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
 
 
