@@ -104,8 +104,11 @@ def candidates(cells: DataFrame, about: DataFrame, finder, first: bool, block: i
 
 
 def linked(cells: DataFrame, about: DataFrame, finder, verify: Callable, components: Callable) -> DataFrame:
-    """Verified links (a, b) that span every component: both rounds."""
+    """Verified links (a, b) that span every component: both rounds.
+
+    The first round has compared all pairs of the small cells, so the second takes the others.
+    """
     links = cut(verify(candidates(cells, about, finder, True)))
     found = components(links).withColumnsRenamed({"node": "id"})
     about = about.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    return links.unionByName(cut(verify(candidates(cells, about, finder, False))))
+    return links.unionByName(cut(verify(candidates(cells.filter(F.col("n") > SMALL), about, finder, False))))

@@ -33,6 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a checkpointed table up to which it is broadcast; of more, it is shuffled like the other side.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """df, computed once and counted, marked for broadcast if it has at most limit rows: then texts needn't be shuffled to meet it."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only; pure ASCII texts take the fast built-in."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

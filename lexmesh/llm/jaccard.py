@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import linked, shared
-from .common import SPACES, byte_table, cut, iter_words, mix64
+from .common import SPACES, byte_table, cut, iter_words, mix64, small
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -141,7 +141,7 @@ def _contents(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 spare = [len(t) - int(np.bitwise_count(x).sum()) for t, x in zip(found, signs, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([_sums(t)[0] for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int32()), pa.array(spare, pa.int32()), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids.select(F.col("id.doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(ids.select(F.col("id.doc").alias("doc_id")).distinct()), "doc_id", "left_semi")
     rows = texts.mapInArrow(run, "doc long, s long, size int, spare int, signature binary, shingles array<long>")
     return rows.select(F.struct("doc", "s").alias("id"), *names[2:]).join(ids, "id", "left_semi").dropDuplicates(["id"])
 
@@ -289,4 +289,4 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
 def keep_one(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """docs without the documents whose component has a smaller doc_id; rows without an id stay."""
     gone = join(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)

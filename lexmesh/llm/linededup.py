@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import linked, shared
-from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, text_bytes
+from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes
 from .components import connected
 
 MIN_WORDS, DISTANCE, BLOCKS, SIMILAR = 5, 3, 5, 0.8
@@ -174,7 +174,7 @@ def _line_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     line = F.pmod("place", F.lit(_LINES).cast("decimal(38,0)"))
     at = places.select("id", line.cast("int").alias("line"), F.expr(f"cast((place - pmod(place, {_LINES})) div {_LINES} as bigint)").alias("doc_id"))
     wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(wanted), "doc_id")
     found = let(F.split("text", "\n"), lambda x: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get(x, w["line"]).alias("text"))))
     return texts.select(F.explode(found).alias("x")).select("x.id", "x.text").dropDuplicates(["id"])
 
@@ -218,7 +218,7 @@ def dedup(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, simil
     worded says whether a word is left. Columns of docs by these three names give way.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_gone", "worded")]
-    joined = docs.select(*keep).withColumn("_id", F.col("doc_id").cast("long")).join(duplicates(docs, distance, blocks, similar).withColumnRenamed("doc_id", "_id"), "_id", "left")
+    joined = docs.select(*keep).withColumn("_id", F.col("doc_id").cast("long")).join(small(duplicates(docs, distance, blocks, similar).withColumnRenamed("doc_id", "_id")), "_id", "left")
     word = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
