@@ -43,6 +43,18 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores before them where columns, in any case, has them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only; pure ASCII texts take the fast built-in."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

@@ -151,7 +151,7 @@ class SignatureTree:
 
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, spare: np.ndarray, component: np.ndarray | None = None):
         self.order = np.lexsort((*bits.T[:2], sizes))
-        one = component[self.order] if component is not None else np.arange(len(sizes))
+        one = component[self.order] if component is not None else np.full(len(sizes), -1)
         self.levels = [(bits[self.order], sizes[self.order], sizes[self.order], spare[self.order], one)]
         while len(self.levels[-1][0]) > 1:
             b, lo, hi, e, c = self.levels[-1]

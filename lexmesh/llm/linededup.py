@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import linked, shared
-from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes
+from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes, unused
 from .components import connected
 
 MIN_WORDS, DISTANCE, BLOCKS, SIMILAR = 5, 3, 5, 0.8
@@ -212,36 +212,44 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
 
 
-def dedup(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, similar: float = SIMILAR) -> DataFrame:
-    """docs with the text left, n_chars of it if docs has that column, and n_lines, n_gone and worded of the lines.
-
-    worded says whether a word is left. Columns of docs by these three names give way.
-    """
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_gone", "worded")]
-    joined = docs.select(*keep).withColumn("_id", F.col("doc_id").cast("long")).join(small(duplicates(docs, distance, blocks, similar).withColumnRenamed("doc_id", "_id")), "_id", "left")
+def _dedup(docs: DataFrame, more: list[str], **how) -> DataFrame:
+    """docs with the text left and the columns `more`: n_lines, n_gone and worded."""
+    keep = docs.columns
+    key, gone = unused(keep, "line_doc_id", "lines_gone")
+    lost = small(duplicates(docs, **how).select(F.col("doc_id").alias(key), F.col("gone").alias(gone)))
+    joined = docs.withColumn(key, F.col("doc_id").cast("long")).join(lost, key, "left").select(*keep, gone)
     word = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, n_lines, n_gone, worded = [], [], [], []
-            for text, gone in zip(b.column("text").to_pylist(), b.column("gone").to_pylist(), strict=True):
+            for text, numbers in zip(b.column("text").to_pylist(), b.column(gone).to_pylist(), strict=True):
                 split = [] if text is None else text.split("\n")
-                out = set(gone or ())
+                out = set(numbers or ())
                 left = text if not out else "\n".join(x for i, x in enumerate(split) if i not in out)
                 texts.append(left)
                 n_lines.append(len(split))
                 n_gone.append(len(out))
                 worded.append(word.search(left or "") is not None)
             columns = [b.column(c) if c != "text" else pa.array(texts, pa.string()) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(worded, pa.bool_())], [*keep, "n_lines", "n_gone", "worded"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(worded, pa.bool_())], [*keep, *more])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*keep).schema), "n_lines long, n_gone long, worded boolean"])
-    out = joined.select(*keep, "gone").mapInArrow(run, schema)
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    out = joined.mapInArrow(run, ", ".join([*kinds, *(f"`{c}` {t}" for c, t in zip(more, ("long", "long", "boolean"), strict=True))]))
     if "n_chars" in keep:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
 
 
+def dedup(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, similar: float = SIMILAR) -> DataFrame:
+    """docs with the text left, n_chars of it if docs has that column, and n_lines, n_gone and worded of the lines.
+
+    worded says whether a word is left. Columns of docs by these three names give way.
+    """
+    more = ["n_lines", "n_gone", "worded"]
+    return _dedup(docs.drop(*more), more, distance=distance, blocks=blocks, similar=similar)
+
+
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_gone, n_bytes and text_crc32 of what is left."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -250,4 +258,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents with the lines left; those that lost lines and have no word left go. Their columns are those of docs."""
-    return dedup(docs).filter("worded or n_gone = 0").select(*docs.columns)
+    more = unused(docs.columns, "n_lines", "n_gone", "worded")
+    return _dedup(docs, more).filter(F.col(more[2]) | (F.col(more[1]) == 0)).select(*docs.columns)

@@ -1,7 +1,33 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express. The others learn, score or pack, and are tested against brute force."""
 
 from __future__ import annotations
 
+from .common import UPPER
+
+_LOW = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
+_ALNUM = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_PLAIN = rf"regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+')"
+
+OP1 = f"""WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents), b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) r(i) WHERE len(w) > 0),
+grams AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM d, (SELECT DISTINCT n FROM win) k, unnest(range(1, greatest(len(w) - n + 2, 1))) r(i)),
+found AS (SELECT doc_id, item_id, i, n FROM grams JOIN win USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + n)) r(j) GROUP BY 1),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM found GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+_BIT = " + ".join(f"{16 >> k} * CAST(substr(bits, 5 * i + {k + 1}, 1) AS INT)" for k in range(5))
+OP4 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), s AS (SELECT page_id, strlen(h) AS n, CAST(unhex(sha1(h)) AS BIT)::VARCHAR AS bits FROM p), m AS (SELECT *, max(page_id) OVER (PARTITION BY bits) AS best FROM s)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_BIT}, 1)), '') AS payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to FROM m"""
+
+OP5 = f"""WITH RECURSIVE d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM d),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, k.b FROM reach r JOIN either k ON k.a = r.b)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = s.doc_id) AS component_id FROM s"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1, "op4_warc": OP4, "op5_jaccard_join": OP5}

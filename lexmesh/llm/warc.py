@@ -105,13 +105,14 @@ class _Stream:
 
     def __init__(self, file, piece: int = 64 << 10):
         self.file, self.piece, self.held = file, piece, b""
-        self.member, self.rest = zlib.decompressobj(31), b""
+        self.member, self.rest, self.begun = zlib.decompressobj(31), b"", False
 
     def more(self) -> bool:
         while True:
             raw = self.rest or self.file.read(self.piece)
             if not raw:
                 return False
+            self.begun = True
             if self.member.eof:
                 self.member = zlib.decompressobj(31)
             got = self.member.decompress(raw, self.piece)
@@ -123,6 +124,8 @@ class _Stream:
     def until(self, mark: bytes) -> bytes | None:
         while mark not in self.held:
             if not self.more():
+                if self.held or self.begun and not self.member.eof:
+                    raise ValueError("the archive ends within a record")
                 return None
         head, _, self.held = self.held.partition(mark)
         return head
@@ -141,6 +144,8 @@ def parse(file, size: int = CHUNK) -> Iterator[dict]:
     while (head := s.until(_CUT)) is not None:
         field = dict(x.split(": ", 1) for x in head.decode().lstrip("\r\n").split("\r\n")[1:])
         http = s.until(_CUT)
+        if http is None:
+            raise ValueError("the archive ends within a record")
         left = int(field["Content-Length"]) - len(http) - len(_CUT)
         id_of = lambda x: int(x[len("<urn:page:") : -1]) if len(x) > len("<urn:page:>") else None
         row = {"page_id": id_of(field["WARC-Record-ID"]), "url": field.get("WARC-Target-URI"), "record_type": field["WARC-Type"], "refers_to": id_of(field.get("WARC-Refers-To", "")), "payload_bytes": int(field["X-Payload-Length"])}
