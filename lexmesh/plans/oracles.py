@@ -188,7 +188,7 @@ def oracle_sql() -> dict[str, str]:
         "r01_keyword_route": f"WITH {QUESTIONS}, {KEYWORDS} SELECT conv_id, turn, string_agg(DISTINCT edge_type, ',' ORDER BY edge_type) AS types FROM questions LEFT JOIN kw ON contains(question, keyword) GROUP BY 1, 2",
         "j11_keyword_join": f"WITH {QUESTIONS}, {KEYWORDS} SELECT edge_type, count(*) AS n FROM questions JOIN kw ON contains(question, keyword) GROUP BY 1",
         "j14_category_types": f"WITH {QUESTIONS}, {CATEGORIES} SELECT conv_id, turn, string_agg(DISTINCT edge_type, ',' ORDER BY edge_type) AS types FROM questions JOIN cat ON category IN ({_pick(V.EDGE_CATEGORIES, 'conv_id')}, {_pick(V.EDGE_CATEGORIES, 'turn')}) GROUP BY 1, 2",
-        "u04_refine": f"WITH {QUESTIONS}, a AS (SELECT conv_id, turn, {_pick(V.EDGE_TYPES, 'turn')} AS x, {_pick(V.EDGE_TYPES, 'conv_id')} AS y, {_list(V.EDGE_TYPES[:20])} AS c FROM questions), k AS (SELECT *, list_filter(CASE WHEN x = y THEN [x] ELSE [x, y] END, t -> list_contains(c, t)) AS kept FROM a) SELECT conv_id, turn, array_to_string(CASE WHEN len(kept) > 0 THEN kept ELSE c END, ',') AS types FROM k",
+        "u04_refine": f"WITH {QUESTIONS}, a AS (SELECT conv_id, turn, {_pick(V.EDGE_TYPES, 'turn')} AS x, {_pick(V.EDGE_TYPES, 'conv_id')} AS y, {_list(V.EDGE_TYPES[:20])} AS c FROM questions), k AS (SELECT *, list_filter(CASE WHEN x = y THEN [x] ELSE [x, y] END, lambda t: list_contains(c, t)) AS kept FROM a) SELECT conv_id, turn, array_to_string(CASE WHEN len(kept) > 0 THEN kept ELSE c END, ',') AS types FROM k",
         "n07_clauses": f"WITH {FOUND} SELECT article, unit_ord, pos, lemma AS verb_lemma, {_ROOT} AS verb_root, voice, modality, agent, patient, agent_source FROM found",
         "n07_clauses_fold": f"WITH {FOUND} SELECT article, unit_ord, pos, lemma AS verb_lemma, agent, patient, voice, modality, agent_source FROM found",
         "n08_relations": f"WITH {FOUND} SELECT agent, {_ROOT} AS verb_root, patient, modality, voice, count(*) AS n FROM found WHERE coalesce(agent, '') <> '' AND coalesce(patient, '') <> '' GROUP BY ALL",
