@@ -103,12 +103,21 @@ def candidates(cells: DataFrame, about: DataFrame, finder, first: bool, block: i
     return rows.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
 
-def linked(cells: DataFrame, about: DataFrame, finder, verify: Callable, components: Callable) -> DataFrame:
-    """Verified links (a, b) that span every component: both rounds.
+def grouped(cells: DataFrame, about: DataFrame, finder, verify: Callable, components: Callable) -> DataFrame:
+    """(id, component) of all that verified links tie together: both rounds.
 
-    The first round has compared all pairs of the small cells, so the second takes the others.
+    The first round has compared all pairs of the small cells, so the second takes the others. Its links
+    are between components, and only these are joined further.
     """
-    links = cut(verify(candidates(cells, about, finder, True)))
-    found = components(links).withColumnsRenamed({"node": "id"})
+    found = components(verify(candidates(cells, about, finder, True)))
+    found = cut(found.withColumnsRenamed({"node": "id"}))
     about = about.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    return links.unionByName(cut(verify(candidates(cells.filter(F.col("n") > SMALL), about, finder, False))))
+    more = cut(verify(candidates(cells.filter(F.col("n") > SMALL), about, finder, False)))
+    if more.isEmpty():
+        return found
+    top = lambda k: found.select(F.col("id").alias(k), F.col("component").alias(f"top_{k}"))
+    ends = more.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("top_a", "a").alias("a"), F.coalesce("top_b", "b").alias("b"))
+    above = cut(components(ends))
+    moved = found.join(above.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    alone = above.select(F.col("node").alias("id"), "component").join(found, "id", "left_anti")
+    return moved.unionByName(alone)

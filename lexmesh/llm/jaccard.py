@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import linked, shared
+from .cells import grouped, shared
 from .common import SPACES, byte_table, cut, iter_words, mix64, small
 from .components import connected
 
@@ -272,8 +272,7 @@ def components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         both = F.size(F.array_intersect("sa", "sb"))
         return pairs.join(left, "a").join(right, "b").filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    links = linked(cells, about.drop("shingles"), _Finder(percent), verify, connected)
-    named_by = connected(links).withColumnRenamed("node", "id")
+    named_by = grouped(cells, about.drop("shingles"), _Finder(percent), verify, connected)
     joined = classes.drop("keys").join(named_by, "id", "left").filter("copies > 1 or component is not null")
     return joined.select(F.col("id.s").alias("s1"), "s2", "n_shingles", F.coalesce("component.doc", "id.doc").alias("component_id"))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cells import linked, shared
+from .cells import grouped, shared
 from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes, unused
 from .components import connected
 
@@ -202,8 +202,7 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
 
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
-    links = linked(cells, different.select("id", "simhash"), _Finder(distance), verify, connected)
-    named = connected(links).withColumnRenamed("node", "id")
+    named = grouped(cells, different.select("id", "simhash"), _Finder(distance), verify, connected)
     # lines that stand once and are linked with none are left out: they stay
     lot = different.join(named, "id", "left").filter("n > 1 or component is not null").select("id", "place", F.coalesce("component", "id").alias("component"))
     first = lot.groupBy("component").agg(F.min("place").alias("stays"))
