@@ -261,8 +261,8 @@ def components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     A class is named by its first document and s1, so that rows of one doc_id with different texts stay apart.
     """
     named = sets(docs, shingle, percent, True).filter("n_shingles > 0 and doc_id is not null")
-    grouped = named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
-    classes = cut(grouped.select(F.struct("doc", F.col("s1").alias("s")).alias("id"), "s2", "n_shingles", "copies", "keys"))
+    alike = named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
+    classes = cut(alike.select(F.struct("doc", F.col("s1").alias("s")).alias("id"), "s2", "n_shingles", "copies", "keys"))
     cells = cut(shared(classes.select(F.explode("keys").alias("key"), "id")))
     about = cut(_contents(docs, cells.select("id").distinct(), shingle))
     shingles = about.select("id", "shingles", "size")
