@@ -55,8 +55,11 @@ def simhash(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, hash, simhash) of every line of min_words or more; equal hashes are equal normalised lines."""
-    names = ["doc_id", "line", "hash", "simhash"]
+    """(doc_id, line, hash, simhash, bits, words) of every line of min_words or more; equal hashes are equal normalised lines.
+
+    bits has a bit for each word, by its hash.
+    """
+    names = ["doc_id", "line", "hash", "simhash", "bits", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -74,13 +77,14 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 place = (np.arange(len(doc)) - np.repeat(first, n)).astype(np.uint64)
                 hashed = np.add.reduceat(mix64(w.hash + place * np.uint64(0xD1342543DE82EF95)), first)
                 similar = simhash(w.hash, first, n)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (w.hash >> np.uint64(58)), first)
                 of = doc[first]
                 number = line[first] - np.searchsorted(breaks, w.bounds[:-1])[of]
-                columns = [ids[w.lo + of], number.astype(np.int32), hashed.view(np.int64), similar.view(np.int64)]
+                columns = [ids[w.lo + of], number.astype(np.int32), hashed.view(np.int64), similar.view(np.int64), bits.view(np.int64), n.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names)
 
     slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, line int, hash long, simhash long")
+    return slim.mapInArrow(run, "doc_id long, line int, hash long, simhash long, bits long, words int")
 
 
 def block_keys(c: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Column:
@@ -91,45 +95,57 @@ def block_keys(c: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Col
 
 
 class _Finder:
-    """What may link by SimHash."""
+    """What may link: SimHashes near enough, and no more words apart than the edit similarity allows.
+
+    A bit of one line that the other lacks is a word that it lacks, which costs an edit; so does a word more.
+    """
 
-    def __init__(self, distance: int):
-        self.distance = distance
+    def __init__(self, distance: int, similar: float):
+        self.distance, self.similar = distance, similar
+
+    @staticmethod
+    def _read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, bits = (table.column(c).to_numpy().view(np.uint64) for c in ("simhash", "bits"))
+        return h, bits, table.column("words").to_numpy().astype(np.int64)
+
+    def _near(self, x: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        h, bits, n = x
+        most = (1 - self.similar) * np.maximum(n[i], n[j]) + 1e-9
+        near = (np.bitwise_count(h[i] ^ h[j]) <= self.distance) & (np.abs(n[i] - n[j]) <= most)
+        return near & (np.bitwise_count(bits[i] & ~bits[j]) <= most) & (np.bitwise_count(bits[j] & ~bits[i]) <= most)
 
     def pairs(self, table: pa.Table, i: np.ndarray, j: np.ndarray, first: bool) -> np.ndarray:
-        h = table.column("simhash").to_numpy()
-        near = np.bitwise_count((h[i] ^ h[j]).view(np.uint64)) <= self.distance
+        near = self._near(self._read(table), i, j)
         if not first:
             c = table.column("component").to_numpy()
             near &= c[i] != c[j]
         return near
 
     def blocks(self, table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        h = table.column("simhash").to_numpy().view(np.uint64)
+        x = self._read(table)
         if first:
-            yield _leaders(h, left, right, self.distance)
+            yield self._leaders(x, left, right)
             return
         component = table.column("component").to_numpy()
-        near = np.bitwise_count(h[left][:, None] ^ h[right][None, :]) <= self.distance
+        near = self._near(x, left[:, None], right[None, :])
         near &= component[left][:, None] != component[right][None, :]
         i, j = np.nonzero(near)
         fit = left[i] < right[j] if left is right else np.ones(len(i), bool)
         yield left[i[fit]], right[j[fit]]
 
-
-def _leaders(h: np.ndarray, left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members with the first leader within the distance; members without one lead."""
-    lead: list[int] = []
-    pairs: list[tuple[int, int]] = []
-    for group, grows in ((left, True), (right, False)) if left is not right else ((left, True),):
-        for k in group:
-            ok = np.flatnonzero(np.bitwise_count(h[lead] ^ h[k]) <= distance) if lead else ()
-            if len(ok):
-                pairs.append((lead[ok[0]], int(k)))
-            elif grows:
-                lead.append(int(k))
-    a = np.array(pairs, np.int64).reshape(-1, 2)
-    return a[:, 0], a[:, 1]
+    def _leaders(self, x: tuple, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members with the first leader that is near; members without one lead."""
+        lead: list[int] = []
+        pairs: list[tuple[int, int]] = []
+        for group, grows in ((left, True), (right, False)) if left is not right else ((left, True),):
+            for k in group:
+                ok = np.flatnonzero(self._near(x, np.array(lead), k)) if lead else ()
+                if len(ok):
+                    pairs.append((lead[ok[0]], int(k)))
+                elif grows:
+                    lead.append(int(k))
+        a = np.array(pairs, np.int64).reshape(-1, 2)
+        return a[:, 0], a[:, 1]
 
 
 def edits(a: list, b: list) -> int:
@@ -183,7 +199,7 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     """(doc_id, gone): numbers of the lines of a document that go."""
     place = _place(F.col("doc_id"), F.col("line"))
     every = cut(lines(docs))
-    different = cut(every.groupBy(F.col("hash").alias("id")).agg(F.max("simhash").alias("simhash"), F.min(place).alias("place"), F.count("*").alias("n")))
+    different = cut(every.groupBy(F.col("hash").alias("id")).agg(F.max("simhash").alias("simhash"), F.max("bits").alias("bits"), F.max("words").alias("words"), F.min(place).alias("place"), F.count("*").alias("n")))
     cells = cut(shared(different.select(F.explode(block_keys(F.col("simhash"), distance, blocks)).alias("key"), "id")))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -202,7 +218,7 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
 
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
-    named = grouped(cells, different.select("id", "simhash"), _Finder(distance), verify, connected)
+    named = grouped(cells, different.select("id", "simhash", "bits", "words"), _Finder(distance, similar), verify, connected)
     # lines that stand once and are linked with none are left out: they stay
     lot = different.join(named, "id", "left").filter("n > 1 or component is not null").select("id", "place", F.coalesce("component", "id").alias("component"))
     first = lot.groupBy("component").agg(F.min("place").alias("stays"))
