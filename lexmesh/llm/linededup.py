@@ -6,7 +6,9 @@ in at most DISTANCE of 64 bits and their edit similarity, 1 - edits / words of t
 more. Of each connected group the occurrence first in the order of (doc_id, line) stays; others go.
 
 Candidates come by the pigeonhole: of BLOCKS blocks of a SimHash, BLOCKS - DISTANCE are equal in both,
-so every choice of that many blocks is a key. Groups are linked by leaders first and what is left is
+so every choice of that many blocks is a key. The number of blocks doesn't change the result: six give 20 keys
+of 32 bits. SimHashes of lines with common words lie close, so keys of fewer bits are shared by ever more
+lines as these grow; from about 10^9 lines on more blocks are due. Groups are linked by leaders first and what is left is
 looked at exactly, so near copies don't cost all their pairs and no link is lost.
 
 Nulls: a null text has no lines; a row without doc_id is left as it is. Rows with the same doc_id and text
@@ -28,7 +30,7 @@ from .cells import grouped, shared
 from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes, unused
 from .components import connected
 
-MIN_WORDS, DISTANCE, BLOCKS, SIMILAR = 5, 3, 5, 0.8
+MIN_WORDS, DISTANCE, BLOCKS, SIMILAR = 5, 3, 6, 0.8
 
 _TABLE = byte_table(NOT_ALNUM, lower=True)
 _MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
