@@ -25,12 +25,13 @@ SMALL = 8
 def shared(keys: DataFrame) -> DataFrame:
     """From (key, id): (cell, id, n) for keys of two members or more, each set of members once.
 
-    Cells are told apart by the number, the sum and the xor of 64-bit hashes of their members.
+    Cells are told apart by the number, the sum and the xor of 64-bit hashes of their members. The keys kept
+    have one row each and are the hashed side of the join, so the many rows of all keys aren't sorted.
     """
     dealt = keys.repartition("key")
     sums = dealt.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.xxhash64("id").bitwiseAND(F.lit((1 << 31) - 1))).alias("y")).filter("n > 1")
     once = sums.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
-    return dealt.join(once, "key").select(F.col("key").alias("cell"), "id", "n")
+    return dealt.join(once.hint("shuffle_hash"), "key").select(F.col("key").alias("cell"), "id", "n")
 
 
 def candidates(cells: DataFrame, about: DataFrame, finder, first: bool, block: int = BLOCK) -> DataFrame:
