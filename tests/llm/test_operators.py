@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 from io import BytesIO
+from math import lgamma, log
 
 import numpy as np
 import public_tokenizers
@@ -287,6 +288,53 @@ def test_context_tree_is_a_distribution():
     assert np.allclose(ctw.log_gamma(np.array([0.5, 1.0, 5.0])), [np.log(np.pi) / 2, 0, np.log(24)])
 
 
+def brute_tree(train, depth):
+    """log10 of a text by the whole context tree, from its definition."""
+    pad = lambda t: [ctw.START] * depth + list((t or "").encode()) + [ctw.END]
+    counts = {}
+
+    def steps(p, i):
+        """(context, decision, bit), deepest context last, of the byte at i."""
+        return [(tuple(p[i - d : i]), (1 << k) + (p[i] >> (8 - k)), p[i] >> (7 - k) & 1, d) for k in range(8) for d in range(depth + 1)]
+
+    for t in train:
+        p = pad(t)
+        for i in range(depth, len(p)):
+            for c, k, bit, _ in steps(p, i):
+                counts.setdefault((c, k), [0, 0])[bit] += 1
+    own = {x: lgamma(a + 0.5) + lgamma(b + 0.5) - 2 * lgamma(0.5) - lgamma(a + b + 1) for x, (a, b) in counts.items()}
+    weighted, below = {}, Counter()
+    for c, k in sorted(counts, key=lambda x: -len(x[0])):
+        weighted[c, k] = own[c, k] if len(c) == depth else np.logaddexp(own[c, k], below[c, k]) - log(2)
+        if c:
+            below[c[1:], k] += weighted[c, k]
+
+    def score(t):
+        p, out, odds, left = pad(t), 0.0, 0.0, 1.0
+        for i in range(depth, len(p)):
+            for c, k, bit, d in steps(p, i):
+                n = counts.get((c, k), [0, 0])
+                share = 1 if d == depth else np.exp(own.get((c, k), 0) - weighted.get((c, k), 0)) / 2
+                odds, left = odds + left * share * (n[bit] + 0.5) / (sum(n) + 1), left * (1 - share)
+                if d == depth:
+                    out, odds, left = out + np.log10(odds), 0.0, 1.0
+        return out
+
+    return score
+
+
+@pytest.mark.parametrize("looked_up", [1 << 21, 300, 0])
+def test_context_tree_is_whole(spark, monkeypatch, looked_up):
+    """However the grams are looked up, no context is dropped; held-out grams change nothing."""
+    monkeypatch.setattr(ctw, "LOOKED_UP", looked_up)
+    texts = [t[:120] if t else t for t in corpus(seed=3, n=12)] + ["\x00é ", "held out only: ~{}|"]
+    got = ctw.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    want = brute_tree([t for d, t in enumerate(texts) if zlib.crc32(str(d).encode()) % 5 != 1], ctw.DEPTH)
+    assert len(got) == len(texts) and any(r.held_out for r in got)
+    for r in got:
+        assert abs(r.score - want(texts[r.doc_id])) < 1e-6 * max(1, -r.score)
+
+
 def test_quality_pu(spark, docs, texts, empty):
     rng = random.Random(4)
     rows, labels = [], []
