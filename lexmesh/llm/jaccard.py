@@ -41,7 +41,7 @@ def _sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
     for w in iter_words(column, _TABLE):
         n = np.diff(w.first)
         rolled = np.zeros(max(len(w.hash) - shingle + 1, 0), np.uint64)
-        for k in range(shingle):
+        for k in range(shingle if len(rolled) else 0):
             rolled += w.hash[k : len(w.hash) - shingle + 1 + k] * _SALT[k]
         rolled = mix64(rolled)
         for i in range(w.hi - w.lo):

@@ -11,6 +11,7 @@ from math import lgamma, log
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -242,6 +243,15 @@ def test_jaccard(spark, docs, texts, empty, shingle, percent):
         assert kept == {top(d) for d in range(len(texts))}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_short_document_alone(n):
+    """A run of texts may hold fewer words than a shingle, one set all the same."""
+    text = " ".join(f"w{i}" for i in range(n))
+    (row, alone), = jaccard._sets(pa.array([text]), 5)
+    beside = dict(jaccard._sets(pa.array(["x " * 9, text]), 5))[1]
+    assert row == 0 and len(alone) == 1 and alone.tolist() == beside.tolist()
+
+
 def test_signature_tree_loses_nothing():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 60).astype(np.uint64)
