@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, byte_table, split_words
+from .common import NOT_ALNUM, ascii_lower, byte_table, cut, split_words
 
 WINDOW = 10
 #: Bytes of windows in one automaton. More windows are scanned for in further passes.
@@ -89,42 +89,41 @@ def scan_text(text: str | None, automaton, block) -> tuple[int, list[dict], list
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, hits (merged spans of words and of characters), items.
 
-    Windows are dealt to blocks of at most block_bytes, so that what a task holds is bounded; a block
-    costs a pass over the documents and the passes are merged by row.
+    Windows are dealt to blocks of at most block_bytes, so that what the driver and a task hold is bounded;
+    a block costs a pass over the documents. Rows get a key of their own before several passes, by which
+    these are merged.
     """
     spark = docs.sparkSession
-    found = windows(items, window)
-    blocks: list[list[tuple[str, list[str]]]] = [[]]
+    rows = docs.select(F.lit(None).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    passes: list[DataFrame] = []
+    block: list[tuple[str, list[str]]] = []
     size = 0
-    for r in found.toLocalIterator():
+    for r in windows(items, window).toLocalIterator():
         size += len(r["window"].encode())
-        if size > block_bytes and blocks[-1]:
-            blocks.append([])
-            size = len(r["window"].encode())
-        blocks[-1].append((r["window"], list(r["items"])))
-    passes = [_pass(docs, spark.sparkContext.broadcast(b)) for b in blocks]
-    if len(passes) == 1:
-        return passes[0]
-    return _merged(passes)
+        if size > block_bytes and block:
+            if not passes:
+                rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
+            passes.append(_pass(rows, spark.sparkContext.broadcast(block)))
+            block, size = [], len(r["window"].encode())
+        block.append((r["window"], list(r["items"])))
+    passes.append(_pass(rows, spark.sparkContext.broadcast(block)))
+    return passes[0].drop("row") if len(passes) == 1 else _merged(passes)
 
 
-def _pass(docs: DataFrame, held) -> DataFrame:
+def _pass(rows: DataFrame, held) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = held.value
         automaton = _automaton(block)
         for b in batches:
             out = [scan_text(t, automaton, block) for t in b.column("text").to_pylist()]
             kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], kind), pa.array([x[2] for x in out], pa.list_(pa.string()))], ["doc_id", "n_words", "hits", "items"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], kind), pa.array([x[2] for x in out], pa.list_(pa.string()))], ["row", "doc_id", "n_words", "hits", "items"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, f"row long, {SCHEMA}")
 
 
 def _merged(passes: list[DataFrame]) -> DataFrame:
-    """Joins the passes over blocks: spans of a document are merged again, items united.
-
-    Rows of one doc_id are brought together, so documents need distinct ids here.
-    """
+    """Joins the passes over blocks by row: spans of a row are merged again, items united."""
     rows = passes[0]
     for p in passes[1:]:
         rows = rows.unionByName(p)
@@ -134,7 +133,7 @@ def _merged(passes: list[DataFrame]) -> DataFrame:
     ).otherwise(F.concat(acc, F.array(x)))
     all_hits = F.array_sort(F.flatten(F.collect_list("hits")))
     empty = F.array().cast("array<struct<first: long, last: long, start: long, end: long>>")
-    return rows.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), all_hits.alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).select("doc_id", "n_words", F.aggregate("h", empty, later).alias("hits"), "items")
+    return rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), all_hits.alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).select("doc_id", "n_words", F.aggregate("h", empty, later).alias("hits"), "items")
 
 
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -112,6 +112,15 @@ def test_decontaminate(spark, docs, texts, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d in got if not got[d].hits}
 
 
+def test_decontaminate_keeps_rows_apart(spark, texts):
+    """Rows without an id or with the same one stay rows of their own, however many blocks there are."""
+    rows = [(None, texts[12]), (None, texts[20]), (None, None), (1, texts[12]), (1, "one two"), (1, "one two"), (2, texts[30])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([(1, texts[12]), (2, texts[20]), (3, "two")], "item_id long, text string")
+    few, many = (sorted(map(repr, decontaminate.scan(docs, bench, block_bytes=b).collect())) for b in (decontaminate.BLOCK_BYTES, 200))
+    assert len(few) == len(rows) and few == many
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
