@@ -1,10 +1,11 @@
 """WARC archives as a chunked record table.
 
-Payloads are rows of (record, chunk number, bytes): Spark cuts them into chunks of at most CHUNK bytes,
-a task streams its chunks into one gzipped archive with a member per record, and reading back yields
-such rows again, with the SHA-1 carried on from chunk to chunk; no task holds a whole record as one
-buffer. Archives lie in the shared folder of spark.checkpoint.dir (any store that pyarrow.fs opens) and
-get their final name when whole, so a task that runs again replaces its own file.
+Payloads are rows of (record, chunk number, bytes): each is cut into chunks of at most CHUNK bytes where its
+page is read, a task streams its chunks into one gzipped archive with a member per record, and reading back
+yields such rows again, with the SHA-1 carried on from chunk to chunk. Behind the scan of the pages, which
+hold a payload in one value, no join, sort, writer or reader holds more of a record than a chunk. Archives
+lie in the shared folder of spark.checkpoint.dir (any store that pyarrow.fs opens) and get their final name
+when whole, so a task that runs again replaces its own file.
 
 Equal payloads: the record with the largest page_id is the response, others are revisits of it. Pages
 that tie for the largest id, as repeated rows do, are all responses. A null page_id is below any other.
@@ -33,24 +34,26 @@ CHUNK = 256 << 10
 _CUT = b"\r\n\r\n"
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, sha1, record_type, refers_to)."""
+def records(pages: DataFrame, size: int = CHUNK) -> DataFrame:
+    """The record table: record, chunk_no, page_id, url, payload_bytes, sha1, record_type, refers_to, data.
+
+    A payload is cut where its page is read, so that what is shuffled, sorted and written are chunks of at most
+    size bytes; a revisit and an empty payload have one empty chunk. Rows are in the order of (record, chunk_no)
+    within a partition, and a record lies in one.
+    """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
     # aggregated by the digest alone and joined by two columns: both sides of the join are dealt anew, so a hot payload can be split
     copies = rows.groupBy("sha1").agg(F.max("payload_bytes").alias("payload_bytes"), F.max("page_id").alias("best"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    first = F.col("best").isNull() | F.coalesce(F.col("page_id") == F.col("best"), F.lit(False))
-    joined = rows.join(copies, ["sha1", "payload_bytes"], "left")
-    return joined.select("page_id", "url", "payload", "payload_bytes", "sha1", F.when(first, "response").otherwise("revisit").alias("record_type"), F.when(~first, F.col("best")).alias("refers_to"))
-
-
-def chunks(found: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Each record's payload as consecutive rows; a revisit and an empty payload have one empty chunk."""
-    payload = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    last = F.greatest(F.ceil(F.octet_length("payload") / size).cast("int") - 1, F.lit(0))
-    rows = found.withColumn("payload", payload).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last)))
-    return rows.withColumn("data", F.substring("payload", F.col("chunk_no") * size + 1, F.lit(size))).drop("payload")
+    last = F.greatest(F.ceil(F.col("payload_bytes") / size).cast("int") - 1, F.lit(0))
+    chunks = rows.withColumn("record", F.monotonically_increasing_id()).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last)))
+    chunks = chunks.withColumn("data", F.substring("payload", F.col("chunk_no") * size + 1, F.lit(size))).drop("payload")
+    response = F.col("best").isNull() | F.coalesce(F.col("page_id") == F.col("best"), F.lit(False))
+    joined = chunks.join(copies, ["sha1", "payload_bytes"], "left").filter(response | (F.col("chunk_no") == 0))
+    data = F.when(response, F.col("data")).otherwise(F.lit(b""))
+    named = joined.select("record", "chunk_no", "page_id", "url", "payload_bytes", "sha1", F.when(response, "response").otherwise("revisit").alias("record_type"), F.when(~response, F.col("best")).alias("refers_to"), data.alias("data"))
+    return named.sortWithinPartitions("record", "chunk_no")
 
 
 def _safe(text: str) -> str:
@@ -131,11 +134,14 @@ class _Stream:
         return head
 
     def take(self, n: int) -> bytes:
-        """At most n bytes, some unless the archive ends."""
-        if not self.held and not self.more():
-            raise ValueError("the archive ends within a record")
-        got, self.held = self.held[:n], self.held[n:]
-        return got
+        """Exactly n bytes, however the pieces of the archive fall."""
+        got = bytearray()
+        while len(got) < n:
+            if not self.held and not self.more():
+                raise ValueError("the archive ends within a record")
+            part, self.held = self.held[: n - len(got)], self.held[n - len(got) :]
+            got += part
+        return bytes(got)
 
 
 def parse(file, size: int = CHUNK) -> Iterator[dict]:
@@ -152,20 +158,17 @@ def parse(file, size: int = CHUNK) -> Iterator[dict]:
         stated = field["WARC-Payload-Digest"].removeprefix("sha1:")
         digest, chunk_no = hashlib.sha1(), 0
         while True:
-            data = bytearray()
-            while left and len(data) < size:
-                got = s.take(min(left, size - len(data)))
-                data += got
-                left -= len(got)
+            data = s.take(min(left, size))
+            left -= len(data)
             digest.update(data)
             done = left == 0
             if done and row["record_type"] == "response" and base64.b32encode(digest.digest()).decode() != stated:
                 raise ValueError(f"record {row['page_id']}: its payload isn't that of its digest")
-            yield row | {"chunk_no": chunk_no, "data": bytes(data), "payload_digest": stated if done else None}
+            yield row | {"chunk_no": chunk_no, "data": data, "payload_digest": stated if done else None}
             chunk_no += 1
             if done:
                 break
-        if s.take(2) + s.take(2) != _CUT:
+        if s.take(len(_CUT)) != _CUT:
             raise ValueError("a record doesn't end where its header says")
 
 
@@ -203,6 +206,6 @@ def new_folder(df: DataFrame) -> str:
 def round_trip(pages: DataFrame) -> DataFrame:
     """Writes the pages as archives and reads these back: a row per page, from the last chunk of its record."""
     folder = new_folder(pages)
-    manifest = write(chunks(records(pages)), folder)
+    manifest = write(records(pages), folder)
     back = read(manifest, folder, data=False).filter(F.col("payload_digest").isNotNull())
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -209,7 +209,7 @@ def test_warc(spark, texts, tmp_path):
         want[i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if again else "response", top if again else None] += 1
     assert got == want
     folder = str(tmp_path)
-    manifest = warc.write(warc.chunks(warc.records(table), 1000), f"file://{folder}")
+    manifest = warc.write(warc.records(table, 1000), f"file://{folder}")
     back = warc.read(manifest, f"file://{folder}").collect()
     whole = {}
     for r in sorted(back, key=lambda r: (r.page_id or -1, r.record_type, r.chunk_no)):
@@ -222,6 +222,41 @@ def test_warc(spark, texts, tmp_path):
         list(warc.parse(BytesIO(raw[: len(raw) // 2])))
 
 
+class Reads(BytesIO):
+    """A file that gives at most `most` bytes a read."""
+
+    def __init__(self, raw, most):
+        super().__init__(raw)
+        self.most = most
+
+    def read(self, n=-1):
+        return super().read(self.most if n < 0 else min(n, self.most))
+
+
+def archive(payloads):
+    out = b""
+    for k, p in enumerate(payloads):
+        row = {"page_id": k, "url": "u", "record_type": "response", "refers_to": None, "payload_bytes": len(p), "sha1": hashlib.sha1(p).hexdigest()}
+        member = zlib.compressobj(1, wbits=31)
+        out += member.compress(warc._head(row) + p + b"\r\n\r\n") + member.flush()
+    return out
+
+
+def test_warc_reads_exactly():
+    """Records end wherever the pieces of a read fall."""
+    head = len(warc._head({"page_id": 0, "url": "u", "record_type": "response", "refers_to": None, "payload_bytes": 65_000, "sha1": "0" * 40}))
+    rng = random.Random(3)
+    sizes = [65_535 - head + k for k in range(-8, 9)]
+    payloads = [rng.randbytes(n) for n in sizes] + [b"x" * n for n in sizes] + [b"a\r", b"a\n", b"a\r\n", b"\r\n\r\n", b"", b"a\r\n\r\n"]
+    raw = archive(payloads)
+    short = archive(payloads[-6:])
+    for file, of in [(Reads(raw, most), payloads) for most in (1 << 20, 65_535, 4096, 7)] + [(Reads(short, most), payloads[-6:]) for most in (1, 2, 3, 4, 5)]:
+        got = {}
+        for row in warc.parse(file, 1000):
+            got[row["page_id"]] = got.get(row["page_id"], b"") + row["data"]
+        assert got == dict(enumerate(of))
+
+
 @pytest.mark.parametrize(("shingle", "percent"), [(3, 90), (5, 80), (1, 60)])
 def test_jaccard(spark, docs, texts, empty, shingle, percent):
     near = [" ".join(f"t{k}" if k % 97 != i else "x" for k in range(200)) for i in range(40)]
