@@ -20,10 +20,13 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The shared folder of spark.checkpoint.dir. Where that is unset a temporary one, in local mode alone: on a cluster no other machine would see it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
@@ -33,14 +36,86 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: Rows of a checkpointed table up to which it is broadcast; of more, it is shuffled like the other side.
-BROADCAST_ROWS = 500_000
+#: A bitmap over hashes, of 16 MB whatever it stands for: it is built in BUCKETS segments and broadcast.
+BITS, BUCKET_BITS = 27, 10
+#: Hashes that a task holds before it passes them on.
+DEALT = 1 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df, computed once and counted, marked for broadcast if it has at most limit rows: then texts needn't be shuffled to meet it."""
-    df = cut(df)
-    return F.broadcast(df) if df.count() <= limit else df
+def _bitmap(values: DataFrame, twice: bool) -> np.ndarray:
+    """From one column of longs or arrays of longs: the bitmap of those that stand at all, or maybe twice.
+
+    Only 42 bits of a hash travel, four bytes each: a bucket's come sorted in one value. Longs that share
+    them are taken for the same, so the bitmap may hold more than it should, never less.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            h = np.sort(np.concatenate(held))
+            bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            low = (h >> np.uint64(32 - BUCKET_BITS)).astype(np.uint32)
+            at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            ends = (np.r_[at, len(low)] * 4).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(low)])], ["bucket", "low"])
+
+        for b in batches:
+            column = b.column(0)
+            flat = column.flatten() if pa.types.is_list(column.type) else column
+            if len(flat):
+                held.append(mix64(flat.to_numpy(zero_copy_only=False).view(np.uint64)))
+                size += len(flat)
+            if size >= DEALT:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        now = None
+
+        def out() -> pa.RecordBatch:
+            low = np.sort(np.concatenate(held))
+            if twice:
+                low = low[1:][low[1:] == low[:-1]]
+            bits = np.zeros(1 << (BITS - BUCKET_BITS), np.uint8)
+            bits[low >> np.uint32(32 - BITS + BUCKET_BITS)] = 1
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bucket", "bits"])
+
+        for b in batches:
+            for bucket, low in zip(b.column("bucket").to_pylist(), b.column("low"), strict=True):
+                if bucket != now and held:
+                    yield out()
+                    held = []
+                now = bucket
+                held.append(np.frombuffer(low.as_buffer(), np.uint32))
+        if held:
+            yield out()
+
+    dealt = values.mapInArrow(deal, "bucket int, low binary").repartition("bucket").sortWithinPartitions("bucket")
+    bitmap = np.zeros((1 << BUCKET_BITS, 1 << (BITS - BUCKET_BITS - 3)), np.uint8)
+    for bucket, bits in dealt.mapInArrow(find, "bucket int, bits binary").toArrow().to_pandas().itertuples(index=False):
+        bitmap[bucket] = np.frombuffer(bits, np.uint8)
+    return bitmap.ravel()
+
+
+def held_once(values: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** BITS bits of the longs in the one column of values, for in_bitmap."""
+    return _bitmap(values, False)
+
+
+def held_twice(values: DataFrame) -> np.ndarray:
+    """The same of longs that stand twice or more, in the arrays of the one column of values."""
+    return _bitmap(values, True)
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the bitmap may hold each of the longs; it does where it was built of them."""
+    at = mix64(values.view(np.uint64)) >> np.uint64(64 - BITS)
+    return (bitmap[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 > 0
 
 
 def unused(columns: list[str], *names: str) -> list[str]:

@@ -4,12 +4,13 @@ A document's set: its distinct n-word shingles, as 64-bit hashes; with fewer wor
 one. Equal sets are one class, so copies cost a row each and nothing more. Two sets link when their
 Jaccard similarity is at least PERCENT / 100.
 
-Where trees are worth building is found by a pigeonhole: sets that link differ in at most d shingles, so
-of d + 1 and more parts of the hash range some part is the same in both, and its content is a key. Sizes
-go by bands, a set stands in its own and the next smaller one. Over the sets that share keys, signature
-trees are built: leaves hold the bitmap of a set, nodes the OR of their children and their range of
-sizes, and a dual traversal prunes pairs of nodes by the largest overlap their bitmaps and sizes allow.
-What is left is verified on the shingles themselves. Components come by alternating stars.
+Candidates come from signature trees (`cells.Forest`): leaves hold the bitmap of a set, nodes the OR of their
+children and their range of sizes, and a dual traversal prunes pairs of nodes by the largest overlap their
+bitmaps and sizes allow. One tree over all sets would meet nearly all pairs, as bitmaps of unrelated texts fill
+up a few levels above the leaves. So there are many trees, and sets are dealt to them without loss: sets that
+link differ in at most d shingles, so of d + 1 and more parts of the hash range some part is the same in both,
+and its content is the key of a tree. Sizes go by bands, a set stands in its own and the next smaller one. What
+the trees leave is verified on the shingles themselves. Components come by alternating stars.
 
 Nulls: null texts and texts without words have an empty set and link with nothing. Rows with the same
 doc_id stand for one document, linked by what any of them holds; rows without one are by themselves and have no
@@ -26,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import SPACES, byte_table, cut, iter_words, mix64, small
+from .common import SPACES, byte_table, cut, held_once, in_bitmap, iter_words, mix64, unused
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
-BITS, FANOUT = 2048, 8
+BITS = 2048
 
 _TABLE = byte_table(SPACES, lower=True)
 _SALT = np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) | np.uint64(1)
@@ -102,8 +103,13 @@ def _sums(t: np.ndarray) -> tuple[int, int]:
     return (int(mix64(t + np.uint64(1)).sum().view(np.int64)), int(mix64(t + np.uint64(2)).sum().view(np.int64))) if len(t) else (0, 0)
 
 
+def _row(docs: DataFrame):
+    """Names a row by its doc_id and text: rows that share both are the same to this operator."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
+
+
 def sets(docs: DataFrame, shingle: int, percent: int, keyed: bool) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, keys): keys are empty for an empty set, or if not asked for."""
+    """(row, doc_id, n_shingles, s1, s2, keys): keys are empty for an empty set, or if not asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -122,149 +128,50 @@ def sets(docs: DataFrame, shingle: int, percent: int, keyed: bool) -> DataFrame:
     def _batch(b, n, s1, s2, keys) -> pa.RecordBatch:
         offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-        return pa.RecordBatch.from_arrays([b.column("doc_id").slice(0, len(n)), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["doc_id", "n_shingles", "s1", "s2", "keys"])
+        lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
+        return pa.RecordBatch.from_arrays([b.column("row").slice(0, len(n)), b.column("doc_id").slice(0, len(n)), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), lists], ["row", "doc_id", "n_shingles", "s1", "s2", "keys"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
+    slim = docs.select(_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "row long, doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
 def _contents(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, size, spare, signature, shingles) of the classes in ids, from the text of their first document."""
-    names = ["doc", "s", "size", "spare", "signature", "shingles"]
+    """(id, signature, size, spare, shingles) of the classes in ids (id, row), from the text of that row.
+
+    A bitmap of the rows goes to the texts, so that these needn't be shuffled; what it lets through is joined.
+    """
+    names = ["id", "signature", "size", "spare", "shingles"]
+    held = docs.sparkSession.sparkContext.broadcast(held_once(ids.select("row")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            whole = whole.filter(pa.array(in_bitmap(held.value, whole.column("row").to_numpy())))
             for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                found = [t for _, t in _sets(b.column("text"), shingle)]
+                found = [t for _, t in _sets(whole.column("text").slice(lo, 1000), shingle)]
                 signs = [_signature(t) for t in found]
                 spare = [len(t) - int(np.bitwise_count(x).sum()) for t, x in zip(found, signs, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([_sums(t)[0] for t in found], pa.int64()), pa.array([len(t) for t in found], pa.int32()), pa.array(spare, pa.int32()), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(ids.select(F.col("id.doc").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    rows = texts.mapInArrow(run, "doc long, s long, size int, spare int, signature binary, shingles array<long>")
-    return rows.select(F.struct("doc", "s").alias("id"), *names[2:]).join(ids, "id", "left_semi").dropDuplicates(["id"])
-
-
-class SignatureTree:
-    """Levels of nodes, leaves first: OR of bitmaps, range of sizes, most shingles hidden behind equal bits."""
-
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, spare: np.ndarray, component: np.ndarray | None = None):
-        self.order = np.lexsort((*bits.T[:2], sizes))
-        one = component[self.order] if component is not None else np.full(len(sizes), -1)
-        self.levels = [(bits[self.order], sizes[self.order], sizes[self.order], spare[self.order], one)]
-        while len(self.levels[-1][0]) > 1:
-            b, lo, hi, e, c = self.levels[-1]
-            at = np.arange(0, len(b), FANOUT)
-            same = np.minimum.reduceat(c, at) == np.maximum.reduceat(c, at)
-            self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(e, at), np.where(same, c[at], -1)))
-
-
-def _allowed(a, b, i: np.ndarray, j: np.ndarray, percent: int, leaf: bool) -> np.ndarray:
-    """Whether some pair of sets below the nodes can reach the similarity."""
-    (ba, la, ha, ea, ca), (bb, lb, hb, eb, cb) = a, b
-    keep = (ca[i] != cb[j]) | (ca[i] < 0)
-    keep &= (100 * ha[i] >= percent * lb[j]) & (100 * hb[j] >= percent * la[i])
-    at = np.flatnonzero(keep)
-    i, j = i[at], j[at]
-    if leaf:
-        lost_a, lost_b = np.bitwise_count(ba[i] & ~bb[j]).sum(1, dtype=np.int64), np.bitwise_count(bb[j] & ~ba[i]).sum(1, dtype=np.int64)
-        most = np.minimum(ha[i] - lost_a, hb[j] - lost_b)
-    else:
-        most = np.minimum(np.bitwise_count(ba[i] & bb[j]).sum(1, dtype=np.int64) + np.minimum(ea[i], eb[j]), np.minimum(ha[i], hb[j]))
-    keep[at] = (100 + percent) * most >= percent * (la[i] + lb[j])
-    return keep
-
-
-def traverse(a: SignatureTree, b: SignatureTree, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of leaves, as row numbers, that the bounds leave: from the roots down, level by level."""
-    i = j = np.zeros(1, np.int64)
-    high = max(len(a.levels), len(b.levels)) - 1
-    for level in range(high, -1, -1):
-        x, y = a.levels[min(level, len(a.levels) - 1)], b.levels[min(level, len(b.levels) - 1)]
-        if level < high:
-            grow_a, grow_b = level < len(a.levels) - 1, level < len(b.levels) - 1
-            fa, fb = np.arange(FANOUT if grow_a else 1), np.arange(FANOUT if grow_b else 1)
-            i = (i[:, None, None] * (FANOUT if grow_a else 1) + fa[None, :, None]).repeat(len(fb), 2).ravel()
-            j = (j[:, None, None] * (FANOUT if grow_b else 1) + fb[None, None, :]).repeat(len(fa), 1).ravel()
-            fit = (i < len(x[0])) & (j < len(y[0]))
-            if same:
-                fit &= i <= j if level else i < j
-            i, j = i[fit], j[fit]
-        keep = [_allowed(x, y, i[s : s + 65536], j[s : s + 65536], percent, level == 0) for s in range(0, len(i), 65536)]
-        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-        i, j = i[keep], j[keep]
-    return a.order[i], b.order[j]
-
-
-class _Finder:
-    """What may link by bitmaps and sizes."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-
-    @staticmethod
-    def _read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        bits = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64).reshape(table.num_rows, -1)
-        return bits, table.column("size").to_numpy().astype(np.int64), table.column("spare").to_numpy().astype(np.int64)
-
-    @staticmethod
-    def _component(table: pa.Table) -> np.ndarray:
-        fields = table.column("component").combine_chunks().flatten()
-        return np.unique(np.stack([x.to_numpy() for x in fields], 1), axis=0, return_inverse=True)[1].ravel()
-
-    def pairs(self, table: pa.Table, i: np.ndarray, j: np.ndarray, first: bool) -> np.ndarray:
-        bits, sizes, spare = self._read(table)
-        leaves = (bits, sizes, sizes, spare, np.arange(len(sizes)) if first else self._component(table))
-        return np.concatenate([_allowed(leaves, leaves, i[s : s + 65536], j[s : s + 65536], self.percent, True) for s in range(0, len(i), 65536)])
-
-    def blocks(self, table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        bits, sizes, spare = self._read(table)
-        if first:
-            yield _leaders(bits, sizes, left, right, self.percent)
-            return
-        component = self._component(table)
-        if left is right:
-            tree = SignatureTree(bits, sizes, spare, component)
-            yield traverse(tree, tree, self.percent, True)
-        elif len(left) and len(right):
-            a, b = (SignatureTree(bits[s], sizes[s], spare[s], component[s]) for s in (left, right))
-            i, j = traverse(a, b, self.percent, False)
-            yield left[i], right[j]
-
-
-def _leaders(bits: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each member of the right block with the first leader, of the left one, that the bound allows; others lead themselves.
-
-    A block that is compared with another has its leaders found first, so that blocks are tied together.
-    """
-    lead: list[int] = []
-    pairs: list[tuple[int, int]] = []
-    for group, grows in ((left, True), (right, False)) if left is not right else ((left, True),):
-        for k in group:
-            if lead:
-                at = np.array(lead)
-                lost = np.maximum(np.bitwise_count(bits[k] & ~bits[at]).sum(1, dtype=np.int64) - sizes[k], np.bitwise_count(bits[at] & ~bits[k]).sum(1, dtype=np.int64) - sizes[at])
-                ok = np.flatnonzero((100 + percent) * -lost >= percent * (sizes[k] + sizes[at]))
-                if len(ok):
-                    pairs.append((int(at[ok[0]]), int(k)))
-                    continue
-            if grows:
-                lead.append(int(k))
-    a = np.array(pairs, np.int64).reshape(-1, 2)
-    return a[:, 0], a[:, 1]
-
-
-def components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(s1, s2, n_shingles, component_id) of the classes that more than one document belongs to.
-
-    A class is named by its first document and s1, so that rows of one doc_id with different texts stay apart.
+                yield pa.RecordBatch.from_arrays([pa.array([_sums(t)[0] for t in found], pa.int64()), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array([len(t) for t in found], pa.int32()), pa.array(spare, pa.int32()), pa.array([t.view(np.int64) for t in found], pa.list_(pa.int64()))], names)
+
+    texts = docs.select(_row(docs).alias("row"), F.col("text").cast("string").alias("text"))
+    rows = texts.mapInArrow(run, "id long, signature binary, size int, spare int, shingles array<long>")
+    return rows.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
+
+
+def components(docs: DataFrame, shingle: int, percent: int, nameless: bool = False) -> DataFrame:
+    """(s1, s2, n_shingles, best) of the classes that more than one document belongs to.
+
+    best is (nameless, doc_id, row) of the first row of the component, in that order. A class goes by s1, its
+    64-bit hash. Rows without a doc_id take part only if nameless is asked for, behind all others.
     """
-    named = sets(docs, shingle, percent, True).filter("n_shingles > 0 and doc_id is not null")
-    alike = named.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
-    classes = cut(alike.select(F.struct("doc", F.col("s1").alias("s")).alias("id"), "s2", "n_shingles", "copies", "keys"))
-    cells = cut(shared(classes.select(F.explode("keys").alias("key"), "id")))
-    about = cut(_contents(docs, cells.select("id").distinct(), shingle))
+    named = sets(docs, shingle, percent, True).filter("n_shingles > 0")
+    if not nameless:
+        named = named.filter("doc_id is not null")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
+    alike = named.groupBy("s1", "s2", "n_shingles").agg(best.alias("best"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
+    classes = cut(alike.withColumn("id", F.col("s1")))
+    cells = cut(shared(classes.select("id", "keys")))
+    ids = cut(classes.select("id", F.col("best.row").alias("row")).join(cells.select("id").distinct(), "id", "left_semi"))
+    about = cut(_contents(docs, ids, shingle))
     shingles = about.select("id", "shingles", "size")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -272,20 +179,40 @@ def components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         both = F.size(F.array_intersect("sa", "sb"))
         return pairs.join(left, "a").join(right, "b").filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
-    named_by = grouped(cells, about.drop("shingles"), _Finder(percent), verify, connected)
-    joined = classes.drop("keys").join(named_by, "id", "left").filter("copies > 1 or component is not null")
-    return joined.select(F.col("id.s").alias("s1"), "s2", "n_shingles", F.coalesce("component.doc", "id.doc").alias("component_id"))
+    found = grouped(cells, about.drop("shingles"), enough(percent), verify, connected)
+    joined = classes.drop("keys").join(found, "id", "left").filter("copies > 1 or component is not null").withColumn("component", F.coalesce("component", "id"))
+    first = joined.groupBy("component").agg(F.min("best").alias("first"))
+    return joined.join(first, "component").select("s1", "s2", "n_shingles", F.col("first").alias("best"))
+
+
+def enough(percent: int):
+    """Whether sets of a and b elements with `most` in common can reach the similarity."""
+    return lambda most, a, b: (100 + percent) * most >= percent * (a + b)
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    rows = sets(docs, shingle, percent, False).drop("keys")
+    rows = sets(docs, shingle, percent, False).drop("keys", "row")
     named = components(docs, shingle, percent)
     out = rows.join(named, ["s1", "s2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("best.doc_id", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """docs without the documents whose component has a smaller doc_id; rows without an id stay."""
-    gone = join(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each component: that of the smallest doc_id, one without an id only where all lack it.
+
+    Of rows that share doc_id and text one stays, and so do all rows without words. Rows are told apart, not
+    ids: rows of one doc_id with different texts are judged by their texts.
+    """
+    rows = sets(docs, shingle, percent, False).drop("keys").filter("n_shingles > 0")
+    named = components(docs, shingle, percent, True)
+    judged = cut(rows.join(named, ["s1", "s2", "n_shingles"]).select("row", F.col("best.row").alias("stays")).groupBy("row", "stays").agg(F.count("*").alias("n")))
+    (key,) = unused(docs.columns, "jaccard_row")
+    gone = judged.filter("row <> stays").select(F.col("row").alias(key)).distinct()
+    again = judged.filter("row = stays and n > 1").select(F.col("row").alias(key)).distinct()
+    kept = docs.withColumn(key, _row(docs)).join(gone.hint("shuffle_hash"), key, "left_anti")
+    if not again.isEmpty():
+        kept = cut(kept)
+        one = kept.join(again.hint("shuffle_hash"), key, "left_semi").dropDuplicates([key])
+        kept = kept.join(again.hint("shuffle_hash"), key, "left_anti").unionByName(one)
+    return kept.select(*docs.columns)

@@ -1,18 +1,21 @@
 """Fuzzy line dedup by SimHash.
 
-Lines are normalised to lower-case words; those of MIN_WORDS or more count. Equal normalised lines are
-one line with several occurrences. Two different lines are linked if the SimHashes of their words differ
-in at most DISTANCE of 64 bits and their edit similarity, 1 - edits / words of the longer, is SIMILAR or
-more. Of each connected group the occurrence first in the order of (doc_id, line) stays; others go.
-
-Candidates come by the pigeonhole: of BLOCKS blocks of a SimHash, BLOCKS - DISTANCE are equal in both,
-so every choice of that many blocks is a key. The number of blocks doesn't change the result: six give 20 keys
-of 32 bits. SimHashes of lines with common words lie close, so keys of fewer bits are shared by ever more
-lines as these grow; from about 10^9 lines on more blocks are due. Groups are linked by leaders first and what is left is
-looked at exactly, so near copies don't cost all their pairs and no link is lost.
-
-Nulls: a null text has no lines; a row without doc_id is left as it is. Rows with the same doc_id and text
-tie: they lose the same lines. Shorter and wordless lines stay. Empty tables give no rows. Other columns are kept.
+Lines are normalised to lower-case words. Equal normalised lines are one line with several occurrences. Two
+different lines of MIN_WORDS words or more are linked if their SimHashes share a block and their edit
+similarity, 1 - edits / words of the longer, is SIMILAR or more. Of each connected group the occurrence first in
+the order of (doc_id, line) stays; others go. Shorter lines are only compared for equality.
+
+A SimHash of all words of a line changes in many bits with each changed word, so few lines that are SIMILAR by
+edits share a block of it. Here a SimHash has BLOCKS blocks of 64 bits, and each block is the majority of the
+hashes of few words: the two (from LONG words on: three) that come first in an order of the block's own. A changed
+word so leaves most blocks as they are. Common words, whose slot of a table of SLOTS counters over all documents
+holds a share of COMMON or more, come late in every order, so a block tells lines apart. Lines of LONG words and
+a quarter more have both kinds of blocks, as their partners may have either. Blocks are the pigeonholes: a pair
+that differs in at most BLOCKS - 1 blocks shares one.
+
+Rows are told apart by doc_id and text. Nulls: a null text has no lines; rows without a doc_id come behind all
+others. Rows with the same doc_id and text tie: they lose the same lines. Wordless lines stay. Empty tables give no
+rows. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -27,127 +30,109 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import NOT_ALNUM, byte_table, cut, iter_words, let, mix64, small, text_bytes, unused
+from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, text_bytes, unused
 from .components import connected
 
-MIN_WORDS, DISTANCE, BLOCKS, SIMILAR = 5, 3, 6, 0.8
+MIN_WORDS, LONG, BLOCKS, SIMILAR = 5, 32, 10, 0.8
+SLOTS, COMMON = 1 << 14, 2.0**-10
 
 _TABLE = byte_table(NOT_ALNUM, lower=True)
 _MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
+_SALT = mix64(np.arange(1, 65, dtype=np.uint64))
+_LAST = np.uint64(2**64 - 1)
 
 
-#: Bit b of a byte as a count in the b-th byte of a 64-bit number: eight counts are added at once.
-_SPREAD = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(7 - b)) & np.uint64(1)) << np.uint64(8 * b) for b in range(8))
-_LANES = 255
+def _row(docs: DataFrame) -> Column:
+    """Names a row by its doc_id and text."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
 
 
-def simhash(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """A 64-bit SimHash of each run of word hashes that begins at `first` and has n words."""
-    parts = -(-n // _LANES)
-    part = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    at = np.repeat(first, parts) + part * _LANES
-    owner = np.cumsum(parts) - parts
-    octets = hashes.view(np.uint8).reshape(-1, 8)
-    out = np.empty((len(first), 8), np.uint8)
-    for k in range(8):
-        lanes = np.add.reduceat(_SPREAD[octets[:, k]], at).view(np.uint8).reshape(-1, 8)
-        ones = np.add.reduceat(lanes.astype(np.int32), owner, axis=0)
-        out[:, k] = np.packbits(2 * ones > n[:, None], axis=1).ravel()
-    return out.view(np.uint64).ravel()
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
 
-def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, hash, simhash, bits, words) of every line of min_words or more; equal hashes are equal normalised lines.
+def common_slots(docs: DataFrame) -> np.ndarray:
+    """Which slots of word hashes hold a share of COMMON or more of all words of docs."""
 
-    bits has a bit for each word, by its hash.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for w in iter_words(b.column("text"), _TABLE):
+                total += np.bincount(_slot(w.hash), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    got = counts.toArrow()
+    n = np.zeros(SLOTS, np.int64)
+    n[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    return (n >= COMMON * n.sum()) & (n > 0)
+
+
+def block_keys(hashes: np.ndarray, first: np.ndarray, n: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, how many of each line) of lines that begin at `first` and have n words each, line by line."""
+    late = common[_slot(hashes)]
+    short, long = n < LONG + LONG // 4, n >= LONG
+    found = np.zeros((len(first), 2 * BLOCKS), np.uint64)
+    for k in range(BLOCKS):
+        order = mix64(hashes ^ _SALT[k]) >> np.uint64(1)
+        # a common word comes in the last sixteenth of the order
+        order = np.where(late, ~(~order >> np.uint64(4)), order) if len(late) else order
+        least = []
+        for _ in range(3):
+            least.append(np.minimum.reduceat(order, first))
+            order = np.where(order == np.repeat(least[-1], n), _LAST, order)
+        x, y, z = (mix64(v) for v in least)
+        found[:, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
+        found[:, BLOCKS + k] = mix64((x & y | z & (x | y)) + np.uint64(2 * k + 1))
+    has = np.repeat(np.stack([short, long], 1) & (n >= MIN_WORDS)[:, None], BLOCKS, axis=1)
+    return found[has], has.sum(1)
+
+
+def _lines_of(w: Words, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the lines with a word in a run of texts: text, number in it, first word, words and hash."""
+    breaks = np.flatnonzero(data[offsets[w.lo] : offsets[w.hi]] == 10)
+    doc = np.repeat(np.arange(w.hi - w.lo), np.diff(w.first))
+    line = np.searchsorted(breaks, w.start)
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
+    n = np.diff(np.r_[first, len(doc)])
+    place = (np.arange(len(doc)) - np.repeat(first, n)).astype(np.uint64)
+    hashed = np.add.reduceat(mix64(w.hash + place * np.uint64(0xD1342543DE82EF95)), first)
+    of = doc[first]
+    return of, line[first] - np.searchsorted(breaks, w.bounds[:-1])[of], first, n, hashed
+
+
+def lines(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(row, doc_id, line, hash, size, spare, signature, keys) of every line with a word; equal hashes are equal normalised lines.
+
+    size counts its words, signature has a bit for each word, by its hash, spare is what size has beyond those bits.
     """
-    names = ["doc_id", "line", "hash", "simhash", "bits", "words"]
+    names = ["row", "doc_id", "line", "hash", "size", "spare", "signature", "keys"]
+    held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column, ids = b.column("text"), b.column("doc_id").to_numpy()
+            column, rows, ids = b.column("text"), b.column("row"), b.column("doc_id")
             data, offsets = text_bytes(column)
             for w in iter_words(column, _TABLE):
                 if not len(w.hash):
                     continue
-                breaks = np.flatnonzero(data[offsets[w.lo] : offsets[w.hi]] == 10)
-                doc = np.repeat(np.arange(w.hi - w.lo), np.diff(w.first))
-                line = np.searchsorted(breaks, w.start)
-                first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])
-                n = np.diff(np.r_[first, len(doc)])
-                keep = n >= min_words
-                place = (np.arange(len(doc)) - np.repeat(first, n)).astype(np.uint64)
-                hashed = np.add.reduceat(mix64(w.hash + place * np.uint64(0xD1342543DE82EF95)), first)
-                similar = simhash(w.hash, first, n)
+                of, number, first, n, hashed = _lines_of(w, data, offsets)
                 bits = np.bitwise_or.reduceat(np.uint64(1) << (w.hash >> np.uint64(58)), first)
-                of = doc[first]
-                number = line[first] - np.searchsorted(breaks, w.bounds[:-1])[of]
-                columns = [ids[w.lo + of], number.astype(np.int32), hashed.view(np.int64), similar.view(np.int64), bits.view(np.int64), n.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names)
-
-    slim = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, line int, hash long, simhash long, bits long, words int")
-
-
-def block_keys(c: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Column:
-    """One key for each choice of blocks - distance blocks of a SimHash."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    part = [F.shiftrightunsigned(c, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return F.array(*(F.xxhash64(F.lit(k), *(part[i] for i in some)) for k, some in enumerate(combinations(range(blocks), blocks - distance))))
+                keys, many = block_keys(w.hash, first, n, held.value)
+                at = pa.array(w.lo + of)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(keys.view(np.int64)))
+                spare = (n - np.bitwise_count(bits)).astype(np.int32)
+                columns = [rows.take(at), ids.take(at), number.astype(np.int32), hashed.view(np.int64), n.astype(np.int32), spare, bits.view(np.int64), lists]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
+    slim = docs.select(_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "row long, doc_id long, line int, hash long, size int, spare int, signature long, keys array<long>")
 
-class _Finder:
-    """What may link: SimHashes near enough, and no more words apart than the edit similarity allows.
 
-    A bit of one line that the other lacks is a word that it lacks, which costs an edit; so does a word more.
-    """
-
-    def __init__(self, distance: int, similar: float):
-        self.distance, self.similar = distance, similar
-
-    @staticmethod
-    def _read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, bits = (table.column(c).to_numpy().view(np.uint64) for c in ("simhash", "bits"))
-        return h, bits, table.column("words").to_numpy().astype(np.int64)
-
-    def _near(self, x: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        h, bits, n = x
-        most = (1 - self.similar) * np.maximum(n[i], n[j]) + 1e-9
-        near = (np.bitwise_count(h[i] ^ h[j]) <= self.distance) & (np.abs(n[i] - n[j]) <= most)
-        return near & (np.bitwise_count(bits[i] & ~bits[j]) <= most) & (np.bitwise_count(bits[j] & ~bits[i]) <= most)
-
-    def pairs(self, table: pa.Table, i: np.ndarray, j: np.ndarray, first: bool) -> np.ndarray:
-        near = self._near(self._read(table), i, j)
-        if not first:
-            c = table.column("component").to_numpy()
-            near &= c[i] != c[j]
-        return near
-
-    def blocks(self, table: pa.Table, left: np.ndarray, right: np.ndarray, first: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        x = self._read(table)
-        if first:
-            yield self._leaders(x, left, right)
-            return
-        component = table.column("component").to_numpy()
-        near = self._near(x, left[:, None], right[None, :])
-        near &= component[left][:, None] != component[right][None, :]
-        i, j = np.nonzero(near)
-        fit = left[i] < right[j] if left is right else np.ones(len(i), bool)
-        yield left[i[fit]], right[j[fit]]
-
-    def _leaders(self, x: tuple, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Members with the first leader that is near; members without one lead."""
-        lead: list[int] = []
-        pairs: list[tuple[int, int]] = []
-        for group, grows in ((left, True), (right, False)) if left is not right else ((left, True),):
-            for k in group:
-                ok = np.flatnonzero(self._near(x, np.array(lead), k)) if lead else ()
-                if len(ok):
-                    pairs.append((lead[ok[0]], int(k)))
-                elif grows:
-                    lead.append(int(k))
-        a = np.array(pairs, np.int64).reshape(-1, 2)
-        return a[:, 0], a[:, 1]
+def enough(similar: float):
+    """Whether lines of a and b words with `most` in common can reach the edit similarity: each word more or lacking is an edit."""
+    return lambda most, a, b: most >= similar * np.maximum(a, b) - 1e-9
 
 
 def edits(a: list, b: list) -> int:
@@ -175,39 +160,81 @@ def edits(a: list, b: list) -> int:
     return score
 
 
-def normal(line: str) -> list[bytes]:
-    return line.encode().translate(_MAP).split()
+def normal(line: bytes) -> list[bytes]:
+    return line.translate(_MAP).split()
 
 
-#: A place orders lines by document, then by number, in one decimal.
+#: A place orders lines by document, then by number, then by row, in one decimal.
 _LINES = 1 << 31
 
 
-def _place(doc_id: Column, line: Column) -> Column:
-    return (doc_id.cast("decimal(20,0)") * F.lit(_LINES).cast("decimal(10,0)") + line.cast("decimal(10,0)")).cast("decimal(38,0)")
+def _place(doc_id: Column, line: Column, row: Column) -> Column:
+    """Rows without an id come last. Rows that share an id are told apart by 31 bits of their names."""
+    step = F.lit(_LINES).cast("decimal(10,0)")
+    of = F.coalesce(doc_id, F.lit((1 << 63) - 1)).cast("decimal(20,0)") * step + line.cast("decimal(10,0)")
+    return (of.cast("decimal(29,0)") * step + row.bitwiseAND(F.lit(_LINES - 1)).cast("decimal(10,0)")).cast("decimal(38,0)")
+
+
+def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) of the lines whose hash is an id of wanted (id, row), from that row.
+
+    Bitmaps of the rows and of the ids go to the texts, so that these needn't be shuffled; what they let through is joined.
+    """
+    sc = docs.sparkSession.sparkContext
+    held = sc.broadcast((held_once(wanted.select("row")), held_once(wanted.select("id"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, ids = held.value
+        for b in batches:
+            b = b.filter(pa.array(in_bitmap(rows, b.column("row").to_numpy())))
+            column = b.column("text")
+            data, offsets = text_bytes(column)
+            for w in iter_words(column, _TABLE):
+                if not len(w.hash):
+                    continue
+                *_, first, n, hashed = _lines_of(w, data, offsets)
+                some = np.flatnonzero(in_bitmap(ids, hashed.view(np.int64)))
+                raw, start, end = data[offsets[w.lo] : offsets[w.hi]], w.start[first[some]], w.end[first[some] + n[some] - 1]
+                yield pa.RecordBatch.from_arrays([pa.array(hashed[some].view(np.int64)), pa.array([raw[i:j].tobytes() for i, j in zip(start, end, strict=True)], pa.binary())], ["id", "text"])
 
+    texts = docs.select(_row(docs).alias("row"), F.col("text").cast("string").alias("text"))
+    found = texts.mapInArrow(run, "id long, text binary")
+    return found.join(wanted.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
-def _line_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, text) of the lines in places (id, place)."""
-    line = F.pmod("place", F.lit(_LINES).cast("decimal(38,0)"))
-    at = places.select("id", line.cast("int").alias("line"), F.expr(f"cast((place - pmod(place, {_LINES})) div {_LINES} as bigint)").alias("doc_id"))
-    wanted = at.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(wanted), "doc_id")
-    found = let(F.split("text", "\n"), lambda x: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get(x, w["line"]).alias("text"))))
-    return texts.select(F.explode(found).alias("x")).select("x.id", "x.text").dropDuplicates(["id"])
 
+def _occurrences(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(row, doc_id, line, hash) of the lines whose hash is in ids, and of few others that ids' bitmap lets through."""
+    names = ["row", "doc_id", "line", "hash"]
+    held = docs.sparkSession.sparkContext.broadcast(held_once(ids))
 
-def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, gone): numbers of the lines of a document that go."""
-    place = _place(F.col("doc_id"), F.col("line"))
-    every = cut(lines(docs))
-    different = cut(every.groupBy(F.col("hash").alias("id")).agg(F.max("simhash").alias("simhash"), F.max("bits").alias("bits"), F.max("words").alias("words"), F.min(place).alias("place"), F.count("*").alias("n")))
-    cells = cut(shared(different.select(F.explode(block_keys(F.col("simhash"), distance, blocks)).alias("key"), "id")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = text_bytes(b.column("text"))
+            for w in iter_words(b.column("text"), _TABLE):
+                if len(w.hash):
+                    of, number, *_, hashed = _lines_of(w, data, offsets)
+                    some = np.flatnonzero(in_bitmap(held.value, hashed.view(np.int64)))
+                    at = pa.array(w.lo + of[some])
+                    yield pa.RecordBatch.from_arrays([b.column("row").take(at), b.column("doc_id").take(at), pa.array(number[some].astype(np.int32)), pa.array(hashed[some].view(np.int64))], names)
+
+    slim = docs.select(_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "row long, doc_id long, line int, hash long")
+
+
+def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(row, gone): numbers of the lines of a row that go."""
+    place = _place(F.col("doc_id"), F.col("line"), F.col("row"))
+    every = lines(docs, common_slots(docs))
+    kept = [F.first(c).alias(c) for c in ("size", "spare", "signature", "keys")]
+    different = cut(every.withColumn("at", F.struct(place.alias("place"), "row")).groupBy(F.col("hash").alias("id")).agg(*kept, F.min("at").alias("at"), F.count("*").alias("n")))
+    cells = cut(shared(different.select("id", "keys")))
+    inside = different.join(cells.select("id").distinct(), "id", "left_semi")
+    about = cut(inside.select("id", F.unhex(F.lpad(F.hex("signature"), 16, "0")).alias("signature"), "size", "spare", F.col("at.row").alias("row")))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = _line_texts(docs, different.select("id", "place").join(ids, "id"))
+        wanted = cut(about.select("id", "row").join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"))
+        texts = cut(_line_texts(docs, wanted))
         left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,21 +247,21 @@ def duplicates(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
 
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
-    named = grouped(cells, different.select("id", "simhash", "bits", "words"), _Finder(distance, similar), verify, connected)
+    found = grouped(cells, about.drop("row"), enough(similar), verify, connected)
     # lines that stand once and are linked with none are left out: they stay
-    lot = different.join(named, "id", "left").filter("n > 1 or component is not null").select("id", "place", F.coalesce("component", "id").alias("component"))
+    lot = different.join(found, "id", "left").filter("n > 1 or component is not null").select("id", F.col("at.place").alias("place"), F.coalesce("component", "id").alias("component"))
     first = lot.groupBy("component").agg(F.min("place").alias("stays"))
-    stays = lot.join(first, "component").select(F.col("id").alias("hash"), "stays")
-    gone = every.join(stays, "hash").filter(place != F.col("stays"))
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
+    stays = cut(lot.join(first, "component").select(F.col("id").alias("hash"), "stays"))
+    gone = _occurrences(docs, stays.select("hash")).join(stays, "hash").filter(place != F.col("stays"))
+    return gone.groupBy("row").agg(F.collect_set("line").alias("gone"))
 
 
-def _dedup(docs: DataFrame, more: list[str], **how) -> DataFrame:
+def _dedup(docs: DataFrame, more: list[str], similar: float = SIMILAR) -> DataFrame:
     """docs with the text left and the columns `more`: n_lines, n_gone and worded."""
     keep = docs.columns
-    key, gone = unused(keep, "line_doc_id", "lines_gone")
-    lost = small(duplicates(docs, **how).select(F.col("doc_id").alias(key), F.col("gone").alias(gone)))
-    joined = docs.withColumn(key, F.col("doc_id").cast("long")).join(lost, key, "left").select(*keep, gone)
+    key, gone = unused(keep, "line_row", "lines_gone")
+    lost = duplicates(docs, similar).select(F.col("row").alias(key), F.col("gone").alias(gone))
+    joined = docs.withColumn(key, _row(docs)).join(lost.hint("shuffle_hash"), key, "left").select(*keep, gone)
     word = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,13 +285,13 @@ def _dedup(docs: DataFrame, more: list[str], **how) -> DataFrame:
     return out
 
 
-def dedup(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, similar: float = SIMILAR) -> DataFrame:
+def dedup(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """docs with the text left, n_chars of it if docs has that column, and n_lines, n_gone and worded of the lines.
 
     worded says whether a word is left. Columns of docs by these three names give way.
     """
     more = ["n_lines", "n_gone", "worded"]
-    return _dedup(docs.drop(*more), more, distance=distance, blocks=blocks, similar=similar)
+    return _dedup(docs.drop(*more), more, similar)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexmesh.llm import components, ctw, decontaminate, jaccard, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc
+from lexmesh.llm import cells, components, ctw, decontaminate, jaccard, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ALNUM, PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), re.compile(r"[^\x20\x09-\x0D]+")
@@ -139,15 +139,17 @@ def test_edits():
 
 def test_line_dedup(docs, texts, empty):
     got = by_id(linededup.dedup(docs))
-    rows = [r for r in linededup.lines(docs).collect()]
-    texts_of = {(d, k): words(x, ALNUM) for d, t in enumerate(texts) if t is not None for k, x in enumerate(t.split("\n"))}
-    assert {(r.doc_id, r.line) for r in rows} == {k for k, w in texts_of.items() if len(w) >= 5}
-    place = {(r.doc_id, r.line): (r.hash, r.simhash) for r in rows}
-    assert len({tuple(texts_of[p]) for p in place}) == len({h for h, _ in place.values()})
-    first, sim = {}, {}
+    common = linededup.common_slots(docs)
+    rows = linededup.lines(docs, common).collect()
+    texts_of = {(d, k): words(x, ALNUM) for d, t in enumerate(texts) if t is not None for k, x in enumerate(t.split("\n")) if words(x, ALNUM)}
+    assert {(r.doc_id, r.line) for r in rows} == set(texts_of)
+    place = {(r.doc_id, r.line): r.hash for r in rows}
+    assert len({tuple(texts_of[p]) for p in place}) == len(set(place.values()))
+    keys = {r.hash: set(r["keys"]) for r in rows}
+    assert {len(texts_of[p]) < 5 for p, h in place.items() if not keys[h]} <= {True}
+    first = {}
     for p in sorted(place):
-        first.setdefault(place[p][0], p)
-        sim[place[p][0]] = place[p][1]
+        first.setdefault(place[p], p)
     group = {h: h for h in first}
 
     def top(x):
@@ -158,15 +160,15 @@ def test_line_dedup(docs, texts, empty):
     ids = sorted(first)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if ((sim[a] ^ sim[b]) & (2**64 - 1)).bit_count() <= 3:
+            if keys[a] & keys[b]:
                 x, y = texts_of[first[a]], texts_of[first[b]]
                 if distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9:
                     group[top(a)] = top(b)
     stays = {}
     for p in sorted(place):
-        stays.setdefault(top(place[p][0]), p)
-    gone = {p for p in place if stays[top(place[p][0])] != p}
-    assert gone
+        stays.setdefault(top(place[p]), p)
+    gone = {p for p in place if stays[top(place[p])] != p}
+    assert gone and any(stays[top(place[p])] != first[place[p]] for p in gone)
     for d, t in enumerate(texts):
         want = t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone)
         assert got[d].text == want, d
@@ -174,6 +176,34 @@ def test_line_dedup(docs, texts, empty):
     assert linededup.clean(docs).columns == docs.columns
 
 
+def test_line_dedup_tells_rows_apart(spark):
+    """Rows that share an id or have none keep their own lines; repeated rows tie."""
+    plate, once = "same boiler plate line for all of the pages", "wholly different text that stands only once today"
+    rows = [(1, once), (1, plate), (0, plate), (None, plate + "\n" + once[::-1]), (None, "yes"), (2, "yes"), (3, "alone stands this last line of all\nYes!"), (3, "alone stands this last line of all\nYes!")]
+    got = Counter((r.doc_id, r.text) for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert got == Counter([(1, once), (1, ""), (0, plate), (None, once[::-1]), (None, ""), (2, "yes"), (3, "alone stands this last line of all"), (3, "alone stands this last line of all")])
+
+
+@pytest.mark.parametrize("share", [0.1, 0.2])
+def test_line_dedup_recall(spark, share):
+    """Of lines with a share of their words replaced, dropped or added, 0.9 or more share a block."""
+    rng = random.Random(5)
+    vocabulary, usual = [f"w{i}" for i in range(30_000)], ["the", "of", "and", "in", "to", "a", "is", "that"]
+    some = lambda: rng.choice(usual if rng.random() < 0.4 else vocabulary)
+    lines = []
+    for k in range(3000):
+        line = [some() for _ in range(rng.choice([6, 8, 10, 15, 20, 30, 40, 60, 100]))]
+        other = list(line)
+        for at in rng.sample(range(len(line)), int(share * len(line))):
+            other[at] = some() if rng.random() < 0.7 else f"{some()} {other[at]}" if rng.random() < 0.3 else other[at] if rng.random() < 0.5 else ""
+        lines += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(other))]
+    table = spark.createDataFrame(lines, "doc_id long, text string")
+    keys = {r.doc_id: set(r["keys"]) for r in linededup.lines(table, linededup.common_slots(table)).collect()}
+    near = [k for k in range(3000) if distance(words(lines[2 * k][1]), words(lines[2 * k + 1][1])) <= 0.2 * max(len(words(x[1])) for x in lines[2 * k : 2 * k + 2]) + 1e-9]
+    found = sum(bool(keys[2 * k] & keys[2 * k + 1]) for k in near)
+    assert len(near) > 2000 and found >= 0.9 * len(near), found / len(near)
+
+
 def test_licenses(spark, docs, texts, empty):
     extra = {1000: "x Licensed under CC BY-NC 4.0.", 1001: "This work is licensed under the new GNU General Public License, version 3!", 1002: "all rights\nreserved. ALL RIGHTS RESERVED", 1003: "released under the MIT License"}
     rows = docs.select("doc_id", "text").union(spark.createDataFrame([*extra.items(), (None, "cc by"), (1002, extra[1002])], "doc_id long, text string"))
@@ -296,20 +326,80 @@ def test_short_document_alone(n):
     assert row == 0 and len(alone) == 1 and alone.tolist() == beside.tolist()
 
 
-def test_signature_tree_loses_nothing():
+def test_signature_trees_lose_nothing():
+    """Every pair that links within a tree, or between two, is left by the traversal, and none within a component."""
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 60).astype(np.uint64)
     sets = [np.unique(np.r_[base[rng.random(60) > 0.05], rng.integers(0, 2**63, rng.integers(0, 6)).astype(np.uint64)]) for _ in range(90)]
+    sets += [rng.integers(0, 2**63, 60).astype(np.uint64) for _ in range(90)]
     bits = np.stack([np.frombuffer(jaccard._signature(s).tobytes(), np.uint64) for s in sets])
     sizes = np.array([len(s) for s in sets])
     spare = sizes - np.bitwise_count(bits).sum(1)
-    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
-    tree = jaccard.SignatureTree(bits, sizes, spare)
-    got = {tuple(sorted(p)) for p in zip(*map(list, jaccard.traverse(tree, tree, 80, True)), strict=True)}
-    assert want and want <= got
-    a, b = (jaccard.SignatureTree(bits[s], sizes[s], spare[s]) for s in (slice(0, 40), slice(40, 90)))
-    got = {(i, j + 40) for i, j in zip(*map(list, jaccard.traverse(a, b, 80, False)), strict=True)}
-    assert {p for p in want if p[0] < 40 <= p[1]} <= got
+    want = {(i, j) for i in range(180) for j in range(i + 1, 180) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    tree = np.r_[np.zeros(40), np.ones(50), np.full(1, 2), np.full(89, 3)].astype(np.int64)
+    forest = cells.Forest(bits, sizes, spare, np.arange(180), tree, jaccard.enough(80))
+    roots = np.arange(4)
+    pairs = lambda i, j: sorted(tuple(sorted(p)) for p in zip(i.tolist(), j.tolist(), strict=True))
+    got = pairs(*forest.traverse(roots, roots))
+    assert len(got) == len(set(got)) and {p for p in want if tree[p[0]] == tree[p[1]]} <= set(got) and len(got) < 2 * len(want)
+    got = pairs(*forest.traverse(roots[:1], roots[1:2]))
+    assert len(got) == len(set(got)) and {p for p in want if p[0] < 40 <= p[1] < 90} <= set(got)
+    component = np.arange(180) % 2
+    forest = cells.Forest(bits, sizes, spare, component, np.zeros(180, np.int64), jaccard.enough(80))
+    assert {p for p in want if component[p[0]] != component[p[1]]} <= set(pairs(*forest.traverse(roots[:1], roots[:1])))
+
+
+@pytest.mark.parametrize(("small", "block"), [(8, 1024), (2, 16), (0, 4)])
+def test_large_cells(spark, monkeypatch, small, block):
+    """Cells of any size: all links that share a key are found through the trees, with no pair of blocks sent on that can't link."""
+    monkeypatch.setattr(cells, "SMALL", small)
+    monkeypatch.setattr(cells, "BLOCK", block)
+    rng = random.Random(4)
+    base = [[rng.getrandbits(40) for _ in range(50)] for _ in range(12)]
+    sets = []
+    for k in range(300):
+        s = list(base[min(k % 17, 11)])
+        for _ in range(rng.randint(0, 5)):
+            s[rng.randrange(50)] = rng.getrandbits(40)
+        sets.append(set(s))
+    about, keyed = [], []
+    for k, s in enumerate(sets):
+        t = jaccard.mix64(np.array(sorted(s), np.uint64))
+        b = jaccard._signature(t)
+        about.append((k, bytearray(b.tobytes()), len(s), len(s) - int(np.bitwise_count(b).sum())))
+        keyed.append((k, [7, 100 + k % 3, 200 + k]))
+    dealt = cells.shared(spark.createDataFrame(keyed, "id long, keys array<long>"))
+    assert Counter(r.n for r in dealt.collect()) == {300: 300, 100: 300}
+    enough = jaccard.enough(80)
+
+    def verify(pairs):
+        got = [(r.a, r.b) for r in pairs.collect() if enough(len(sets[r.a] & sets[r.b]), len(sets[r.a]), len(sets[r.b]))]
+        return spark.createDataFrame(got, "a long, b long")
+
+    found = cells.grouped(dealt, spark.createDataFrame(about, "id long, signature binary, size int, spare int"), enough, verify, components.connected)
+    group = list(range(300))
+
+    def top(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i in range(300):
+        for j in range(i):
+            if enough(len(sets[i] & sets[j]), len(sets[i]), len(sets[j])):
+                x, y = sorted((top(i), top(j)))
+                group[y] = x
+    assert {r.id: r.component for r in found.collect()} == {k: top(k) for k in range(300) if sum(top(j) == top(k) for j in range(300)) > 1}
+
+
+def test_keep_one_row(spark):
+    """One row of a group stays, also where rows share an id, have none or are repeated."""
+    near = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, near), (1, near), (1, near + " x"), (None, near), (None, near), (0, near + " y"), (2, "one two three"), (2, "one two three"), (2, "four"), (None, "six seven"), (None, "six seven"), (3, None), (3, None), (4, ""), (5, "!")]
+    table = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, jaccard_row int").repartition(4)
+    kept = jaccard.keep_one(table, 5, 80)
+    assert kept.columns == table.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(0, near + " y"), (2, "one two three"), (2, "four"), (None, "six seven"), (3, None), (3, None), (4, ""), (5, "!")])
 
 
 def test_context_tree(spark, docs, texts, empty):
