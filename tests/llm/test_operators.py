@@ -558,6 +558,51 @@ def test_quality_rules(docs, texts, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def em_on_rows(votes, rounds):
+    """The estimate row by row, with the pseudo-documents written out."""
+    n, k = votes.shape
+    shown = [min(max((votes[:, r] < 2).mean(), 0.01), 0.99) for r in range(k)]
+    bad = quality_rules.BAD_VOTE
+    start = np.array([[[bad[c] * s, (1 - bad[c]) * s, 1 - s] for s in shown] for c in (0, 1)])
+    rates, prior = start, quality_rules.PRIOR_GOOD
+    for _ in range(rounds):
+        like = [np.prod([rates[c, r, votes[:, r]] for r in range(k)], axis=0) for c in (0, 1)]
+        q = prior * like[1] / (prior * like[1] + (1 - prior) * like[0])
+        prior = (q.sum() + quality_rules.WEIGHT * quality_rules.PRIOR_GOOD) / (n + quality_rules.WEIGHT)
+        held = np.stack([1 - q, q])
+        sums = np.array([[[(held[c] * (votes[:, r] == v)).sum() for v in range(3)] for r in range(k)] for c in (0, 1)]) + quality_rules.WEIGHT * start
+        rates = np.maximum(sums / sums.sum(2, keepdims=True), quality_rules.LEAST)
+        rates = rates / rates.sum(2, keepdims=True)
+    return prior, rates
+
+
+def test_quality_rules_estimate():
+    """As the same EM over rows, and near the accuracies that the votes were drawn by."""
+    rng = np.random.default_rng(6)
+    true = np.array([[[0.5, 0.3, 0.2], [0.6, 0.3, 0.1], [0.4, 0.4, 0.2], [0.7, 0.2, 0.1]], [[0.02, 0.88, 0.1], [0.01, 0.79, 0.2], [0.05, 0.85, 0.1], [0.03, 0.9, 0.07]]])
+    good = (rng.random(6000) < 0.8).astype(int)
+    votes = np.stack([[rng.choice(3, p=true[c, r]) for r in range(4)] for c in good])
+    counts = sorted(Counter(map(tuple, votes.tolist())).items())
+    prior, p = quality_rules.estimate(counts, 4, 40)
+    want_prior, want = em_on_rows(votes, 40)
+    got = np.array([[p[r][c] for r in range(4)] for c in (0, 1)])
+    assert abs(prior - want_prior) < 1e-9 and np.allclose(got, want, atol=1e-9)
+    assert abs(prior - 0.8) < 0.03 and np.abs(got - true).max() < 0.06
+
+
+def test_quality_rules_reject_by_posterior(spark):
+    """Junk that passes the base rule goes, by the votes of several rules; a document that breaks one rule stays."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8)))
+    clean = lambda: "\n".join(" ".join([*(word() for _ in range(12)), word() + "."]) for _ in range(8))
+    rows = [(i, clean()) for i in range(400)]
+    rows += [(1000 + i, " | ".join(clean().split(" "))) for i in range(20)] + [(2000 + i, "$$$ ".join(clean().split(" ")) + "###") for i in range(20)]
+    rows += [(3000, "\n".join(x.rstrip(".") for x in clean().split("\n"))), (3001, clean() + " # *"), (None, clean())]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows) and not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {*range(1000, 1020), *range(2000, 2020)}
+
+
 def test_shards(spark, docs, texts, empty):
     for at_once in (sharding.AT_ONCE, 20):
         rows = sharding.shard(docs, at_once=at_once, units=6).collect()
