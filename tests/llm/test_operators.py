@@ -499,6 +499,46 @@ def test_quality_pu(spark, docs, texts, empty):
     assert len(none) == len(texts) and {round(r.score, 6) for r in none} == {0.85}
     assert quality_pu.classify(empty, marks).count() == 0
     assert quality_pu.keep_good(docs, marks).columns == docs.columns
+    # a label 0 is never read: without them nothing changes
+    hidden = quality_pu.classify(table, marks.filter("quality = 1")).collect()
+    assert {(r.doc_id, r.score) for r in hidden} == {(r.doc_id, r.score) for r in got}
+    odd = table.union(spark.createDataFrame([(None, None), (0, rows[0][1]), (0, rows[0][1]), (1, "")], table.schema)).withColumn("Score", F.lit(5))
+    again = quality_pu.score(odd, quality_pu.train(odd, marks))
+    assert again.columns == ["doc_id", "text", "Score", "_score", "predicted"] and again.count() == 404
+    assert again.filter("doc_id = 0").select("_score").distinct().count() == 1 and quality_pu.keep_good(odd, marks).columns == odd.columns
+
+
+def test_quality_risk():
+    """The risk by its definition, row by row, and its slope by small steps, on both sides of the bound at zero."""
+    rng = np.random.default_rng(3)
+    p, u = rng.integers(0, 4, (30, 3)) + np.arange(3) * 4, rng.integers(0, 4, (50, 3)) + np.arange(3) * 4
+    p[:] = p[0]
+    sides = set()
+    for prior, shift in ((0.3, 0.0), (0.99, 6.0), (0.9, -1.0), (0.999, 9.0)):
+        rng = np.random.default_rng(int(1000 * prior))
+        theta = rng.normal(size=13)
+        theta[p[0]] += shift / 3
+        theta[-1] += min(shift, 0)
+        f = lambda rows, x: [sum(x[k] for k in r) + x[-1] for r in rows]
+        mean = lambda v: sum(v) / len(v)
+        below = lambda x: mean([1 / (1 + np.exp(-v)) for v in f(u, x)]) - prior * mean([1 / (1 + np.exp(-v)) for v in f(p, x)])
+        above = lambda x: prior * mean([1 / (1 + np.exp(v)) for v in f(p, x)])
+        got, g = quality_pu.risk(theta, p, u, prior)
+        assert abs(got - (above(theta) + max(0, below(theta)))) < 1e-9
+        sides.add(below(theta) >= 0)
+        descended = (lambda x: above(x) + below(x)) if below(theta) >= 0 else (lambda x: -below(x))
+        for k in range(13):
+            step = np.eye(13)[k] * 1e-5
+            assert abs((descended(theta + step) - descended(theta - step)) / 2e-5 - g[k]) < 1e-5
+    assert sides == {True, False}
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.85])
+def test_quality_prior(share):
+    rng = np.random.default_rng(7)
+    good, bad = lambda n: rng.normal(1.5, 1, n), lambda n: rng.normal(-1.5, 1, n)
+    got = quality_pu.prior_of(good(6000), np.r_[good(int(6000 * share)), bad(6000 - int(6000 * share))])
+    assert abs(got - share) < 0.06
 
 
 def test_pack(docs, texts, empty):
