@@ -119,20 +119,24 @@ def _codes(table: pa.Table) -> np.ndarray:
     return np.unique(table.column("component").to_numpy(), return_inverse=True)[1].ravel()
 
 
-def leaders(bits: np.ndarray, sizes: np.ndarray, enough: Callable) -> tuple[np.ndarray, np.ndarray]:
-    """Each row with the first leader that the leaves' bound allows; rows without one lead."""
-    lead: list[int] = []
-    pairs: list[tuple[int, int]] = []
-    for k in range(len(sizes)):
-        at = np.array(lead, np.int64)
-        over = np.minimum(sizes[k] - np.bitwise_count(bits[k] & ~bits[at]).sum(1, dtype=np.int64), sizes[at] - np.bitwise_count(bits[at] & ~bits[k]).sum(1, dtype=np.int64))
-        ok = np.flatnonzero(enough(over, sizes[k], sizes[at]))
-        if len(ok):
-            pairs.append((int(at[ok[0]]), k))
-        else:
-            lead.append(k)
-    a = np.array(pairs, np.int64).reshape(-1, 2)
-    return a[:, 0], a[:, 1]
+def leaders(bits: np.ndarray, sizes: np.ndarray, run: np.ndarray, enough: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Each row with the first leader of its run that the leaves' bound allows; rows without one lead.
+
+    In each step the first open row of every run leads, and the open rows that it may link with are settled.
+    """
+    open_, i, j = np.arange(len(run)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(open_):
+        new = np.r_[True, run[open_][1:] != run[open_][:-1]]
+        lead, rest = open_[np.flatnonzero(new)[np.cumsum(new) - 1]][~new], open_[~new]
+        near = np.zeros(len(rest), bool)
+        for s in range(0, len(rest), STEP):
+            a, b = lead[s : s + STEP], rest[s : s + STEP]
+            over = np.minimum(sizes[b] - np.bitwise_count(bits[b] & ~bits[a]).sum(1, dtype=np.int64), sizes[a] - np.bitwise_count(bits[a] & ~bits[b]).sum(1, dtype=np.int64))
+            near[s : s + STEP] = enough(over, sizes[b], sizes[a])
+        i.append(lead[near])
+        j.append(rest[near])
+        open_ = rest[~near]
+    return np.concatenate(i), np.concatenate(j)
 
 
 def _whole_runs(names: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]]) -> Callable:
@@ -186,11 +190,10 @@ def _first_round(rows: DataFrame, enough: Callable) -> DataFrame:
             roots = np.arange(len(forest.roots))
             i, j = forest.traverse(roots, roots)
             yield _pairs(table, small[i], small[j])
-        ends = np.cumsum(n)
-        for r in np.flatnonzero(n > SMALL):
-            at = slice(ends[r] - n[r], ends[r])
-            i, j = leaders(bits[at], sizes[at], enough)
-            yield _pairs(table, i + at.start, j + at.start)
+        large = np.flatnonzero(n[run] > SMALL)
+        if len(large):
+            i, j = leaders(bits[large], sizes[large], run[large], enough)
+            yield _pairs(table, large[i], large[j])
 
     unit = F.pmod(F.xxhash64("id", "cell"), F.ceil(F.col("n") / BLOCK)).cast("int")
     rows = rows.withColumn("unit", unit).repartition("cell", "unit").sortWithinPartitions("cell", "unit", "id")

@@ -269,7 +269,10 @@ def _least(grams: DataFrame) -> int:
 
 
 def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+
+    bits_per_byte is the code length of the text in bits for each of its bytes, the end byte counted as one.
+    """
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold, F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     training = rows.filter(~F.col("held_out"))
@@ -319,14 +322,14 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
                 n_known = np.bincount(doc[hit], minlength=n) + (n_docs > 0)
                 mine = row + np.arange(n)
                 row += n
-                head = pa.StructArray.from_arrays([ids.slice(w.lo, n), out_of.slice(w.lo, n), pa.array(np.diff(w.first) + 1), pa.array(n_known), pa.array(base), pa.array(scores)], ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+                head = pa.StructArray.from_arrays([ids.slice(w.lo, n), out_of.slice(w.lo, n), pa.array(np.diff(w.first) + 1), pa.array(n_known), pa.array(base), pa.array(scores), pa.array(np.diff(np.append(begins, len(places))))], ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes"])
                 yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(np.full(n, WORD, np.int32)), pa.array(mine * np.int64(0x9E3779B97F4A7C1) % (1 << 62)), pa.array(np.zeros(n, np.int32)), head], ["row", "kind", "token", "n", "head"])
                 for kind, of, keys in ((WORD, doc[~hit], hashed[~hit]), (GRAM, text_of[~sure], gram[~sure])):
                     if len(keys):
                         yield pa.RecordBatch.from_arrays([pa.array(mine[of]), pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(np.ones(len(keys), np.int32)), pa.nulls(len(keys), head.type)], ["row", "kind", "token", "n", "head"])
 
     # the first row of a document carries its sums under a token of its own, with n = 0
-    kind = "row long, kind int, token long, n int, head struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>"
+    kind = "row long, kind int, token long, n int, head struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double, n_bytes: long>"
     rare = words.filter(F.col("c") < often_at).select(F.lit(WORD).alias("kind"), "token", F.log10((F.col("c") + 0.5) / below).alias("log10"))
     rare = rare.unionByName(grams.filter(F.col("m") < grams_at).select(F.lit(GRAM).alias("kind"), F.col("key").alias("token"), "log10"))
     joined = rows.mapInArrow(run, kind).join(rare, ["kind", "token"], "left")
@@ -337,4 +340,5 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
         F.sum(F.when(word, 0.0).otherwise(F.col("log10"))).alias("rare_grams"),
         F.max("head").alias("h"),
     )
-    return sums.select("h.doc_id", "h.held_out", "h.n_tokens", (F.col("h.n_known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("h.base") + F.col("rare")).alias("base_score"), (F.col("h.score") + F.col("rare_grams")).alias("score"))
+    score_ = F.col("h.score") + F.col("rare_grams")
+    return sums.select("h.doc_id", "h.held_out", "h.n_tokens", (F.col("h.n_known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("h.base") + F.col("rare")).alias("base_score"), score_.alias("score"), (-score_ * float(np.log2(10)) / F.col("h.n_bytes")).alias("bits_per_byte"))

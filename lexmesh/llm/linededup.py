@@ -21,8 +21,8 @@ rows. Other columns are kept.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ SLOTS, COMMON = 1 << 14, 2.0**-10
 
 _TABLE = byte_table(NOT_ALNUM, lower=True)
 _MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
-_SALT = mix64(np.arange(1, 65, dtype=np.uint64))
+_SALT = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _LAST = np.uint64(2**64 - 1)
 
 
@@ -71,17 +71,17 @@ def common_slots(docs: DataFrame) -> np.ndarray:
 
 def block_keys(hashes: np.ndarray, first: np.ndarray, n: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, how many of each line) of lines that begin at `first` and have n words each, line by line."""
-    late = common[_slot(hashes)]
+    late = common[_slot(hashes)].astype(np.uint64) << np.uint64(63)
     short, long = n < LONG + LONG // 4, n >= LONG
+    line = np.repeat(np.arange(len(first)), n)
     found = np.zeros((len(first), 2 * BLOCKS), np.uint64)
     for k in range(BLOCKS):
-        order = mix64(hashes ^ _SALT[k]) >> np.uint64(1)
-        # a common word comes in the last sixteenth of the order
-        order = np.where(late, ~(~order >> np.uint64(4)), order) if len(late) else order
+        # an order of the block's own, with all common words behind the others
+        order = hashes * _SALT[k] >> np.uint64(1) | late
         least = []
         for _ in range(3):
             least.append(np.minimum.reduceat(order, first))
-            order = np.where(order == np.repeat(least[-1], n), _LAST, order)
+            order[order == least[-1][line]] = _LAST
         x, y, z = (mix64(v) for v in least)
         found[:, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
         found[:, BLOCKS + k] = mix64((x & y | z & (x | y)) + np.uint64(2 * k + 1))
@@ -160,6 +160,43 @@ def edits(a: list, b: list) -> int:
     return score
 
 
+def near_edits(a: list, b: list, most: int) -> int | None:
+    """The edit distance of two lists if it is at most `most`, else None: furthest reaching diagonals, edit by edit."""
+    na, nb = len(a), len(b)
+    if abs(na - nb) > most:
+        return None
+    reach: dict[int, int] = {}
+    for d in range(most + 1):
+        now = {}
+        for k in range(-d, d + 1):
+            # the furthest place in a on diagonal k (place in b less place in a) after d edits
+            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1) if d else 0
+            if not 0 <= i <= na or not 0 <= i + k <= nb:
+                i = min(i, na, nb - k)
+                if i < 0 or i + k < 0:
+                    continue
+            while i < na and i + k < nb and a[i] == b[i + k]:
+                i += 1
+            if i == na and i + k == nb:
+                return d
+            now[k] = i
+        reach = now
+    return None
+
+
+#: Edits up to which the diagonals, whose work grows with the square, come first.
+FEW = 10
+
+
+def alike(a: list, b: list, similar: float) -> bool:
+    """Whether the edit similarity reaches `similar`."""
+    most = int((1 - similar) * max(len(a), len(b)) + 1e-9)
+    if max(len(a), len(b)) - (Counter(a) & Counter(b)).total() > most:
+        return False
+    few = near_edits(a, b, min(most, FEW))
+    return few is not None or most > FEW and edits(a, b) <= most
+
+
 def normal(line: bytes) -> list[bytes]:
     return line.translate(_MAP).split()
 
@@ -231,18 +268,16 @@ def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     inside = different.join(cells.select("id").distinct(), "id", "left_semi")
     about = cut(inside.select("id", F.unhex(F.lpad(F.hex("signature"), 16, "0")).alias("signature"), "size", "spare", F.col("at.row").alias("row")))
 
+    texts = cut(_line_texts(docs, about.select("id", "row")))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        wanted = cut(about.select("id", "row").join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"))
-        texts = cut(_line_texts(docs, wanted))
         left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keep = []
                 for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist(), strict=True):
-                    x, y = normal(x), normal(y)
-                    keep.append(edits(x, y) <= (1 - similar) * max(len(x), len(y)) + 1e-9)
+                    keep.append(alike(normal(x), normal(y), similar))
                 yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")

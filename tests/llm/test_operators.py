@@ -134,7 +134,35 @@ def test_edits():
     rng = random.Random(5)
     for _ in range(300):
         a, b = ([rng.choice("abc") for _ in range(rng.randint(0, 12))] for _ in range(2))
-        assert linededup.edits(a, b) == distance(a, b)
+        d = distance(a, b)
+        assert linededup.edits(a, b) == d
+        for most in range(13):
+            assert linededup.near_edits(a, b, most) == (d if d <= most else None)
+        for similar in (0.5, 0.8, 0.9):
+            assert linededup.alike(a, b, similar) == (d <= (1 - similar) * max(len(a), len(b)) + 1e-9)
+    for share in (0.1, 0.18, 0.22, 0.3):
+        a = [str(rng.randrange(50)) for _ in range(300)]
+        b = [x if rng.random() > share else "x" for x in a]
+        assert linededup.alike(a, b, 0.8) == (distance(a, b) <= 60)
+
+
+def test_leaders():
+    """The same as one row after another, run by run."""
+    rng = np.random.default_rng(9)
+    bits = rng.integers(0, 4, (200, 2)).astype(np.uint64)
+    sizes, run = np.bitwise_count(bits).sum(1).astype(np.int64), np.sort(rng.integers(0, 9, 200))
+    enough = jaccard.enough(60)
+    want, lead = [], {}
+    for k in range(200):
+        for x in lead.setdefault(run[k], []):
+            over = min(sizes[k] - np.bitwise_count(bits[k] & ~bits[x]).sum(), sizes[x] - np.bitwise_count(bits[x] & ~bits[k]).sum())
+            if enough(int(over), int(sizes[k]), int(sizes[x])):
+                want.append((x, k))
+                break
+        else:
+            lead[run[k]].append(k)
+    i, j = cells.leaders(bits, sizes, run, enough)
+    assert want and sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(want)
 
 
 def test_line_dedup(docs, texts, empty):
