@@ -6,12 +6,13 @@ similarity, 1 - edits / words of the longer, is SIMILAR or more. Of each connect
 the order of (doc_id, line) stays; others go. Shorter lines are only compared for equality.
 
 A SimHash of all words of a line changes in many bits with each changed word, so few lines that are SIMILAR by
-edits share a block of it. Here a SimHash has BLOCKS blocks of 64 bits, and each block is the majority of the
-hashes of few words: the two (from LONG words on: three) that come first in an order of the block's own. A changed
-word so leaves most blocks as they are. Common words, whose slot of a table of SLOTS counters over all documents
-holds a share of COMMON or more, come late in every order, so a block tells lines apart. Lines of LONG words and
-a quarter more have both kinds of blocks, as their partners may have either. Blocks are the pigeonholes: a pair
-that differs in at most BLOCKS - 1 blocks shares one.
+edits share a block of it. Here a SimHash has blocks of 64 bits, and each block is the majority of the hashes of few
+words, those that come first in an order of the block's own: SHORT_BLOCKS of two words, or from LONG words on BLOCKS of
+three. A changed word so leaves most blocks as they are. Common words, whose slot of a table of SLOTS counters over
+all documents holds a share of COMMON or more, come last in every order
+(but in every other one of lines of less than eight words), so a block tells lines apart. Lines of
+LONG words and up to a quarter more have both kinds of blocks, as their partners may have either. Blocks are the
+pigeonholes: lines whose SimHashes don't differ in all of them share one.
 
 Rows are told apart by doc_id and text. Nulls: a null text has no lines; rows without a doc_id come behind all
 others. Rows with the same doc_id and text tie: they lose the same lines. Wordless lines stay. Empty tables give no
@@ -33,8 +34,8 @@ from .cells import grouped, shared
 from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, text_bytes, unused
 from .components import connected
 
-MIN_WORDS, LONG, BLOCKS, SIMILAR = 5, 32, 10, 0.8
-SLOTS, COMMON = 1 << 14, 2.0**-10
+MIN_WORDS, LONG, SHORT_BLOCKS, BLOCKS, SIMILAR = 5, 16, 6, 10, 0.8
+SLOTS, COMMON = 1 << 14, 2.0**-12
 
 _TABLE = byte_table(NOT_ALNUM, lower=True)
 _MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
@@ -72,20 +73,23 @@ def common_slots(docs: DataFrame) -> np.ndarray:
 def block_keys(hashes: np.ndarray, first: np.ndarray, n: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, how many of each line) of lines that begin at `first` and have n words each, line by line."""
     late = common[_slot(hashes)].astype(np.uint64) << np.uint64(63)
-    short, long = n < LONG + LONG // 4, n >= LONG
     line = np.repeat(np.arange(len(first)), n)
-    found = np.zeros((len(first), 2 * BLOCKS), np.uint64)
+    # lines of less than eight words may have no two uncommon ones: every other block of theirs takes words as they come
+    few = np.where((n < 8)[line], np.uint64(0), late)
+    found = np.zeros((len(first), SHORT_BLOCKS + BLOCKS), np.uint64)
     for k in range(BLOCKS):
         # an order of the block's own, with all common words behind the others
-        order = hashes * _SALT[k] >> np.uint64(1) | late
+        order = hashes * _SALT[k] >> np.uint64(1) | (few if k % 2 else late)
         least = []
         for _ in range(3):
             least.append(np.minimum.reduceat(order, first))
             order[order == least[-1][line]] = _LAST
         x, y, z = (mix64(v) for v in least)
-        found[:, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
-        found[:, BLOCKS + k] = mix64((x & y | z & (x | y)) + np.uint64(2 * k + 1))
-    has = np.repeat(np.stack([short, long], 1) & (n >= MIN_WORDS)[:, None], BLOCKS, axis=1)
+        if k < SHORT_BLOCKS:
+            found[:, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
+        found[:, SHORT_BLOCKS + k] = mix64((x & y | z & (x | y)) + np.uint64(2 * k + 1))
+    short, long = (n >= MIN_WORDS) & (n < LONG + LONG // 4), n >= LONG
+    has = np.concatenate([np.repeat(short[:, None], SHORT_BLOCKS, 1), np.repeat(long[:, None], BLOCKS, 1)], 1)
     return found[has], has.sum(1)
 
 
