@@ -24,13 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES, byte_table, cut, iter_words, text_bytes
 
-DEPTH, FREQUENT, LOOKED_UP = 5, 2.0**-18, 1 << 21
+DEPTH, FREQUENT, LOOKED_UP = 4, 2.0**-18, 1 << 21
 START, END = 0xFE, 0xFF
 #: Counts that a task holds before it passes them on.
 HELD = 4 << 20
@@ -274,7 +273,9 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
     bits_per_byte is the code length of the text in bits for each of its bytes, the end byte counted as one.
     """
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold, F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
+    # a row goes by its content, so its name is the same when a task runs again
+    rows = slim.withColumn("row", F.xxhash64("doc_id", "text"))
     training = rows.filter(~F.col("held_out"))
     counts = cut(rows.select("text", "held_out").mapInArrow(_count, "kind int, key long, n long, m long").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     n_docs = training.select("doc_id").count()
@@ -302,9 +303,8 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (tokens, times), (known_grams, logs) = held.value
-        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            column, ids, out_of = b.column("text"), b.column("doc_id"), b.column("held_out")
+            column, ids, out_of, named = b.column("text"), b.column("doc_id"), b.column("held_out"), b.column("row").to_numpy()
             data, offsets = text_bytes(column)
             for w in iter_words(column, _TABLE):
                 n = w.hi - w.lo
@@ -320,10 +320,9 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
                 at, hit = looked_up(hashed, tokens)
                 base = np.bincount(doc[hit], weights=log_of(times[at[hit]]), minlength=n) + log_of(n_docs)
                 n_known = np.bincount(doc[hit], minlength=n) + (n_docs > 0)
-                mine = row + np.arange(n)
-                row += n
+                mine = named[w.lo : w.hi]
                 head = pa.StructArray.from_arrays([ids.slice(w.lo, n), out_of.slice(w.lo, n), pa.array(np.diff(w.first) + 1), pa.array(n_known), pa.array(base), pa.array(scores), pa.array(np.diff(np.append(begins, len(places))))], ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes"])
-                yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(np.full(n, WORD, np.int32)), pa.array(mine * np.int64(0x9E3779B97F4A7C1) % (1 << 62)), pa.array(np.zeros(n, np.int32)), head], ["row", "kind", "token", "n", "head"])
+                yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(np.full(n, WORD, np.int32)), pa.array(mine), pa.array(np.zeros(n, np.int32)), head], ["row", "kind", "token", "n", "head"])
                 for kind, of, keys in ((WORD, doc[~hit], hashed[~hit]), (GRAM, text_of[~sure], gram[~sure])):
                     if len(keys):
                         yield pa.RecordBatch.from_arrays([pa.array(mine[of]), pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(np.ones(len(keys), np.int32)), pa.nulls(len(keys), head.type)], ["row", "kind", "token", "n", "head"])
@@ -339,6 +338,9 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
         F.sum(F.when(word & F.col("log10").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
         F.sum(F.when(word, 0.0).otherwise(F.col("log10"))).alias("rare_grams"),
         F.max("head").alias("h"),
+        F.count("head").alias("copies"),
     )
+    # repeated rows have one name, their sums together
+    sums = sums.withColumns({"rare": F.col("rare") / F.col("copies"), "rare_known": (F.col("rare_known") / F.col("copies")).cast("long"), "rare_grams": F.col("rare_grams") / F.col("copies"), "copy": F.explode(F.sequence(F.lit(1), F.col("copies")))})
     score_ = F.col("h.score") + F.col("rare_grams")
     return sums.select("h.doc_id", "h.held_out", "h.n_tokens", (F.col("h.n_known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("h.base") + F.col("rare")).alias("base_score"), score_.alias("score"), (-score_ * float(np.log2(10)) / F.col("h.n_bytes")).alias("bits_per_byte"))

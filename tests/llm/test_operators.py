@@ -500,11 +500,14 @@ def test_context_tree_is_whole(spark, monkeypatch, looked_up):
     """However the grams are looked up, no context is dropped; held-out grams change nothing."""
     monkeypatch.setattr(ctw, "LOOKED_UP", looked_up)
     texts = [t[:120] if t else t for t in corpus(seed=3, n=12)] + ["\x00é ", "held out only: ~{}|"]
-    got = ctw.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
-    want = brute_tree([t for d, t in enumerate(texts) if zlib.crc32(str(d).encode()) % 5 != 1], ctw.DEPTH)
-    assert len(got) == len(texts) and any(r.held_out for r in got)
+    rows = [*enumerate(texts), (len(texts) - 1, texts[-1]), (9, texts[9]), (None, texts[9])]
+    got = ctw.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = brute_tree([t for d, t in rows if d is not None and zlib.crc32(str(d).encode()) % 5 != 1], ctw.DEPTH)
+    assert len(got) == len(rows) and any(r.held_out for r in got)
     for r in got:
-        assert abs(r.score - want(texts[r.doc_id])) < 1e-6 * max(1, -r.score)
+        text = texts[9 if r.doc_id is None else r.doc_id]
+        assert abs(r.score - want(text)) < 1e-6 * max(1, -r.score)
+        assert abs(r.bits_per_byte + r.score * np.log2(10) / (len((text or "").encode()) + 1)) < 1e-9
 
 
 def test_quality_pu(spark, docs, texts, empty):
