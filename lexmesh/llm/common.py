@@ -174,7 +174,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -204,7 +204,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 1 << 20) -> Iterator[Words]:
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Shorter batches, so that a worker holds few texts at a time; what the last ones took is given back."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+    pa.default_memory_pool().release_unused()
+
+
+def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 1 << 18) -> Iterator[Words]:
     """Hashes of all words, in runs of whole texts of about at_once bytes."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(column)

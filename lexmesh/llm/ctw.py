@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, byte_table, cut, iter_words, text_bytes
+from .common import SPACES, byte_table, cut, iter_words, sliced, text_bytes
 
 DEPTH, FREQUENT, LOOKED_UP = 4, 2.0**-18, 1 << 21
 START, END = 0xFE, 0xFF
@@ -74,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held[kind], size[kind] = [], 0
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n), pa.array(m)], ["kind", "key", "n", "m"])
 
-    for b in batches:
+    for b in sliced(batches):
         column = b.column("text")
         apart = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         data, offsets = text_bytes(column)
@@ -303,7 +303,7 @@ def score(docs: DataFrame, fold: int = 1, folds: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (tokens, times), (known_grams, logs) = held.value
-        for b in batches:
+        for b in sliced(batches):
             column, ids, out_of, named = b.column("text"), b.column("doc_id"), b.column("held_out"), b.column("row").to_numpy()
             data, offsets = text_bytes(column)
             for w in iter_words(column, _TABLE):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, byte_table, cut, split_words
+from .common import NOT_ALNUM, ascii_lower, byte_table, cut, sliced, split_words
 
 WINDOW = 10
 #: Bytes of windows in one automaton, which takes about 45 times as much in a worker. More windows are scanned for in further passes.
@@ -114,7 +114,7 @@ def _pass(rows: DataFrame, held) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = held.value
         automaton = _automaton(block)
-        for b in batches:
+        for b in sliced(batches):
             out = [scan_text(t, automaton, block) for t in b.column("text").to_pylist()]
             kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], kind), pa.array([x[2] for x in out], pa.list_(pa.string()))], ["row", "doc_id", "n_words", "hits", "items"])
@@ -165,7 +165,7 @@ def _without(docs: DataFrame, held) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = held.value
         automaton = _automaton(block)
-        for b in batches:
+        for b in sliced(batches):
             keep = [not scan_text(t, automaton, block)[1] for t in b.column("text").to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
 

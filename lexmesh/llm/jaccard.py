@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import SPACES, byte_table, cut, held_once, in_bitmap, iter_words, mix64, unused
+from .common import SPACES, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, unused
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -112,7 +112,7 @@ def sets(docs: DataFrame, shingle: int, percent: int, keyed: bool) -> DataFrame:
     """(row, doc_id, n_shingles, s1, s2, keys): keys are empty for an empty set, or if not asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             n, s1, s2, keys = [], [], [], []
             for _, t in _sets(b.column("text"), shingle):
                 n.append(len(t))
@@ -144,7 +144,7 @@ def _contents(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(held_once(ids.select("row")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in sliced(batches):
             whole = whole.filter(pa.array(in_bitmap(held.value, whole.column("row").to_numpy())))
             for lo in range(0, whole.num_rows, 1000):
                 found = [t for _, t in _sets(whole.column("text").slice(lo, 1000), shingle)]

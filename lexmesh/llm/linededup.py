@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, text_bytes, unused
+from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, text_bytes, unused
 from .components import connected
 
 MIN_WORDS, LONG, SHORT_BLOCKS, BLOCKS, SIMILAR = 5, 16, 6, 10, 0.8
@@ -57,7 +57,7 @@ def common_slots(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
-        for b in batches:
+        for b in sliced(batches):
             for w in iter_words(b.column("text"), _TABLE):
                 total += np.bincount(_slot(w.hash), minlength=SLOTS)
         at = np.flatnonzero(total)
@@ -115,7 +115,7 @@ def lines(docs: DataFrame, common: np.ndarray) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             column, rows, ids = b.column("text"), b.column("row"), b.column("doc_id")
             data, offsets = text_bytes(column)
             for w in iter_words(column, _TABLE):
@@ -226,7 +226,7 @@ def _line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, ids = held.value
-        for b in batches:
+        for b in sliced(batches):
             b = b.filter(pa.array(in_bitmap(rows, b.column("row").to_numpy())))
             column = b.column("text")
             data, offsets = text_bytes(column)
@@ -249,7 +249,7 @@ def _occurrences(docs: DataFrame, ids: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(held_once(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             data, offsets = text_bytes(b.column("text"))
             for w in iter_words(b.column("text"), _TABLE):
                 if len(w.hash):
@@ -278,7 +278,7 @@ def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in sliced(batches):
                 keep = []
                 for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist(), strict=True):
                     keep.append(alike(normal(x), normal(y), similar))
@@ -304,14 +304,13 @@ def _dedup(docs: DataFrame, more: list[str], similar: float = SIMILAR) -> DataFr
     word = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts, n_lines, n_gone, worded = [], [], [], []
             for text, numbers in zip(b.column("text").to_pylist(), b.column(gone).to_pylist(), strict=True):
-                split = [] if text is None else text.split("\n")
                 out = set(numbers or ())
-                left = text if not out else "\n".join(x for i, x in enumerate(split) if i not in out)
+                left = text if not out else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in out)
                 texts.append(left)
-                n_lines.append(len(split))
+                n_lines.append(0 if text is None else text.count("\n") + 1)
                 n_gone.append(len(out))
                 worded.append(word.search(left or "") is not None)
             columns = [b.column(c) if c != "text" else pa.array(texts, pa.string()) for c in keep]

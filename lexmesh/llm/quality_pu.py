@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, unused
+from .common import cut, sliced, unused
 
 #: A bound on what is fitted on, of either kind, not on what is scored.
 SAMPLE = 10_000
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, held: int = 2, sample: int = SAMPL
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("kind"), pa.array([describe(t) for t in b.column("text").to_pylist()], pa.list_(pa.float64()))], ["doc_id", "kind", "x"])
 
     found = rows.select("doc_id", "kind", "text").mapInArrow(run, "doc_id long, kind int, x array<double>")
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     names = [*docs.columns, *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             s = held.value.score(np.array([describe(t) for t in b.column("text").to_pylist()]).reshape(-1, len(NAMES)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= cutoff).astype(np.int32))], names)
 
@@ -207,7 +207,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> Dat
     held = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             x = np.array([describe(t) for t in b.column("text").to_pylist()]).reshape(-1, len(NAMES))
             yield b.filter(pa.array(held.value.score(x) >= cutoff))
 
