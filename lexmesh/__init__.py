@@ -1 +1 @@
-"""Statute knowledge-graph analytics expressed as Spark DataFrame operators."""
+"""Statute network analytics expressed as Spark DataFrame operators."""

@@ -51,10 +51,41 @@ def entity_type(c: Column) -> Column:
     return F.when(is_law(c), kind(F.lit("LegalDocument"), F.lit("법령"))).otherwise(found)
 
 
+def default_type() -> Column:
+    """The type of a mention that neither the rules nor a classifier know."""
+    return F.struct(F.lit("Concept").alias("label"), F.lit(None).cast("string").alias("subtype"), F.lit("llm_fallback_default").alias("method"))
+
+
 def typed(c: Column) -> Column:
-    """entity_type, or the default of an unanswered classifier."""
-    default = F.struct(F.lit("Concept").alias("label"), F.lit(None).cast("string").alias("subtype"), F.lit("llm_fallback_default").alias("method"))
-    return F.coalesce(entity_type(c), default)
+    """entity_type of the name that the mention resolves to, or the default of an unanswered classifier."""
+    return F.coalesce(resolved_type(c), default_type())
+
+
+def resolved_type(c: Column) -> Column:
+    """entity_type of the resolved name, which is worked out once a row, however often the rules look at it."""
+    return F.get(F.transform(F.array(resolve_alias(c)), entity_type), F.lit(0))
+
+
+def subtype(*columns: Column) -> Column:
+    """The first of the label's own columns that isn't empty."""
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in columns))
+
+
+def date_text(c: Column) -> Column:
+    """A date as text: ISO where it is one, else as it stands; null for an empty one."""
+    text = F.nullif(F.trim(c.cast("string")), F.lit(""))
+    return F.coalesce(F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd"), text)
+
+
+#: How much of the evidence a classifier is shown.
+SHOWN = 200
+
+
+def clause_text(agent: Column, verb: Column, patient: Column, evidence: Column, index: Column | None = None) -> Column:
+    """A clause as a classifier is asked about it, with its number in the batch if it has one; missing ends are marked as left out."""
+    end = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("(생략)"))
+    number = [F.lit("["), index.cast("string"), F.lit("] ")] if index is not None else []
+    return F.concat(*number, F.lit("주어="), end(agent), F.lit(" / 동사="), verb, F.lit(" / 목적어="), end(patient), F.lit(" / 원문: "), F.substring(F.coalesce(evidence, F.lit("")), 1, SHOWN))
 
 
 def article_label(number: Column, sub: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Closed vocabularies and rule tables of the statute graph."""
+"""Closed vocabularies and rule tables of the statute network."""
 
 from __future__ import annotations
 

@@ -8,7 +8,7 @@ of its own doesn't depend on what it inherits. `fold` is the same by one pass in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,6 +24,21 @@ DISCRETION, PROHIBITION, DUTY, NO_MODALITY = "재량", "금지", "의무", "없
 ACTIVE_VOICE, PASSIVE_VOICE = "능동", "피동"
 
 
+Tokenizer = Callable[[str], list[tuple[str, str]]]
+
+
+def tokenize(rows: DataFrame, make: Callable[[], Tokenizer], text: str = "unit_text") -> DataFrame:
+    """rows with tokens, by a tokenizer that each worker makes once; words of a user's own are make's affair."""
+
+    @F.pandas_udf("array<struct<form: string, tag: string>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokenizer = make()
+        for texts in batches:
+            yield pd.Series([[{"form": f, "tag": t} for f, t in tokenizer(x or "")] for x in texts], dtype=object)
+
+    return rows.withColumn("tokens", run(F.col(text)))
+
+
 def tokens(rows: DataFrame, unit: Sequence[str]) -> DataFrame:
     """A row per token: unit, pos, form, tag, sentence, np (noun-phrase token), np_text (of the run that ends before it), verb_len."""
     t = rows.select(*unit, F.posexplode("tokens").alias("pos", "t")).select(*unit, "pos", "t.form", "t.tag")
@@ -58,10 +73,11 @@ def records(rows: DataFrame, unit: Sequence[str]) -> DataFrame:
     kinds = {"discretion": pair("수", "NNB", ("있",), "VA"), "prohibition": pair("지", "EC", ("아니하", "못하"), "VX"), "duty": pair("어야", "EC", ("하",), "VX")}
     t = t.withColumns({"subj": last(F.when(is_subj, F.col("np_text"))), "subj_at": last(F.when(is_subj, F.col("pos"))), "topic": last(F.when(is_topic, F.col("np_text"))), "obj": last(F.when(is_obj, F.col("np_text"))), "obj_at": last(F.when(is_obj, F.col("pos"))), "by_agent": F.nullif(last(F.col("by_np")), F.lit("")), "clause_end": F.min(F.when(F.col("verb_len").isNotNull() | F.col("tag").isin(*ENDS), F.col("pos"))).over(after)})
     for name, found in kinds.items():
-        t = t.withColumn(f"{name}_at", F.collect_list(F.when(found, F.col("pos"))).over(after))
+        # the nearest one decides: a pattern can't begin at the verb's own suffix, so it begins behind the verb
+        t = t.withColumn(f"{name}_at", F.min(F.when(found, F.col("pos"))).over(after))
     verb = t.filter("verb_len is not null")
     starts, stops = F.col("pos") + F.col("verb_len"), F.coalesce(F.col("clause_end"), F.lit(1 << 30))
-    within = lambda name: F.exists(f"{name}_at", lambda p: (p >= starts) & (p + 1 < stops))
+    within = lambda name: (F.col(f"{name}_at") >= starts) & (F.col(f"{name}_at") + 1 < stops)
     modality = F.when(within("discretion"), DISCRETION).when(within("prohibition"), PROHIBITION).when(within("duty"), DUTY).otherwise(NO_MODALITY)
     lemma = F.concat("form", F.when(F.col("verb_len") == 2, F.col("next_form")).otherwise(""), F.lit("다"))
     obj = F.when(F.col("subj_at").isNull() | (F.col("obj_at") > F.col("subj_at")), F.col("obj"))

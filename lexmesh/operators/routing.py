@@ -1,7 +1,8 @@
 """Edge types for questions and relations, and entity types for mentions.
 
 What a model would answer is a pluggable classifier: a function on a batch of texts, run per worker over the
-rows that the rules left open, and only over those. The default one never answers.
+rows that the rules left open, and only over those. The default one never answers. A classifier that raises has
+failed for its batch, whose rows then have no answer; NONE is an answer of its own, that there is no relation.
 """
 
 from __future__ import annotations
@@ -12,17 +13,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import typed
-from ..functions.vocab import EDGE_CATEGORIES, EDGE_TYPES, KEYWORDS
+from ..functions.names import clause_text, default_type, resolved_type
+from ..functions.vocab import EDGE_CATEGORIES, EDGE_TYPES, KEYWORDS, NODE_LABELS
 
 Classifier = Callable[[list[str], list[list[str]]], list[str | None]]
+#: From names to (label, subtype), None where it doesn't know.
+Typer = Callable[[list[str]], list[tuple[str, str | None] | None]]
 BATCH = 50
+NONE = "NONE"
 
 
 def silent(texts: list[str], candidates: list[list[str]]) -> list[str | None]:
     return [None] * len(texts)
 
 
+def unknown(names: list[str]) -> list[tuple[str, str | None] | None]:
+    return [None] * len(names)
+
+
 def keyword_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, t) for k, types in KEYWORDS.items() for t in types], "keyword string, edge_type string")
 
@@ -55,17 +63,28 @@ def refined(candidates: Column, answer: Column) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(candidates)
 
 
+def _in_batches(ask_batch: Callable[[int, int], list], n: int) -> list:
+    """Answers in batches of BATCH; a batch that raises, or answers another number of rows, has none."""
+    out: list = []
+    for i in range(0, n, BATCH):
+        size = min(BATCH, n - i)
+        try:
+            got = list(ask_batch(i, i + size))
+        except Exception:  # noqa: BLE001 - whatever a model raises is a failure of its batch
+            got = []
+        out += got if len(got) == size else [None] * size
+    return out
+
+
 def ask(rows: DataFrame, text: str, candidates: str, to: str, classifier: Classifier = silent) -> DataFrame:
-    """Adds the classifier's answer, null where it gives none or one that isn't a candidate."""
+    """Adds the classifier's answer, null where it gives none, one that isn't a candidate, or fails."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, options in batches:
-            out: list[str | None] = []
-            for i in range(0, len(texts), BATCH):
-                some = [list(o) for o in options[i : i + BATCH]]
-                out += [a if a in o else None for a, o in zip(classifier(texts[i : i + BATCH].tolist(), some), some, strict=True)]
-            yield pd.Series(out, dtype=object)
+            every = [list(o) for o in options]
+            answers = _in_batches(lambda i, j: classifier(texts[i:j].tolist(), every[i:j]), len(texts))  # noqa: B023
+            yield pd.Series([a if a in o else None for a, o in zip(answers, every, strict=True)], dtype=object)
 
     return rows.withColumn(to, run(text, candidates))
 
@@ -74,7 +93,8 @@ def route(relations: DataFrame, root_map: DataFrame, buckets: DataFrame) -> Data
     """relations with the mapped type and a route: mapped, needs_context, ambiguous, non_action or unmapped.
 
     root_map (verb_root, mapped, alternatives, needs_context) and buckets (verb_root, bucket) are dimensions,
-    joined as the planner sees fit.
+    joined as the planner sees fit. What may be answered is the mapped type and its alternatives where the context
+    decides, and any type or NONE else.
     """
     rows = relations.join(root_map, "verb_root", "left").join(buckets, "verb_root", "left")
     way = (
@@ -84,25 +104,59 @@ def route(relations: DataFrame, root_map: DataFrame, buckets: DataFrame) -> Data
         .when(F.col("bucket").isin("REF", "DEF", "STATIVE"), "non_action")
         .otherwise("unmapped")
     )
-    every = F.array(*map(F.lit, EDGE_TYPES))
+    every = F.array(*map(F.lit, [*EDGE_TYPES, NONE]))
     options = F.when(way == "needs_context", F.array_distinct(F.concat(F.array("mapped"), F.coalesce("alternatives", F.array().cast("array<string>"))))).otherwise(every)
     return rows.withColumns({"route": way, "candidates": options})
 
 
-def resolve(routed: DataFrame, classifier: Classifier = silent, text: str = "evidence_text") -> DataFrame:
-    """routed with edge_type, extraction_method and counter; rows that are dropped have a null edge_type."""
+def resolve(routed: DataFrame, classifier: Classifier = silent, text: str | None = None) -> DataFrame:
+    """routed with edge_type, extraction_method and counters; rows that are dropped have a null edge_type.
+
+    The classifier is asked with the clause's text, or with the column `text`. A row counts in every one of its
+    counters: a mapped type that stands in for a missing answer is a rule and a fallback.
+    """
+    has = lambda c: F.col(c) if c in routed.columns else F.lit(None).cast("string")
+    asked = F.col(text) if text else clause_text(has("agent"), F.coalesce(has("verb_lemma"), F.concat("verb_root", F.lit("다"))), has("patient"), has("evidence_text"))
     ruled = routed.filter(F.col("route").isin("mapped", "non_action")).withColumn("answer", F.lit(None).cast("string"))
-    open_ = ask(routed.filter(~F.col("route").isin("mapped", "non_action")), text, "candidates", "answer", classifier)
+    open_ = ask(routed.filter(~F.col("route").isin("mapped", "non_action")).withColumn("_asked", asked), "_asked", "candidates", "answer", classifier).drop("_asked")
     rows = ruled.unionByName(open_)
     way, answer = F.col("route"), F.col("answer")
     fallback = (way == "needs_context") & answer.isNull()
+    given = answer.isNotNull() & (answer != NONE)
     return rows.withColumns({
-        "edge_type": F.when(way == "mapped", F.col("mapped")).when(fallback, F.col("mapped")).when(way != "non_action", answer),
-        "extraction_method": F.when((way == "mapped") | fallback, "rule").when(answer.isNotNull(), "llm_disambiguation"),
-        "counter": F.when(way == "mapped", "rule").when(way == "non_action", "skipped_non_action_root").when(fallback, "llm_disambiguation_fallback").when(answer.isNull(), "skipped_llm_disambiguation_failed").when(way == "unmapped", "llm_disambiguation_unmapped_root").otherwise("llm_disambiguation"),
+        "edge_type": F.when((way == "mapped") | fallback, F.col("mapped")).when((way != "non_action") & given, answer),
+        "extraction_method": F.when((way == "mapped") | fallback, "rule").when((way != "non_action") & given, "llm_disambiguation"),
+        "counters": F.when(way == "mapped", F.array(F.lit("rule"))).when(way == "non_action", F.array(F.lit("skipped_non_action_root"))).when(fallback, F.array(F.lit("rule"), F.lit("llm_disambiguation_fallback"))).when(answer.isNull(), F.array(F.lit("skipped_llm_disambiguation_failed"))).when(answer == NONE, F.array(F.lit("skipped_llm_none"))).when(way == "unmapped", F.array(F.lit("llm_disambiguation_unmapped_root"))).otherwise(F.array(F.lit("llm_disambiguation"))),
     })
 
 
-def type_mentions(mentions: DataFrame, name: str = "name") -> DataFrame:
-    """mentions with label, subtype and method: the rules, or the default."""
-    return mentions.withColumn("_t", typed(F.col(name))).select(*mentions.columns, "_t.label", "_t.subtype", "_t.method")
+def build_counters(raw: DataFrame, resolved: DataFrame, entities: DataFrame) -> DataFrame:
+    """(counter, n) of a build: raw relations, those that stay, entities, and how each was resolved."""
+    total = lambda rows, name: rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("counter"), "n")
+    each = resolved.select(F.explode("counters").alias("counter")).groupBy("counter").agg(F.count("*").alias("n"))
+    return total(raw, "raw_svo_records_with_both_endpoints").unionByName(total(resolved.filter("edge_type is not null"), "relations_total")).unionByName(total(entities, "entities_total")).unionByName(each)
+
+
+def type_mentions(mentions: DataFrame, name: str = "name", typer: Typer = unknown) -> DataFrame:
+    """mentions with label, subtype and method: the rules on the resolved name, then the typer on the name itself, or the default.
+
+    The typer sees only what the rules leave open; a label of its that isn't one of the closed set is no answer.
+    """
+
+    @F.pandas_udf("struct<label: string, subtype: string, method: string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for names in batches:
+            out: list = [(None, None, None)] * len(names)
+            open_ = [k for k, n in enumerate(names) if n is not None]
+            wanted = [names.iloc[k] for k in open_]
+            for k, got in zip(open_, _in_batches(lambda i, j: typer(wanted[i:j]), len(wanted)), strict=True):  # noqa: B023
+                if got is not None and got[0] in NODE_LABELS:
+                    out[k] = (got[0], got[1], "llm")
+            yield pd.DataFrame(out, columns=["label", "subtype", "method"])
+
+    kept = mentions.columns
+    ruled = mentions.withColumn("_t", resolved_type(F.col(name)))
+    if typer is not unknown:
+        answered = run(F.when(F.col("_t").isNull(), F.col(name)))
+        ruled = ruled.withColumn("_a", answered).withColumn("_t", F.coalesce("_t", F.when(F.col("_a.label").isNotNull(), F.col("_a"))))
+    return ruled.withColumn("_t", F.coalesce("_t", default_type())).select(*kept, "_t.label", "_t.subtype", "_t.method")

@@ -1,4 +1,4 @@
-"""Bounded traversal of a typed multigraph held as vertices (id, label, name) and edges (id, edge_type, src, dst, ...).
+"""Bounded traversal of a typed network of parallel edges, held as vertices (id, label, name) and edges (id, edge_type, src, dst, ...).
 
 Paths are grown by joins on ids alone; a path never repeats an edge, but may return to a vertex, and every
 path is a row. Vertices are joined once, at the end.
@@ -25,15 +25,15 @@ def adjacency(edges: DataFrame, direction: str = "both", edge_types: Sequence[st
     """(a, b, edge_id, edge_type): steps in the direction. A self-loop is one step, also in both directions."""
     if edge_types:
         edges = edges.filter(F.col("edge_type").isin(*edge_types))
-    out = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("id").alias("edge_id"), "edge_type")
-    back = edges.select(F.col("dst").alias("a"), F.col("src").alias("b"), F.col("id").alias("edge_id"), "edge_type")
-    if direction == "out":
-        return out
-    if direction == "in":
-        return back
-    if direction != "both":
+    step = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    if direction not in ("both", "out", "in"):
         raise ValueError(f"direction is both, out or in, not {direction!r}")
-    return out.unionByName(back.filter("a <> b"))
+    if direction == "both":
+        # both ways of an edge come from one scan
+        ways = F.when(F.col("src") == F.col("dst"), F.array(step("src", "dst"))).otherwise(F.array(step("src", "dst"), step("dst", "src")))
+        return edges.select(F.inline(ways), F.col("id").alias("edge_id"), "edge_type")
+    a, b = ("src", "dst") if direction == "out" else ("dst", "src")
+    return edges.select(F.col(a).alias("a"), F.col(b).alias("b"), F.col("id").alias("edge_id"), "edge_type")
 
 
 def degree(edges: DataFrame) -> DataFrame:
@@ -41,26 +41,32 @@ def degree(edges: DataFrame) -> DataFrame:
     return adjacency(edges).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
 
 
-def capped(seeds: DataFrame, edges: DataFrame, depth: int, hub_degree: int = HUB_DEGREE) -> DataFrame:
-    """seeds (id, ...) with the depth each is expanded to: hubs stop at one step. Edges of other vertices aren't counted."""
+def capped(seeds: DataFrame, edges: DataFrame, depth: int, hub_degree: int = HUB_DEGREE, few: bool = False) -> DataFrame:
+    """seeds (id, ...) with the depth each is expanded to: hubs stop at one step. Edges of other vertices aren't counted.
+
+    few: seeds are a bounded top-k, and are sent to the edges.
+    """
     depth = clamp(depth)
     if depth == 1:
         return seeds.withColumns({"degree": F.lit(None).cast("long"), "depth": F.lit(1)})
-    steps = adjacency(edges).join(seeds.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
+    ids = seeds.select(F.col("id").alias("a")).distinct()
+    steps = adjacency(edges).join(F.broadcast(ids) if few else ids, "a", "left_semi")
     degrees = steps.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree"))
     return seeds.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("depth", F.when(F.col("degree") > hub_degree, 1).otherwise(depth))
 
 
-def expand(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequence[str] | None = None, direction: str = "both", one_type: bool | None = None) -> DataFrame:
+def expand(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequence[str] | None = None, direction: str = "both", one_type: bool | None = None, few: bool = False) -> DataFrame:
     """(seed, path, types, last, hops): all paths of 1..depth steps from seeds (id[, depth]).
 
     A column depth of the seeds bounds each. With edge_types a path keeps the type it began with, unless one_type is False.
+    few: seeds are a bounded top-k, and the first step sends them to the edges.
     """
     depth = clamp(depth)
     one_type = bool(edge_types) if one_type is None else one_type
     steps = adjacency(edges, direction, edge_types)
     own = F.col("depth") if "depth" in seeds.columns else F.lit(depth)
     start = seeds.select(F.col("id").alias("seed"), own.alias("_depth")).distinct()
+    start = F.broadcast(start) if few else start
     now = start.join(steps, F.col("seed") == F.col("a")).select("seed", "_depth", F.array("edge_id").alias("path"), F.array("edge_type").alias("types"), F.col("b").alias("last"))
     found = [now]
     for hop in range(2, depth + 1):

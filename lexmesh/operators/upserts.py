@@ -59,6 +59,13 @@ def repoint(relations: DataFrame, merges: DataFrame, *columns: str) -> DataFrame
     return relations
 
 
+def merge_report(merges: DataFrame, relations: DataFrame, *columns: str) -> DataFrame:
+    """(action, n): entities renamed and merged, and the ends of relations that are repointed."""
+    moved = merges.filter("action = 'merge'").select("id")
+    ends = relations.select(F.explode(F.array(*(F.col(c) for c in columns))).alias("id")).join(moved, "id", "left_semi")
+    return merges.groupBy("action").agg(F.count("*").alias("n")).unionByName(ends.agg(F.count("*").alias("n")).select(F.lit("repointed").alias("action"), "n"))
+
+
 def upsert_nodes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """One row per id: columns of the incoming row where it has a value."""
     old = existing.select("id", *(F.col(c).alias(f"old_{c}") for c in existing.columns if c != "id"))

@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import graph, ordering, routing, vectors
+from ..operators import ordering, routing, traversal, vectors
 
+# Fixed value: the answer without evidence.
 NOTHING = "그래프에서 이 질문과 관련된 근거를 찾지 못했습니다."
 
 
@@ -29,12 +30,12 @@ class Answer:
 
 def traverse(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequence[str] | None) -> tuple[DataFrame, bool]:
     """Paths from seeds (id), hubs capped; without a filter if the filter leaves none. The flag says if the filter held."""
-    bounded = graph.capped(seeds.select("id").distinct(), edges, depth).select("id", "depth")
+    bounded = traversal.capped(seeds.select("id").distinct(), edges, depth, few=True).select("id", "depth")  # at most three times top_k seeds
     if edge_types:
-        paths = graph.expand(bounded, edges, depth, edge_types)
+        paths = traversal.expand(bounded, edges, depth, edge_types, few=True)
         if not paths.isEmpty():
             return paths, True
-    return graph.expand(bounded, edges, depth), False
+    return traversal.expand(bounded, edges, depth, few=True), False
 
 
 def seed_rows(entities: DataFrame, relations: DataFrame, query: list[float], top_k: int) -> DataFrame:
@@ -51,7 +52,7 @@ def answer_question(
     spark: SparkSession, question: str, entities: DataFrame, relations: DataFrame, vertices: DataFrame, edges: DataFrame, *, top_k: int = 5, depth: int = 1,
     embed: Callable = vectors.hashed, categories: Callable[[str], list[str]] = lambda q: [], refine: Callable[[str, list[str]], list[str]] = lambda q, c: c, chat: Callable[[str, str], str] = lambda q, context: context,
 ) -> Answer:
-    """entities (id, name, label, embedding) and relations (id, source_entity_id, target_entity_id, embedding) are searched, the graph expanded."""
+    """entities (id, name, label, embedding) and relations (id, source_entity_id, target_entity_id, embedding) are searched, the network expanded."""
     if not question or not 1 <= top_k <= 20 or not 1 <= depth <= 3:
         raise ValueError("a question, top_k of 1 to 20 and a depth of 1 to 3 are needed")
     seeds = seed_rows(entities, relations, [float(x) for x in embed([question])[0]], top_k)
@@ -64,16 +65,19 @@ def answer_question(
             got = [t for t in dict.fromkeys(refine(question, chosen)) if t in chosen] or chosen
             types, source, narrowed = got, "llm_category", got != chosen
     paths, held = traverse(seeds, edges, depth, types)
+    paths = paths.persist()  # read by the context, the edges and the nodes
     if types and not held:
         types, source, narrowed = None, None, False
-    lines = [r["line"] for r in graph.context(paths, edges, vertices, graph.MAX_LINES + 1).collect()]
-    cut = len(lines) > graph.MAX_LINES
-    lines = lines[: graph.MAX_LINES]
-    ended = graph.path_edges(graph.with_ends(paths, vertices), edges)
+    lines = [r["line"] for r in traversal.context(paths, edges, vertices, traversal.MAX_LINES + 1).collect()]
+    cut = len(lines) > traversal.MAX_LINES
+    lines = lines[: traversal.MAX_LINES]
+    ended = traversal.path_edges(traversal.with_ends(paths, vertices), edges)
     ids = paths.select(F.col("seed").alias("id")).union(paths.select("last")).union(seeds.select("id")).distinct()
-    nodes = vertices.join(ids, "id", "left_semi").orderBy("id").limit(graph.MAX_NODES)
-    found = ended.groupBy("edge_id").agg(F.min(F.struct("seed", "last", "edge_src", "edge_dst", "edge_type")).alias("e")).select(F.col("edge_id").alias("id"), "e.*").orderBy("id").limit(graph.MAX_EDGES)
+    nodes = vertices.join(ids, "id", "left_semi").orderBy("id").limit(traversal.MAX_NODES)
+    found = ended.groupBy("edge_id").agg(F.min(F.struct("seed", "last", "edge_src", "edge_dst", "edge_type")).alias("e")).select(F.col("edge_id").alias("id"), "e.*").orderBy("id").limit(traversal.MAX_EDGES)
     named = seeds.join(vertices.select("id", F.col("name").alias("n"), F.col("label").alias("l")), "id", "left").select("id", F.coalesce("name", "n").alias("name"), F.coalesce("label", "l").alias("label"), "score").orderBy(F.desc(F.coalesce("score", F.lit(0.0))), "id")
-    capped = graph.capped(seeds.select("id"), edges, depth).filter(F.col("depth") < depth).count()
+    capped = traversal.capped(seeds.select("id"), edges, depth).filter(F.col("depth") < depth).count()
     rows = lambda df: [r.asDict(True) for r in df.collect()]
-    return Answer(chat(question, "\n".join(lines)) if lines else NOTHING, rows(named), rows(nodes), rows(found), lines, cut, types, source, narrowed, capped)
+    out = Answer(chat(question, "\n".join(lines)) if lines else NOTHING, rows(named), rows(nodes), rows(found), lines, cut, types, source, narrowed, capped)
+    paths.unpersist()
+    return out

@@ -1,4 +1,4 @@
-"""Building the stores: statutes to units, clauses, relations, entities, graph and vector documents."""
+"""Building the stores: statutes to units, clauses, relations, entities, vertices, edges and vector documents."""
 
 from __future__ import annotations
 
@@ -21,9 +21,14 @@ class Stores:
     edges: DataFrame
     entity_docs: DataFrame
     relation_docs: DataFrame
+    counters: DataFrame
 
 
-def build(documents: DataFrame, tokenize: Callable[[DataFrame], DataFrame], root_map: DataFrame, buckets: DataFrame, classifier: routing.Classifier = routing.silent) -> Stores:
+#: A label's own column for the subtype.
+SUBTYPES = ("category", "role_hint", "doc_type", "concept_type")
+
+
+def build(documents: DataFrame, tokenize: Callable[[DataFrame], DataFrame], root_map: DataFrame, buckets: DataFrame, classifier: routing.Classifier = routing.silent, typer: routing.Typer = routing.unknown) -> Stores:
     """documents (file_path, source_law, raw_text) to all stores. tokenize adds `tokens` to rows with unit_text."""
     documents = documents.withColumn("id", N.stable_id(F.lit("document"), F.col("file_path")))
     units = structure.units(structure.paragraphs(structure.articles(documents.select("id", "file_path", "source_law", "raw_text")))).drop("raw_text", "article_body", "paragraph_text")
@@ -31,11 +36,13 @@ def build(documents: DataFrame, tokenize: Callable[[DataFrame], DataFrame], root
     article = ["id", "article_ord"]
     facts = units.select("id", "article_ord", "place", "source_law", "article_no", "article_sub_no", "paragraph_no", F.trim("unit_text").alias("evidence_text"))
     raw = clauses.relations(clauses.extract(units.select(*article, "place", "tokens"), article, "place")).join(facts, [*article, "place"])
-    routed = routing.resolve(routing.route(raw, root_map, buckets), classifier).filter("edge_type is not null").withColumnRenamed("id", "document_id")
+    resolved = routing.resolve(routing.route(raw, root_map, buckets), classifier)
+    routed = resolved.filter("edge_type is not null").withColumnRenamed("id", "document_id")
     rows = routed.withColumns({"agent": N.resolve_alias(F.col("agent")), "patient": N.resolve_alias(F.col("patient"))})
-    typed = lambda c: N.typed(F.col(c))["label"]
-    rows = rows.withColumns({"agent_label": typed("agent"), "patient_label": typed("patient")})
-    mentions = routing.type_mentions(rows.select(F.explode(F.array("agent", "patient")).alias("name")).distinct())
+    # each distinct mention is typed once, and the label joined to both ends
+    mentions = routing.type_mentions(rows.select(F.explode(F.array("agent", "patient")).alias("name")).distinct(), typer=typer)
+    for end in ("agent", "patient"):
+        rows = rows.join(mentions.select(F.col("name").alias(end), F.col("label").alias(f"{end}_label")), end)
     entities = mentions.withColumn("id", N.stable_id(F.lit("entity"), F.col("label"), F.col("name")))
     linked = upserts.link_relations(rows, entities.select("id", "label", "name"))
     ident = N.stable_id(F.col("document_id"), F.col("article_ord"), F.to_json("place"), F.col("pos"))
@@ -45,4 +52,23 @@ def build(documents: DataFrame, tokenize: Callable[[DataFrame], DataFrame], root
     entity_docs = vectors.embed(entities.withColumn("description", N.entity_description(c("name"), c("label"), c("subtype"))), "description")
     relation_docs = vectors.embed(relations.select("id", c("src").alias("source_entity_id"), c("dst").alias("target_entity_id"), text.alias("description")), "description")
     edges = relations.drop("evidence_text", "extraction_method", "agent", "patient", "document_id")
-    return Stores(documents, entities, relations, entities.select("id", "label", "name", "subtype"), edges, entity_docs, relation_docs)
+    counters = routing.build_counters(raw, resolved, entities)
+    return Stores(documents, entities, relations, entities.select("id", "label", "name", "subtype"), edges, entity_docs, relation_docs, counters)
+
+
+def reload(entities: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Vertices, edges and both kinds of vector documents from the stored tables alone, without a build.
+
+    entities (id, label, name, category, role_hint, doc_type, concept_type, ...) and relations (id, edge_type,
+    source_entity_id, target_entity_id, source_law, article_no array, paragraph_no, modality, voice, ...). A
+    relation without one of its entities is left out.
+    """
+    c = F.col
+    named = entities.select("id", "label", "name", N.subtype(*(c(k) for k in SUBTYPES)).alias("subtype"))
+    end = lambda side, to: named.select(c("id").alias(f"{side}_entity_id"), c("name").alias(to))
+    rows = relations.join(end("source", "agent"), "source_entity_id").join(end("target", "patient"), "target_entity_id").withColumn("article_no", F.get("article_no", F.lit(0)))
+    edges = rows.select("id", "edge_type", c("source_entity_id").alias("src"), c("target_entity_id").alias("dst"), "source_law", "article_no", "paragraph_no", "modality", "voice")
+    text = N.relation_description(c("source_law"), c("article_no"), c("paragraph_no"), c("agent"), c("edge_type"), c("patient"), c("modality"), c("voice"))
+    entity_docs = vectors.embed(named.withColumn("description", N.entity_description(c("name"), c("label"), c("subtype"))), "description")
+    relation_docs = vectors.embed(rows.select("id", "source_entity_id", "target_entity_id", text.alias("description")), "description")
+    return named, edges, entity_docs, relation_docs

@@ -61,6 +61,7 @@ paths{h} AS (SELECT p.seed, list_append(p.path, x.edge_id) AS path, list_append(
 
 
 COUNTED = "SELECT seed, hops, array_to_string(types, '>') AS types, count(*) AS n, count(DISTINCT last) AS n_last FROM paths GROUP BY ALL"
+_HUBS = "hubs AS (SELECT a AS id FROM adj WHERE a IN (SELECT id FROM v WHERE label = '{label}') GROUP BY 1 ORDER BY count(*) {order}, a LIMIT 24)"
 OUT = "adj AS (SELECT src AS a, dst AS b, id AS edge_id, edge_type FROM e)"
 IN = "adj AS (SELECT dst AS a, src AS b, id AS edge_id, edge_type FROM e)"
 
@@ -71,7 +72,9 @@ lines AS (SELECT '[' || {PLACE} || '] ' || seed_name || ' -[' || edge_type || ']
 ranked AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seed, t, hops, path_text, last, place) AS rn FROM lines),
 ctx AS (SELECT line FROM ranked WHERE rn = 1 ORDER BY seed, t, hops, path_text, last, place, line LIMIT 300)"""
 
-NAMES = f"""names AS (SELECT doc_id AS id, {_pick(S.FILLERS, "doc_id")} || {_pick(S.STEMS, "doc_id // 5")} AS name FROM documents)"""
+WORDS = """words AS (SELECT doc_id, source, lang, list_filter(string_split(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents)"""
+NAMES = f"""{WORDS}, mention AS (SELECT doc_id, i - 1 AS pos, w[i] AS w, length(w[i]) + 7 * unicode(w[i]) AS n FROM words, unnest(range(1, len(w) + 1)) r(i)),
+names AS (SELECT doc_id * {S.MENTIONS} + pos AS id, {_pick(S.FILLERS, "pos")} || {_pick(S.STEMS, "n")} || CASE WHEN n % 3 = 0 THEN lower(w) ELSE '' END || {_pick(S.ENDINGS, "unicode(w) + pos")} AS name FROM mention)"""
 GLUED = {p + t: t for p in V.JUNK_PREFIXES for t in V.CANONICAL}
 RESOLVED = f"""junk AS (SELECT unnest({_list(V.JUNK_PREFIXES)}) AS prefix), canonical AS (SELECT unnest({_list(V.CANONICAL)}) AS target),
 bare AS (SELECT n.id, n.name, coalesce((SELECT max(c.target) FROM junk j, canonical c WHERE j.prefix || c.target = n.name), n.name) AS bare FROM names n),
@@ -79,9 +82,9 @@ resolved AS (SELECT id, name, bare, coalesce({_map(V.ALIASES)}[bare], bare) AS r
 IS_LAW = f"(name NOT IN (SELECT unnest({_list(V.NOT_LAWS)})) AND EXISTS (SELECT 1 FROM (SELECT unnest({_list(V.LAW_SUFFIXES)}) AS s) WHERE name LIKE '%' || s AND length(name) > length(s)))"
 _RULES = [("Person", V.PERSON_SUFFIXES), ("Organization", V.ORG_SUFFIXES), ("Concept", V.CONCEPT_SUFFIXES)]
 RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{label}', '{s}')" for i, (label, s) in enumerate((label, s) for label, group in _RULES for s in group)) + ") t(rank, label, suffix))"
-TYPED = f"""{RULES},
-typed AS (SELECT id, name, CASE WHEN law THEN 'LegalDocument' ELSE coalesce(r.label, 'Concept') END AS label, CASE WHEN law THEN '법령' ELSE r.suffix END AS subtype, CASE WHEN law OR r.rank IS NOT NULL THEN 'dict' ELSE 'llm_fallback_default' END AS method
-  FROM (SELECT n.*, {IS_LAW} AS law, (SELECT min(rank) FROM rules WHERE n.name LIKE '%' || suffix) AS rank FROM names n) m LEFT JOIN rules r ON r.rank = m.rank)"""
+TYPED = f"""{RESOLVED}, {RULES},
+typed AS (SELECT id, original AS name, CASE WHEN law THEN 'LegalDocument' ELSE coalesce(r.label, 'Concept') END AS label, CASE WHEN law THEN '법령' ELSE r.suffix END AS subtype, CASE WHEN law OR r.rank IS NOT NULL THEN 'dict' ELSE 'llm_fallback_default' END AS method
+  FROM (SELECT n.*, {IS_LAW} AS law, (SELECT min(rank) FROM rules WHERE n.name LIKE '%' || suffix) AS rank FROM (SELECT id, name AS original, resolved AS name FROM resolved) n) m LEFT JOIN rules r ON r.rank = m.rank)"""
 QUESTIONS = f"""questions AS (SELECT conv_id, turn, {_pick(S.WORDS, "conv_id")} || ' ' || {_pick(S.WORDS, "conv_id + 3 * turn")} || ' ' || coalesce(text, '') AS question FROM conversations)"""
 KEYWORDS = "kw AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{t}')" for k, types in V.KEYWORDS.items() for t in types) + ") t(keyword, edge_type))"
 CATEGORIES = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{t}')" for k, types in V.EDGE_CATEGORIES.items() for t in types) + ") t(category, edge_type))"
@@ -90,7 +93,8 @@ _FORMS, _TAGS = [f for f, _ in S.TOKENS], [t for _, t in S.TOKENS]
 _NP = ", ".join(f"'{t}'" for t in V.NP_TAGS)
 _MODAL = ", ".join(f"'{t}'" for t in V.MODAL_STEMS)
 U = "PARTITION BY article, unit_ord"
-TOKENS = f"""tok0 AS (SELECT doc_id // 4 AS article, CAST(doc_id % 4 AS INT) AS unit_ord, CAST(i AS INT) AS pos, {_pick(_FORMS, "doc_id * 7 + i * (1 + doc_id % 3)")} AS form, {_pick(_TAGS, "doc_id * 7 + i * (1 + doc_id % 3)")} AS tag FROM documents, range({S.UNIT_TOKENS}) r(i)),
+_AT = "7 * length(w[i]) + unicode(w[i]) + 3 * unicode(right(w[i], 1))"
+TOKENS = f"""{WORDS}, tok0 AS MATERIALIZED (SELECT doc_id // 4 AS article, CAST(doc_id % 4 AS INT) AS unit_ord, CAST(i - 1 AS INT) AS pos, {_pick(_FORMS, _AT)} AS form, {_pick(_TAGS, _AT)} AS tag FROM words, unnest(range(1, len(w) + 1)) r(i)),
 tok1 AS (SELECT *, coalesce(sum(CASE WHEN tag IN ('EF', 'SF') THEN 1 ELSE 0 END) OVER ({U} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence, (tag IN ({_NP}) OR (tag = 'NNB' AND form = '등')) AS np,
   lead(tag) OVER w AS next_tag, lead(form) OVER w AS next_form, lag(tag) OVER w AS prev_tag, lag(form) OVER w AS prev_form FROM tok0 WINDOW w AS ({U} ORDER BY pos)),
 tok2 AS (SELECT *, sum(CASE WHEN np THEN 0 ELSE 1 END) OVER ({U} ORDER BY pos) AS island FROM tok1),
@@ -105,7 +109,7 @@ by0 AS (SELECT *, CASE WHEN tag = 'VV' AND form = '의하' AND prev_tag = 'JKB'
 reg AS (SELECT *, {_REG("tag = 'JKS'")} AS subj, {_REG("tag = 'JKS'", "pos")} AS subj_at, {_REG("tag = 'JX' AND form IN ('은', '는')")} AS topic, {_REG("tag = 'JKO'")} AS obj0, {_REG("tag = 'JKO'", "pos")} AS obj_at,
   nullif(last_value(by_np IGNORE NULLS) OVER ({_SENT}), '') AS by_agent FROM by0),
 verbs AS (SELECT *, form || CASE WHEN verb_len = 2 THEN next_form ELSE '' END || '다' AS lemma, CASE WHEN verb_len = 2 AND next_form IN ('되', '받') THEN '피동' ELSE '능동' END AS voice, CASE WHEN subj_at IS NULL OR obj_at > subj_at THEN obj0 END AS obj,
-  (SELECT coalesce(min(t.pos), 999) FROM tok t WHERE t.article = reg.article AND t.unit_ord = reg.unit_ord AND t.pos >= reg.pos + reg.verb_len AND (t.verb_len IS NOT NULL OR t.tag IN ('EF', 'SF'))) AS stop FROM reg WHERE verb_len IS NOT NULL),
+  (SELECT coalesce(min(t.pos), 1073741824) FROM tok t WHERE t.article = reg.article AND t.unit_ord = reg.unit_ord AND t.pos >= reg.pos + reg.verb_len AND (t.verb_len IS NOT NULL OR t.tag IN ('EF', 'SF'))) AS stop FROM reg WHERE verb_len IS NOT NULL),
 moods AS (SELECT b.article, b.unit_ord, b.pos, max(CASE WHEN t.form = '수' AND t.tag = 'NNB' AND t.next_form = '있' AND t.next_tag = 'VA' THEN 3 WHEN t.form = '지' AND t.tag = 'EC' AND t.next_form IN ('아니하', '못하') AND t.next_tag = 'VX' THEN 2
   WHEN t.form = '어야' AND t.tag = 'EC' AND t.next_form = '하' AND t.next_tag = 'VX' THEN 1 ELSE 0 END) AS m FROM verbs b LEFT JOIN tok t ON t.article = b.article AND t.unit_ord = b.unit_ord AND t.pos >= b.pos + b.verb_len AND t.pos + 1 < b.stop GROUP BY ALL),
 rec AS (SELECT b.*, ['없음', '의무', '금지', '재량'][1 + coalesce(m.m, 0)] AS modality FROM verbs b JOIN moods m USING (article, unit_ord, pos))"""
@@ -129,12 +133,23 @@ PHRASES = """phr AS (SELECT article, unit_ord, pos, CASE WHEN tag IN ('NNG', 'NN
   FROM tok1 WHERE coalesce(tag IN ('NNG', 'NNP', 'XR') AND next_tag IN ('XSV', 'XSA'), FALSE) OR tag IN ('VV', 'VA'))"""
 RUNS = """runs AS (SELECT article, unit_ord, min(pos) AS start, string_agg(form, '' ORDER BY pos) AS noun, count(*) AS n, arg_min(tag, pos) AS head_tag FROM (SELECT *, pos - row_number() OVER (PARTITION BY article, unit_ord ORDER BY pos) AS island FROM tok0 WHERE tag IN ('NNG', 'NNP')) GROUP BY article, unit_ord, island)"""
 
-_WORD = lambda i: f"coalesce(string_split_regex(regexp_replace(coalesce(text, ''), '[^A-Za-z ]', '', 'g'), ' +')[{i + 1}], '')"
-W = f"words AS (SELECT doc_id, source, lang, {', '.join(f'{_WORD(i)} AS w{i}' for i in range(5))} FROM documents)"
+_PART = lambda k: f"array_to_string(w[len(w) * {k} // {S.PARTS} + 1:len(w) * {k + 1} // {S.PARTS}], ' ')"
+W = f"{WORDS}, parts AS (SELECT doc_id, source, lang, {', '.join(f'{_PART(k)} AS w{k}' for k in range(S.PARTS))} FROM words)"
 GROUPS = f"""grp AS (SELECT p_type AS root, count(*) AS total, {_pick(["REF", "DEF", "STATIVE", "AMBIGUOUS", "ACTION"], "length(p_type)")} AS bucket, CASE WHEN length(p_type) % 3 <> 0 THEN {_pick(V.EDGE_TYPES, "length(p_type)")} END AS edge_type FROM part GROUP BY p_type)"""
 MERGES = f"""ent AS (SELECT id, 'Organization' AS label, r.name, resolved FROM resolved r), moved AS (SELECT id, name, resolved, coalesce((SELECT min(id) FROM ent k WHERE k.name = ent.resolved), (SELECT min(id) FROM ent k WHERE k.resolved = ent.resolved AND k.name <> k.resolved)) AS target FROM ent WHERE resolved <> name),
 merges AS (SELECT *, CASE WHEN target = id THEN 'rename' ELSE 'merge' END AS action FROM moved)"""
-K05 = "d AS (SELECT source || '/' || doc_id AS file_path, lang, substring(text, 1, 40) AS raw_text FROM documents)"
+K05 = "d AS (SELECT source || '/' || doc_id AS file_path, lang, coalesce(text, '') AS raw_text FROM documents)"
+
+
+_TEXT = "'주어=' || {agent} || ' / 동사=' || lemma || ' / 목적어=' || patient || ' / 원문: ' || substring({evidence}, 1, 200)"
+_TYPES = _list(V.EDGE_TYPES)
+RESOLVED_RELATIONS = f"""{FOUND}, raw AS (SELECT *, {_ROOT} AS verb_root FROM found WHERE coalesce(agent, '') <> '' AND coalesce(patient, '') <> ''),
+asked AS (SELECT *, length(verb_root) + unicode(verb_root) AS n, length({_TEXT.format(agent="agent", evidence="agent || ' ' || patient")}) AS len FROM raw),
+ways AS (SELECT *, CASE WHEN n % 3 <> 0 AND n % 2 <> 0 THEN 'mapped' WHEN n % 3 <> 0 THEN 'needs_context' WHEN unicode(verb_root) % 3 = 1 THEN 'ambiguous' WHEN unicode(verb_root) % 3 = 0 THEN 'non_action' ELSE 'unmapped' END AS route, {_pick(V.EDGE_TYPES, "n")} AS m, {_pick(V.EDGE_TYPES, "n + 1")} AS alt FROM asked),
+answers AS (SELECT *, CASE WHEN route IN ('mapped', 'non_action') OR len % 5 IN (0, 1) THEN NULL WHEN route = 'needs_context' THEN CASE WHEN len % 5 = 2 THEN NULL ELSE [m, alt][1 + len % 2] END WHEN len % 5 = 2 THEN 'NONE' ELSE list_append({_TYPES}, 'NONE')[1 + len % 65] END AS answer FROM ways),
+res AS (SELECT *, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN m WHEN answer <> 'NONE' THEN answer END AS edge_type, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN 'rule' WHEN answer <> 'NONE' THEN 'llm_disambiguation' END AS extraction_method,
+  CASE WHEN route = 'mapped' THEN 'rule' WHEN route = 'non_action' THEN 'skipped_non_action_root' WHEN route = 'needs_context' AND answer IS NULL THEN 'rule,llm_disambiguation_fallback' WHEN answer IS NULL THEN 'skipped_llm_disambiguation_failed' WHEN answer = 'NONE' THEN 'skipped_llm_none' WHEN route = 'unmapped' THEN 'llm_disambiguation_unmapped_root' ELSE 'llm_disambiguation' END AS counters FROM answers)"""
+LINE_GROUPS = "g AS (SELECT 'r' || l_partkey AS root, count(*) AS c FROM lineitem GROUP BY 1)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -150,7 +165,9 @@ def oracle_sql() -> dict[str, str]:
         "g03_hub_cap": f"WITH {VERTICES}, {EDGES}, {ADJ} SELECT s.id, count(x.a) AS degree, CASE WHEN count(x.a) > 300 THEN 1 ELSE 3 END AS depth FROM v s LEFT JOIN adj x ON x.a = s.id WHERE label = 'Organization' GROUP BY 1",
         "j08_one_hop": f"WITH {VERTICES}, {EDGES}, {ADJ} SELECT a AS seed, 1 AS hops, edge_type AS types, count(*) AS n, count(DISTINCT b) AS n_last FROM adj WHERE a IN (SELECT id FROM v) GROUP BY ALL",
         "j09_paths_depth2": f"WITH {_paths(2)} {COUNTED}",
-        "j09_paths_depth3": f"WITH {_paths(3, 1)} {COUNTED}",
+        "j09_paths_depth3": f"WITH {_paths(3, bound='(SELECT count(*) FROM adj d WHERE d.a = p.seed) <= 300')} {COUNTED}",
+        "g01_hub_paths": f"WITH {VERTICES}, {_paths(2, start='hubs').replace('paths1 AS', _HUBS.format(label='Organization', order='DESC') + ', paths1 AS', 1)} {COUNTED}",
+        "g01_low_degree_paths": f"WITH {VERTICES}, {_paths(2, start='hubs').replace('paths1 AS', _HUBS.format(label='Person', order='ASC') + ', paths1 AS', 1)} {COUNTED}",
         "p04_typed_paths": f"WITH {_paths(2, where="x.edge_type = 'SUPPLIED_BY'")} {COUNTED}",
         "p05_direction_out": f"WITH {_paths(3, adj=OUT)} {COUNTED}",
         "p05_direction_in": f"WITH {_paths(3, adj=IN)} {COUNTED}",
@@ -177,7 +194,7 @@ def oracle_sql() -> dict[str, str]:
         "c21_cosine": "SELECT vec_id AS id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1)), 5) AS cosine FROM embeddings",
         "t09_seeds_by_score": f"WITH {_seeds(20)} SELECT id, round(score, 6) AS score, ord FROM seeds",
         "c01_normalize": f"WITH {NAMES} SELECT id, translate(replace(trim(name), ' ', ''), '·,', 'ㆍㆍ') AS name FROM names",
-        "c08_extract_root": f"WITH w AS (SELECT doc_id AS id, {_pick(S.WORDS, 'doc_id')} || {_pick(V.ROOT_SUFFIXES, 'doc_id // 3')} AS lemma FROM documents) SELECT id, {_ROOT} AS root FROM w",
+        "c08_extract_root": f"WITH {NAMES}, l AS (SELECT id, {_pick(S.WORDS, 'id')} || {_pick(V.ROOT_SUFFIXES, 'length(name)')} AS lemma FROM names) SELECT id, {_ROOT} AS root FROM l",
         "c09_resolve_alias": f"WITH {NAMES}, {RESOLVED} SELECT id, bare, resolved FROM resolved",
         "c10_is_law": f"WITH {NAMES} SELECT id, {IS_LAW} AS is_law FROM names",
         "j12_entity_type": f"WITH {NAMES}, {TYPED} SELECT * FROM typed",
@@ -206,25 +223,41 @@ def oracle_sql() -> dict[str, str]:
         "t04_top_30": "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 30",
         "t07_first_documents": "SELECT doc_id, source FROM documents ORDER BY source, doc_id LIMIT 10",
         "u02_union_distinct": "SELECT l_partkey AS k FROM lineitem UNION SELECT l_suppkey FROM lineitem",
-        "u03_except": "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders",
+        "u03_except": "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'",
         "w01_carry_forward": "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried FROM conversations",
         "w02_backfill": "SELECT conv_id, turn, first_value(CASE WHEN role = 'assistant' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM conversations",
         "w08_index_in_root": "WITH r AS (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS idx FROM orders) SELECT *, CAST(idx // 5 AS BIGINT) AS batch FROM r",
-        "c02_clean_markdown": f"WITH {W} SELECT doc_id, '제1장' || chr(10) || '제' || (1 + doc_id % 9) || '조 (목적)' || chr(10) || w0 || ' 정한다. <개정 2009.1.30>' || chr(10) || '제2절' || chr(10) || '제' || (2 + doc_id % 9) || '조의' || (2 + doc_id % 3) || ' (정의)' || chr(10) || '① 가 ' || w1 || chr(10) || '  1. 나 ' || w2 || chr(10) || '    가. 다 ' || w3 || chr(10) || '㉑ 라 ' || w4 || chr(10) || '부칙 끝' || chr(10) || '제1조 (시행일)' || chr(10) || '마' || chr(10) AS text FROM words",
+        "c02_clean_markdown": f"WITH {W} SELECT doc_id, '제1장' || chr(10) || '제' || (1 + doc_id % 9) || '조 (목적)' || chr(10) || w0 || ' 정한다. <개정 2009.1.30>' || chr(10) || '제2절' || chr(10) || '제' || (2 + doc_id % 9) || '조의' || (2 + doc_id % 3) || ' (정의)' || chr(10) || '① 가 ' || w1 || chr(10) || '  1. 나 ' || w2 || chr(10) || '    가. 다 ' || w3 || chr(10) || '㉑ 라 ' || w4 || chr(10) || '부칙 끝' || chr(10) || '제1조 (시행일)' || chr(10) || '마' || chr(10) AS text FROM parts",
         "c05_articles": "SELECT doc_id, 0 AS article_ord, CAST(1 + doc_id % 9 AS INT) AS article_no, CAST(NULL AS INT) AS article_sub_no, '목적' AS title FROM documents UNION ALL SELECT doc_id, 1, CAST(2 + doc_id % 9 AS INT), CAST(2 + doc_id % 3 AS INT), '정의' FROM documents",
-        "c06_paragraphs": f"WITH {W} SELECT doc_id, 0 AS article_ord, 0 AS paragraph_ord, CAST(NULL AS INT) AS paragraph_no, trim(w0 || ' 정한다.') AS head FROM words UNION ALL SELECT doc_id, 1, 0, 1, trim('가 ' || w1) FROM words UNION ALL SELECT doc_id, 1, 1, 21, trim('라 ' || w4) FROM words",
-        "c07_items": f"WITH {W} SELECT doc_id, 1 AS article_ord, 0 AS paragraph_ord, '1' AS label, trim('나 ' || w2) AS body, 0 AS depth FROM words UNION ALL SELECT doc_id, 1, 0, '가', trim('다 ' || w3), 1 FROM words",
-        "p03_units": f"WITH {W} SELECT doc_id, 0 AS article_ord, CAST(NULL AS INT) AS paragraph_no, 0 AS unit_ord, trim(w0 || ' 정한다.') AS unit_text FROM words UNION ALL SELECT doc_id, 1, 1, 0, trim('가 ' || w1) FROM words UNION ALL SELECT doc_id, 1, 1, 1, trim('나 ' || w2) FROM words UNION ALL SELECT doc_id, 1, 1, 2, trim('다 ' || w3) FROM words UNION ALL SELECT doc_id, 1, 21, 0, trim('라 ' || w4) FROM words",
+        "c06_paragraphs": f"WITH {W} SELECT doc_id, 0 AS article_ord, 0 AS paragraph_ord, CAST(NULL AS INT) AS paragraph_no, trim(w0 || ' 정한다.') AS head FROM parts UNION ALL SELECT doc_id, 1, 0, 1, trim('가 ' || w1) FROM parts UNION ALL SELECT doc_id, 1, 1, 21, trim('라 ' || w4) FROM parts",
+        "c07_items": f"WITH {W} SELECT doc_id, 1 AS article_ord, 0 AS paragraph_ord, '1' AS label, trim('나 ' || w2) AS body, 0 AS depth FROM parts UNION ALL SELECT doc_id, 1, 0, '가', trim('다 ' || w3), 1 FROM parts",
+        "p03_units": f"WITH {W} SELECT doc_id, 0 AS article_ord, CAST(NULL AS INT) AS paragraph_no, 0 AS unit_ord, trim(w0 || ' 정한다.') AS unit_text FROM parts UNION ALL SELECT doc_id, 1, 1, 0, trim('가 ' || w1) FROM parts UNION ALL SELECT doc_id, 1, 1, 1, trim('나 ' || w2) FROM parts UNION ALL SELECT doc_id, 1, 1, 2, trim('다 ' || w3) FROM parts UNION ALL SELECT doc_id, 1, 21, 0, trim('라 ' || w4) FROM parts",
         "k05_upsert_documents": f"WITH {K05} SELECT file_path, CASE WHEN lang = 'fr' THEN 'new' ELSE lang END AS lang, CASE WHEN lang <> 'en' THEN 'new: ' || raw_text ELSE raw_text END AS raw_text, lang <> 'fr' AS known FROM d",
         "k06_get_or_create": f"WITH {NAMES}, {TYPED} SELECT label, name, bool_or(known) AS known FROM (SELECT 'Concept' AS label, name, TRUE AS known FROM names WHERE name LIKE '금융%' UNION ALL SELECT label, name, FALSE FROM typed) GROUP BY 1, 2",
         "j05_link_relations": f"WITH {NAMES}, {TYPED} SELECT name AS agent, '이름' AS patient, count(*) AS n, max(least(length(name) * 400, 2000)) AS evidence, CAST(1 AS BIGINT) AS ids FROM typed WHERE EXISTS (SELECT 1 FROM typed WHERE name = '이름' AND label = 'Concept') GROUP BY 1",
         "g10_merge_entities": f"WITH {NAMES}, {RESOLVED}, {MERGES} SELECT coalesce(m.resolved, ent.name) AS name, count(*) AS n, min(ent.id) AS first FROM ent LEFT JOIN merges m USING (id) WHERE m.action IS NULL OR m.action = 'rename' GROUP BY 1",
-        "j17_repoint": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id, target FROM merges WHERE action = 'merge') SELECT ent.id AS rid, coalesce(a.target, ent.id) AS source, coalesce(b.target, (ent.id * 3) % 100) AS target FROM ent LEFT JOIN t a ON a.id = ent.id LEFT JOIN t b ON b.id = (ent.id * 3) % 100",
-        "a17_merge_report": f"WITH {NAMES}, {RESOLVED}, {MERGES} SELECT action, count(*) AS n FROM merges GROUP BY 1",
-        "r04_routes": f"WITH {GROUPS}, r AS (SELECT p_type, bucket, length(p_type) % 4 <> 0 AS has_map, length(p_type) % 3 = 0 AS ctx, {_pick(V.EDGE_TYPES, 'length(p_type)')} AS m FROM part JOIN grp ON p_type = root), w AS (SELECT CASE WHEN has_map AND NOT ctx THEN 'mapped' WHEN has_map THEN 'needs_context' WHEN bucket = 'AMBIGUOUS' THEN 'ambiguous' WHEN bucket IN ('REF', 'DEF', 'STATIVE') THEN 'non_action' ELSE 'unmapped' END AS route, CASE WHEN has_map THEN m END AS edge_type FROM r) SELECT route, CASE route WHEN 'mapped' THEN 'rule' WHEN 'needs_context' THEN 'llm_disambiguation_fallback' WHEN 'non_action' THEN 'skipped_non_action_root' ELSE 'skipped_llm_disambiguation_failed' END AS counter, edge_type, count(*) AS n FROM w GROUP BY ALL",
-        "a08_counters": f"WITH {FOUND} SELECT count(*) AS records, count(*) FILTER (coalesce(agent, '') <> '' AND coalesce(patient, '') <> '') AS relations, count(*) FILTER (voice = '피동') AS passive, count(*) FILTER (agent_source = 'INHERITED') AS inherited FROM found",
+        "j17_repoint": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id, target FROM merges WHERE action = 'merge') SELECT ent.id AS rid, coalesce(a.target, ent.id) AS source, coalesce(b.target, k) AS target FROM (SELECT *, id // 1000000 * 1000000 + id * 3 % 50 AS k FROM ent) ent LEFT JOIN t a ON a.id = ent.id LEFT JOIN t b ON b.id = ent.k",
+        "a17_merge_report": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id FROM merges WHERE action = 'merge'), ends AS (SELECT id FROM ent UNION ALL SELECT id // 1000000 * 1000000 + id * 3 % 50 FROM ent) SELECT action, count(*) AS n FROM merges GROUP BY 1 UNION ALL SELECT 'repointed', (SELECT count(*) FROM ends WHERE id IN (SELECT id FROM t))",
+        "r04_routes": f"WITH {GROUPS}, r AS (SELECT p_type, bucket, length(p_type) % 4 <> 0 AS has_map, length(p_type) % 3 = 0 AS ctx, {_pick(V.EDGE_TYPES, 'length(p_type)')} AS m FROM part JOIN grp ON p_type = root), w AS (SELECT CASE WHEN has_map AND NOT ctx THEN 'mapped' WHEN has_map THEN 'needs_context' WHEN bucket = 'AMBIGUOUS' THEN 'ambiguous' WHEN bucket IN ('REF', 'DEF', 'STATIVE') THEN 'non_action' ELSE 'unmapped' END AS route, CASE WHEN has_map THEN m END AS edge_type FROM r) SELECT route, CASE route WHEN 'mapped' THEN 'rule' WHEN 'needs_context' THEN 'rule,llm_disambiguation_fallback' WHEN 'non_action' THEN 'skipped_non_action_root' ELSE 'skipped_llm_disambiguation_failed' END AS counters, edge_type, count(*) AS n FROM w GROUP BY ALL",
+        "r04_answered_routes": f"WITH {RESOLVED_RELATIONS} SELECT route, counters, edge_type, extraction_method, count(*) AS n FROM res GROUP BY ALL",
+        "a08_counters": f"WITH {RESOLVED_RELATIONS}, names AS (SELECT DISTINCT 0 AS id, name FROM (SELECT unnest([agent, patient]) AS name FROM res WHERE edge_type IS NOT NULL)), {RESOLVED} SELECT 'raw_svo_records_with_both_endpoints' AS counter, count(*) AS n FROM raw UNION ALL SELECT 'relations_total', count(edge_type) FROM res UNION ALL SELECT 'entities_total', count(DISTINCT resolved) FROM resolved UNION ALL SELECT counter, count(*) FROM (SELECT unnest(string_split(counters, ',')) AS counter FROM res) GROUP BY 1",
+        "c15_clause_text": f"WITH {FOUND}, c AS (SELECT agent, lemma, patient, count(*) AS n FROM found WHERE coalesce(agent, '') <> '' AND coalesce(patient, '') <> '' GROUP BY ALL) SELECT '[' || n || '] ' || {_TEXT.format(agent="CASE WHEN agent = '회사' THEN '(생략)' ELSE agent END", evidence="repeat(agent, 90)")} AS text FROM c",
+        "m04_typed_by_model": f"WITH {NAMES}, {TYPED}, d AS (SELECT DISTINCT name, label, subtype, method, CASE WHEN method = 'dict' THEN 0 ELSE length(name) % 4 END AS k FROM typed), m AS (SELECT name, CASE WHEN k >= 2 THEN 'llm' ELSE method END AS method, CASE k WHEN 2 THEN 'Person' WHEN 3 THEN 'Organization' ELSE label END AS label, CASE k WHEN 2 THEN '임원' WHEN 3 THEN NULL ELSE subtype END AS subtype FROM d) SELECT method, label, subtype, count(*) AS n, min(name) AS first FROM m GROUP BY ALL",
+        "c20_date_text": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 3 = 2 THEN 'x' || strftime(o_orderdate, '%Y-%m-%d') || 'x' WHEN o_orderkey % 4 = 1 THEN CASE WHEN o_orderkey % 3 = 2 THEN 'x' END ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
+        "k16_reload_vertices": f"WITH {VERTICES} SELECT id, label, name, CASE WHEN length(name) % 3 <> 0 THEN right(name, 2) END AS subtype FROM v",
+        "k16_reload_edges": f"WITH {VERTICES}, {EDGES} SELECT edge_type, source_law, CASE WHEN article_no % 5 <> 0 THEN article_no END AS article_no, paragraph_no, count(*) AS n, count(DISTINCT src) AS n_src, min(dst) AS first FROM e WHERE src IN (SELECT id FROM v) AND dst IN (SELECT id FROM v) GROUP BY ALL",
+        "s06_root_map": f"SELECT 'r' || o_orderkey AS verb_root, {_pick(V.EDGE_TYPES, 'o_orderkey')} AS mapped, CASE WHEN o_orderkey % 2 = 0 THEN {_pick(V.EDGE_TYPES, 'o_orderkey + 1')} ELSE '' END AS alternatives, o_orderkey % 3 = 1 AS needs_context FROM orders",
+        "s07_ambiguous_roots": f"WITH {LINE_GROUPS} SELECT root FROM g",
+        "s08_non_action_roots": "SELECT 'r' || l_partkey AS root FROM lineitem UNION SELECT 'r' || l_suppkey FROM lineitem UNION SELECT 'r' || o_custkey FROM orders",
+        "s09_dictionary": "SELECT p_name || ' ' || p_partkey AS form, p_brand AS tag FROM part WHERE p_partkey % 5 <> 0",
+        "j01_law_directories": "WITH c AS (SELECT c_custkey AS no, replace(c_name, '#', ' · ') AS name, replace(c_name, '#', 'ㆍ') AS dir FROM customer) SELECT no, CASE WHEN no = 4 THEN '첫째' ELSE name END AS name, CASE WHEN no = 4 THEN (SELECT dir FROM c WHERE no = 1) WHEN no % 3 <> 0 THEN dir END AS directory, no IN (1, 4) AND (no = 4 OR name <> dir) AS alias_applied FROM c",
+        "k02_bucketed_roots": f"WITH {LINE_GROUPS} SELECT {_pick(['REF', 'DEF', 'ACTION'], 'c')} AS bucket, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM g GROUP BY 1",
+        "k03_mapped_split": f"WITH {LINE_GROUPS} SELECT CASE WHEN c % 3 <> 0 THEN 'mapped' ELSE 'unmapped' END AS kind, CASE WHEN c % 3 <> 0 THEN {_pick(V.EDGE_TYPES, 'c')} END AS edge_type, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM g GROUP BY ALL",
+        "k04_frequency_file": "SELECT 'part ' || l_partkey AS key, count(*) AS n FROM lineitem GROUP BY 1",
+        "k07_append_relations": f"WITH {EDGES} SELECT edge_type, count(*) AS n, count(DISTINCT id) AS n_ids FROM e WHERE edge_type IN ('PLACED_BY', 'IN_NATION') GROUP BY 1",
+        "k08_truncate": f"WITH {EDGES} SELECT id, edge_type, src, dst FROM e WHERE edge_type = 'IN_REGION'",
         "a07_by_method": f"WITH {NAMES}, {TYPED} SELECT method, label, count(*) AS n FROM typed GROUP BY ALL",
         "c17_tagged_values": "SELECT p_partkey AS id, p_brand AS label FROM part",
         "c19_stable_ids": "WITH i AS (SELECT sha256('document' || chr(31) || source || chr(31) || doc_id) AS id FROM documents) SELECT count(*) AS n, count(DISTINCT id) AS n_ids, min(id) AS first FROM i",
-        "flagship": f"WITH {VERTICES}, {_paths(2)}, {PATH_EDGES} SELECT line FROM ctx",
+        "flagship": f"WITH {VERTICES}, {_paths(2, bound='(SELECT count(*) FROM adj d WHERE d.a = p.seed) <= 300')}, {PATH_EDGES} SELECT line FROM ctx",
     }

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocab
-from ..operators import clauses, graph, ordering, routing, stats, structure, upserts, vectors
-from ..sources import readers
+from ..operators import clauses, ordering, routing, stats, structure, traversal, upserts, vectors
+from ..sources import readers, sinks
+from . import build
 from . import standins as S
 
 TYPES = ["SUPPLIED_BY", "CONTAINS"]
@@ -62,53 +63,74 @@ def s10_pairs(spark, sf):
 
 
 def a09_degree(spark, sf):
-    return graph.degree(S.edges(spark, sf, False))
+    return traversal.degree(S.edges(spark, sf, False))
 
 
 def g02_degree_of_seeds(spark, sf):
-    return graph.capped(_seeds(spark, sf).select("id"), S.edges(spark, sf, False), 2).select("id", "degree", "depth")
+    return traversal.capped(_seeds(spark, sf).select("id"), S.edges(spark, sf, False), 2, few=True).select("id", "degree", "depth")
 
 
 def g03_hub_cap(spark, sf):
     suppliers = S.vertices(spark, sf).filter("label = 'Organization'").select("id")
-    return graph.capped(suppliers, S.edges(spark, sf, False), 3)
+    return traversal.capped(suppliers, S.edges(spark, sf, False), 3)
 
 
 def j08_one_hop(spark, sf):
-    return _counted(graph.expand(S.vertices(spark, sf).select("id"), S.edges(spark, sf, False), 1))
+    return _counted(traversal.expand(S.vertices(spark, sf).select("id"), S.edges(spark, sf, False), 1))
 
 
 def j09_paths_depth2(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, few=True))
 
 
 def j09_paths_depth3(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf, 1), S.edges(spark, sf, False), 3))
+    """As deep as it goes, hubs one step."""
+    e = S.edges(spark, sf, False)
+    return _counted(traversal.expand(traversal.capped(_seeds(spark, sf), e, 3, few=True).select("id", "depth"), e, 3, few=True))
+
+
+HUBS = 24
+
+
+def _by_degree(spark, sf, label, order):
+    """The HUBS vertices of a label with the most or the fewest edges."""
+    e = S.edges(spark, sf, False)
+    some = S.vertices(spark, sf).filter(F.col("label") == label).select("id")
+    return traversal.degree(e).join(some, "id", "left_semi").orderBy(order, "id").limit(HUBS).select("id")
+
+
+def g01_hub_paths(spark, sf):
+    """Two steps from the largest hubs, without a cap."""
+    return _counted(traversal.expand(_by_degree(spark, sf, "Organization", F.desc("degree")), S.edges(spark, sf, False), 2))
+
+
+def g01_low_degree_paths(spark, sf):
+    return _counted(traversal.expand(_by_degree(spark, sf, "Person", F.asc("degree")), S.edges(spark, sf, False), 2))
 
 
 def p04_typed_paths(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, ["SUPPLIED_BY"]))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, ["SUPPLIED_BY"], few=True))
 
 
 def p05_direction_out(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="out"))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="out", few=True))
 
 
 def p05_direction_in(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="in"))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="in", few=True))
 
 
 def u01_homogeneous_paths(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES, few=True))
 
 
 def u01_any_type_paths(spark, sf):
-    return _counted(graph.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES, one_type=False))
+    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES, one_type=False, few=True))
 
 
 def g04_capped_seeds(spark, sf):
     e = S.edges(spark, sf, False)
-    return _counted(graph.expand(graph.capped(_seeds(spark, sf), e, 2, 50).select("id", "depth"), e, 2))
+    return _counted(traversal.expand(traversal.capped(_seeds(spark, sf), e, 2, 50, few=True).select("id", "depth"), e, 2, few=True))
 
 
 def g05_retry(spark, sf):
@@ -121,12 +143,12 @@ def g05_retry(spark, sf):
 def p07_find_by_name(spark, sf):
     v = S.vertices(spark, sf)
     name = v.agg(F.max("name").alias("name")).first()["name"]
-    return graph.find_by_name(v, name, list(vocab.NODE_LABELS))
+    return traversal.find_by_name(v, name, list(vocab.NODE_LABELS))
 
 
 def _lines(spark, sf, depth):
     e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    return graph.context(graph.expand(_seeds(spark, sf), e, depth), e, v)
+    return traversal.context(traversal.expand(_seeds(spark, sf), e, depth, few=True), e, v)
 
 
 def g06_context_lines(spark, sf):
@@ -139,12 +161,12 @@ def t06_capped_context(spark, sf):
 
 def g08_plain_context(spark, sf):
     e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    return graph.plain_context(graph.expand(_seeds(spark, sf), e, 2), e, v)
+    return traversal.plain_context(traversal.expand(_seeds(spark, sf), e, 2, few=True), e, v)
 
 
 def p11_path_edges(spark, sf):
     e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    rows = graph.path_edges(graph.with_ends(graph.expand(_seeds(spark, sf), e, 2), v), e)
+    rows = traversal.path_edges(traversal.with_ends(traversal.expand(_seeds(spark, sf), e, 2, few=True), v), e)
     return rows.select(F.col("edge_id").alias("id"), F.col("seed").alias("source"), F.col("last").alias("target"), "edge_src", "edge_dst", "edge_type", "source_law", "article_no", "paragraph_no").distinct()
 
 
@@ -179,12 +201,12 @@ def j04_relation_names(spark, sf):
 def j07_dangling(spark, sf):
     """Vectors as edges to the parts they are named after: those without a part are skipped."""
     e = S.table(spark, sf, "embeddings").select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("id"), F.concat(F.lit("p"), F.col("vec_id").cast("string")).alias("src"), F.concat(F.lit("p"), (F.col("vec_id") * 7).cast("string")).alias("dst"))
-    kept = graph.resolved_edges(e, S.vertices(spark, sf))
+    kept = traversal.resolved_edges(e, S.vertices(spark, sf))
     return e.join(kept.select("id", F.lit(True).alias("kept")), "id", "left").groupBy(F.coalesce("kept", F.lit(False)).alias("kept")).agg(F.count("*").alias("n"))
 
 
 def k11_collapse_parallel(spark, sf):
-    return graph.collapse_parallel(S.edges(spark, sf, False))
+    return traversal.collapse_parallel(S.edges(spark, sf, False))
 
 
 def k10_merge_edges(spark, sf):
@@ -225,7 +247,7 @@ def c01_normalize(spark, sf):
 
 
 def c08_extract_root(spark, sf):
-    lemma = F.concat(S.pick(S.WORDS, F.col("id")), S.pick(vocab.ROOT_SUFFIXES, F.floor(F.col("id") / 3)))
+    lemma = F.concat(S.pick(S.WORDS, F.col("id")), S.pick(vocab.ROOT_SUFFIXES, F.length("name")))
     return S.names(spark, sf).select("id", N.extract_root(lemma).alias("root"))
 
 
@@ -365,7 +387,7 @@ def u02_union_distinct(spark, sf):
 
 
 def u03_except(spark, sf):
-    return S.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(S.table(spark, sf, "orders").select(F.col("o_custkey").alias("k")))
+    return S.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(S.table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k")))
 
 
 def w01_carry_forward(spark, sf):
@@ -409,7 +431,7 @@ def p03_units(spark, sf):
 
 
 def k05_upsert_documents(spark, sf):
-    d = S.table(spark, sf, "documents").select(F.concat(F.lit("id"), F.col("doc_id").cast("string")).alias("id"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("file_path"), "lang", F.substring("text", 1, 40).alias("raw_text"))
+    d = S.table(spark, sf, "documents").select(F.concat(F.lit("id"), F.col("doc_id").cast("string")).alias("id"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("file_path"), "lang", F.coalesce("text", F.lit("")).alias("raw_text"))
     new = d.filter("lang <> 'en'").select("file_path", F.lit("new").alias("lang"), F.concat(F.lit("new: "), "raw_text").alias("raw_text"))
     return upserts.upsert_documents(d.filter("lang <> 'fr'"), new).select("file_path", "lang", "raw_text", F.col("id").startswith("id").alias("known"))
 
@@ -434,28 +456,69 @@ def g10_merge_entities(spark, sf):
     return kept
 
 
+def _other(c):
+    """The id of another mention of the document, one of its first fifty."""
+    return F.floor(F.col(c) / S.MENTIONS) * S.MENTIONS + F.pmod(F.col(c) * 3, F.lit(50))
+
+
 def j17_repoint(spark, sf):
     e = S.names(spark, sf).select("id", F.lit("Organization").alias("label"), "name")
-    rel = e.select(F.col("id").alias("rid"), F.col("id").alias("source"), F.pmod(F.col("id") * 3, F.lit(100)).alias("target"))
+    rel = e.select(F.col("id").alias("rid"), F.col("id").alias("source"), _other("id").alias("target"))
     return upserts.repoint(rel, upserts.merge_map(e), "source", "target")
 
 
 def a17_merge_report(spark, sf):
     e = S.names(spark, sf).select("id", F.lit("Organization").alias("label"), "name")
-    return upserts.merge_map(e).groupBy("action").agg(F.count("*").alias("n"))
+    rel = e.select(F.col("id").alias("source"), _other("id").alias("target"))
+    return upserts.merge_report(upserts.merge_map(e), rel, "source", "target")
 
 
 def r04_routes(spark, sf):
     root_map = S.table(spark, sf, "part").select(F.col("p_type").alias("verb_root")).distinct().filter(F.length("verb_root") % 4 != 0).select("verb_root", S.pick(vocab.EDGE_TYPES, F.length("verb_root")).alias("mapped"), F.array().cast("array<string>").alias("alternatives"), (F.length("verb_root") % 3 == 0).alias("needs_context"))
     buckets = _groups(spark, sf).select(F.col("root").alias("verb_root"), "bucket")
     rel = S.table(spark, sf, "part").select(F.col("p_type").alias("verb_root"), F.col("p_name").alias("evidence_text"))
-    return routing.resolve(routing.route(rel, root_map, buckets)).groupBy("route", "counter", "edge_type").agg(F.count("*").alias("n"))
+    return routing.resolve(routing.route(rel, root_map, buckets), text="evidence_text").groupBy("route", F.array_join("counters", ",").alias("counters"), "edge_type").agg(F.count("*").alias("n"))
+
+
+def _answering(texts: list[str], candidates: list[list[str]]) -> list[str | None]:
+    """A classifier that answers by the length of what it is asked: a candidate, NONE, something else or nothing."""
+    return [None if len(t) % 5 == 0 else "?" if len(t) % 5 == 1 else routing.NONE if len(t) % 5 == 2 else c[len(t) % len(c)] for t, c in zip(texts, candidates, strict=True)]
+
+
+def _resolved(spark, sf):
+    """Raw relations, routed by their roots' lengths and resolved by the answering classifier."""
+    raw = clauses.relations(_found(spark, sf)).withColumn("evidence_text", F.concat("agent", F.lit(" "), "patient"))
+    roots = raw.select("verb_root").distinct()
+    n = F.length("verb_root") + F.ascii("verb_root")
+    root_map = roots.filter(n % 3 != 0).select("verb_root", S.pick(vocab.EDGE_TYPES, n).alias("mapped"), F.array(S.pick(vocab.EDGE_TYPES, n + 1)).alias("alternatives"), (n % 2 == 0).alias("needs_context"))
+    buckets = roots.select("verb_root", S.pick(["REF", "AMBIGUOUS", "ACTION"], F.ascii("verb_root")).alias("bucket"))
+    return raw, routing.resolve(routing.route(raw, root_map, buckets), _answering)
+
+
+def r04_answered_routes(spark, sf):
+    _, found = _resolved(spark, sf)
+    return found.groupBy("route", F.array_join("counters", ",").alias("counters"), "edge_type", "extraction_method").agg(F.count("*").alias("n"))
 
 
 def a08_counters(spark, sf):
-    found = _found(spark, sf)
-    ok = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    return found.agg(F.count("*").alias("records"), F.count_if(ok("agent") & ok("patient")).alias("relations"), F.count_if(F.col("voice") == "피동").alias("passive"), F.count_if(F.col("agent_source") == "INHERITED").alias("inherited"))
+    raw, found = _resolved(spark, sf)
+    entities = found.filter("edge_type is not null").select(F.explode(F.array("agent", "patient")).alias("name")).select(N.resolve_alias(F.col("name")).alias("name")).distinct()
+    return routing.build_counters(raw, found, entities)
+
+
+def c15_clause_text(spark, sf):
+    rows = clauses.relations(_found(spark, sf)).groupBy("agent", "verb_lemma", "patient").agg(F.count("*").alias("n"))
+    return rows.select(N.clause_text(F.nullif("agent", F.lit("회사")), F.col("verb_lemma"), F.col("patient"), F.repeat("agent", 90), F.col("n")).alias("text"))
+
+
+def _typer(names: list[str]) -> list[tuple[str, str | None] | None]:
+    """A model's answers, by the length of the name: a label with a subtype, one that doesn't exist, or nothing."""
+    return [None if len(n) % 4 == 0 else ("Thing", "x") if len(n) % 4 == 1 else ("Person", "임원") if len(n) % 4 == 2 else ("Organization", None) for n in names]
+
+
+def m04_typed_by_model(spark, sf):
+    rows = S.names(spark, sf).select("name").distinct()
+    return routing.type_mentions(rows, typer=_typer).groupBy("method", "label", "subtype").agg(F.count("*").alias("n"), F.min("name").alias("first"))
 
 
 def a07_by_method(spark, sf):
@@ -464,8 +527,15 @@ def a07_by_method(spark, sf):
 
 def c17_tagged_values(spark, sf):
     text = F.concat(F.lit('[{"id": '), F.col("p_partkey").cast("string"), F.lit(', "label": "'), F.col("p_brand"), F.lit('"}::vertex]::path'))
-    plain = F.regexp_replace(text, "::(vertex|edge|path)", "")
-    return S.table(spark, sf, "part").select(F.get(F.from_json(plain, "array<struct<id: long, label: string>>"), F.lit(0)).alias("v")).select("v.id", "v.label")
+    found = readers.untagged(text, "array<struct<id: long, label: string>>")
+    return S.table(spark, sf, "part").select(F.get(found, F.lit(0)).alias("v")).select("v.id", "v.label")
+
+
+def c20_date_text(spark, sf):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = S.pick(["", " ", "x"], F.col("o_orderkey"))
+    rows = S.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, F.concat(text, day, text)).when(F.col("o_orderkey") % 4 == 1, text).otherwise(day).alias("d"))
+    return rows.select("o_orderkey", N.date_text(F.col("d")).alias("day"))
 
 
 def c19_stable_ids(spark, sf):
@@ -474,11 +544,117 @@ def c19_stable_ids(spark, sf):
     return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"), F.min("id").alias("first"))
 
 
+def _stored(spark, sf):
+    """The stored tables of entities and relations: each label's subtype in its own column, article numbers in an array."""
+    v, e = S.vertices(spark, sf), S.edges(spark, sf)
+    own = {c: F.when(F.col("label") == label, F.when(F.length("name") % 3 == 0, "").otherwise(F.right("name", F.lit(2)))) for label, c in vocab.NODE_LABELS.items()}
+    entities = v.select("id", "label", "name", *(x.alias(c) for c, x in own.items()))
+    numbers = F.when(F.col("article_no") % 5 != 0, F.array("article_no"))
+    relations = e.select("id", "edge_type", F.col("src").alias("source_entity_id"), F.col("dst").alias("target_entity_id"), "source_law", numbers.alias("article_no"), "paragraph_no", "modality", "voice")
+    return entities, relations
+
+
+def k16_reload_vertices(spark, sf):
+    return build.reload(*_stored(spark, sf))[0]
+
+
+def k16_reload_edges(spark, sf):
+    edges = build.reload(*_stored(spark, sf))[1]
+    return edges.groupBy("edge_type", "source_law", "article_no", "paragraph_no").agg(F.count("*").alias("n"), F.countDistinct("src").alias("n_src"), F.min("dst").alias("first"))
+
+
+def _groups_of(spark, sf, table, key):
+    """Root groups of a table's key, each with its members."""
+    rows = S.table(spark, sf, table).groupBy(F.concat(F.lit("r"), F.col(key).cast("string")).alias("root")).agg(F.count("*").alias("count"))
+    return rows.withColumn("members", F.array(F.struct(F.concat("root", F.lit("다")).alias("l"), F.col("count").alias("c"))))
+
+
+def s06_root_map(spark, sf):
+    """A root map as a file: left-out alternatives are none, a left-out flag is false."""
+    path, k = sinks.shared_folder(spark), F.col("o_orderkey")
+    rows = S.table(spark, sf, "orders").select(F.concat(F.lit("r"), k.cast("string")).alias("root"), S.pick(vocab.EDGE_TYPES, k).alias("edge_type"), F.when(k % 2 == 0, F.array(S.pick(vocab.EDGE_TYPES, k + 1))).alias("edge_type_alt"), F.when(k % 3 != 0, k % 3 == 1).alias("needs_context"))
+    rows.write.json(path)
+    return readers.root_map(spark, path).withColumn("alternatives", F.array_join("alternatives", ","))
+
+
+def s07_ambiguous_roots(spark, sf):
+    path = sinks.shared_folder(spark)
+    g = _groups_of(spark, sf, "lineitem", "l_partkey")
+    g.unionByName(g.filter("count > 20")).write.json(path)
+    return readers.ambiguous_roots(spark, path)
+
+
+def s08_non_action_roots(spark, sf):
+    """Three files of root groups, their roots once each."""
+    paths = [sinks.shared_folder(spark) for _ in range(3)]
+    for path, (table, key) in zip(paths, [("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("orders", "o_custkey")], strict=True):
+        _groups_of(spark, sf, table, key).write.json(path)
+    return readers.non_action_roots(spark, *paths)
+
+
+def s09_dictionary(spark, sf):
+    """A table of words and tags with a header; lines without a word are skipped."""
+    path = sinks.shared_folder(spark)
+    S.table(spark, sf, "part").select(F.when(F.col("p_partkey") % 5 != 0, F.concat_ws(" ", "p_name", "p_partkey")).alias("form"), F.col("p_brand").alias("tag")).write.csv(path, header=True, sep="\t")
+    return readers.dictionary(spark, path)
+
+
+def j01_law_directories(spark, sf):
+    """Laws by number and name to their folders by the normalised name, an alias first; laws without one are kept."""
+    c = S.table(spark, sf, "customer")
+    laws = c.select(F.col("c_custkey").alias("no"), F.when(F.col("c_custkey") == 4, "첫째").otherwise(F.replace("c_name", F.lit("#"), F.lit(" · "))).alias("name"))
+    files = c.filter(F.col("c_custkey") % 3 != 0).select(F.concat(F.lit("/kr/"), F.replace("c_name", F.lit("#"), F.lit("ㆍ")), F.lit("/a.md")).alias("file_path"))
+    first = N.normalize(F.replace("c_name", F.lit("#"), F.lit("ㆍ")))
+    alias = c.filter("c_custkey = 1").select(first.alias("n")).first()["n"]
+    return readers.match_laws(laws, readers.directory_index(files), {"첫째": alias}).select("no", "name", "directory", "alias_applied")
+
+
+def k02_bucketed_roots(spark, sf):
+    path = sinks.shared_folder(spark)
+    sinks.by_bucket(_groups_of(spark, sf, "lineitem", "l_partkey").withColumn("bucket", S.pick(["REF", "DEF", "ACTION"], F.col("count"))), path)
+    return spark.read.schema("root string, count long, bucket string").json(path).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("count").alias("total"))
+
+
+def k03_mapped_split(spark, sf):
+    mapped, unmapped = sinks.shared_folder(spark), sinks.shared_folder(spark)
+    g = _groups_of(spark, sf, "lineitem", "l_partkey")
+    sinks.mapped_split(g.withColumn("edge_type", F.when(F.col("count") % 3 != 0, S.pick(vocab.EDGE_TYPES, F.col("count")))), mapped, unmapped)
+    rows = lambda path, kind: spark.read.schema("root string, count long, edge_type string").json(path).withColumn("kind", F.lit(kind))
+    return rows(mapped, "mapped").unionByName(rows(unmapped, "unmapped")).groupBy("kind", "edge_type").agg(F.count("*").alias("n"), F.sum("count").alias("total"))
+
+
+def k04_frequency_file(spark, sf):
+    """Counts as JSON lines of pairs, and read again."""
+    path = sinks.shared_folder(spark)
+    counts = stats.most_common(S.table(spark, sf, "lineitem").select(F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("part")), "part")
+    sinks.pairs_json(counts, "part", "n").write.text(path)
+    lines = spark.read.text(path).select(F.concat(F.lit("["), "value", F.lit("]")).alias("value"))
+    return readers.frequencies(lines, "value")
+
+
+def k07_append_relations(spark, sf):
+    """Edges of one kind replace a table twice, those of another are appended."""
+    path, e = sinks.shared_folder(spark), S.edges(spark, sf)
+    for _ in range(2):
+        sinks.snapshot(e.filter("edge_type = 'PLACED_BY'"), path)
+    sinks.append(e.filter("edge_type = 'IN_NATION'"), path)
+    return spark.read.parquet(path).groupBy("edge_type").agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"))
+
+
+def k08_truncate(spark, sf):
+    """A table replaced by no rows keeps its columns, and takes rows again."""
+    path, e = sinks.shared_folder(spark), S.edges(spark, sf, False)
+    sinks.snapshot(e, path)
+    sinks.snapshot(e.filter("1 = 0"), path)
+    sinks.append(e.filter("edge_type = 'IN_REGION'"), path)
+    return spark.read.parquet(path)
+
+
 def flagship(spark, sf):
     """Seeds by nearest vectors, expansion with the hub cap, and the distinct context lines in order."""
     e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    seeds = graph.capped(_seeds(spark, sf), e, 2).select("id", "depth")
-    return graph.context(graph.expand(seeds, e, 2), e, v).select("line")
+    seeds = traversal.capped(_seeds(spark, sf), e, 2, few=True).select("id", "depth")
+    return traversal.context(traversal.expand(seeds, e, 2, few=True), e, v).select("line")
 
 
 def queries() -> dict:

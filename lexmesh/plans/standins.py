@@ -1,4 +1,4 @@
-"""The engine's inputs as views of star-schema tables: graph, vectors, statutes, mentions and tokens."""
+"""The engine's inputs as views of star-schema tables: vertices and edges, vectors, statutes, mentions and tokens."""
 
 from __future__ import annotations
 
@@ -12,12 +12,12 @@ TOKENS = [
     ("를", "JKO"), ("제출", "NNG"), ("하", "XSV"), ("어야", "EC"), ("하", "VX"), ("ㄴ다", "EF"), ("법원", "NNP"), ("에", "JKB"),
     ("의하", "VV"), ("어", "EC"), ("해임", "NNG"), ("되", "XSV"), ("지", "EC"), ("아니하", "VX"), ("ㄴ다", "EF"),
 ]
-UNIT_TOKENS = 40
 LAWS = ["은행법", "보험업법", "자본시장법"]
 MODALITIES, VOICES = ["의무", "금지", "재량", "없음"], ["능동", "피동"]
 #: Names are made of a filler or nothing, a stem and an ending.
 FILLERS = ["", "경우", "등", "기간동안", "아무"]
 STEMS = ["금융위원회", "금융감독원", "한국은행", "금융위", "은행 법", "감사원·장", "내부통제", "불법", "보험회사", "대표이사", "시행령", "이름"]
+ENDINGS = ["", "", "", "", "장", " 직원", "제도", "법"]
 WORDS = ["임명", "보고", "금지", "취득", "감독", "없음", "소집", "제한"]
 
 
@@ -52,11 +52,11 @@ def edges(spark: SparkSession, sf_dir: str, facts: bool = True) -> DataFrame:
         make(t("supplier"), node("in_s", "s_suppkey"), "IN_NATION", node("s", "s_suppkey"), node("n", "s_nationkey"), F.col("s_suppkey")),
         make(t("nation"), node("in_n", "n_nationkey"), "IN_REGION", node("n", "n_nationkey"), node("r", "n_regionkey"), F.col("n_nationkey")),
         make(t("orders"), node("by_o", "o_orderkey"), "PLACED_BY", node("o", "o_orderkey"), node("c", "o_custkey"), F.col("o_orderkey")),
-        make(t("lineitem"), F.concat(F.lit("co_"), line), "CONTAINS", node("o", "l_orderkey"), node("p", "l_partkey"), F.col("l_partkey")),
-        make(t("lineitem"), F.concat(F.lit("su_"), line), "SUPPLIED_BY", node("p", "l_partkey"), node("s", "l_suppkey"), F.col("l_suppkey")),
     ]
-    out = parts[0]
-    for x in parts[1:]:
+    edge = lambda prefix, kind, src, dst, n: F.struct(F.concat(F.lit(prefix), line).alias("id"), F.lit(kind).alias("edge_type"), src.alias("src"), dst.alias("dst"), F.col(n).cast("long").alias("n"))
+    # both edges of a line come from one scan
+    out = t("lineitem").select(F.inline(F.array(edge("co_", "CONTAINS", node("o", "l_orderkey"), node("p", "l_partkey"), "l_partkey"), edge("su_", "SUPPLIED_BY", node("p", "l_partkey"), node("s", "l_suppkey"), "l_suppkey"))))
+    for x in parts:
         out = out.unionByName(x)
     n = F.col("n")
     law = {"source_law": pick(LAWS, n), "article_no": (1 + F.pmod(n, F.lit(50))).cast("int"), "paragraph_no": F.when(F.pmod(n, F.lit(4)) != 0, F.pmod(n, F.lit(4)).cast("int")), "modality": pick(MODALITIES, n), "voice": pick(VOICES, n)}
@@ -67,10 +67,22 @@ def seed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
 
 
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, words): all words of each whole text, letters only."""
+    found = F.filter(F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]+", " "), " "), lambda w: w != "")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", found.alias("words"))
+
+
+#: How far apart the ids of mentions of neighbouring documents are.
+MENTIONS = 1_000_000
+
+
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, name): mentions made of the documents' ids."""
-    d = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(d.alias("id"), F.concat(pick(FILLERS, d), pick(STEMS, F.floor(d / 5))).alias("name"))
+    """(id, name): a mention for every word of the documents, made of a filler, a stem and, one in three, the word itself."""
+    rows = words(spark, sf_dir).select("doc_id", F.posexplode("words").alias("pos", "w"))
+    n = F.length("w") + 7 * F.ascii("w")
+    name = F.concat(pick(FILLERS, F.col("pos")), pick(STEMS, n), F.when(n % 3 == 0, F.lower("w")).otherwise(""), pick(ENDINGS, F.ascii("w") + F.col("pos")))
+    return rows.select((F.col("doc_id") * MENTIONS + F.col("pos")).alias("id"), name.alias("name"))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,21 +92,25 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(article, unit_ord, tokens): four units of an article, each a stretch of the token cycle."""
+    """(article, unit_ord, tokens): four documents are the units of an article, and every word is a token."""
     d = F.col("doc_id")
     cycle = F.array(*(F.struct(F.lit(f).alias("form"), F.lit(t).alias("tag")) for f, t in TOKENS))
-    at = lambda i: F.pmod(d * 7 + i * (1 + F.pmod(d, F.lit(3))), F.lit(len(TOKENS))).cast("int")
-    toks = F.transform(F.sequence(F.lit(0), F.lit(UNIT_TOKENS - 1)), lambda i: F.get(cycle, at(i)))
-    return table(spark, sf_dir, "documents").select(F.floor(d / 4).alias("article"), F.pmod(d, F.lit(4)).cast("int").alias("unit_ord"), toks.alias("tokens"))
+    at = lambda w: F.pmod(7 * F.length(w) + F.ascii(w) + 3 * F.ascii(F.right(w, F.lit(1))), F.lit(len(TOKENS)))
+    return words(spark, sf_dir).select(F.floor(d / 4).alias("article"), F.pmod(d, F.lit(4)).cast("int").alias("unit_ord"), F.transform("words", lambda w: F.get(cycle, at(w))).alias("tokens"))
+
+
+#: Parts that a document's words are dealt to, in order.
+PARTS = 5
 
 
 def statutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, raw_text): Markdown with two articles and addenda about the first words of each document."""
-    d = F.col("doc_id")
-    word = lambda i: F.coalesce(F.get(F.split(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^A-Za-z ]", ""), " +"), F.lit(i)), F.lit(""))
+    """(doc_id, raw_text): Markdown with two articles and addenda, whose units hold all words of a document."""
+    d, w = F.col("doc_id"), F.col("words")
+    edge = lambda k: F.floor(F.size(w) * k / PARTS).cast("int")
+    part = lambda k: F.array_join(F.slice(w, edge(k) + 1, edge(k + 1) - edge(k)), " ")
     n = lambda c: c.cast("string")
     text = F.concat(
-        F.lit("---\ntitle: "), F.col("source"), F.lit("\nlang: "), F.col("lang"), F.lit("\n---\n# 제1장\n##### 제"), n(1 + F.pmod(d, F.lit(9))), F.lit("조 (목적)\n"), word(0), F.lit(" 정한다. <개정 2009.1.30>\n### 제2절\n##### 제"),
-        n(2 + F.pmod(d, F.lit(9))), F.lit("조의"), n(2 + F.pmod(d, F.lit(3))), F.lit(" (정의)\n**①** 가 "), word(1), F.lit("\n  1\\. 나 "), word(2), F.lit("\n    가\\. 다 "), word(3), F.lit("\n**㉑** 라 "), word(4), F.lit("\n## 부칙 끝\n##### 제1조 (시행일)\n마\n"),
+        F.lit("---\ntitle: "), F.col("source"), F.lit("\nlang: "), F.col("lang"), F.lit("\n---\n# 제1장\n##### 제"), n(1 + F.pmod(d, F.lit(9))), F.lit("조 (목적)\n"), part(0), F.lit(" 정한다. <개정 2009.1.30>\n### 제2절\n##### 제"),
+        n(2 + F.pmod(d, F.lit(9))), F.lit("조의"), n(2 + F.pmod(d, F.lit(3))), F.lit(" (정의)\n**①** 가 "), part(1), F.lit("\n  1\\. 나 "), part(2), F.lit("\n    가\\. 다 "), part(3), F.lit("\n**㉑** 라 "), part(4), F.lit("\n## 부칙 끝\n##### 제1조 (시행일)\n마\n"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("raw_text"))
+    return words(spark, sf_dir).select("doc_id", text.alias("raw_text"))

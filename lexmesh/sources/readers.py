@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import normalize, truthy
+from ..functions.names import date_text, normalize, truthy
 
 MANIFEST = (
     "laws array<struct<no: int, requested_name: string, matched_dir: string, alias_applied: boolean, "
@@ -55,7 +55,7 @@ def manifest_documents(manifest: DataFrame) -> DataFrame:
     """A row per file of each law."""
     files = manifest.select(F.explode("laws").alias("l")).select("l.no", "l.requested_name", "l.matched_dir", "l.alias_applied", F.explode("l.files").alias("f"))
     ministries = F.nullif(F.array_join(F.coalesce("f.소관부처", F.array().cast("array<string>")), ", "), F.lit(""))
-    return files.select("no", F.col("requested_name").alias("source_law"), F.coalesce("f.법령구분", F.lit("")).alias("doc_type"), F.col("f.법령MST").alias("law_mst"), F.col("f.공포일자").alias("promulgation_date"), F.col("f.시행일자").alias("enforcement_date"), ministries.alias("competent_ministry"), F.concat_ws("/", "matched_dir", "f.file").alias("file_path"))
+    return files.select("no", F.col("requested_name").alias("source_law"), F.coalesce("f.법령구분", F.lit("")).alias("doc_type"), F.col("f.법령MST").alias("law_mst"), date_text(F.col("f.공포일자")).alias("promulgation_date"), date_text(F.col("f.시행일자")).alias("enforcement_date"), ministries.alias("competent_ministry"), F.concat_ws("/", "matched_dir", "f.file").alias("file_path"))
 
 
 def documents(spark: SparkSession, manifest_path: str, root: str) -> DataFrame:
@@ -69,10 +69,25 @@ def root_map(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("root").alias("verb_root"), F.col("edge_type").alias("mapped"), F.coalesce("edge_type_alt", F.array().cast("array<string>")).alias("alternatives"), F.coalesce("needs_context", F.lit(False)).alias("needs_context"))
 
 
+def untagged(text: Column, schema: str) -> Column:
+    """A value with vertex, edge and path tags behind its parts, as typed rows; null where it isn't JSON without them."""
+    return F.from_json(F.regexp_replace(text, "::(vertex|edge|path)", ""), schema)
+
+
+def tokens(spark: SparkSession, path: str) -> DataFrame:
+    """Units that were tokenized elsewhere: JSON lines of (file_path, unit_text, tokens), for a join in place of a tokenizer."""
+    return spark.read.schema("file_path string, unit_text string, tokens array<struct<form: string, tag: string>>").json(path)
+
+
 def root_groups(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema("root string, count long, members array<struct<l: string, c: long>>").json(list(paths))
 
 
+def ambiguous_roots(spark: SparkSession, path: str) -> DataFrame:
+    """The roots whose type a verb alone doesn't tell, each once."""
+    return root_groups(spark, path).select("root").distinct()
+
+
 def non_action_roots(spark: SparkSession, *paths: str) -> DataFrame:
     return root_groups(spark, *paths).select("root").distinct()
 

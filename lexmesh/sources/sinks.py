@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir; in local mode a temporary one will do."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{named or tempfile.mkdtemp(prefix='spark-')}/files-{uuid.uuid4().hex}"
+
+
 def snapshot(rows: DataFrame, path: str) -> None:
     """Replaces a table. rows may not read the same path."""
     rows.write.mode("overwrite").parquet(path)
@@ -19,6 +30,12 @@ def by_bucket(rows: DataFrame, path: str, bucket: str = "bucket") -> None:
     rows.repartition(bucket, F.pmod(F.xxhash64(*rows.columns), F.lit(16))).write.mode("overwrite").partitionBy(bucket).json(path)
 
 
+def mapped_split(groups: DataFrame, mapped: str, unmapped: str) -> None:
+    """Root groups with an edge type to one place of JSON lines, those without to another."""
+    groups.filter("edge_type is not null").write.mode("overwrite").json(mapped)
+    groups.filter("edge_type is null").drop("edge_type").write.mode("overwrite").json(unmapped)
+
+
 def pairs_json(counts: DataFrame, key: str, n: str) -> DataFrame:
     """JSON lines of [key, n], most frequent first when read in the order of n, key."""
     return counts.orderBy(F.desc(n), key).select(F.to_json(F.array(F.col(key), F.col(n).cast("string"))).alias("value"))

@@ -14,7 +14,7 @@ def con(sf):
 
 def test_every_query_has_its_sql():
     assert set(NAMES) == set(oracles.oracle_sql())
-    assert len(NAMES) >= 88
+    assert len(NAMES) >= 106
 
 
 @pytest.mark.parametrize("name", NAMES)

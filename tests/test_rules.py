@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexmesh.functions import names as N
 from lexmesh.functions import vocab
-from lexmesh.operators import clauses, graph, ordering, routing, structure, upserts, vectors
+from lexmesh.operators import clauses, ordering, routing, structure, traversal, upserts, vectors
 from lexmesh.plans import answer, build
 from lexmesh.sources import readers, sinks
 
@@ -74,16 +74,16 @@ def brute(depth, seeds, homogeneous=False):
 @pytest.mark.parametrize("homogeneous", [False, True])
 def test_paths(spark, edges, depth, homogeneous):
     seeds = spark.createDataFrame([("a",), ("c",)], "id string")
-    got = graph.expand(seeds, edges, depth, one_type=homogeneous).collect()
+    got = traversal.expand(seeds, edges, depth, one_type=homogeneous).collect()
     assert sorted((r.seed, tuple(r.path), tuple(r.types), r.last) for r in got) == brute(depth, ["a", "c"], homogeneous)
 
 
 def test_degree_and_hubs(spark, edges):
-    got = {r.id: r.degree for r in graph.degree(edges).collect()}
+    got = {r.id: r.degree for r in traversal.degree(edges).collect()}
     assert got == {"a": 4, "b": 4, "c": 2, "gone": 1}
     seeds = spark.createDataFrame([("a",), ("c",), ("none",)], "id string")
-    assert {r.id: r.depth for r in graph.capped(seeds, edges, 2, 3).collect()} == {"a": 1, "c": 2, "none": 2}
-    assert graph.clamp(9) == 3 and graph.clamp(0) == 1
+    assert {r.id: r.depth for r in traversal.capped(seeds, edges, 2, 3).collect()} == {"a": 1, "c": 2, "none": 2}
+    assert traversal.clamp(9) == 3 and traversal.clamp(0) == 1
 
 
 def test_first_and_last(spark):
