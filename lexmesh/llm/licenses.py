@@ -6,7 +6,8 @@ SLACK apart within a text and template are merged, so that a few inserted or mis
 a notice, and a merged span counts when it covers at least COVERAGE of the template's words within
 STRETCH times its length. Base phrases are counted at every place besides.
 
-The templates are fixed text of this module, so the broadcast side is bounded (under 1,000 k-grams).
+The templates are fixed text, those of this module or a list of the caller's, so the broadcast side is bounded
+(under 1,000 k-grams here).
 
 Nulls: a null text is empty. Rows with the same doc_id and text are one text: each gets the same result.
 Rows without a doc_id are matched by their text. Empty tables give empty results; other columns aren't read.
@@ -48,9 +49,9 @@ def _hashes(words: Column, k: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), gram)).otherwise(F.array().cast("array<bigint>"))
 
 
-def templates(spark: SparkSession, k: int = K) -> DataFrame:
-    """(template, label, n_template, q, gram): every k-gram place of every template."""
-    lits = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(TEMPLATES)))
+def templates(spark: SparkSession, k: int = K, notices: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """(template, label, n_template, q, gram): every k-gram place of every template, notices being (label, text)."""
+    lits = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text")) for i, (label, text) in enumerate(notices)))
     rows = spark.range(1).select(F.explode(lits).alias("t")).select("t.template", "t.label", let(split_words(ascii_lower(F.col("t.text")), NOT_ALNUM), lambda w: F.struct(F.size(w).alias("n"), _hashes(w, k).alias("h"))).alias("w"))
     return rows.select("template", "label", F.col("w.n").alias("n_template"), F.posexplode("w.h").alias("q", "gram"))
 
@@ -60,10 +61,10 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), split_words(ascii_lower(text), NOT_ALNUM).alias("w"))
 
 
-def spans(docs: DataFrame, k: int = K) -> DataFrame:
+def spans(docs: DataFrame, k: int = K, notices: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """(doc_id, text_hash, label, first_word, last_word, coverage): verified notices."""
     grams = _texts(docs).select("doc_id", "text_hash", F.posexplode(let(F.col("w"), lambda w: _hashes(w, k))).alias("p", "gram"))
-    votes = grams.join(F.broadcast(templates(docs.sparkSession, k)), "gram").withColumn("diagonal", F.col("p") - F.col("q"))
+    votes = grams.join(F.broadcast(templates(docs.sparkSession, k, notices)), "gram").withColumn("diagonal", F.col("p") - F.col("q"))
     text = ["doc_id", "text_hash", "template", "label", "n_template"]
     lines = votes.groupBy(*text, "diagonal").agg(F.collect_set("q").alias("q"), F.min("p").alias("lo"), F.max("p").alias("hi"))
     order = Window.partitionBy(*text).orderBy("diagonal")
@@ -86,14 +87,14 @@ def _places(words: Column, phrase: str) -> Column:
     return F.when((last >= 0) & all_in, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), here)).otherwise(F.array().cast("array<int>"))
 
 
-def scan(docs: DataFrame, k: int = K) -> DataFrame:
+def scan(docs: DataFrame, k: int = K, notices: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     of_words = lambda w: F.struct(F.size(w).alias("n"), *(_places(w, p).alias(label) for p, label in PHRASES.items()))
     base = _texts(docs).select("doc_id", "text_hash", let(F.col("w"), of_words).alias("b"))
     at = F.concat(*(F.col(f"b.`{label}`") for label in PHRASES.values()))
     labels = F.array_compact(F.array(*(F.when(F.size(f"b.`{label}`") > 0, F.lit(label)) for label in PHRASES.values())))
     base = base.select("doc_id", "text_hash", F.col("b.n").cast("long").alias("n_words"), let(at, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.array_min(x).cast("long").alias("lo"), F.array_max(x).cast("long").alias("hi"))).alias("at"), labels.alias("base"))
-    found = spans(docs, k).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage"))
+    found = spans(docs, k, notices).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("label").alias("more"), F.max("coverage").alias("coverage"))
     joined = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return joined.select(

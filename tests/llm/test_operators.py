@@ -251,6 +251,55 @@ def test_licenses(spark, docs, texts, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def brute_spans(text, notices, k=4):
+    """Diagonals, their neighbours merged, and the check of the span, place by place."""
+    w, out = words(text, ALNUM), set()
+    for label, notice in notices:
+        t = words(notice, ALNUM)
+        votes = {}
+        for p in range(len(w) - k + 1):
+            for q in range(len(t) - k + 1):
+                if w[p : p + k] == t[q : q + k]:
+                    votes.setdefault(p - q, []).append((p, q))
+        runs = []
+        for d in sorted(votes):
+            if runs and d - runs[-1][-1] <= licenses.SLACK:
+                runs[-1].append(d)
+            else:
+                runs.append([d])
+        for run in runs:
+            at = [x for d in run for x in votes[d]]
+            covered = len({q + j for _, q in at for j in range(k)}) / len(t)
+            first, last = min(p for p, _ in at), max(p for p, _ in at) + k - 1
+            if covered >= licenses.COVERAGE and last - first + 1 <= licenses.STRETCH * len(t):
+                out.add((label, first, last, round(covered, 9)))
+    return out
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_license_spans(spark, own):
+    """Notices with words inserted, dropped and changed, twice in a text, cut off, and among others."""
+    notices = [("own", "one two three four five six seven eight nine ten"), ("twice", "so so so so so so")] if own else licenses.TEMPLATES
+    rng = random.Random(12)
+    rows = [(0, None), (1, ""), (2, "a b c"), (None, notices[0][1])]
+    for i in range(150):
+        w = []
+        for _, notice in rng.choices(notices, k=rng.randint(1, 2)):
+            some = notice.split()
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                at = rng.randrange(len(some))
+                some[at : at + rng.randint(0, 1)] = rng.choice([[], ["zap"], ["zap", "zip", "zup", "zop"]])
+                some = some or ["zap"]
+            w += [*rng.choices(["so", "it", "goes", "one", "two"], k=rng.randint(0, 30)), *some[: rng.choice([len(some)] * 3 + [len(some) // 2])]]
+        rows.append((10 + i, " ".join(w)))
+    found = licenses.spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), notices=notices).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, set()).add((r.label, r.first_word, r.last_word, round(r.coverage, 9)))
+    want = {d: brute_spans(t, notices) for d, t in rows}
+    assert got == {d: x for d, x in want.items() if x} and len(got) > 50
+
+
 def test_warc(spark, texts, tmp_path):
     pages = [(i, f"http://x/{i} y", t) for i, t in enumerate(texts)] + [(900, None, "z" * 900_000), (901, "u", "z" * 900_000), (901, "u", "z" * 900_000), (None, "v", "alone"), (None, "v", "one")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
@@ -720,3 +769,52 @@ def test_pipeline(spark, sf):
         n = docs.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert packed.select("doc_id").distinct().count() == n
+
+
+def test_rows_without_ids_and_repeated_rows(spark):
+    """Packing, rules and shards take them as rows of their own."""
+    text = "Some words of a text that is whole. " * 20
+    rows = [(None, text), (None, text), (None, None), (3, text), (3, text), (3, "other words"), (4, ""), (4, "")]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, length int, Shard int").repartition(3)
+    ids = Counter(d for d, _ in rows)
+    packed = packing.pack(table, TOKENIZER).collect()
+    assert Counter(r.doc_id for r in packed) == ids and all(r.piece == 0 for r in packed)
+    places = sorted((r.sequence_id, r.offset, r.length) for r in packed)
+    assert all(a[0] != b[0] or a[1] + a[2] == b[1] for a, b in zip(places, places[1:], strict=False))
+    judged = quality_rules.judge(table).collect()
+    assert Counter(r.doc_id for r in judged) == ids and len({r.kept for r in judged if r.n_words > 50}) == 1
+    dealt = sharding.shard(table).collect()
+    assert Counter(r.doc_id for r in dealt) == ids
+    slots = {}
+    for r in dealt:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    by_text = {}
+    for r in dealt:
+        by_text.setdefault((r.text_crc32, r.size), set()).add(r.shard)
+    assert all(len(x) == 1 for x in by_text.values())
+
+
+@pytest.mark.parametrize("empty_table", [False, True])
+def test_pipeline_on_odd_tables(spark, sf, tmp_path, empty_table):
+    """Nulls, empty texts, repeated rows, ids of several texts and columns that clash."""
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    rng = random.Random(2)
+    good = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) between 500 and 3000").orderBy("doc_id").limit(12).collect()]
+    rows = [(i, t) for i, t in enumerate(good)] + [(0, good[1]), (1, good[1]), (None, good[2]), (None, good[2]), (None, None), (50, None), (51, ""), (51, ""), (52, "\n\n"), (53, good[3] + "\n" + good[4])]
+    rng.shuffle(rows)
+    schema = "doc_id long, text string, lang string, source string, n_chars int, Score double, predicted int, line_row long, lines_gone int, n_lines int, worded int, jaccard_row int"
+    table = spark.createDataFrame([(*r, None, "s", 1, 0.5, 1, 2, 3, 4, 5, 6) for r in rows], schema).repartition(3)
+    docs = table.limit(0) if empty_table else table
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        assert docs.columns == table.columns and dict(docs.dtypes) == dict(table.dtypes), name
+        docs.count()
+    kept = [(r.doc_id, r.text) for r in docs.collect()]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(d for d, _ in kept)
+    worded = [t for _, t in kept if words(t, ALNUM)]
+    assert len(worded) == len(set(worded)) and (empty_table or worded)
