@@ -145,6 +145,85 @@ def test_clauses_fold_and_windows_agree(spark):
     assert got[0, 3, "제출하다"][2:] == ("재량", "JKS")
 
 
+def test_clause_text(spark):
+    row = spark.createDataFrame([("", "제출하다", None, "x" * 300)], "a string, v string, p string, e string")
+    got = row.select(N.clause_text(F.col("a"), F.col("v"), F.col("p"), F.col("e"), F.lit(7))).first()[0]
+    assert got == f"[7] 주어=(생략) / 동사=제출하다 / 목적어=(생략) / 원문: {'x' * 200}"
+
+
+@pytest.mark.parametrize(("text", "want"), [("2020-01-31", "2020-01-31"), (" 2020-01-31 ", "2020-01-31"), ("", None), (None, None), ("미정", "미정")])
+def test_date_text(spark, text, want):
+    assert one(spark, text, N.date_text) == want
+
+
+def relations_of(spark, roots):
+    rows = [("은행", r, f"{r}하다", "보고서", f"은행은 보고서를 {r}한다", i) for i, r in enumerate(roots)]
+    return spark.createDataFrame(rows, "agent string, verb_root string, verb_lemma string, patient string, evidence_text string, n int")
+
+
+def routed(spark, roots):
+    root_map = spark.createDataFrame([("제출", "SUBMITS", [], False), ("처분", "DISPOSES", ["SANCTIONS"], True)], "verb_root string, mapped string, alternatives array<string>, needs_context boolean")
+    buckets = spark.createDataFrame([("하다", "AMBIGUOUS"), ("이하", "DEF")], "verb_root string, bucket string")
+    return routing.route(relations_of(spark, roots), root_map, buckets)
+
+
+ROOTS = ["제출", "처분", "하다", "이하", "낯선"]
+
+
+def by_root(rows):
+    return {r.verb_root: (r.edge_type, r.extraction_method, r.counters) for r in rows.collect()}
+
+
+def test_an_answering_classifier(spark):
+    """Verdicts of a type, of none and of what isn't a candidate; a fallback counts twice."""
+    rows = routed(spark, ROOTS)
+    got = by_root(routing.resolve(rows, lambda texts, options: ["SANCTIONS" if "처분" in t else "REVIEWS" if "낯선" in t else routing.NONE for t in texts]))
+    assert got == {
+        "제출": ("SUBMITS", "rule", ["rule"]), "처분": ("SANCTIONS", "llm_disambiguation", ["llm_disambiguation"]), "하다": (None, None, ["skipped_llm_none"]),
+        "이하": (None, None, ["skipped_non_action_root"]), "낯선": ("REVIEWS", "llm_disambiguation", ["llm_disambiguation_unmapped_root"]),
+    }
+    none = by_root(routing.resolve(rows, lambda texts, options: [routing.NONE] * len(texts)))
+    assert none["처분"] == ("DISPOSES", "rule", ["rule", "llm_disambiguation_fallback"]) and none["낯선"] == (None, None, ["skipped_llm_none"])
+
+
+@pytest.mark.parametrize("fails", [lambda t, o: [None] * len(t), lambda t, o: 1 / 0, lambda t, o: ["SUBMITS"], lambda t, o: ["?"] * len(t)])
+def test_a_failing_classifier(spark, fails):
+    got = by_root(routing.resolve(routed(spark, ROOTS).repartition(1), fails))
+    assert got["처분"] == ("DISPOSES", "rule", ["rule", "llm_disambiguation_fallback"])
+    assert got["하다"] == got["낯선"] == (None, None, ["skipped_llm_disambiguation_failed"])
+
+
+def test_counters(spark):
+    rows = routed(spark, ROOTS)
+    found = routing.resolve(rows)
+    got = {r.counter: r.n for r in routing.build_counters(rows, found, rows.select("agent").distinct()).collect()}
+    assert got == {"raw_svo_records_with_both_endpoints": 5, "relations_total": 2, "entities_total": 1, "rule": 2, "llm_disambiguation_fallback": 1, "skipped_non_action_root": 1, "skipped_llm_disambiguation_failed": 2}
+
+
+def test_types_by_model(spark):
+    names = spark.createDataFrame([("금융위",), ("모르는 것",), ("아무개",), ("실패",), (None,)], "name string")
+    typer = lambda some: [("Person", "임원") if n == "아무개" else ("Thing", "x") if n == "모르는 것" else None for n in some]
+    got = {r.name: (r.label, r.subtype, r.method) for r in routing.type_mentions(names, typer=typer).collect()}
+    default = ("Concept", None, "llm_fallback_default")
+    assert got == {"금융위": ("Organization", "위원회", "dict"), "모르는 것": default, "아무개": ("Person", "임원", "llm"), "실패": default, None: default}
+    assert {r.method for r in routing.type_mentions(names, typer=lambda some: 1 / 0).collect()} == {"dict", "llm_fallback_default"}
+
+
+def test_tokenizer_runs_in_workers(spark):
+    rows = spark.createDataFrame([("은행 이",), (None,)], "unit_text string")
+    got = clauses.tokenize(rows, lambda: lambda text: [(w, "NNG") for w in text.split()]).collect()
+    assert [[tuple(t) for t in r.tokens] for r in got] == [[("은행", "NNG"), ("이", "NNG")], []]
+
+
+def test_reload(spark):
+    e = spark.createDataFrame([("1", "Person", "가", "", "임원", None, None), ("2", "Concept", "나", None, None, "", "")], "id string, label string, name string, category string, role_hint string, doc_type string, concept_type string")
+    r = spark.createDataFrame([("a", "HOLDS", "1", "2", "은행법", [3, 4], 1, "의무", "능동"), ("b", "HOLDS", "2", "1", "은행법", [], None, "없음", "능동"), ("c", "HOLDS", "1", "9", "은행법", None, None, "없음", "능동")], "id string, edge_type string, source_entity_id string, target_entity_id string, source_law string, article_no array<int>, paragraph_no int, modality string, voice string")
+    vertices, edges, entity_docs, relation_docs = build.reload(e, r)
+    assert {(v.id, v.subtype) for v in vertices.collect()} == {("1", "임원"), ("2", None)}
+    assert {(x.id, x.src, x.dst, x.article_no) for x in edges.collect()} == {("a", "1", "2", 3), ("b", "2", "1", None)}
+    assert {d.description for d in entity_docs.collect()} == {"가 (Person: 임원)", "나 (Concept)"} and relation_docs.count() == 2
+
+
 def test_upserts_are_idempotent(spark):
     old = spark.createDataFrame([("1", "p", "en", "a")], "id string, file_path string, lang string, raw_text string")
     new = spark.createDataFrame([("p", "fr", "b"), ("q", "de", "c")], "file_path string, lang string, raw_text string")
@@ -159,6 +238,7 @@ def test_merging(spark):
     assert {(r.id, r.target, r.action) for r in m.collect()} == {("1", "2", "merge"), ("3", "3", "rename"), ("4", "3", "merge"), ("5", "5", "rename")}
     rel = spark.createDataFrame([("1", "4")], "src string, dst string")
     assert [tuple(r) for r in upserts.repoint(rel, m, "src", "dst").collect()] == [("2", "3")]
+    assert {r.action: r.n for r in upserts.merge_report(m, rel, "src", "dst").collect()} == {"merge": 2, "rename": 2, "repointed": 2}
 
 
 def test_sources(spark, tmp_path):
@@ -168,7 +248,8 @@ def test_sources(spark, tmp_path):
     (tmp_path / "md" / "은행법" / "a.md").write_text(TEXT)
     files = readers.markdown(spark, str(tmp_path / "md"))
     assert files.select(readers.front_matter(F.col("raw_text"))["title"]).first()[0] == "은행법"
-    index = spark.createDataFrame([("은행법", "은행법")], "key string, directory string")
+    index = readers.directory_index(files)
+    assert [tuple(r) for r in index.collect()] == [("은행법", "은행법")]
     got = {r.name: r.directory for r in readers.match_laws(laws, index, {"없는 법": "아무"}).collect()}
     assert got == {"은행법": "은행법", "없는 법": None}
     sinks.by_bucket(spark.createDataFrame([("REF", "a"), ("DEF", "b")], "bucket string, root string"), str(tmp_path / "out"))
@@ -189,6 +270,13 @@ def test_answer_and_build(spark):
     assert answer.answer_question(spark, "아무 말", s.entity_docs, s.relation_docs, s.vertices, s.edges.limit(0)).answer == answer.NOTHING
 
 
+@pytest.mark.parametrize("how", [{"top_k": 0}, {"top_k": 21}, {"depth": 0}, {"depth": 4}, {"question": ""}])
+def test_bounds_of_a_question(spark, how):
+    none = spark.range(0)
+    with pytest.raises(ValueError, match="needed"):
+        answer.answer_question(spark, how.pop("question", "물음"), none, none, none, none, **how)
+
+
 def test_nearest(spark):
     docs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None)], "id int, embedding array<float>")
     assert [r.id for r in vectors.nearest(docs, [1.0, 0.1], 5).collect()] == [1, 2]
