@@ -25,7 +25,7 @@ from .common import cut, held_twice, in_bitmap
 
 BLOCK, SMALL, FANOUT = 1024, 8, 8
 #: Pairs of nodes whose bitmaps are compared at once.
-STEP = 65536
+STEP = 8192
 
 
 def shared(keyed: DataFrame) -> DataFrame:

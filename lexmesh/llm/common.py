@@ -204,8 +204,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
+#: What an operator keeps in a worker from task to task. Another operator's pass in that worker lets go of it.
+KEPT: dict = {}
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Shorter batches, so that a worker holds few texts at a time; what the last ones took is given back."""
+    KEPT.clear()
     for b in batches:
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)

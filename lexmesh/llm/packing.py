@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import numbered
+from .common import KEPT, numbered
 
 SIZE, END = 2048, 0
 #: Middle lengths that patterns of three use, and rounds of the fit.
@@ -102,16 +102,18 @@ class WordIds:
         return [b"".join(map(get, s)) for s in split]
 
 
-_READY: dict[str, WordIds] = {}
+def _words(tokenizer: str) -> WordIds:
+    """Those that the worker has from its tasks before, or new ones."""
+    if tokenizer not in KEPT:
+        KEPT[tokenizer] = WordIds(tokenizer)
+    return KEPT[tokenizer]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _READY:
-            _READY[tokenizer] = WordIds(tokenizer)
-        words, step = _READY[tokenizer], size * 4
+        words, step = _words(tokenizer), size * 4
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
