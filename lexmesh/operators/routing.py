@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import clause_text, default_type, resolved_type
+from ..functions.names import clause_text, default_type, entity_type, resolve_alias
 from ..functions.vocab import EDGE_CATEGORIES, EDGE_TYPES, KEYWORDS, NODE_LABELS
 
 Classifier = Callable[[list[str], list[list[str]]], list[str | None]]
@@ -155,7 +155,8 @@ def type_mentions(mentions: DataFrame, name: str = "name", typer: Typer = unknow
             yield pd.DataFrame(out, columns=["label", "subtype", "method"])
 
     kept = mentions.columns
-    ruled = mentions.withColumn("_t", resolved_type(F.col(name)))
+    # a column of its own, so that the name is resolved once a row however often the rules look at it
+    ruled = mentions.withColumn("_n", resolve_alias(F.col(name))).withColumn("_t", entity_type(F.col("_n"))).drop("_n")
     if typer is not unknown:
         answered = run(F.when(F.col("_t").isNull(), F.col(name)))
         ruled = ruled.withColumn("_a", answered).withColumn("_t", F.coalesce("_t", F.when(F.col("_a.label").isNotNull(), F.col("_a"))))
