@@ -39,10 +39,12 @@ def build(documents: DataFrame, tokenize: Callable[[DataFrame], DataFrame], root
     resolved = routing.resolve(routing.route(raw, root_map, buckets), classifier)
     routed = resolved.filter("edge_type is not null").withColumnRenamed("id", "document_id")
     rows = routed.withColumns({"agent": N.resolve_alias(F.col("agent")), "patient": N.resolve_alias(F.col("patient"))})
-    # each distinct mention is typed once, and the label joined to both ends
     mentions = routing.type_mentions(rows.select(F.explode(F.array("agent", "patient")).alias("name")).distinct(), typer=typer)
     for end in ("agent", "patient"):
-        rows = rows.join(mentions.select(F.col("name").alias(end), F.col("label").alias(f"{end}_label")), end)
+        if typer is routing.unknown:  # the rules alone: no need to join what they say
+            rows = rows.withColumn(f"{end}_label", F.coalesce(N.entity_type(F.col(end)), N.default_type())["label"])
+        else:  # each distinct mention is asked about once
+            rows = rows.join(mentions.select(F.col("name").alias(end), F.col("label").alias(f"{end}_label")), end)
     entities = mentions.withColumn("id", N.stable_id(F.lit("entity"), F.col("label"), F.col("name")))
     linked = upserts.link_relations(rows, entities.select("id", "label", "name"))
     ident = N.stable_id(F.col("document_id"), F.col("article_ord"), F.to_json("place"), F.col("pos"))

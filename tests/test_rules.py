@@ -265,9 +265,10 @@ def test_answer_and_build(spark):
     s = build.build(docs, lambda u: u.withColumn("tokens", tokens), roots, buckets)
     edge = s.edges.collect()
     assert [(r.edge_type, r.article_no, r.modality) for r in edge] == [("SUBMITS", 1, "의무")]
-    got = answer.answer_question(spark, "보고서 제출", s.entity_docs.select("id", "name", "label", F.col("embedding")), s.relation_docs, s.vertices, s.edges, top_k=2)
+    kept = [spark.createDataFrame(x.collect(), x.schema) for x in (s.entity_docs.select("id", "name", "label", "embedding"), s.relation_docs, s.vertices, s.edges)]
+    got = answer.answer_question(spark, "보고서 제출", *kept, top_k=2)
     assert got.edge_type_source == "keyword" and len(got.context) == 2 and not got.context_truncated
-    assert answer.answer_question(spark, "아무 말", s.entity_docs, s.relation_docs, s.vertices, s.edges.limit(0)).answer == answer.NOTHING
+    assert answer.answer_question(spark, "아무 말", *kept[:3], kept[3].limit(0)).answer == answer.NOTHING
 
 
 @pytest.mark.parametrize("how", [{"top_k": 0}, {"top_k": 21}, {"depth": 0}, {"depth": 4}, {"question": ""}])
