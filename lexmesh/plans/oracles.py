@@ -234,7 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "p03_units": f"WITH {W} SELECT doc_id, 0 AS article_ord, CAST(NULL AS INT) AS paragraph_no, 0 AS unit_ord, trim(w0 || ' 정한다.') AS unit_text FROM parts UNION ALL SELECT doc_id, 1, 1, 0, trim('가 ' || w1) FROM parts UNION ALL SELECT doc_id, 1, 1, 1, trim('나 ' || w2) FROM parts UNION ALL SELECT doc_id, 1, 1, 2, trim('다 ' || w3) FROM parts UNION ALL SELECT doc_id, 1, 21, 0, trim('라 ' || w4) FROM parts",
         "k05_upsert_documents": f"WITH {K05} SELECT file_path, CASE WHEN lang = 'fr' THEN 'new' ELSE lang END AS lang, CASE WHEN lang <> 'en' THEN 'new: ' || raw_text ELSE raw_text END AS raw_text, lang <> 'fr' AS known FROM d",
         "k06_get_or_create": f"WITH {NAMES}, {TYPED} SELECT label, name, bool_or(known) AS known FROM (SELECT 'Concept' AS label, name, TRUE AS known FROM names WHERE name LIKE '금융%' UNION ALL SELECT label, name, FALSE FROM typed) GROUP BY 1, 2",
-        "j05_link_relations": f"WITH {NAMES}, {TYPED} SELECT name AS agent, '이름' AS patient, count(*) AS n, max(least(length(name) * 400, 2000)) AS evidence, CAST(1 AS BIGINT) AS ids FROM typed WHERE EXISTS (SELECT 1 FROM typed WHERE name = '이름' AND label = 'Concept') GROUP BY 1",
+        "j05_link_relations": f"WITH {NAMES}, {TYPED} SELECT name AS agent, '이름' AS patient, count(*) AS n, max(least(length(name) * CASE WHEN id % 100 = 0 THEN 400 ELSE 1 END, 2000)) AS evidence, CAST(1 AS BIGINT) AS ids FROM typed WHERE EXISTS (SELECT 1 FROM typed WHERE name = '이름' AND label = 'Concept') GROUP BY 1",
         "g10_merge_entities": f"WITH {NAMES}, {RESOLVED}, {MERGES} SELECT coalesce(m.resolved, ent.name) AS name, count(*) AS n, min(ent.id) AS first FROM ent LEFT JOIN merges m USING (id) WHERE m.action IS NULL OR m.action = 'rename' GROUP BY 1",
         "j17_repoint": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id, target FROM merges WHERE action = 'merge') SELECT ent.id AS rid, coalesce(a.target, ent.id) AS source, coalesce(b.target, k) AS target FROM (SELECT *, id // 1000000 * 1000000 + id * 3 % 50 AS k FROM ent) ent LEFT JOIN t a ON a.id = ent.id LEFT JOIN t b ON b.id = ent.k",
         "a17_merge_report": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id FROM merges WHERE action = 'merge'), ends AS (SELECT id FROM ent UNION ALL SELECT id // 1000000 * 1000000 + id * 3 % 50 FROM ent) SELECT action, count(*) AS n FROM merges GROUP BY 1 UNION ALL SELECT 'repointed', (SELECT count(*) FROM ends WHERE id IN (SELECT id FROM t))",
