@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, jaccard, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc
+from . import ctw, decontaminate, jaccard, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,5 +52,9 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
