@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: The two word classes of the contracts, as Java patterns of what separates words.
+#: The word classes of the contracts, as Java patterns of what separates words.
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACES = r"[\x20\x09-\x0D]+"
+NOT_LETTER = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -157,6 +158,8 @@ def byte_table(separators: str, lower: bool) -> np.ndarray:
 def _separates(b: int, separators: str) -> bool:
     if separators == SPACES:
         return b == 0x20 or 9 <= b <= 13
+    if separators == NOT_LETTER and 0x30 <= b <= 0x39:
+        return True
     return b <= 0x2F or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b
 
 

@@ -28,6 +28,22 @@ either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, k.b FROM reach r JOIN either k ON k.a = r.b)
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = s.doc_id) AS component_id FROM s"""
 
+_LETTERS = rf"regexp_extract_all({_LOW}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13 = f"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i, {_LETTERS} AS w FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM d),
+tok AS (SELECT lang, source, i, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM tok GROUP BY 1, 2 HAVING count(DISTINCT i) >= 10),
+cnt AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM tok JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+lang_n AS (SELECT lang, sum(c) AS n, count(*) AS v FROM kept GROUP BY 1),
+n AS (SELECT lang, source, sum(c) AS n FROM cnt GROUP BY 1, 2),
+share AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (coalesce(n.n, 0) + 2 * l.v)::HUGEINT AS p, 1 + (1000000000::HUGEINT * (k.c + 2)) // (l.n + 2 * l.v)::HUGEINT AS q
+  FROM grp g JOIN kept k USING (lang) JOIN lang_n l USING (lang) LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+dist AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN dist d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM share WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked WHERE part = 'pair' OR r <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op4_warc": OP4, "op5_jaccard_join": OP5}
+    return {"op1_decontaminate": OP1, "op4_warc": OP4, "op5_jaccard_join": OP5, "op13_source_audit": OP13}
