@@ -2,7 +2,7 @@
 
 Equal texts of a language are collapsed first: tables of (language, text hash, source) say how often each source has
 them, and one of the copies is split into terms, whose occurrences and documents count as often as the text stands
-there. A term is a run of letters (A-Z lower-cased, all beyond ASCII as they are). A language keeps the terms of at
+there. Texts that a bitmap of hashes shows to stand once aren't moved for that. A term is a run of letters (A-Z lower-cased, all beyond ASCII as they are). A language keeps the terms of at
 least 10 of its documents. A group (language, source) gives each kept term the share
 p = 1 + floor(10^9 (count + 2) / (N + 2 V)), and two shares p, q are f = floor((p - q)^2 / (p + q)) apart.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_LETTER, byte_table, cut, iter_words, sliced
+from .common import NOT_LETTER, byte_table, cut, held_twice, in_bitmap, iter_words, sliced
 
 LEAST_DOCUMENTS, TOP = 10, 10
 #: Sources whose pairs make one matrix, and sources a collapsed text carries at most in one row.
@@ -41,14 +41,28 @@ _TABLE = byte_table(NOT_LETTER, lower=True)
 def collapsed(docs: DataFrame, parts: int) -> DataFrame:
     """(lang, text, sources): each text of a language once, with (source, n) of those that have it.
 
-    parts: into so many rows a text's sources are dealt, by a hash of the source, so that no list is unbounded.
+    Texts that surely stand once, by a bitmap of the hashes that may stand twice, stay where they are; only the
+    others are shuffled. parts: into so many rows a text's sources are dealt, by a hash of the source, so that no
+    list is unbounded.
     """
-    hashed = docs.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    rows = docs.withColumn("h1", F.xxhash64("lang", "text"))
+    twice = docs.sparkSession.sparkContext.broadcast(held_twice(rows.select("h1")))
+
+    def keep(repeated: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in sliced(batches):
+                yield b.filter(pa.array(in_bitmap(twice.value, b.column("h1").to_numpy()) == repeated))
+
+        return rows.mapInArrow(run, "lang string, source string, text string, h1 long")
+
+    lone = keep(False).select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("sources"))
+    hashed = keep(True).withColumn("h2", F.xxhash64(F.lit(1), "text"))
     keys = ["lang", "h1", "h2"]
     counted = hashed.groupBy(*keys, "source").agg(F.count("*").alias("n"))
     part = F.pmod(F.xxhash64("source"), F.lit(parts))
     sources = counted.groupBy(*keys, part.alias("part")).agg(F.collect_list(F.struct("source", "n")).alias("sources"))
-    return hashed.select(*keys, "text").dropDuplicates(keys).join(sources, keys).select("lang", "text", "sources")
+    texts = hashed.select(*keys, "text").dropDuplicates(keys).join(sources, keys)
+    return lone.unionByName(texts.select("lang", "text", "sources"))
 
 
 def _terms(texts: DataFrame) -> DataFrame:
