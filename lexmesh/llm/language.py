@@ -20,6 +20,7 @@ stand there. Empty tables give no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,8 +36,8 @@ from .common import KEPT, cut, sliced
 LONGEST, PROFILE = 5, 400
 LANGUAGES = 1 << 14
 UNKNOWN = "und"
-#: Characters of a text that are looked at together, entries that a task counts before it passes them on, and n-grams it knows by number.
-CHUNK, HELD, KNOWN = 1 << 20, 1 << 18, 1 << 19
+#: Characters of a text that are looked at together, entries that a task counts before it passes them on, n-grams that a worker knows by number, and the longest word whose n-grams it remembers.
+CHUNK, HELD, KNOWN, REMEMBERED = 1 << 20, 1 << 18, 1 << 19, 64
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _GAP = regex.compile(r"[^\p{L}\p{M}]")
@@ -130,7 +131,7 @@ class Scorer:
                 self.tie.append(xxhash.xxh64_intdigest(g))
             ids.append(i)
         out = np.array(ids, np.int32)
-        if len(word) <= CHUNK >> 14:
+        if len(word) <= REMEMBERED:
             self.words[word] = out
         return out
 
@@ -176,12 +177,13 @@ def predict(docs: DataFrame, learned: DataFrame) -> DataFrame:
         raise ValueError(f"{languages} values of lang: profiles of more than {LANGUAGES} languages aren't broadcast")
     model = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in learned.orderBy("lang", "rank").collect()])
     kind = docs.schema["doc_id"].dataType.simpleString()
+    name = uuid.uuid4().hex  # tells this model from others in a worker
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = KEPT.get("language")
         for b in sliced(batches):
-            if held is None or held[0] != model.id:
-                held = (model.id, Scorer(model.value))
+            if held is None or held[0] != name:
+                held = (name, Scorer(model.value))
             KEPT["language"] = held  # for the worker's next task
             made = [held[1].predict(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, divergence, jaccard, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc, whitening
+from . import ctw, decontaminate, divergence, jaccard, language, licenses, linededup, packing, quality_pu, quality_rules, sharding, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
