@@ -34,6 +34,8 @@ LEAST_DOCUMENTS, TOP = 10, 10
 WIDTH, LISTED = 64, 4096
 #: Counters that a task holds before it passes them on, and numbers in a block of shares.
 HELD, AT_ONCE = 1 << 19, 1 << 18
+#: Kept terms that are sent to the counts at most; more of them are joined by a shuffle.
+SENT = 1 << 20
 
 _TABLE = byte_table(NOT_LETTER, lower=True)
 
@@ -206,7 +208,9 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> Data
     most = groups.agg(F.max("slot")).first()[0] or 0
     counted = cut(_terms(collapsed(docs, 1 + most // LISTED)).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")))
 
-    kept = counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs")
+    kept = cut(counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs"))
+    if kept.count() <= SENT:
+        kept = F.broadcast(kept)
     rows = cut(counted.drop("docs").join(kept, ["lang", "term"]))
     whole = rows.groupBy("lang").agg(F.sum("count").alias("lang_n"))
     whole = whole.join(rows.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v")), "lang")
