@@ -33,7 +33,7 @@ LEAST_DOCUMENTS, TOP = 10, 10
 #: Sources whose pairs make one matrix, and sources a collapsed text carries at most in one row.
 WIDTH, LISTED = 64, 4096
 #: Counters that a task holds before it passes them on, and numbers in a block of shares.
-HELD, AT_ONCE = 1 << 19, 1 << 18
+HELD, AT_ONCE = 1 << 18, 1 << 18
 #: Kept terms that are sent to the counts at most; more of them are joined by a shuffle.
 SENT = 1 << 20
 
@@ -41,7 +41,7 @@ _TABLE = byte_table(NOT_LETTER, lower=True)
 
 
 def collapsed(docs: DataFrame, parts: int) -> DataFrame:
-    """(lang, text, sources): each text of a language once, with (source, n) of those that have it.
+    """(lang, source, term, count, docs) with each text of a language split into terms once; a key may have several rows.
 
     Texts that surely stand once, by a bitmap of the hashes that may stand twice, stay where they are; only the
     others are shuffled. parts: into so many rows a text's sources are dealt, by a hash of the source, so that no
@@ -49,26 +49,27 @@ def collapsed(docs: DataFrame, parts: int) -> DataFrame:
     """
     rows = docs.withColumn("h1", F.xxhash64("lang", "text"))
     twice = docs.sparkSession.sparkContext.broadcast(held_twice(rows.select("h1")))
+    alone = rows.select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("sources"), "h1")
+    return _terms(alone, twice).unionByName(_terms(repeated(rows, twice, parts)))
 
-    def keep(repeated: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in sliced(batches):
-                yield b.filter(pa.array(in_bitmap(twice.value, b.column("h1").to_numpy()) == repeated))
 
-        return rows.mapInArrow(run, "lang string, source string, text string, h1 long")
+def repeated(rows: DataFrame, twice, parts: int) -> DataFrame:
+    """(lang, text, sources): the texts whose hash may stand twice, each of a language once, with (source, n) of those that have it."""
 
-    lone = keep(False).select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("sources"))
-    hashed = keep(True).withColumn("h2", F.xxhash64(F.lit(1), "text"))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            yield b.filter(pa.array(in_bitmap(twice.value, b.column("h1").to_numpy())))
+
+    hashed = rows.select("lang", "source", "text", "h1").mapInArrow(keep, "lang string, source string, text string, h1 long").withColumn("h2", F.xxhash64(F.lit(1), "text"))
     keys = ["lang", "h1", "h2"]
     counted = hashed.groupBy(*keys, "source").agg(F.count("*").alias("n"))
     part = F.pmod(F.xxhash64("source"), F.lit(parts))
     sources = counted.groupBy(*keys, part.alias("part")).agg(F.collect_list(F.struct("source", "n")).alias("sources"))
-    texts = hashed.select(*keys, "text").dropDuplicates(keys).join(sources, keys)
-    return lone.unionByName(texts.select("lang", "text", "sources"))
+    return hashed.select(*keys, "text").dropDuplicates(keys).join(sources, keys).select("lang", "text", "sources")
 
 
-def _terms(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, count, docs) of collapsed texts; a task may give several rows for the same key."""
+def _terms(texts: DataFrame, twice=None) -> DataFrame:
+    """The terms of texts (lang, text, sources); with a bitmap, of those alone whose h1 isn't in it."""
     kind = "lang string, source string, term string, count long, docs long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,6 +94,8 @@ def _terms(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([langs.take(which), sources.take(which), words, pa.array(n[some]), pa.array(docs[some])], ["lang", "source", "term", "count", "docs"])
 
         for b in sliced(batches):
+            if twice is not None:
+                b = b.filter(pa.array(~in_bitmap(twice.value, b.column("h1").to_numpy())))
             listed = b.column("sources")
             ends = np.r_[0, np.cumsum([len(x) for x in listed])]
             flat = listed.flatten()
@@ -206,7 +209,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> Data
     slot = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - F.lit(1)
     groups = cut(docs.select("lang", "source").distinct().withColumn("slot", slot.cast("long")))
     most = groups.agg(F.max("slot")).first()[0] or 0
-    counted = cut(_terms(collapsed(docs, 1 + most // LISTED)).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")))
+    counted = cut(collapsed(docs, 1 + most // LISTED).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")))
 
     kept = cut(counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs"))
     if kept.count() <= SENT:

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexmesh.llm import divergence
+from lexmesh.llm import common, divergence
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,12 +83,14 @@ def test_more_sources_than_a_matrix_has(spark, monkeypatch):
 
 
 def test_collapsed_texts(spark):
-    """Each text of a language once, its sources with how often they have it."""
+    """Each text of a language that stands twice is taken once, its sources with how often they have it."""
     rows = [("en", "a", "x y")] * 3 + [("en", "b", "x y"), ("de", "a", "x y"), ("en", "a", "x"), ("en", "a", "")]
-    got = divergence.collapsed(spark.createDataFrame(rows, "lang string, source string, text string"), 1).collect()
-    assert sorted((r["lang"], r["text"], sorted(tuple(s) for s in r["sources"])) for r in got) == [
-        ("de", "x y", [("a", 1)]), ("en", "", [("a", 1)]), ("en", "x", [("a", 1)]), ("en", "x y", [("a", 3), ("b", 1)]),
-    ]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").withColumn("h1", F.xxhash64("lang", "text"))
+    twice = spark.sparkContext.broadcast(common.held_twice(docs.select("h1")))
+    got = divergence.repeated(docs, twice, 1).collect()
+    assert [(r["lang"], r["text"], sorted(tuple(s) for s in r["sources"])) for r in got] == [("en", "x y", [("a", 3), ("b", 1)])]
+    terms = divergence.collapsed(docs.drop("h1"), 1).groupBy("lang", "source", "term").agg(F.sum("count"), F.sum("docs")).collect()
+    assert sorted(map(tuple, terms)) == [("de", "a", "x", 1, 1), ("de", "a", "y", 1, 1), ("en", "a", "x", 4, 4), ("en", "a", "y", 3, 3), ("en", "b", "x", 1, 1), ("en", "b", "y", 1, 1)]
 
 
 @pytest.mark.parametrize("n, v, c", [(0, 1, 0), (7, 3, 5), (10**13, 10**8, 10**13), (3 * 10**14, 10**9, 1), (10**12, 7, 999_999_999_999)])
