@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores before them where columns, in any case, has them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def truthy(c: Column) -> Column:
     """Not null and not empty."""
     return F.nullif(c, F.lit("")).isNotNull()
@@ -37,18 +51,38 @@ def resolve_alias(c: Column) -> Column:
 
 def is_law(c: Column) -> Column:
     """Ends like a legal instrument, is longer than the ending, and isn't one of the words that only look so."""
-    ends = F.exists(F.array(*map(F.lit, vocab.LAW_SUFFIXES)), lambda s: F.endswith(c, s) & (F.length(c) > F.length(s)))
+    ends = reduce(Column.__or__, (F.endswith(c, F.lit(s)) & (F.length(c) > len(s)) for s in vocab.LAW_SUFFIXES))
     return ~c.isin(*vocab.NOT_LAWS) & ends
 
 
+def suffix_index(groups: tuple[tuple[str, list[str]], ...]) -> dict[str, tuple[str, str]]:
+    """From each suffix to the (label, suffix) that a name ending in it gets.
+
+    A name's longest suffix of all tells which others it has: those that the longest one ends in itself. So
+    the first of them in the order of the rules is known beforehand.
+    """
+    rules = [(label, s) for label, group in groups for s in group]
+    return {s: next((label, t) for label, t in rules if s.endswith(t)) for _, s in rules}
+
+
 def entity_type(c: Column) -> Column:
-    """struct(label, subtype, method) by suffix: law, person, organisation, concept; null without a match."""
-    groups = (("Person", vocab.PERSON_SUFFIXES), ("Organization", vocab.ORG_SUFFIXES), ("Concept", vocab.CONCEPT_SUFFIXES))
-    rules = F.array(*(F.struct(F.lit(s).alias("suffix"), F.lit(label).alias("label")) for label, group in groups for s in group))
-    rule = F.get(F.filter(rules, lambda r: F.endswith(c, r["suffix"])), F.lit(0))
-    kind = lambda label, subtype: F.struct(label.alias("label"), subtype.alias("subtype"), F.lit("dict").alias("method"))
-    found = F.get(F.transform(F.array(rule), lambda r: F.when(r.isNotNull(), kind(r["label"], r["suffix"]))), F.lit(0))
-    return F.when(is_law(c), kind(F.lit("LegalDocument"), F.lit("법령"))).otherwise(found)
+    """struct(label, subtype, method) by suffix: law, person, organisation, concept; null without a match.
+
+    One lookup in a hashed set for each length that suffixes have, longest first.
+    """
+    index = suffix_index((("Person", vocab.PERSON_SUFFIXES), ("Organization", vocab.ORG_SUFFIXES), ("Concept", vocab.CONCEPT_SUFFIXES)))
+    kind = lambda label, subtype: F.struct(F.lit(label).alias("label"), subtype.alias("subtype"), F.lit("dict").alias("method"))
+    found = F.when(is_law(c), kind("LegalDocument", F.lit("법령")))
+    for n in sorted({len(s) for s in index}, reverse=True):
+        end = F.right(c, F.lit(n))
+        for s, (label, first) in index.items():
+            if len(s) == n and first != s:  # a shorter suffix comes before it in the rules
+                found = found.when(end == s, kind(label, F.lit(first)))
+        for label in dict.fromkeys(label for label, _ in index.values()):
+            own = [s for s, (to, first) in index.items() if len(s) == n and to == label and first == s]
+            if own:
+                found = found.when(end.isin(*own), kind(label, end))
+    return found
 
 
 def default_type() -> Column:

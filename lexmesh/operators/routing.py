@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import clause_text, default_type, entity_type, resolve_alias
+from ..functions.names import clause_text, default_type, entity_type, resolve_alias, unused
 from ..functions.vocab import EDGE_CATEGORIES, EDGE_TYPES, KEYWORDS, NODE_LABELS
 
 Classifier = Callable[[list[str], list[list[str]]], list[str | None]]
@@ -140,24 +140,26 @@ def build_counters(raw: DataFrame, resolved: DataFrame, entities: DataFrame) ->
 def type_mentions(mentions: DataFrame, name: str = "name", typer: Typer = unknown) -> DataFrame:
     """mentions with label, subtype and method: the rules on the resolved name, then the typer on the name itself, or the default.
 
-    The typer sees only what the rules leave open; a label of its that isn't one of the closed set is no answer.
+    The typer sees each distinct name that the rules leave open once; a label of its that isn't one of the closed set
+    is no answer. Columns of mentions that have the names of the new ones are replaced.
     """
 
     @F.pandas_udf("struct<label: string, subtype: string, method: string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for names in batches:
-            out: list = [(None, None, None)] * len(names)
-            open_ = [k for k, n in enumerate(names) if n is not None]
-            wanted = [names.iloc[k] for k in open_]
-            for k, got in zip(open_, _in_batches(lambda i, j: typer(wanted[i:j]), len(wanted)), strict=True):  # noqa: B023
+            wanted = names.tolist()
+            out: list = [(None, None, None)] * len(wanted)
+            for k, got in enumerate(_in_batches(lambda i, j: typer(wanted[i:j]), len(wanted))):  # noqa: B023
                 if got is not None and got[0] in NODE_LABELS:
                     out[k] = (got[0], got[1], "llm")
             yield pd.DataFrame(out, columns=["label", "subtype", "method"])
 
-    kept = mentions.columns
+    kept = [c for c in mentions.columns if c not in ("label", "subtype", "method")]
+    resolved, kind, answer = unused(mentions.columns, "resolved", "kind", "answer")
     # a column of its own, so that the name is resolved once a row however often the rules look at it
-    ruled = mentions.withColumn("_n", resolve_alias(F.col(name))).withColumn("_t", entity_type(F.col("_n"))).drop("_n")
+    ruled = mentions.withColumn(resolved, resolve_alias(F.col(name))).withColumn(kind, entity_type(F.col(resolved))).drop(resolved)
     if typer is not unknown:
-        answered = run(F.when(F.col("_t").isNull(), F.col(name)))
-        ruled = ruled.withColumn("_a", answered).withColumn("_t", F.coalesce("_t", F.when(F.col("_a.label").isNotNull(), F.col("_a"))))
-    return ruled.withColumn("_t", F.coalesce("_t", default_type())).select(*kept, "_t.label", "_t.subtype", "_t.method")
+        asked = ruled.filter(F.col(kind).isNull() & F.col(name).isNotNull()).select(name).distinct()
+        answers = asked.withColumn(answer, run(F.col(name))).filter(F.col(answer)["label"].isNotNull())
+        ruled = ruled.join(answers, name, "left").withColumn(kind, F.coalesce(kind, answer))
+    return ruled.withColumn(kind, F.coalesce(kind, default_type())).select(*kept, f"{kind}.label", f"{kind}.subtype", f"{kind}.method")

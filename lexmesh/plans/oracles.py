@@ -149,6 +149,8 @@ ways AS (SELECT *, CASE WHEN n % 3 <> 0 AND n % 2 <> 0 THEN 'mapped' WHEN n % 3
 answers AS (SELECT *, CASE WHEN route IN ('mapped', 'non_action') OR len % 5 IN (0, 1) THEN NULL WHEN route = 'needs_context' THEN CASE WHEN len % 5 = 2 THEN NULL ELSE [m, alt][1 + len % 2] END WHEN len % 5 = 2 THEN 'NONE' ELSE list_append({_TYPES}, 'NONE')[1 + len % 65] END AS answer FROM ways),
 res AS (SELECT *, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN m WHEN answer <> 'NONE' THEN answer END AS edge_type, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN 'rule' WHEN answer <> 'NONE' THEN 'llm_disambiguation' END AS extraction_method,
   CASE WHEN route = 'mapped' THEN 'rule' WHEN route = 'non_action' THEN 'skipped_non_action_root' WHEN route = 'needs_context' AND answer IS NULL THEN 'rule,llm_disambiguation_fallback' WHEN answer IS NULL THEN 'skipped_llm_disambiguation_failed' WHEN answer = 'NONE' THEN 'skipped_llm_none' WHEN route = 'unmapped' THEN 'llm_disambiguation_unmapped_root' ELSE 'llm_disambiguation' END AS counters FROM answers)"""
+LAWS_MATCHED = """m0 AS (SELECT c_custkey AS no, CASE WHEN c_custkey = 4 THEN '첫 째 ' ELSE replace(c_name, '#', ' · ') END AS name, CASE WHEN c_custkey = 4 THEN 1 ELSE c_custkey END AS k FROM customer),
+m AS (SELECT no, name, k, CASE WHEN k % 3 <> 0 THEN replace(c_name, '#', 'ㆍ') END AS directory, k = 1 AND k % 3 <> 0 AS alias_applied FROM m0 JOIN customer ON c_custkey = k)"""
 LINE_GROUPS = "g AS (SELECT 'r' || l_partkey AS root, count(*) AS c FROM lineitem GROUP BY 1)"
 
 
@@ -156,7 +158,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "s12_vertex_lookup": f"WITH {VERTICES}, {_seeds()} SELECT v.* FROM v WHERE id IN (SELECT id FROM seeds)",
         "s10_props_json": "SELECT event_type, count(CAST(json_extract(props, '$.k') AS BIGINT)) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1",
-        "s03_front_matter": "SELECT doc_id, source AS title, lang FROM documents",
+        "s03_front_matter": "SELECT doc_id, source AS title, lang, CAST(doc_id AS VARCHAR) AS no, CAST(NULL AS VARCHAR) AS none, 'a, b|' || doc_id AS \"of\", 'x|it''s' AS \"by\" FROM documents",
         "s01_law_list": "SELECT n_nationkey AS no, n_name AS name FROM nation",
         "s04_manifest": "SELECT CAST(o_custkey AS INT) AS no, 'law' || o_custkey AS source_law, o_orderstatus AS doc_type, CAST(o_orderkey AS VARCHAR) AS law_mst, strftime(o_orderdate, '%Y-%m-%d') AS promulgation_date, array_to_string(string_split(o_orderpriority, '-'), ', ') AS competent_ministry, 'd' || o_custkey || '/o' || o_orderkey || '.md' AS file_path FROM orders",
         "s10_pairs": "SELECT key, CAST(sum(n) AS BIGINT) AS n FROM (SELECT max(p_type) AS key, count(*) AS n FROM part GROUP BY p_brand) GROUP BY 1",
@@ -190,6 +192,7 @@ def oracle_sql() -> dict[str, str]:
         "k10_merge_edges": f"WITH {EDGES} SELECT edge_type, count(*) AS n, count(DISTINCT id) AS n_ids FROM (SELECT * FROM e WHERE edge_type <> 'SUPPLIED_BY' UNION ALL SELECT DISTINCT ON (id) * FROM e WHERE edge_type = 'SUPPLIED_BY') GROUP BY 1",
         "k09_upsert_nodes": f"WITH {VERTICES} SELECT id, label, CASE WHEN label <> 'Concept' THEN upper(name) ELSE name END AS name FROM v",
         "t01_knn_entities": f"WITH {_near(5, 'vec_id')} SELECT id, label, cosine, round((1 + cosine) / 2, 6) AS score FROM near",
+        "k13_vector_index": f"WITH {_near(5, 'vec_id')} SELECT id, label, cosine, round((1 + cosine) / 2, 6) AS score FROM near",
         "t02_knn_relations": f"WITH {_near(20, 'vec_id DESC', 'label IS NOT NULL')} SELECT id, 'p' || id AS source, 's' || label AS target, cosine FROM near",
         "c21_cosine": "SELECT vec_id AS id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1)), 5) AS cosine FROM embeddings",
         "t09_seeds_by_score": f"WITH {_seeds(20)} SELECT id, round(score, 6) AS score, ord FROM seeds",
@@ -250,14 +253,16 @@ def oracle_sql() -> dict[str, str]:
         "s07_ambiguous_roots": f"WITH {LINE_GROUPS} SELECT root FROM g",
         "s08_non_action_roots": "SELECT 'r' || l_partkey AS root FROM lineitem UNION SELECT 'r' || l_suppkey FROM lineitem UNION SELECT 'r' || o_custkey FROM orders",
         "s09_dictionary": "SELECT p_name || ' ' || p_partkey AS form, p_brand AS tag FROM part WHERE p_partkey % 5 <> 0",
-        "j01_law_directories": "WITH c AS (SELECT c_custkey AS no, replace(c_name, '#', ' · ') AS name, replace(c_name, '#', 'ㆍ') AS dir FROM customer) SELECT no, CASE WHEN no = 4 THEN '첫째' ELSE name END AS name, CASE WHEN no = 4 THEN (SELECT dir FROM c WHERE no = 1) WHEN no % 3 <> 0 THEN dir END AS directory, no IN (1, 4) AND (no = 4 OR name <> dir) AS alias_applied FROM c",
+        "j01_law_directories": f"WITH {LAWS_MATCHED} SELECT no, name, directory, alias_applied FROM m",
+        "k01_manifest": f"WITH {LAWS_MATCHED} SELECT CAST(no AS INT) AS no, name AS source_law, '법률' AS doc_type, CAST(k AS VARCHAR) AS law_mst, '2020-01-31' AS promulgation_date, k || ', a, b' AS competent_ministry, directory || '/' || f || '.md' AS file_path FROM m, (SELECT unnest(['a', 'b']) AS f) WHERE directory IS NOT NULL",
+        "s02_sorted_copy": f"WITH {LAWS_MATCHED}, d AS (SELECT DISTINCT directory, k FROM m WHERE directory IS NOT NULL) SELECT directory, f || '.md' AS file, CASE WHEN f = 'b' THEN 'a.md' END AS before, CAST(length('---\n법령구분: ''법률'' # kind\n법령MST: 0\n법령MST: \n공포일자: 2020-01-31\n소관부처: [, \"a, b\"]\n---\n') + 2 * length(CAST(k AS VARCHAR)) + length(c_mktsegment) AS INT) AS n FROM d JOIN customer ON c_custkey = k, (SELECT unnest(['a', 'b']) AS f)",
         "k02_bucketed_roots": f"WITH {LINE_GROUPS} SELECT {_pick(['REF', 'DEF', 'ACTION'], 'c')} AS bucket, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM g GROUP BY 1",
         "k03_mapped_split": f"WITH {LINE_GROUPS} SELECT CASE WHEN c % 3 <> 0 THEN 'mapped' ELSE 'unmapped' END AS kind, CASE WHEN c % 3 <> 0 THEN {_pick(V.EDGE_TYPES, 'c')} END AS edge_type, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM g GROUP BY ALL",
         "k04_frequency_file": "SELECT 'part ' || l_partkey AS key, count(*) AS n FROM lineitem GROUP BY 1",
         "k07_append_relations": f"WITH {EDGES} SELECT edge_type, count(*) AS n, count(DISTINCT id) AS n_ids FROM e WHERE edge_type IN ('PLACED_BY', 'IN_NATION') GROUP BY 1",
         "k08_truncate": f"WITH {EDGES} SELECT id, edge_type, src, dst FROM e WHERE edge_type = 'IN_REGION'",
         "a07_by_method": f"WITH {NAMES}, {TYPED} SELECT method, label, count(*) AS n FROM typed GROUP BY ALL",
-        "c17_tagged_values": "SELECT p_partkey AS id, p_brand AS label FROM part",
+        "c17_tagged_values": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'numeric' WHEN 1 THEN NULL ELSE 'path' END AS tag, CASE WHEN p_partkey % 5 = 1 THEN '{' || p_partkey END AS raw, CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS VARCHAR) END AS scalar, CASE WHEN p_partkey % 5 > 1 THEN p_brand || '::vertex' END AS label, CASE WHEN p_partkey % 5 > 1 THEN 'vertex,edge,edge' END AS kinds FROM part",
         "c19_stable_ids": "WITH i AS (SELECT sha256('document' || chr(31) || source || chr(31) || doc_id) AS id FROM documents) SELECT count(*) AS n, count(DISTINCT id) AS n_ids, min(id) AS first FROM i",
         "flagship": f"WITH {VERTICES}, {_paths(2, bound='(SELECT count(*) FROM adj d WHERE d.a = p.seed) <= 300')}, {PATH_EDGES} SELECT line FROM ctx",
     }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocab
-from ..operators import clauses, ordering, routing, stats, structure, traversal, upserts, vectors
+from ..operators import clauses, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
 from ..sources import readers, sinks
 from . import build
 from . import standins as S
@@ -40,8 +40,12 @@ def s10_props_json(spark, sf):
 
 
 def s03_front_matter(spark, sf):
-    m = readers.front_matter(F.col("raw_text"))
-    return S.statutes(spark, sf).select("doc_id", F.try_element_at(m, F.lit("title")).alias("title"), F.try_element_at(m, F.lit("lang")).alias("lang"))
+    """With a list, a repeated key, quotes and a comment before the text."""
+    d = F.col("doc_id").cast("string")
+    more = F.concat(F.lit("---\nno: 0 # first\nof: ['a, b', "), d, F.lit("]\nby:\n  - x\n  - 'it''s'\nno: \""), d, F.lit("\" # last\nnone: ~\n"))
+    rows = S.statutes(spark, sf).withColumn("m", readers.front_matter(F.concat(more, F.substring("raw_text", 5, 1 << 30))))
+    listed = lambda k: F.array_join(F.try_element_at("m", F.lit(k)), "|").alias(k)
+    return rows.select("doc_id", *(readers.one_of(F.col("m"), k).alias(k) for k in ("title", "lang", "no", "none")), listed("of"), listed("by"))
 
 
 def s01_law_list(spark, sf):
@@ -226,6 +230,13 @@ def t01_knn_entities(spark, sf):
     return vectors.nearest(docs, docs.orderBy("id").first()["embedding"], TOP_K).select("id", "label", "cosine", F.round("score", 6).alias("score"))
 
 
+def k13_vector_index(spark, sf):
+    """An index of all vectors, and the exact search in it."""
+    docs = S.seed_vectors(spark, sf)
+    index = vector_index.build(docs, sinks.shared_folder(spark))
+    return vector_index.search(index, docs.orderBy("id").first()["embedding"], TOP_K).select("id", "label", "cosine", F.round("score", 6).alias("score"))
+
+
 def t02_knn_relations(spark, sf):
     docs = S.seed_vectors(spark, sf).filter("label is not null")
     near = vectors.nearest(docs, docs.orderBy(F.desc("id")).first()["embedding"], 20)
@@ -529,9 +540,15 @@ def a07_by_method(spark, sf):
 
 
 def c17_tagged_values(spark, sf):
-    text = F.concat(F.lit('[{"id": '), F.col("p_partkey").cast("string"), F.lit(', "label": "'), F.col("p_brand"), F.lit('"}::vertex]::path'))
-    found = readers.untagged(text, "array<struct<id: long, label: string>>")
-    return S.table(spark, sf, "part").select(F.get(found, F.lit(0)).alias("v")).select("v.id", "v.label")
+    """Paths of tagged elements, scalars and texts that can't be parsed; a tag within a string stays."""
+    k = F.col("p_partkey").cast("string")
+    path = F.concat(F.lit('[{"id": '), k, F.lit(', "label": "'), F.col("p_brand"), F.lit('::vertex"}::vertex, {}::edge, {"id": 7}::edge]::path'))
+    text = F.when(F.col("p_partkey") % 5 == 0, F.concat(k, F.lit("::numeric"))).when(F.col("p_partkey") % 5 == 1, F.concat(F.lit("{"), k)).otherwise(path)
+    v = F.col("v")
+    each = F.from_json(v["json"], "array<struct<id: long, label: string, _agtype: string>>")
+    rows = S.table(spark, sf, "part").select("p_partkey", readers.parsed_value(text).alias("v"))
+    rows = rows.withColumn("each", F.when(v["tag"] == "path", each))
+    return rows.select("p_partkey", v["tag"].alias("tag"), v["raw"].alias("raw"), F.when(v["tag"] != "path", v["json"]).alias("scalar"), F.get("each", F.lit(0))["label"].alias("label"), F.array_join(F.transform("each", lambda e: e["_agtype"]), ",").alias("kinds"))
 
 
 def c20_date_text(spark, sf):
@@ -602,14 +619,35 @@ def s09_dictionary(spark, sf):
     return readers.dictionary(spark, path)
 
 
-def j01_law_directories(spark, sf):
-    """Laws by number and name to their folders by the normalised name, an alias first; laws without one are kept."""
+def _laws(spark, sf):
+    """Laws of customers (no, name), their files, and an alias: names have spaces and dots, one law in three no files."""
     c = S.table(spark, sf, "customer")
-    laws = c.select(F.col("c_custkey").alias("no"), F.when(F.col("c_custkey") == 4, "첫째").otherwise(F.replace("c_name", F.lit("#"), F.lit(" · "))).alias("name"))
-    files = c.filter(F.col("c_custkey") % 3 != 0).select(F.concat(F.lit("/kr/"), F.replace("c_name", F.lit("#"), F.lit("ㆍ")), F.lit("/a.md")).alias("file_path"))
-    first = N.normalize(F.replace("c_name", F.lit("#"), F.lit("ㆍ")))
-    alias = c.filter("c_custkey = 1").select(first.alias("n")).first()["n"]
-    return readers.match_laws(laws, readers.directory_index(files), {"첫째": alias}).select("no", "name", "directory", "alias_applied")
+    laws = c.select(F.col("c_custkey").alias("no"), F.when(F.col("c_custkey") == 4, "첫 째 ").otherwise(F.replace("c_name", F.lit("#"), F.lit(" · "))).alias("name"))
+    k = F.col("c_custkey").cast("string")
+    text = F.concat(F.lit("---\n법령구분: '법률' # kind\n법령MST: 0\n법령MST: "), k, F.lit("\n공포일자: 2020-01-31\n소관부처: ["), k, F.lit(', "a, b"]\n---\n'), F.col("c_mktsegment"))
+    files = c.filter(F.col("c_custkey") % 3 != 0).select(F.explode(F.array(F.lit("b"), F.lit("a"))).alias("f"), "c_name", text.alias("raw_text")).select(F.concat(F.lit("/kr/"), F.replace("c_name", F.lit("#"), F.lit("ㆍ")), F.lit("/"), "f", F.lit(".md")).alias("file_path"), "raw_text")
+    alias = c.filter("c_custkey = 1").select(N.normalize(F.replace("c_name", F.lit("#"), F.lit("ㆍ"))).alias("n")).first()["n"]
+    return readers.match_laws(laws, readers.directory_index(files), {"첫째": alias}), files
+
+
+def j01_law_directories(spark, sf):
+    """Laws by number and name to their folders by the normalised name, an alias of that first; laws without one are kept."""
+    return _laws(spark, sf)[0].select("no", "name", "directory", "alias_applied")
+
+
+def k01_manifest(spark, sf):
+    """The manifest as JSON lines, written from front matter and read again as documents."""
+    path, (matched, files) = sinks.shared_folder(spark), _laws(spark, sf)
+    sinks.manifest(readers.law_files(matched, files), path)
+    return readers.manifest_documents(readers.manifest_laws(spark, path)).select("no", "source_law", "doc_type", "law_mst", "promulgation_date", "competent_ministry", "file_path")
+
+
+def s02_sorted_copy(spark, sf):
+    """The files of matched laws, copied in order: a file and the one before it in its folder."""
+    path, (matched, files) = sinks.shared_folder(spark), _laws(spark, sf)
+    sinks.copy_files(files, matched, path)
+    w = Window.partitionBy("directory").orderBy("file")
+    return spark.read.parquet(path).select("directory", "file", F.lag("file").over(w).alias("before"), F.length("raw_text").alias("n"))
 
 
 def k02_bucketed_roots(spark, sf):

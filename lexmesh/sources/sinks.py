@@ -41,9 +41,15 @@ def pairs_json(counts: DataFrame, key: str, n: str) -> DataFrame:
     return counts.orderBy(F.desc(n), key).select(F.to_json(F.array(F.col(key), F.col(n).cast("string"))).alias("value"))
 
 
-def manifest_json(laws: DataFrame) -> DataFrame:
-    """One JSON document of laws with their files and of what is missing: a row per law goes in, so it is small."""
-    entry = F.struct("no", "requested_name", "matched_dir", "alias_applied", "files")
-    found = F.array_sort(F.collect_list(F.when(F.col("matched_dir").isNotNull(), entry)))
-    missing = F.array_sort(F.collect_list(F.when(F.col("matched_dir").isNull(), F.struct("no", "requested_name"))))
-    return laws.agg(F.to_json(F.struct(found.alias("laws"), missing.alias("missing"))).alias("value"))
+def manifest(laws: DataFrame, path: str) -> None:
+    """Laws with their files as JSON lines below path/laws, what is missing below path/missing. Each law is a line of its own."""
+    found = F.col("matched_dir").isNotNull()
+    laws.filter(found).select("no", "requested_name", "matched_dir", "alias_applied", "files").sort("no").write.mode("overwrite").json(f"{path}/laws")
+    laws.filter(~found).select("no", "requested_name").sort("no").write.mode("overwrite").json(f"{path}/missing")
+
+
+def copy_files(files: DataFrame, matched: DataFrame, path: str) -> None:
+    """The files of matched laws as a table of (directory, file, raw_text), a folder for each law, files in order of their names."""
+    rows = files.select(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("directory"), F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file"), "raw_text")
+    own = rows.join(matched.select("directory").distinct(), "directory", "left_semi")
+    own.repartitionByRange("directory", "file").sortWithinPartitions("directory", "file").write.mode("overwrite").partitionBy("directory").parquet(path)
