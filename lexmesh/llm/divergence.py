@@ -96,6 +96,8 @@ def _terms(texts: DataFrame, twice=None) -> DataFrame:
         for b in sliced(batches):
             if twice is not None:
                 b = b.filter(pa.array(~in_bitmap(twice.value, b.column("h1").to_numpy())))
+                if not b.num_rows:
+                    continue
             listed = b.column("sources")
             ends = np.r_[0, np.cumsum([len(x) for x in listed])]
             flat = listed.flatten()
