@@ -79,9 +79,11 @@ def build(docs: DataFrame, path: str, key: str = "id", vector: str = "embedding"
 
     rows = usable.withColumn("centred", assign(F.col(vector).cast("array<double>"))).withColumn("cell", F.col("centred.cell"))
     # files of one cell each; a cell of many rows is split over several
-    rows.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
     found = []
-    if n:
+    if n == 0:  # a file without rows, for its columns
+        rows.write.mode("overwrite").parquet(f"{path}/rows")
+    else:
+        rows.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
         found = spark.read.parquet(f"{path}/rows").groupBy("cell").agg(F.count("*").alias("n"), F.min("centred.cosine").alias("cosine")).collect()
     about = [(r["cell"], centres.value[r["cell"]].tolist(), r["n"], r["cosine"]) for r in found]
     spark.createDataFrame(about, "cell int, centre array<double>, n long, cosine double").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
@@ -91,9 +93,9 @@ def build(docs: DataFrame, path: str, key: str = "id", vector: str = "embedding"
 def load(spark: SparkSession, path: str) -> Index:
     """An index that was built before."""
     rows = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
-    centres = np.array([r["centre"] for r in rows]) if rows else np.zeros((0, 1))
+    centres = [r["centre"] for r in rows]
     of = lambda name: np.array([r[name] for r in rows], np.float64)
-    return Index(spark, path, of("cell").astype(np.int64), centres, of("n"), np.arccos(np.clip(of("cosine"), -1, 1)))
+    return Index(spark, path, of("cell").astype(np.int64), np.array(centres), of("n"), np.arccos(np.clip(of("cosine"), -1, 1)))
 
 
 def probed(index: Index, query: list[float], k: int, probes: int) -> np.ndarray:
@@ -111,6 +113,8 @@ def reachable(index: Index, query: list[float], cosine: float) -> np.ndarray:
 
 def search(index: Index, query: list[float], k: int, probes: int | None = None, key: str = "id", vector: str = "embedding") -> DataFrame:
     """The k rows nearest to the query, as `vectors.nearest` of the indexed rows: exactly without probes, else among the probed cells."""
+    if not len(index.cells):
+        return nearest(index.rows(index.cells), query, k, key, vector).drop("cell", "centred")
     first = nearest(index.rows(probed(index, query, k, probes or FIRST)), query, k, key, vector)
     if probes is None:
         cosines = [r["cosine"] for r in first.select("cosine").collect()]
