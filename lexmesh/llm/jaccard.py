@@ -157,9 +157,24 @@ def _contents(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     return rows.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
 
-def components(docs: DataFrame, shingle: int, percent: int, nameless: bool = False) -> DataFrame:
+def rewritten(docs: DataFrame) -> DataFrame:
+    """(doc_id): ids whose rows hold different texts. Counted on hashes of whole texts, summed before the shuffle."""
+    h = F.xxhash64(F.col("text").cast("string"))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), h.alias("h")).filter("doc_id is not null")
+    return cut(named.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low <> high").select("doc_id"))
+
+
+def _held(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs with one of the ids."""
+    (key,) = unused(docs.columns, "held_id")
+    return docs.join(ids.select(F.col("doc_id").alias(key)), F.col("doc_id").cast("long") == F.col(key), "left_semi")
+
+
+def components(docs: DataFrame, shingle: int, percent: int, nameless: bool = False, several: DataFrame | None = None) -> DataFrame:
     """(s1, s2, n_shingles, best) of the classes that more than one document belongs to.
 
+    several: ids of documents whose rows hold different texts; the classes of all rows of one are linked.
+
     best is (nameless, doc_id, row) of the first row of the component, in that order. A class goes by s1, its
     64-bit hash. Rows without a doc_id take part only if nameless is asked for, behind all others.
     """
@@ -180,6 +195,10 @@ def components(docs: DataFrame, shingle: int, percent: int, nameless: bool = Fal
         return pairs.join(left, "a").join(right, "b").filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
     found = grouped(cells, about.drop("shingles"), enough(percent), verify, connected)
+    if several is not None:
+        own = sets(_held(docs, several), shingle, percent, False).filter("n_shingles > 0").select("doc_id", F.col("s1").alias("a"))
+        same = own.join(own.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+        found = connected(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(same)).select(F.col("node").alias("id"), "component")
     joined = classes.drop("keys").join(found, "id", "left").filter("copies > 1 or component is not null").withColumn("component", F.coalesce("component", "id"))
     first = joined.groupBy("component").agg(F.min("best").alias("first"))
     return joined.join(first, "component").select("s1", "s2", "n_shingles", F.col("first").alias("best"))
@@ -191,11 +210,18 @@ def enough(percent: int):
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+    """One row per row of docs: doc_id, n_shingles, component_id, which is the same in all rows of a doc_id."""
+    several = rewritten(docs)
+    several = None if several.isEmpty() else several
     rows = sets(docs, shingle, percent, False).drop("keys", "row")
-    named = components(docs, shingle, percent)
+    named = components(docs, shingle, percent, several=several)
     out = rows.join(named, ["s1", "s2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("best.doc_id", "doc_id")).alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("best.doc_id", "doc_id")).alias("component_id"))
+    if several is None:
+        return out
+    # rows without words follow those of their id that have some
+    least = out.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+    return out.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
