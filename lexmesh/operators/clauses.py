@@ -1,9 +1,10 @@
 """Agent, verb and patient of clauses, from tagged tokens.
 
 Input rows are (unit, tokens array<struct<form, tag>>), `unit` being columns that name a unit of text.
-Everything is windows over a unit's tokens: registers are the last value seen in the sentence, and the
-carry of a subject from unit to unit is a window over the units of an article, for what a unit observes
-of its own doesn't depend on what it inherits. `fold` is the same by one pass in Python, per article.
+`extract` is a state machine over the array of a unit's tokens, sentence by sentence: registers hold the last subject,
+topic, object and by-phrase, and a verb takes a copy of them. Tokens are never exploded or shuffled. The carry of a
+subject from unit to unit is a window over the units of an article, for what a unit observes of its own doesn't
+depend on what it inherits. `fold` is the same by one pass in Python, per article.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import extract_root
@@ -56,64 +57,119 @@ def tokens(rows: DataFrame, unit: Sequence[str]) -> DataFrame:
     return t.withColumn("verb_len", F.when(compound, 2).when(bare, 1))
 
 
-def records(rows: DataFrame, unit: Sequence[str]) -> DataFrame:
-    """A row per verb phrase: unit, pos, sentence, verb_lemma, verb_root, voice, modality, subj, topic, obj, by_agent."""
-    t = tokens(rows, unit)
-    sentence = Window.partitionBy(*unit, "sentence").orderBy("pos")
-    before = sentence.rowsBetween(Window.unboundedPreceding, -1)
-    after = sentence.rowsBetween(1, Window.unboundedFollowing)
-    last = lambda c: F.last(c, ignorenulls=True).over(before)
-    has = F.col("np_text").isNotNull()
-    is_subj, is_obj = (F.col("tag") == "JKS") & has, (F.col("tag") == "JKO") & has
-    is_topic = (F.col("tag") == "JX") & F.col("form").isin(*TOPIC_FORMS) & has
-    by = (F.col("tag") == "VV") & (F.col("form") == "의하") & (F.col("prev_tag") == "JKB") & (F.col("prev_form") == "에")
-    w = Window.partitionBy(*unit).orderBy("pos")
-    t = t.withColumn("by_np", F.when(by, F.coalesce(F.lag("np_text").over(w), F.lit(""))))
-    pair = lambda form, tag, form2, tag2: (F.col("form") == form) & (F.col("tag") == tag) & F.col("next_form").isin(*form2) & (F.col("next_tag") == tag2)
-    kinds = {"discretion": pair("수", "NNB", ("있",), "VA"), "prohibition": pair("지", "EC", ("아니하", "못하"), "VX"), "duty": pair("어야", "EC", ("하",), "VX")}
-    t = t.withColumns({"subj": last(F.when(is_subj, F.col("np_text"))), "subj_at": last(F.when(is_subj, F.col("pos"))), "topic": last(F.when(is_topic, F.col("np_text"))), "obj": last(F.when(is_obj, F.col("np_text"))), "obj_at": last(F.when(is_obj, F.col("pos"))), "by_agent": F.nullif(last(F.col("by_np")), F.lit("")), "clause_end": F.min(F.when(F.col("verb_len").isNotNull() | F.col("tag").isin(*ENDS), F.col("pos"))).over(after)})
-    for name, found in kinds.items():
-        # the nearest one decides: a pattern can't begin at the verb's own suffix, so it begins behind the verb
-        t = t.withColumn(f"{name}_at", F.min(F.when(found, F.col("pos"))).over(after))
-    verb = t.filter("verb_len is not null")
-    starts, stops = F.col("pos") + F.col("verb_len"), F.coalesce(F.col("clause_end"), F.lit(1 << 30))
-    within = lambda name: (F.col(f"{name}_at") >= starts) & (F.col(f"{name}_at") + 1 < stops)
-    modality = F.when(within("discretion"), DISCRETION).when(within("prohibition"), PROHIBITION).when(within("duty"), DUTY).otherwise(NO_MODALITY)
-    lemma = F.concat("form", F.when(F.col("verb_len") == 2, F.col("next_form")).otherwise(""), F.lit("다"))
-    obj = F.when(F.col("subj_at").isNull() | (F.col("obj_at") > F.col("subj_at")), F.col("obj"))
-    voice = F.when((F.col("verb_len") == 2) & F.col("next_form").isin(*PASSIVE), PASSIVE_VOICE).otherwise(ACTIVE_VOICE)
-    return verb.select(*unit, "pos", "sentence", lemma.alias("verb_lemma"), extract_root(lemma).alias("verb_root"), voice.alias("voice"), modality.alias("modality"), "subj", "topic", obj.alias("obj"), "by_agent")
-
-
-def assign(found: DataFrame, unit: Sequence[str], inherited: str | None = None) -> DataFrame:
-    """records with agent, patient and agent_source; `inherited` is a column of the subject that a unit inherits."""
-    taken = F.col(inherited) if inherited else F.lit(None).cast("string")
-    usable = taken.isNotNull() & (F.col("sentence") == 0)
-    active = F.when(F.col("subj").isNotNull(), F.col("subj")).when(F.col("topic").isNotNull(), F.col("topic")).when(usable, taken)
-    source = F.when(F.col("subj").isNotNull(), "JKS").when(F.col("topic").isNotNull(), "TOPIC").when(usable, "INHERITED").otherwise("NONE")
-    patient = F.when(F.col("subj").isNotNull() & F.col("obj").isNull(), F.col("topic")).otherwise(F.col("obj"))
-    passive = F.col("voice") == PASSIVE_VOICE
-    rows = found.withColumns({"agent": F.when(passive, F.col("by_agent")).otherwise(active), "patient": F.when(passive, active).otherwise(patient), "agent_source": F.when(passive & F.col("by_agent").isNotNull(), "JKB(의하여)").otherwise(source)})
-    after = Window.partitionBy(*unit, "sentence").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    later = F.first(F.when(F.col("agent_source") == "JKS", F.struct("agent")), ignorenulls=True).over(after)
-    fill = F.col("agent").isNull() & (F.col("agent_source") == "NONE")
-    rows = rows.withColumns({"_fill": fill, "_later": later})
-    filled = F.col("_fill") & F.col("_later").isNotNull()
-    return rows.withColumns({"agent": F.when(filled, F.col("_later.agent")).otherwise(F.col("agent")), "agent_source": F.when(filled, "JKS(순방향유추)").otherwise(F.col("agent_source"))}).drop("_fill", "_later")
+def _sentences(tokens: Column) -> Column:
+    """The tokens as an array of sentences, each with its place in the unit and its end token."""
+    ends = F.filter(F.transform(tokens, lambda t, i: F.when(t["tag"].isin(*ENDS), i)), lambda i: i.isNotNull())
+    # one more behind the last end, empty if nothing follows
+    stops = F.concat(ends, F.array(F.size(tokens) - 1))
+    begin = lambda n: F.when(n > 0, F.get(stops, n - 1) + 1).otherwise(0)
+    return F.transform(stops, lambda stop, n: F.struct(begin(n).alias("begin"), F.slice(tokens, begin(n) + 1, stop - begin(n) + 1).alias("tokens")))
+
+
+def _registered(sentence: Column) -> Column:
+    """A record for each verb phrase of a sentence, with what the registers hold before it: pos, len, lemma, voice, subj, topic, obj, by."""
+    toks = sentence["tokens"]
+    ahead = F.transform(toks, lambda t, i: F.struct(t["form"].alias("form"), t["tag"].alias("tag"), F.get(toks, i + 1)["form"].alias("next_form"), F.get(toks, i + 1)["tag"].alias("next_tag"), (sentence["begin"] + i).alias("pos")))
+    text = F.lit(None).cast("string")
+    record = "array<struct<pos: int, len: int, lemma: string, voice: string, subj: string, topic: string, obj: string, by: string>>"
+    # np is the noun run before a token, before the one before the token ahead of it
+    start = F.struct(F.lit("").alias("np"), F.lit("").alias("before"), text.alias("prev_form"), text.alias("prev_tag"), text.alias("subj"), text.alias("topic"), text.alias("obj"), text.alias("by"), F.array().cast(record).alias("out"))
+
+    def step(s: Column, t: Column) -> Column:
+        form, tag, phrase = t["form"], t["tag"], F.nullif(s["np"], F.lit(""))
+        noun = tag.isin(*NP_TAGS) | ((tag == "NNB") & (form == "등"))
+        subj, obj = (tag == "JKS") & phrase.isNotNull(), (tag == "JKO") & phrase.isNotNull()
+        topic = (tag == "JX") & form.isin(*TOPIC_FORMS) & phrase.isNotNull()
+        by = (tag == "VV") & (form == "의하") & F.coalesce((s["prev_tag"] == "JKB") & (s["prev_form"] == "에"), F.lit(False))
+        compound = tag.isin(*NP_TAGS) & F.coalesce(t["next_tag"].isin(*VERBAL), F.lit(False))
+        verb = compound | (tag.isin(*PREDICATE) & ~form.isin(*MODAL_STEMS))
+        lemma = F.concat(form, F.when(compound, t["next_form"]).otherwise(""), F.lit("다"))
+        voice = F.when(compound & t["next_form"].isin(*PASSIVE), PASSIVE_VOICE).otherwise(ACTIVE_VOICE)
+        found = {"pos": t["pos"], "len": F.when(compound, 2).otherwise(1), "lemma": lemma, "voice": voice, "subj": s["subj"], "topic": s["topic"], "obj": s["obj"], "by": F.nullif(s["by"], F.lit(""))}
+        now = {
+            "np": F.when(noun, F.concat(s["np"], form)).otherwise(""), "before": s["np"], "prev_form": form, "prev_tag": tag,
+            "subj": F.when(subj, phrase).otherwise(s["subj"]), "topic": F.when(topic, phrase).otherwise(s["topic"]), "obj": F.when(subj, text).when(obj, phrase).otherwise(s["obj"]), "by": F.when(by, s["before"]).otherwise(s["by"]),
+            "out": F.when(verb, F.array_append(s["out"], F.struct(*(c.alias(k) for k, c in found.items())))).otherwise(s["out"]),
+        }
+        return F.struct(*(c.alias(k) for k, c in now.items()))
+
+    return F.aggregate(ahead, start, step, lambda s: s["out"])
+
+
+def _moods(sentence: Column) -> Column:
+    """(at, level) of the patterns of modality in a sentence; the larger level decides."""
+    toks = sentence["tokens"]
+
+    def level(t: Column, i: Column) -> Column:
+        pair = lambda form, tag, form2, tag2: (t["form"] == form) & (t["tag"] == tag) & F.get(toks, i + 1)["form"].isin(*form2) & (F.get(toks, i + 1)["tag"] == tag2)
+        return F.when(pair("수", "NNB", ("있",), "VA"), 3).when(pair("지", "EC", ("아니하", "못하"), "VX"), 2).when(pair("어야", "EC", ("하",), "VX"), 1)
+
+    return F.filter(F.transform(toks, lambda t, i: F.struct((sentence["begin"] + i).alias("at"), level(t, i).alias("level"))), lambda m: m["level"].isNotNull())
+
+
+def records(tokens: Column) -> Column:
+    """array<array<struct>>: of each sentence its verb phrases: pos, verb_lemma, voice, modality, subj, topic, obj, by_agent."""
+    moods = F.array(*map(F.lit, (NO_MODALITY, DUTY, PROHIBITION, DISCRETION)))
+
+    def of(sentence: Column) -> Column:
+        # both are worked out once, then looked at by every record
+        held = F.array(F.struct(_registered(sentence).alias("found"), _moods(sentence).alias("moods")))
+        return F.get(F.transform(held, with_moods), F.lit(0))
+
+    def with_moods(h: Column) -> Column:
+        def one(r: Column, i: Column) -> Column:
+            begin, stop = r["pos"] + r["len"], F.coalesce(F.get(h["found"], i + 1)["pos"], F.lit(1 << 30))
+            own = F.array_max(F.transform(F.filter(h["moods"], lambda m: (m["at"] >= begin) & (m["at"] + 1 < stop)), lambda m: m["level"]))
+            return F.struct(r["pos"].alias("pos"), r["lemma"].alias("verb_lemma"), r["voice"].alias("voice"), F.get(moods, F.coalesce(own, F.lit(0))).alias("modality"), r["subj"].alias("subj"), r["topic"].alias("topic"), r["obj"].alias("obj"), r["by"].alias("by_agent"))
+
+        return F.transform(h["found"], one)
+
+    return F.transform(_sentences(tokens), of)
+
+
+def hands(found: Column) -> Column:
+    """struct(agent) that a unit hands on: of its last record whose source is a subject or a topic, a null one too; null without one."""
+    own = F.filter(F.flatten(found), lambda r: (r["subj"].isNotNull() | r["topic"].isNotNull()) & ((r["voice"] != PASSIVE_VOICE) | r["by_agent"].isNull()))
+    last = F.try_element_at(own, F.lit(-1))
+    return F.when(last.isNotNull(), F.struct(F.when(last["voice"] != PASSIVE_VOICE, F.coalesce(last["subj"], last["topic"])).alias("agent")))
+
+
+def assigned(found: Column, inherited: Column) -> Column:
+    """array<struct>: records with sentence, agent, patient and agent_source; a unit's first sentence may take what is inherited."""
+
+    def one(r: Column, n: Column) -> Column:
+        usable = inherited.isNotNull() & (n == 0)
+        active = F.coalesce(r["subj"], r["topic"], F.when(usable, inherited))
+        source = F.when(r["subj"].isNotNull(), "JKS").when(r["topic"].isNotNull(), "TOPIC").when(usable, "INHERITED").otherwise("NONE")
+        patient = F.when(r["subj"].isNotNull() & r["obj"].isNull(), r["topic"]).otherwise(r["obj"])
+        passive = r["voice"] == PASSIVE_VOICE
+        ends = {"agent": F.when(passive, r["by_agent"]).otherwise(active), "patient": F.when(passive, active).otherwise(patient), "agent_source": F.when(passive & r["by_agent"].isNotNull(), "JKB(의하여)").otherwise(source)}
+        return F.struct(n.alias("sentence"), *(r[c].alias(c) for c in ("pos", "verb_lemma", "voice", "modality", "subj", "topic", "obj", "by_agent")), *(c.alias(k) for k, c in ends.items()))
+
+    def filled(rows: Column) -> Column:
+        """An agent that nothing names is the subject of the next verb of the sentence that has one."""
+
+        def one(r: Column, i: Column) -> Column:
+            later = F.get(F.filter(F.slice(rows, i + 2, F.size(rows)), lambda x: x["agent_source"] == "JKS"), F.lit(0))
+            given = F.when(later.isNotNull(), r.withField("agent", later["agent"]).withField("agent_source", F.lit("JKS(순방향유추)"))).otherwise(r)
+            return F.when(r["agent"].isNull() & (r["agent_source"] == "NONE"), given).otherwise(r)
+
+        return F.transform(rows, one)
+
+    return F.flatten(F.transform(found, lambda sentence, n: F.get(F.transform(F.array(F.transform(sentence, lambda r: one(r, n))), filled), F.lit(0))))
 
 
 def extract(rows: DataFrame, article: Sequence[str], unit: str = "unit_ord") -> DataFrame:
-    """Records of all units with the subject that each inherits from the units of its article before it.
+    """A row per verb phrase of all units, with the subject that each inherits from the units of its article before it.
 
     A unit hands on the agent of its last record whose source is JKS or TOPIC, a null one too.
     """
     keys = [*article, unit]
-    found = records(rows, keys)
-    own = assign(found, keys).filter(F.col("agent_source").isin("JKS", "TOPIC")).groupBy(*keys).agg(F.max_by(F.struct("agent"), "pos").alias("hands"))
-    every = rows.select(*keys).distinct().join(own, keys, "left")
+    found = rows.select(*keys, records(F.col("tokens")).alias("found")).withColumn("hands", hands(F.col("found")))
     before = Window.partitionBy(*article).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    carried = every.withColumn("inherited", F.last("hands", ignorenulls=True).over(before)["agent"]).drop("hands")
-    return assign(found.join(carried, keys), keys, "inherited")
+    carried = found.withColumn("inherited", F.last("hands", ignorenulls=True).over(before)["agent"])
+    each = carried.select(*keys, F.explode(assigned(F.col("found"), F.col("inherited"))).alias("r")).select(*keys, "r.*")
+    return each.withColumn("verb_root", extract_root(F.col("verb_lemma")))
 
 
 def fold(rows: DataFrame, article: Sequence[str], unit: str = "unit_ord") -> DataFrame:
