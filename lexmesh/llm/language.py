@@ -6,11 +6,11 @@ document's the same over its whole text. The out-of-place distance of a document
 document's n-grams, how far its ranks in both profiles are apart, or 400 where the language's profile lacks it. The
 language of the least distance is predicted, of equal ones the first by name. N-grams of a document that are equally
 frequent share the middle of their ranks, as in short texts most are; which of them still belong to the 400 is decided
-by a hash of the n-gram.
+by their hashes.
 
-Counting goes through words: n-grams are cut from each distinct word of a language once, weighted by how often it
-occurs. Only the profiles come to the driver and are broadcast, 400 short strings for each of at most 16,384
-languages; more distinct values of lang are refused.
+N-grams go by 64-bit hashes of their characters, worked out for many texts at once. A task sums a language's counts
+before they are shuffled. Only the profiles come to the driver and are broadcast, 400 numbers for each of at most
+16,384 languages; more distinct values of lang are refused.
 
 Null texts and texts without a letter are `und` with score 0, and so is every text when nothing was learned. Rows
 without a doc_id have no fold: they are predicted, held out, and not learned from. Rows with a null lang are predicted
@@ -20,151 +20,194 @@ stand there. Empty tables give no rows; other columns aren't read.
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEPT, cut, sliced
+from .common import cut, mix64, sliced
 
 LONGEST, PROFILE = 5, 400
 LANGUAGES = 1 << 14
 UNKNOWN = "und"
-#: Characters of a text that are looked at together, entries that a task counts before it passes them on, n-grams that a worker knows by number, and the longest word whose n-grams it remembers.
-CHUNK, HELD, KNOWN, REMEMBERED = 1 << 20, 1 << 18, 1 << 19, 64
+#: Characters that are looked at together, and n-grams that a task counts before it passes them on.
+CHUNK, HELD = 1 << 18, 1 << 19
 
-_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _GAP = regex.compile(r"[^\p{L}\p{M}]")
-
-
-def count_words(text: str) -> Counter:
-    """How often each word occurs. Long texts are cut at gaps, so that few words are held at a time."""
-    out: Counter = Counter()
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _length(n: int) -> np.uint64:
+    """Tells n-grams of different lengths apart."""
+    return np.uint64(n * 0xD1342543DE82EF95 % (1 << 64))
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """For each code point 1 if it is a letter, 2 if it is a mark, else 0."""
+    return np.array([{"L": 1, "M": 2}.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)], np.uint8)
+
+
+def gram_hash(gram: str) -> int:
+    """The hash of one n-gram, _ standing for the edge of a word."""
+    h = 0
+    for c in gram:
+        h = (h * int(_STEP) + (1 if c == "_" else ord(c) + 1)) % (1 << 64)
+    return int(mix64(np.array([h], np.uint64) + _length(len(gram)))[0])
+
+
+def _counted(hashes: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and how often each occurs, or the sums of n."""
+    if n is None:
+        return np.unique(hashes, return_counts=True)
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    at = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, np.int64)
+    return hashes[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
+
+
+def _hashed(texts: list[str]) -> list[np.ndarray]:
+    """The hashes of all n-grams of each text; texts are lower-cased."""
+    code = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    kind, place = _kinds()[code], np.arange(len(code))
+    # marks belong to a word if a letter stands before them in it
+    letter = np.maximum.accumulate(np.where(kind == 1, place, -1)) if len(code) else place
+    gap = np.maximum.accumulate(np.where(kind == 0, place, -1)) if len(code) else place
+    word = (kind > 0) & (letter > gap)
+    # words with one 0 before, between and behind them
+    kept = word.copy()
+    kept[1:] |= word[:-1]
+    origin = np.r_[-1, place[kept], len(code)]
+    stream = np.r_[0, np.where(word, code, 0)[kept], 0].astype(np.uint64)
+    edge = stream == 0
+    owner = np.where(edge, np.r_[origin[1:], len(code)], origin)  # an edge before a word belongs to its text
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    h = np.zeros(len(stream), np.uint64)
+    inner = np.ones(len(stream), bool)
+    for n in range(1, LONGEST + 1):
+        m = len(stream) - n + 1
+        if m < 1:
+            break
+        h = h[:m] * _STEP + stream[n - 1 :] + np.uint64(1)
+        if n > 2:
+            inner = inner[:m] & ~edge[n - 2 : n - 2 + m]
+        good = inner[:m] & ~(edge[:m] & edge[n - 1 :]) if n < 3 else inner[:m]
+        at = np.searchsorted(owner[:m][good], offsets)
+        hashes = mix64(h[good] + _length(n))
+        for i, o in enumerate(out):
+            o.append(hashes[at[i] : at[i + 1]])
+    return [np.concatenate(o) for o in out]
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text lower-cased, long ones cut at gaps between words."""
     lo = 0
     while lo < len(text):
         gap = _GAP.search(text, lo + CHUNK) if lo + CHUNK < len(text) else None
         hi = gap.start() if gap else len(text)
-        out.update(_WORD.findall(text[lo:hi].lower()))
+        yield text[lo:hi].lower()
         lo = hi
-    return out
 
 
-def ngrams(word: str) -> list[str]:
-    padded = f"_{word}_"
-    return [padded[i : i + n] for n in range(1, LONGEST + 1) for i in range(n == 1, len(padded) - n + 1 - (n == 1))]
+def count_ngrams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, hashes, counts) of the n-grams of each whole text, in order; without letters both are empty."""
+    waiting: list[tuple[int, str]] = []
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def out() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for (i, _), h in zip(waiting, _hashed([t for _, t in waiting]), strict=True):
+            yield i, *_counted(h)
+
+    for i, text in enumerate(texts):
+        pieces = list(_pieces(text.as_py() or ""))
+        if len(pieces) > 1:
+            parts = [_counted(_hashed([p])[0]) for p in pieces]
+            yield from out()
+            waiting, size = [], 0
+            yield i, *_counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+            continue
+        waiting.append((i, pieces[0] if pieces else ""))
+        size += len(waiting[-1][1])
+        if size > CHUNK:
+            yield from out()
+            waiting, size = [], 0
+    yield from out()
 
 
-def _summed(rows: DataFrame, item: str, count) -> DataFrame:
-    """(lang, item, n) from a function that turns a batch into (lang, Counter); tasks sum what they can before the shuffle."""
+def profiles(docs: DataFrame) -> DataFrame:
+    """(lang, gram, rank) from docs (lang, text): hashes of the PROFILE most frequent n-grams of each language, ranked from 0, ties by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for lang, c in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", item, "n"])
+            for lang, (grams, n) in merged().items():
+                if len(grams):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+
+        def merged() -> dict[str, tuple[np.ndarray, np.ndarray]]:
+            return {lang: _counted(np.concatenate([x[0] for x in some]), np.concatenate([x[1] for x in some])) for lang, some in held.items()}
 
         for b in sliced(batches):
-            for lang, c in count(b):
-                held.setdefault(lang, Counter()).update(c)
-                if sum(map(len, held.values())) > HELD:
-                    yield from out()
-                    held.clear()
+            langs = b.column("lang").to_pylist()
+            for i, grams, n in count_ngrams(b.column("text")):
+                held.setdefault(langs[i], []).append((grams, n))
+                size += len(grams)
+                if size > 2 * HELD:
+                    held = {lang: [x] for lang, x in merged().items()}
+                    size = sum(len(x[0][0]) for x in held.values())
+                    if size > HELD:
+                        yield from out()
+                        held, size = {}, 0
         yield from out()
 
-    return rows.mapInArrow(run, f"lang string, {item} string, n long").groupBy("lang", item).agg(F.sum("n").alias("n"))
-
-
-def profiles(docs: DataFrame) -> DataFrame:
-    """(lang, gram, rank) from docs (lang, text): the PROFILE most frequent n-grams of each language, ranked from 0, ties by name."""
-
-    def words(b: pa.RecordBatch) -> Iterator[tuple[str, Counter]]:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
-            yield lang, count_words(text.as_py())
-
-    def grams(b: pa.RecordBatch) -> Iterator[tuple[str, Counter]]:
-        for lang, word, n in zip(b.column("lang").to_pylist(), b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
-            c: Counter = Counter()
-            for g in ngrams(word):
-                c[g] += n
-            yield lang, c
-
-    counted = _summed(docs.select("lang", "text").filter("lang is not null and text is not null"), "word", words)
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    ranked = _summed(counted, "gram", grams).withColumn("rank", F.row_number().over(order) - 1)
+    rows = docs.select("lang", "text").filter("lang is not null and text is not null")
+    counted = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1)
     return ranked.filter(F.col("rank") < PROFILE).select("lang", "gram", "rank")
 
 
 class Scorer:
     """Distances of texts to profiles [(lang, gram, rank)], held as rows of the n-grams that any profile has."""
 
-    def __init__(self, rows: list[tuple[str, str, int]]) -> None:
+    def __init__(self, rows: list[tuple[str, int, int]]) -> None:
         self.langs = sorted({r[0] for r in rows})
         at = {m: i for i, m in enumerate(self.langs)}
-        places: dict[str, list[tuple[int, int]]] = {}
-        for lang, gram, rank in rows:
-            places.setdefault(gram, []).append((at[lang], rank))
-        self.model = list(places)
-        entries = [e for g in self.model for e in places[g]]
-        self.ends = np.r_[0, np.cumsum([len(places[g]) for g in self.model])].astype(np.int64)
-        self.lang = np.array([e[0] for e in entries], np.int64)
-        self.rank = np.array([e[1] for e in entries], np.float64)
-        self._forget()
-
-    def _forget(self) -> None:
-        """The model's n-grams are numbered first; others are numbered as texts bring them, up to KNOWN."""
-        self.number = {g: i for i, g in enumerate(self.model)}
-        self.tie = [xxhash.xxh64_intdigest(g) for g in self.model]
-        self.words: dict[str, np.ndarray] = {}
-
-    def _grams(self, word: str) -> np.ndarray:
-        ids = []
-        for g in ngrams(word):
-            i = self.number.setdefault(g, len(self.number))
-            if i == len(self.tie):
-                self.tie.append(xxhash.xxh64_intdigest(g))
-            ids.append(i)
-        out = np.array(ids, np.int32)
-        if len(word) <= REMEMBERED:
-            self.words[word] = out
-        return out
-
-    def distances(self, text: str | None) -> tuple[np.ndarray, int] | None:
-        """Of the text to each language, and how many n-grams its profile has; None without letters."""
-        counts = count_words(text) if text else None
-        if not counts:
-            return None
-        if len(self.number) > KNOWN:
-            self._forget()
-        found = [self.words[w] if w in self.words else self._grams(w) for w in counts]
-        ids = np.concatenate(found)
-        distinct, which = np.unique(ids, return_inverse=True)
-        often = np.bincount(which, np.repeat(np.fromiter(counts.values(), np.float64, len(counts)), [len(f) for f in found]))
-        if len(distinct) > PROFILE:
+        grams = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+        order = np.argsort(grams, kind="stable")
+        self.grams, first = np.unique(grams[order], return_index=True)
+        self.ends = np.r_[first, len(order)]
+        self.lang = np.array([at[r[0]] for r in rows], np.int64)[order]
+        self.rank = np.array([r[2] for r in rows], np.float64)[order]
+
+    def distances(self, grams: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, int]:
+        """To each language, of a text with these n-grams, and how many n-grams its profile has."""
+        if len(grams) > PROFILE:
             least = -np.partition(-often, PROFILE - 1)[PROFILE - 1]
             ahead, level = np.flatnonzero(often > least), np.flatnonzero(often == least)
-            ties = np.array([self.tie[i] for i in distinct[level].tolist()], np.uint64)
-            keep = np.r_[ahead, level[np.argsort(ties, kind="stable")[: PROFILE - len(ahead)]]]
-            distinct, often = distinct[keep], often[keep]
+            keep = np.r_[ahead, level[: PROFILE - len(ahead)]]  # hashes are sorted
+            grams, often = grams[keep], often[keep]
         falling = np.sort(-often)
         rank = (np.searchsorted(falling, -often, "left") + np.searchsorted(falling, -often, "right") - 1) / 2
-        known = distinct < len(self.model)
-        lo, n = self.ends[distinct[known]], self.ends[distinct[known] + 1] - self.ends[distinct[known]]
-        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        nearer = PROFILE - np.abs(self.rank[at] - np.repeat(rank[known], n))
-        return len(distinct) * PROFILE - np.bincount(self.lang[at], nearer, len(self.langs)), len(distinct)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        found = self.distances(text) if self.langs else None
-        if found is None:
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        known = self.grams[at] == grams
+        lo, n = self.ends[at[known]], self.ends[at[known] + 1] - self.ends[at[known]]
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        nearer = PROFILE - np.abs(self.rank[entry] - np.repeat(rank[known], n))
+        return len(grams) * PROFILE - np.bincount(self.lang[entry], nearer, len(self.langs)), len(grams)
+
+    def predict(self, grams: np.ndarray, often: np.ndarray) -> tuple[str, float]:
+        if not self.langs or not len(grams):
             return UNKNOWN, 0.0
-        distance, n = found
+        distance, n = self.distances(grams, often)
         best = int(distance.argmin())
         return self.langs[best], float(1 - distance[best] / (n * PROFILE))
 
@@ -177,15 +220,11 @@ def predict(docs: DataFrame, learned: DataFrame) -> DataFrame:
         raise ValueError(f"{languages} values of lang: profiles of more than {LANGUAGES} languages aren't broadcast")
     model = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in learned.orderBy("lang", "rank").collect()])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    name = uuid.uuid4().hex  # tells this model from others in a worker
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = KEPT.get("language")
+        scorer = Scorer(model.value)
         for b in sliced(batches):
-            if held is None or held[0] != name:
-                held = (name, Scorer(model.value))
-            KEPT["language"] = held  # for the worker's next task
-            made = [held[1].predict(t.as_py()) for t in b.column("text")]
+            made = [scorer.predict(grams, often) for _, grams, often in count_ngrams(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")

@@ -4,8 +4,9 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import functions as F
 
 from lexmesh.llm import language
@@ -28,14 +29,15 @@ def plain(docs):
     for (_, text, lang), h in zip(docs, held, strict=True):
         if not h and lang is not None and plain_counts(text):
             total.setdefault(lang, Counter()).update(plain_counts(text))
-    profile = {m: {g: i for i, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:400])} for m, c in total.items()}
+    signed = lambda g: int(np.array([language.gram_hash(g)], np.uint64).view(np.int64)[0])
+    profile = {m: {g: i for i, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], signed(x[0])))[:400])} for m, c in total.items()}
     out = []
     for (_, text, _), h in zip(docs, held, strict=True):
         c = plain_counts(text)
         if not c or not profile:
             out.append((h, "und", 0.0))
             continue
-        top = sorted(c.items(), key=lambda x: (-x[1], xxhash.xxh64_intdigest(x[0])))[:400]
+        top = sorted(c.items(), key=lambda x: (-x[1], language.gram_hash(x[0])))[:400]
         places = {}
         for i, (_, n) in enumerate(top):
             places.setdefault(n, []).append(i)
@@ -74,24 +76,27 @@ def test_language_against_plain(spark):
     same(spark, docs)
 
 
-def test_long_texts_are_cut_at_gaps(monkeypatch):
+def ngrams(texts):
+    return {i: dict(zip(h.tolist(), n.tolist(), strict=True)) for i, h, n in language.count_ngrams(pa.array(texts, pa.string()))}
+
+
+def test_ngrams_against_plain(monkeypatch):
+    """Also where texts are taken together or cut at gaps."""
     rng = random.Random(6)
-    text = " ".join("".join(rng.choices("abcÉ̀1-", k=rng.randint(1, 30))) for _ in range(3000))
-    whole = language.count_words(text)
+    texts = [None, "", "1", "a", "\u0300a", "a\u0300\u0300b c", "ab", "Hello, World!", "Straße ÉTÉ 법률은", "x" * 700, "\U0001d400b \U00020000"]
+    texts += [" ".join("".join(rng.choices("abcÉ\u03001-", k=rng.randint(1, 30))) for _ in range(rng.randint(1, 200))) for _ in range(20)]
+    want = {i: {language.gram_hash(g): n for g, n in plain_counts(t).items()} for i, t in enumerate(texts)}
+    assert ngrams(texts) == want
     monkeypatch.setattr(language, "CHUNK", 100)
-    assert language.count_words(text) == whole
-    assert language.count_words("a" * 1000) == {"a" * 1000: 1}
-
-
-def test_numbers_are_forgotten(monkeypatch):
-    """Distances stay the same when the worker lets go of the n-grams it knows."""
-    rng = random.Random(7)
-    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(100)) for _ in range(30)]
-    rows = [("l", g, i) for i, g in enumerate(sorted(plain_counts(texts[0]))[:400])]
-    want = [language.Scorer(rows).predict(t) for t in texts]
-    monkeypatch.setattr(language, "KNOWN", 500)
-    scorer = language.Scorer(rows)
-    assert [scorer.predict(t) for t in texts] == want
+    assert ngrams(texts) == want
+
+
+def test_task_sums_are_passed_on(spark, monkeypatch):
+    """Profiles are the same when tasks pass their counts on early."""
+    docs = [(i, f"word{chr(97 + i % 26)} and other{chr(97 + i % 7)} words", "en" if i % 3 else "de") for i in range(100)]
+    want = sorted(map(tuple, language.profiles(table(spark, docs)).collect()))
+    monkeypatch.setattr(language, "HELD", 20)
+    assert sorted(map(tuple, language.profiles(table(spark, docs)).collect())) == want
 
 
 def test_nothing_learned(spark):
