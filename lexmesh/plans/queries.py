@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocab
-from ..operators import clauses, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
+from ..operators import clauses, network, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
 from ..sources import readers, sinks
 from . import build
 from . import standins as S
@@ -30,6 +30,17 @@ def _counted(paths: DataFrame) -> DataFrame:
     return paths.groupBy("seed", "hops", F.array_join("types", ">").alias("types")).agg(F.count("*").alias("n"), F.countDistinct("last").alias("n_last"))
 
 
+_STORED: dict[tuple[str, str], network.Network] = {}
+
+
+def _network(spark: SparkSession, sf: str) -> network.Network:
+    """The network of the tables, stored once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        _STORED[key] = network.store(S.edges(spark, sf, False), sinks.shared_folder(spark))
+    return _STORED[key]
+
+
 def s12_vertex_lookup(spark, sf):
     return S.vertices(spark, sf).join(_seeds(spark, sf).select("id"), "id", "left_semi")
 
@@ -67,30 +78,30 @@ def s10_pairs(spark, sf):
 
 
 def a09_degree(spark, sf):
-    return traversal.degree(S.edges(spark, sf, False))
+    return network.degree(_network(spark, sf))
 
 
 def g02_degree_of_seeds(spark, sf):
-    return traversal.capped(_seeds(spark, sf).select("id"), S.edges(spark, sf, False), 2, few=True).select("id", "degree", "depth")
+    return network.capped(_network(spark, sf), _seeds(spark, sf).select("id"), 2).select("id", "degree", "depth")
 
 
 def g03_hub_cap(spark, sf):
     suppliers = S.vertices(spark, sf).filter("label = 'Organization'").select("id")
-    return traversal.capped(suppliers, S.edges(spark, sf, False), 3)
+    return network.capped(_network(spark, sf), suppliers, 3)
 
 
 def j08_one_hop(spark, sf):
-    return _counted(traversal.expand(S.vertices(spark, sf).select("id"), S.edges(spark, sf, False), 1))
+    return _counted(network.expand(_network(spark, sf), S.vertices(spark, sf).select("id"), 1))
 
 
 def j09_paths_depth2(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 2))
 
 
 def j09_paths_depth3(spark, sf):
     """As deep as it goes, hubs one step."""
-    e = S.edges(spark, sf, False)
-    return _counted(traversal.expand(traversal.capped(_seeds(spark, sf), e, 3, few=True).select("id", "depth"), e, 3, few=True))
+    net = _network(spark, sf)
+    return _counted(network.expand(net, network.capped(net, _seeds(spark, sf), 3).select("id", "depth"), 3))
 
 
 HUBS = 24
@@ -98,43 +109,42 @@ HUBS = 24
 
 def _by_degree(spark, sf, label, order):
     """The HUBS vertices of a label with the most or the fewest edges."""
-    e = S.edges(spark, sf, False)
     some = S.vertices(spark, sf).filter(F.col("label") == label).select("id")
-    return traversal.degree(e).join(some, "id", "left_semi").orderBy(order, "id").limit(HUBS).select("id")
+    return network.degree(_network(spark, sf)).join(some, "id", "left_semi").orderBy(order, "id").limit(HUBS).select("id")
 
 
 def g01_hub_paths(spark, sf):
     """Two steps from the largest hubs, without a cap."""
-    return _counted(traversal.expand(_by_degree(spark, sf, "Organization", F.desc("degree")), S.edges(spark, sf, False), 2))
+    return _counted(network.expand(_network(spark, sf), _by_degree(spark, sf, "Organization", F.desc("degree")), 2))
 
 
 def g01_low_degree_paths(spark, sf):
-    return _counted(traversal.expand(_by_degree(spark, sf, "Person", F.asc("degree")), S.edges(spark, sf, False), 2))
+    return _counted(network.expand(_network(spark, sf), _by_degree(spark, sf, "Person", F.asc("degree")), 2))
 
 
 def p04_typed_paths(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, ["SUPPLIED_BY"], few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 2, ["SUPPLIED_BY"]))
 
 
 def p05_direction_out(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="out", few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 3, direction="out"))
 
 
 def p05_direction_in(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 3, direction="in", few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 3, direction="in"))
 
 
 def u01_homogeneous_paths(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES, few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 2, TYPES))
 
 
 def u01_any_type_paths(spark, sf):
-    return _counted(traversal.expand(_seeds(spark, sf), S.edges(spark, sf, False), 2, TYPES, one_type=False, few=True))
+    return _counted(network.expand(_network(spark, sf), _seeds(spark, sf), 2, TYPES, one_type=False))
 
 
 def g04_capped_seeds(spark, sf):
-    e = S.edges(spark, sf, False)
-    return _counted(traversal.expand(traversal.capped(_seeds(spark, sf), e, 2, 50, few=True).select("id", "depth"), e, 2, few=True))
+    net = _network(spark, sf)
+    return _counted(network.expand(net, network.capped(net, _seeds(spark, sf), 2, 50).select("id", "depth"), 2))
 
 
 def g05_retry(spark, sf):
