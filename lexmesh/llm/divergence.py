@@ -34,8 +34,6 @@ LEAST_DOCUMENTS, TOP = 10, 10
 WIDTH, LISTED = 64, 4096
 #: Counters that a task holds before it passes them on, and numbers in a block of shares.
 HELD, AT_ONCE = 1 << 18, 1 << 18
-#: Kept terms that are sent to the counts at most; more of them are joined by a shuffle.
-SENT = 1 << 20
 
 _TABLE = byte_table(NOT_LETTER, lower=True)
 
@@ -211,12 +209,11 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> Data
     slot = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - F.lit(1)
     groups = cut(docs.select("lang", "source").distinct().withColumn("slot", slot.cast("long")))
     most = groups.agg(F.max("slot")).first()[0] or 0
-    counted = cut(collapsed(docs, 1 + most // LISTED).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")))
-
-    kept = cut(counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).filter(F.col("docs") >= least).drop("docs"))
-    if kept.count() <= SENT:
-        kept = F.broadcast(kept)
-    rows = cut(counted.drop("docs").join(kept, ["lang", "term"]))
+    counted = collapsed(docs, 1 + most // LISTED).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    # a row for each source of a term at most, however many documents have it
+    alike = Window.partitionBy("lang", "term")
+    counted = counted.withColumns({"lang_count": F.sum("count").over(alike), "docs": F.sum("docs").over(alike)})
+    rows = cut(counted.filter(F.col("docs") >= least).drop("docs"))
     whole = rows.groupBy("lang").agg(F.sum("count").alias("lang_n"))
     whole = whole.join(rows.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v")), "lang")
     sums = rows.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count("*").alias("has"))

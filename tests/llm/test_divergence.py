@@ -76,7 +76,6 @@ def test_more_sources_than_a_matrix_has(spark, monkeypatch):
     monkeypatch.setattr(divergence, "WIDTH", 4)
     monkeypatch.setattr(divergence, "LISTED", 3)
     monkeypatch.setattr(divergence, "HELD", 50)
-    monkeypatch.setattr(divergence, "SENT", 10)
     rows = corpus(2, [f"s{i}" for i in range(19)], 200)
     rows += [(m, f"s{i % 19}", rows[3][2]) for i in range(60) for m in ("en", "de")]
     same(spark, rows, least=4)
