@@ -66,11 +66,15 @@ def merge_report(merges: DataFrame, relations: DataFrame, *columns: str) -> Data
     return merges.groupBy("action").agg(F.count("*").alias("n")).unionByName(ends.agg(F.count("*").alias("n")).select(F.lit("repointed").alias("action"), "n"))
 
 
-def upsert_nodes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """One row per id: columns of the incoming row where it has a value."""
-    old = existing.select("id", *(F.col(c).alias(f"old_{c}") for c in existing.columns if c != "id"))
+def upsert_nodes(existing: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per id: columns of the incoming row where it has a value; of several rows of an id the last in order that has one."""
+    columns = [c for c in existing.columns if c != "id"]
+    if order:
+        last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
+        incoming = incoming.groupBy("id").agg(*map(last, columns))
+    old = existing.select("id", *(F.col(c).alias(f"old_{c}") for c in columns))
     rows = old.join(incoming, "id", "full_outer")
-    return rows.select("id", *(F.coalesce(F.col(c), F.col(f"old_{c}")).alias(c) for c in existing.columns if c != "id"))
+    return rows.select("id", *(F.coalesce(F.col(c), F.col(f"old_{c}")).alias(c) for c in columns))
 
 
 def merge_edges(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions import vocab
 from ..operators import clauses, network, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
-from ..sources import readers, sinks
+from ..sources import keyed, readers, sinks
 from . import build
 from . import standins as S
 
@@ -224,15 +224,21 @@ def k11_collapse_parallel(spark, sf):
 
 
 def k10_merge_edges(spark, sf):
+    """Edges merged into a keyed table twice: known ones stay."""
     e = S.edges(spark, sf, False)
-    merged = upserts.merge_edges(e.filter("edge_type <> 'SUPPLIED_BY'"), e)
-    return merged.groupBy("edge_type").agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"))
+    table = keyed.create(e.filter("edge_type <> 'SUPPLIED_BY'"), sinks.shared_folder(spark), "id")
+    for _ in range(2):
+        table = table.merge(e, upserts.merge_edges)
+    return table.read().groupBy("edge_type").agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"))
 
 
 def k09_upsert_nodes(spark, sf):
+    """Nodes upserted into a keyed table: of two rows of an id the last one's name counts, and a missing label doesn't."""
     v = S.vertices(spark, sf)
-    new = v.filter("label <> 'Concept'").select("id", F.lit(None).cast("string").alias("label"), F.upper("name").alias("name"))
-    return upserts.upsert_nodes(v, new)
+    some = v.filter("label <> 'Concept'").select("id", F.lit(None).cast("string").alias("label"), "name")
+    new = some.withColumns({"name": F.lit("first"), "at": F.lit(1)}).unionByName(some.withColumns({"name": F.upper("name"), "at": F.lit(2)}))
+    table = keyed.create(v, sinks.shared_folder(spark), "id")
+    return table.merge(new, lambda old, incoming: upserts.upsert_nodes(old, incoming, "at")).read()
 
 
 def t01_knn_entities(spark, sf):
@@ -454,13 +460,15 @@ def p03_units(spark, sf):
 def k05_upsert_documents(spark, sf):
     d = S.table(spark, sf, "documents").select(F.concat(F.lit("id"), F.col("doc_id").cast("string")).alias("id"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("file_path"), "lang", F.coalesce("text", F.lit("")).alias("raw_text"))
     new = d.filter("lang <> 'en'").select("file_path", F.lit("new").alias("lang"), F.concat(F.lit("new: "), "raw_text").alias("raw_text"))
-    return upserts.upsert_documents(d.filter("lang <> 'fr'"), new).select("file_path", "lang", "raw_text", F.col("id").startswith("id").alias("known"))
+    table = keyed.create(d.filter("lang <> 'fr'"), sinks.shared_folder(spark), "file_path")
+    return table.merge(new, upserts.upsert_documents).read().select("file_path", "lang", "raw_text", F.col("id").startswith("id").alias("known"))
 
 
 def k06_get_or_create(spark, sf):
     t = routing.type_mentions(S.names(spark, sf))
     old = S.names(spark, sf).filter("name like '금융%'").select("name").distinct().select(F.concat(F.lit("e:"), F.col("name")).alias("id"), F.lit("Concept").alias("label"), "name")
-    return upserts.get_or_create(old, t).select("label", "name", F.col("id").startswith("e:").alias("known"))
+    table = keyed.create(old, sinks.shared_folder(spark), "label", "name")
+    return table.merge(t, upserts.get_or_create).read().select("label", "name", F.col("id").startswith("e:").alias("known"))
 
 
 def j05_link_relations(spark, sf):
