@@ -109,16 +109,22 @@ def route(relations: DataFrame, root_map: DataFrame, buckets: DataFrame) -> Data
     return rows.withColumns({"route": way, "candidates": options})
 
 
-def resolve(routed: DataFrame, classifier: Classifier = silent, text: str | None = None) -> DataFrame:
+def question_text(routed: DataFrame) -> Column:
+    """What a classifier is asked about a relation: its clause as text."""
+    has = lambda c: F.col(c) if c in routed.columns else F.lit(None).cast("string")
+    return clause_text(has("agent"), F.coalesce(has("verb_lemma"), F.concat("verb_root", F.lit("다"))), has("patient"), has("evidence_text"))
+
+
+def resolve(routed: DataFrame, classifier: Classifier = silent, text: str | None = None, asking: Callable[..., DataFrame] = ask) -> DataFrame:
     """routed with edge_type, extraction_method and counters; rows that are dropped have a null edge_type.
 
-    The classifier is asked with the clause's text, or with the column `text`. A row counts in every one of its
+    The classifier is asked with the clause's text, or with the column `text`; asking is how, such as `answers.Answers.ask`.
+    A row counts in every one of its
     counters: a mapped type that stands in for a missing answer is a rule and a fallback.
     """
-    has = lambda c: F.col(c) if c in routed.columns else F.lit(None).cast("string")
-    asked = F.col(text) if text else clause_text(has("agent"), F.coalesce(has("verb_lemma"), F.concat("verb_root", F.lit("다"))), has("patient"), has("evidence_text"))
+    asked = F.col(text) if text else question_text(routed)
     ruled = routed.filter(F.col("route").isin("mapped", "non_action")).withColumn("answer", F.lit(None).cast("string"))
-    open_ = ask(routed.filter(~F.col("route").isin("mapped", "non_action")).withColumn("_asked", asked), "_asked", "candidates", "answer", classifier).drop("_asked")
+    open_ = asking(routed.filter(~F.col("route").isin("mapped", "non_action")).withColumn("_asked", asked), "_asked", "candidates", "answer", classifier).drop("_asked")
     rows = ruled.unionByName(open_)
     way, answer = F.col("route"), F.col("answer")
     fallback = (way == "needs_context") & answer.isNull()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import context_line, plain_line
@@ -95,19 +95,49 @@ def path_edges(paths: DataFrame, edges: DataFrame) -> DataFrame:
     return each.join(facts, "edge_id")
 
 
-def path_order() -> list[Column]:
-    """A fixed order of discovery: seed, type, length, path."""
-    return [F.col("seed"), F.get("types", F.lit(0)), F.col("hops"), F.array_join("path", ","), F.col("last"), F.col("place")]
+def path_order(columns: Sequence[str] = ()) -> list[Column]:
+    """A fixed order of discovery: seed, or the seed's place `ord` where there is one, type, length, path."""
+    return [F.col("ord" if "ord" in columns else "seed"), F.get("types", F.lit(0)), F.col("hops"), F.array_join("path", ","), F.col("last")]
+
+
+def _ordered(columns: Sequence[str], *more: str) -> Column:
+    return F.struct(*(c.alias(f"k{i}") for i, c in enumerate([*path_order(columns), *map(F.col, more)])))
 
 
 def context(paths: DataFrame, edges: DataFrame, vertices: DataFrame, limit: int = MAX_LINES) -> DataFrame:
     """(line, position): distinct context lines in order of discovery, the first `limit`."""
     rows = path_edges(with_ends(paths, vertices), edges)
     line = context_line(F.col("source_law"), F.col("article_no"), F.col("paragraph_no"), F.col("seed_name"), F.col("edge_type"), F.col("last_name"), F.col("modality"), F.col("voice"))
-    first = rows.select(line.alias("line"), F.struct(*(c.alias(f"k{i}") for i, c in enumerate(path_order()))).alias("at")).groupBy("line").agg(F.min("at").alias("at"))
+    first = rows.select(line.alias("line"), _ordered(paths.columns, "place").alias("at")).groupBy("line").agg(F.min("at").alias("at"))
     return first.orderBy("at", "line").limit(limit)
 
 
+def found_nodes(paths: DataFrame, seeds: DataFrame, vertices: DataFrame, limit: int = MAX_NODES) -> DataFrame:
+    """(id, label, name, place): the first vertices in order of discovery: seeds (id, ord) that are vertices, then the ends of paths.
+
+    paths have the `ord` of their seed. A missing name or label is `?`.
+    """
+    ends = with_ends(paths, vertices)
+    start = seeds.select("id", F.lit(0).alias("later"), F.struct("ord", *(F.lit(x).cast(k).alias(f"k{i}") for i, (x, k) in enumerate((("", "string"), (0, "int"), ("", "string"), ("", "string")), 1))).alias("at"))
+    rest = ends.select(F.col("last").alias("id"), F.lit(1).alias("later"), _ordered(paths.columns).alias("at"))
+    same = rest.schema["at"].dataType
+    first = start.withColumn("at", F.col("at").cast(same)).unionByName(rest).groupBy("id").agg(F.min(F.struct("later", "at")).alias("at"))
+    kept = first.join(vertices, "id").orderBy("at").limit(limit)
+    return kept.select("id", F.coalesce("label", F.lit("?")).alias("label"), F.coalesce("name", F.lit("?")).alias("name"), F.row_number().over(Window.orderBy("at")).alias("place"))
+
+
+def found_edges(paths: DataFrame, edges: DataFrame, vertices: DataFrame, limit: int = MAX_EDGES) -> DataFrame:
+    """(id, source, target, the columns of edges, place): the first edges in order of discovery.
+
+    An edge is placed where it is met first, and has the ends of the path that it is met on last.
+    """
+    rows = path_edges(with_ends(paths, vertices), edges)
+    facts = [c for c in edges.columns if c not in ("id", "src", "dst")]
+    each = rows.select(F.col("edge_id").alias("id"), F.struct(F.col("seed").alias("source"), F.col("last").alias("target"), *facts).alias("e"), _ordered(paths.columns, "place").alias("at"))
+    kept = each.groupBy("id").agg(F.min("at").alias("first"), F.max_by("e", "at").alias("e")).orderBy("first").limit(limit)
+    return kept.select("id", "e.*", F.row_number().over(Window.orderBy("first")).alias("place")).withColumn("edge_type", F.coalesce("edge_type", F.lit("?")))
+
+
 def plain_context(paths: DataFrame, edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """(line): distinct plain lines; a vertex without a name goes by its id."""
     named = vertices.withColumn("name", F.coalesce("name", "id", F.lit("?")))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import ordering, routing, traversal, vectors
+from ..operators import ordering, routing, traversal, vector_index, vectors
 
 # Fixed value: the answer without evidence.
 NOTHING = "그래프에서 이 질문과 관련된 근거를 찾지 못했습니다."
+# Fixed value: what stands behind a context that was cut.
+CUT = "\n\n[참고: 탐색된 관계가 너무 많아 상위 {}개만 표시함 — 답변이 불완전할 수 있음]"
 
 
 @dataclass
@@ -38,10 +40,18 @@ def traverse(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequenc
     return traversal.expand(bounded, edges, depth, few=True), False
 
 
-def seed_rows(entities: DataFrame, relations: DataFrame, query: list[float], top_k: int) -> DataFrame:
+Searched = DataFrame | vector_index.Index
+
+
+def hits(searched: Searched, query: list[float], top_k: int) -> DataFrame:
+    """The rows nearest to the query, from a table of vectors or from an index of them."""
+    return vector_index.search(searched, query, top_k) if isinstance(searched, vector_index.Index) else vectors.nearest(searched, query, top_k)
+
+
+def seed_rows(entities: Searched, relations: Searched, query: list[float], top_k: int) -> DataFrame:
     """(id, name, label, score, ord): entity hits first, then the ends of relation hits; the first of an id counts."""
-    near = vectors.nearest(entities, query, top_k).select("id", "name", "label", "score")
-    ends = vectors.nearest(relations, query, top_k).select(F.col("id").alias("rid"), "score", F.posexplode(F.array("source_entity_id", "target_entity_id")).alias("side", "id"))
+    near = hits(entities, query, top_k).select("id", "name", "label", "score")
+    ends = hits(relations, query, top_k).select(F.col("id").alias("rid"), "score", F.posexplode(F.array("source_entity_id", "target_entity_id")).alias("side", "id"))
     rows = near.withColumn("o", F.struct(F.lit(0).alias("k"), (-F.col("score")).alias("s"), F.col("id").alias("r"), F.lit(0).alias("side"))).unionByName(
         ends.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("label"), "score", F.struct(F.lit(1).alias("k"), (-F.col("score")).alias("s"), F.col("rid").alias("r"), "side").alias("o"))
     )
@@ -49,13 +59,17 @@ def seed_rows(entities: DataFrame, relations: DataFrame, query: list[float], top
 
 
 def answer_question(
-    spark: SparkSession, question: str, entities: DataFrame, relations: DataFrame, vertices: DataFrame, edges: DataFrame, *, top_k: int = 5, depth: int = 1,
+    spark: SparkSession, question: str, entities: Searched, relations: Searched, vertices: DataFrame, edges: DataFrame, *, top_k: int = 5, depth: int = 1,
     embed: Callable = vectors.hashed, categories: Callable[[str], list[str]] = lambda q: [], refine: Callable[[str, list[str]], list[str]] = lambda q, c: c, chat: Callable[[str, str], str] = lambda q, context: context,
 ) -> Answer:
-    """entities (id, name, label, embedding) and relations (id, source_entity_id, target_entity_id, embedding) are searched, the network expanded."""
+    """entities (id, name, label, embedding) and relations (id, source_entity_id, target_entity_id, embedding), or indexes of them, are searched, the network expanded.
+
+    chat gets the question and the context, with a note behind it where it was cut.
+    """
     if not question or not 1 <= top_k <= 20 or not 1 <= depth <= 3:
         raise ValueError("a question, top_k of 1 to 20 and a depth of 1 to 3 are needed")
-    seeds = seed_rows(entities, relations, [float(x) for x in embed([question])[0]], top_k)
+    order = Window.orderBy("o")  # of at most three times top_k seeds
+    seeds = seed_rows(entities, relations, [float(x) for x in embed([question])[0]], top_k).withColumn("ord", F.row_number().over(order)).drop("o")
     one = spark.createDataFrame([(question,)], "q string")
     types = one.select(routing.hinted_types(F.col("q"))).first()[0]
     source, narrowed = ("keyword" if types else None), False
@@ -65,19 +79,18 @@ def answer_question(
             got = [t for t in dict.fromkeys(refine(question, chosen)) if t in chosen] or chosen
             types, source, narrowed = got, "llm_category", got != chosen
     paths, held = traverse(seeds, edges, depth, types)
-    paths = paths.persist()  # read by the context, the edges and the nodes
+    paths = paths.join(F.broadcast(seeds.select(F.col("id").alias("seed"), "ord")), "seed").persist()  # read by the context, the edges and the nodes
     if types and not held:
         types, source, narrowed = None, None, False
     lines = [r["line"] for r in traversal.context(paths, edges, vertices, traversal.MAX_LINES + 1).collect()]
     cut = len(lines) > traversal.MAX_LINES
     lines = lines[: traversal.MAX_LINES]
-    ended = traversal.path_edges(traversal.with_ends(paths, vertices), edges)
-    ids = paths.select(F.col("seed").alias("id")).union(paths.select("last")).union(seeds.select("id")).distinct()
-    nodes = vertices.join(ids, "id", "left_semi").orderBy("id").limit(traversal.MAX_NODES)
-    found = ended.groupBy("edge_id").agg(F.min(F.struct("seed", "last", "edge_src", "edge_dst", "edge_type")).alias("e")).select(F.col("edge_id").alias("id"), "e.*").orderBy("id").limit(traversal.MAX_EDGES)
-    named = seeds.join(vertices.select("id", F.col("name").alias("n"), F.col("label").alias("l")), "id", "left").select("id", F.coalesce("name", "n").alias("name"), F.coalesce("label", "l").alias("label"), "score").orderBy(F.desc(F.coalesce("score", F.lit(0.0))), "id")
+    nodes = traversal.found_nodes(paths, seeds, vertices).orderBy("place").drop("place")
+    found = traversal.found_edges(paths, edges, vertices).orderBy("place").drop("place")
+    named = seeds.join(vertices.select("id", F.col("name").alias("n"), F.col("label").alias("l")), "id", "left").orderBy("ord").select("id", F.coalesce("name", "n").alias("name"), F.coalesce("label", "l").alias("label"), "score")
     capped = traversal.capped(seeds.select("id"), edges, depth).filter(F.col("depth") < depth).count()
     rows = lambda df: [r.asDict(True) for r in df.collect()]
-    out = Answer(chat(question, "\n".join(lines)) if lines else NOTHING, rows(named), rows(nodes), rows(found), lines, cut, types, source, narrowed, capped)
+    shown = "\n".join(lines) + (CUT.format(traversal.MAX_LINES) if cut else "")
+    out = Answer(chat(question, shown) if lines else NOTHING, rows(named), rows(nodes), rows(found), lines, cut, types, source, narrowed, capped)
     paths.unpersist()
     return out

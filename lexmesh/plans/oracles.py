@@ -149,6 +149,12 @@ ways AS (SELECT *, CASE WHEN n % 3 <> 0 AND n % 2 <> 0 THEN 'mapped' WHEN n % 3
 answers AS (SELECT *, CASE WHEN route IN ('mapped', 'non_action') OR len % 5 IN (0, 1) THEN NULL WHEN route = 'needs_context' THEN CASE WHEN len % 5 = 2 THEN NULL ELSE [m, alt][1 + len % 2] END WHEN len % 5 = 2 THEN 'NONE' ELSE list_append({_TYPES}, 'NONE')[1 + len % 65] END AS answer FROM ways),
 res AS (SELECT *, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN m WHEN answer <> 'NONE' THEN answer END AS edge_type, CASE WHEN route = 'mapped' OR route = 'needs_context' AND answer IS NULL THEN 'rule' WHEN answer <> 'NONE' THEN 'llm_disambiguation' END AS extraction_method,
   CASE WHEN route = 'mapped' THEN 'rule' WHEN route = 'non_action' THEN 'skipped_non_action_root' WHEN route = 'needs_context' AND answer IS NULL THEN 'rule,llm_disambiguation_fallback' WHEN answer IS NULL THEN 'skipped_llm_disambiguation_failed' WHEN answer = 'NONE' THEN 'skipped_llm_none' WHEN route = 'unmapped' THEN 'llm_disambiguation_unmapped_root' ELSE 'llm_disambiguation' END AS counters FROM answers)"""
+_STEPS = "pt AS (SELECT p.*, s.ord, p.types[1] AS t, array_to_string(path, ',') AS path_text FROM paths p JOIN seeds s ON s.id = p.seed)"
+NODES_FOUND = f"""{_STEPS}, cand AS (SELECT id, 0 AS later, ord, '' AS t, 0 AS hops, '' AS path_text, '' AS last FROM seeds UNION ALL SELECT last, 1, ord, t, hops, path_text, last FROM pt),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY later, ord, t, hops, path_text, last) AS rn FROM cand),
+nodes AS (SELECT v.*, CAST(row_number() OVER (ORDER BY later, ord, t, hops, path_text, last) AS INT) AS place FROM firsts JOIN v USING (id) WHERE rn = 1)"""
+EDGES_FOUND = f"""{_STEPS}, met AS (SELECT pt.path[u.place + 1] AS id, seed, last, row_number() OVER (ORDER BY ord, t, hops, path_text, last, u.place) AS met_at FROM pt, (SELECT unnest(range(0, 2)) AS place) u WHERE u.place < len(path)),
+firsts AS (SELECT id, min(met_at) AS first, arg_max(seed, met_at) AS source, arg_max(last, met_at) AS target FROM met GROUP BY 1)"""
 LAWS_MATCHED = """m0 AS (SELECT c_custkey AS no, CASE WHEN c_custkey = 4 THEN '첫 째 ' ELSE replace(c_name, '#', ' · ') END AS name, CASE WHEN c_custkey = 4 THEN 1 ELSE c_custkey END AS k FROM customer),
 m AS (SELECT no, name, k, CASE WHEN k % 3 <> 0 THEN replace(c_name, '#', 'ㆍ') END AS directory, k = 1 AND k % 3 <> 0 AS alias_applied FROM m0 JOIN customer ON c_custkey = k)"""
 LINE_GROUPS = "g AS (SELECT 'r' || l_partkey AS root, count(*) AS c FROM lineitem GROUP BY 1)"
@@ -182,6 +188,8 @@ def oracle_sql() -> dict[str, str]:
         "t06_capped_context": f"WITH {VERTICES}, {_paths(2)}, {PATH_EDGES} SELECT line FROM ctx",
         "g08_plain_context": f"WITH {VERTICES}, {_paths(2)}, {PATH_EDGES} SELECT DISTINCT '(' || seed_label || ') ' || seed_name || ' -[' || edge_type || ']-> (' || last_label || ') ' || last_name AS line FROM pe",
         "p11_path_edges": f"WITH {VERTICES}, {_paths(2)}, {PATH_EDGES} SELECT DISTINCT edge_id AS id, seed AS source, last AS target, edge_src, edge_dst, edge_type, source_law, article_no, paragraph_no FROM pe",
+        "g09_answer_nodes": f"WITH {VERTICES}, {_paths(2)}, {NODES_FOUND} SELECT * FROM nodes WHERE place <= 1000",
+        "g09_answer_edges": f"WITH {VERTICES}, {_paths(2)}, {EDGES_FOUND}, k AS (SELECT *, CAST(row_number() OVER (ORDER BY first) AS INT) AS place FROM firsts) SELECT e.id, source, target, edge_type, source_law, article_no, paragraph_no, modality, voice, place FROM k JOIN e USING (id) WHERE place <= 1500",
         "a11_dedup_first": "SELECT o_orderpriority || '|' || o_custkey AS line, min(o_orderkey) AS ord FROM orders GROUP BY 1",
         "a12_last_wins": "SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus, arg_max(o_totalprice, o_orderkey) AS o_totalprice, min(o_orderkey) AS first_seen FROM orders GROUP BY 1",
         "a13_first_wins": "SELECT o_custkey, min(o_orderkey) AS o_orderkey, arg_min(o_orderstatus, o_orderkey) AS o_orderstatus, arg_min(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1",
@@ -243,6 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "a17_merge_report": f"WITH {NAMES}, {RESOLVED}, {MERGES}, t AS (SELECT id FROM merges WHERE action = 'merge'), ends AS (SELECT id FROM ent UNION ALL SELECT id // 1000000 * 1000000 + id * 3 % 50 FROM ent) SELECT action, count(*) AS n FROM merges GROUP BY 1 UNION ALL SELECT 'repointed', (SELECT count(*) FROM ends WHERE id IN (SELECT id FROM t))",
         "r04_routes": f"WITH {GROUPS}, r AS (SELECT p_type, bucket, length(p_type) % 4 <> 0 AS has_map, length(p_type) % 3 = 0 AS ctx, {_pick(V.EDGE_TYPES, 'length(p_type)')} AS m FROM part JOIN grp ON p_type = root), w AS (SELECT CASE WHEN has_map AND NOT ctx THEN 'mapped' WHEN has_map THEN 'needs_context' WHEN bucket = 'AMBIGUOUS' THEN 'ambiguous' WHEN bucket IN ('REF', 'DEF', 'STATIVE') THEN 'non_action' ELSE 'unmapped' END AS route, CASE WHEN has_map THEN m END AS edge_type FROM r) SELECT route, CASE route WHEN 'mapped' THEN 'rule' WHEN 'needs_context' THEN 'rule,llm_disambiguation_fallback' WHEN 'non_action' THEN 'skipped_non_action_root' ELSE 'skipped_llm_disambiguation_failed' END AS counters, edge_type, count(*) AS n FROM w GROUP BY ALL",
         "r04_answered_routes": f"WITH {RESOLVED_RELATIONS} SELECT route, counters, edge_type, extraction_method, count(*) AS n FROM res GROUP BY ALL",
+        "m03_stored_answers": f"WITH {RESOLVED_RELATIONS}, q AS (SELECT {_TEXT.format(agent="agent", evidence="agent || ' ' || patient")} AS text, CASE WHEN route = 'needs_context' THEN CASE WHEN m = alt THEN m ELSE m || ',' || alt END ELSE '*' END AS candidates, any_value(answer) AS answer FROM res WHERE route NOT IN ('mapped', 'non_action') GROUP BY 1, 2), n AS (SELECT count(*) AS n, count(answer) AS good FROM q) SELECT 1 AS run, n AS asked, good AS answered, n - good AS failed FROM n UNION ALL SELECT 2, n - good, good, n - good FROM n",
         "a08_counters": f"WITH {RESOLVED_RELATIONS}, names AS (SELECT DISTINCT 0 AS id, name FROM (SELECT unnest([agent, patient]) AS name FROM res WHERE edge_type IS NOT NULL)), {RESOLVED} SELECT 'raw_svo_records_with_both_endpoints' AS counter, count(*) AS n FROM raw UNION ALL SELECT 'relations_total', count(edge_type) FROM res UNION ALL SELECT 'entities_total', count(DISTINCT resolved) FROM resolved UNION ALL SELECT counter, count(*) FROM (SELECT unnest(string_split(counters, ',')) AS counter FROM res) GROUP BY 1",
         "c15_clause_text": f"WITH {FOUND}, c AS (SELECT agent, lemma, patient, count(*) AS n FROM found WHERE coalesce(agent, '') <> '' AND coalesce(patient, '') <> '' GROUP BY ALL) SELECT '[' || n || '] ' || {_TEXT.format(agent="CASE WHEN agent = '회사' THEN '(생략)' ELSE agent END", evidence="repeat(agent, 90)")} AS text FROM c",
         "m04_typed_by_model": f"WITH {NAMES}, {TYPED}, d AS (SELECT DISTINCT name, label, subtype, method, CASE WHEN method = 'dict' THEN 0 ELSE length(name) % 4 END AS k FROM typed), m AS (SELECT name, CASE WHEN k >= 2 THEN 'llm' ELSE method END AS method, CASE k WHEN 2 THEN 'Person' WHEN 3 THEN 'Organization' ELSE label END AS label, CASE k WHEN 2 THEN '임원' WHEN 3 THEN NULL ELSE subtype END AS subtype FROM d) SELECT method, label, subtype, count(*) AS n, min(name) AS first FROM m GROUP BY ALL",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocab
-from ..operators import clauses, network, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
+from ..operators import answers, clauses, network, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
 from ..sources import keyed, readers, sinks
 from . import build
 from . import standins as S
@@ -184,6 +184,25 @@ def p11_path_edges(spark, sf):
     return rows.select(F.col("edge_id").alias("id"), F.col("seed").alias("source"), F.col("last").alias("target"), "edge_src", "edge_dst", "edge_type", "source_law", "article_no", "paragraph_no").distinct()
 
 
+def _answered(spark, sf):
+    """Seeds and all paths of two steps from them, with the places of the seeds."""
+    seeds, e = _seeds(spark, sf), S.edges(spark, sf)
+    paths = traversal.expand(seeds, e, 2, few=True).join(F.broadcast(seeds.select(F.col("id").alias("seed"), "ord")), "seed")
+    return paths, seeds, e, S.vertices(spark, sf)
+
+
+def g09_answer_nodes(spark, sf):
+    """The first 1,000 nodes of an answer, in order of discovery."""
+    paths, seeds, _, v = _answered(spark, sf)
+    return traversal.found_nodes(paths, seeds, v)
+
+
+def g09_answer_edges(spark, sf):
+    """The first 1,500 edges of an answer: placed where they are met first, with the ends of the last path."""
+    paths, _, e, v = _answered(spark, sf)
+    return traversal.found_edges(paths, e, v)
+
+
 def a11_dedup_first(spark, sf):
     rows = S.table(spark, sf, "orders").select(F.concat("o_orderpriority", F.lit("|"), F.col("o_custkey").cast("string")).alias("line"), F.col("o_orderkey").alias("ord"))
     return rows.groupBy("line").agg(F.min("ord").alias("ord"))
@@ -517,14 +536,31 @@ def _answering(texts: list[str], candidates: list[list[str]]) -> list[str | None
     return [None if len(t) % 5 == 0 else "?" if len(t) % 5 == 1 else routing.NONE if len(t) % 5 == 2 else c[len(t) % len(c)] for t, c in zip(texts, candidates, strict=True)]
 
 
-def _resolved(spark, sf):
-    """Raw relations, routed by their roots' lengths and resolved by the answering classifier."""
+def _routed(spark, sf):
+    """Raw relations, and the same routed by their roots' lengths."""
     raw = clauses.relations(_found(spark, sf)).withColumn("evidence_text", F.concat("agent", F.lit(" "), "patient"))
     roots = raw.select("verb_root").distinct()
     n = F.length("verb_root") + F.ascii("verb_root")
     root_map = roots.filter(n % 3 != 0).select("verb_root", S.pick(vocab.EDGE_TYPES, n).alias("mapped"), F.array(S.pick(vocab.EDGE_TYPES, n + 1)).alias("alternatives"), (n % 2 == 0).alias("needs_context"))
     buckets = roots.select("verb_root", S.pick(["REF", "AMBIGUOUS", "ACTION"], F.ascii("verb_root")).alias("bucket"))
-    return raw, routing.resolve(routing.route(raw, root_map, buckets), _answering)
+    return raw, routing.route(raw, root_map, buckets)
+
+
+def _resolved(spark, sf):
+    """Raw relations, and the same resolved by the answering classifier."""
+    raw, routed = _routed(spark, sf)
+    return raw, routing.resolve(routed, _answering)
+
+
+def m03_stored_answers(spark, sf):
+    """Two runs over the same relations with a store of answers: the second asks again what had no answer, and nothing else."""
+    store = answers.create(spark, sinks.shared_folder(spark))
+    routed = _routed(spark, sf)[1]
+    runs = []
+    for run in (1, 2):
+        routing.resolve(routed, _answering, asking=store.ask)
+        runs.append((run, store.asked, store.answered.read().count(), store.failed.read().count()))
+    return spark.createDataFrame(runs, "run int, asked long, answered long, failed long")
 
 
 def r04_answered_routes(spark, sf):
