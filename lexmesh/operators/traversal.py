@@ -112,6 +112,24 @@ def context(paths: DataFrame, edges: DataFrame, vertices: DataFrame, limit: int
     return first.orderBy("at", "line").limit(limit)
 
 
+def bounded_context(seeds: DataFrame, edges: DataFrame, vertices: DataFrame, depth: int, limit: int = MAX_LINES, **how) -> DataFrame:
+    """(line, place): the lines of context over expand(seeds, edges, depth, **how), but seeds are expanded only until `limit` lines are found.
+
+    The order of discovery begins with the seed, so lines of later seeds can't come before those of earlier ones.
+    seeds are a bounded top-k; they are taken in batches that double.
+    """
+    ids = [r.id for r in seeds.select("id").distinct().orderBy("id").collect()]
+    lines: dict[str, None] = {}
+    at, size = 0, 1
+    while at < len(ids) and len(lines) < limit:
+        some = seeds.filter(F.col("id").isin(ids[at : at + size]))
+        # of its first lines some may have been found before
+        got = context(expand(some, edges, depth, few=True, **how), edges, vertices, limit + len(lines)).collect()
+        lines |= dict.fromkeys(r.line for r in got)
+        at, size = at + size, 2 * size
+    return seeds.sparkSession.createDataFrame([(line, i + 1) for i, line in enumerate(list(lines)[:limit])], "line string, place int")
+
+
 def found_nodes(paths: DataFrame, seeds: DataFrame, vertices: DataFrame, limit: int = MAX_NODES) -> DataFrame:
     """(id, label, name, place): the first vertices in order of discovery: seeds (id, ord) that are vertices, then the ends of paths.
 

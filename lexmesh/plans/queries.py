@@ -161,8 +161,7 @@ def p07_find_by_name(spark, sf):
 
 
 def _lines(spark, sf, depth):
-    e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    return traversal.context(traversal.expand(_seeds(spark, sf), e, depth, few=True), e, v)
+    return traversal.bounded_context(_seeds(spark, sf), S.edges(spark, sf), S.vertices(spark, sf), depth)
 
 
 def g06_context_lines(spark, sf):
@@ -747,9 +746,8 @@ def k08_truncate(spark, sf):
 
 def flagship(spark, sf):
     """Seeds by nearest vectors, expansion with the hub cap, and the distinct context lines in order."""
-    e, v = S.edges(spark, sf), S.vertices(spark, sf)
-    seeds = traversal.capped(_seeds(spark, sf), e, 2, few=True).select("id", "depth")
-    return traversal.context(traversal.expand(seeds, e, 2, few=True), e, v).select("line")
+    seeds = network.capped(_network(spark, sf), _seeds(spark, sf), 2).select("id", "depth")
+    return traversal.bounded_context(seeds, S.edges(spark, sf), S.vertices(spark, sf), 2).select("line")
 
 
 def queries() -> dict:

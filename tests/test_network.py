@@ -85,3 +85,20 @@ def test_directions(spark, tmp_path):
     net = stored(spark, [("1", "X", "a", "b")], str(tmp_path / "net"))
     with pytest.raises(ValueError, match="direction"):
         network.expand(net, spark.createDataFrame([("a",)], "id string"), 1, direction="up")
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 10_000])
+def test_bounded_context_equals_the_full_one(spark, limit, monkeypatch):
+    """The same lines in the same order, with fewer seeds expanded where the limit is reached early."""
+    rng = random.Random(limit)
+    rows = [(f"e{i}", rng.choice("XYZ"), rng.choice("abcdef"), rng.choice("abcdef"), rng.choice(["l", "m"]), rng.choice([1, 2])) for i in range(24)]
+    edges = spark.createDataFrame(rows, f"{SCHEMA}, source_law string, article_no int").selectExpr("*", "1 AS paragraph_no", "'n' AS modality", "'v' AS voice").cache()
+    vertices = spark.createDataFrame([(v, "Concept", v.upper()) for v in "abcdef"], "id string, label string, name string")
+    seeds = spark.createDataFrame([("c", 2), ("a", 1), ("f", 2), ("b", 2)], "id string, depth int")
+    want = [r.line for r in traversal.context(traversal.expand(seeds, edges, 2), edges, vertices, limit).collect()]
+    expanded = []
+    full = traversal.expand
+    monkeypatch.setattr(traversal, "expand", lambda some, *a, **k: expanded.append(some.count()) or full(some, *a, **k))
+    got = [r.line for r in traversal.bounded_context(seeds, edges, vertices, 2, limit).orderBy("place").collect()]
+    assert got == want
+    assert sum(expanded) == {1: 1, 10_000: 4}.get(limit, sum(expanded))
