@@ -6,7 +6,7 @@ own text meets in a task. Python's `.` and `$` are spelt out for Java's regular
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # What headings, notes, marks and items look like.
@@ -48,10 +48,14 @@ def _strip(c: Column) -> Column:
 def articles(docs: DataFrame, text: str = "raw_text") -> DataFrame:
     """docs x (article_ord, article_no, article_sub_no, title, article_body): pieces that begin with a header."""
     pieces = F.filter(F.split(body(F.col(text)), f"(?={HEADER})".replace("(?=(?m)", "(?m)(?=")), lambda x: x.rlike(HEADER))
-    rows = docs.select("*", F.posexplode(pieces).alias("article_ord", "_piece"))
+    return _headed(docs.select("*", F.posexplode(pieces).alias("article_ord", "_piece")), docs.columns)
+
+
+def _headed(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """Rows with article_ord and a piece that begins with a header, as articles."""
     part = lambda i: F.regexp_extract("_piece", HEADER, i)
     return rows.select(
-        *docs.columns,
+        *kept,
         "article_ord",
         part(1).cast("int").alias("article_no"),
         F.nullif(part(2), F.lit("")).cast("int").alias("article_sub_no"),
@@ -60,6 +64,22 @@ def articles(docs: DataFrame, text: str = "raw_text") -> DataFrame:
     )
 
 
+def articles_of_pieces(pieces: DataFrame, file: str = "file_path", order: str = "at") -> DataFrame:
+    """(file, article_ord, ...) as articles, from the pieces that a file was cut into before each heading of the fifth level.
+
+    pieces (file, at, piece) in order; a piece without a header belongs to the article before it. Nothing behind the
+    addenda counts. Windows run over the pieces of a file; no value is longer than an article.
+    """
+    own = Window.partitionBy(file).orderBy(order)
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    piece = F.col("piece")
+    rows = pieces.select(file, order, body(piece).alias("piece"), piece.rlike(ADDENDA).alias("ends"), body(piece).rlike(r"\A" + HEADER).alias("heads"))
+    rows = rows.withColumn("over", F.coalesce(F.bool_or("ends").over(before), F.lit(False))).filter("not over")
+    rows = rows.withColumn("article_ord", F.sum(F.col("heads").cast("int")).over(own) - 1).filter("article_ord >= 0")
+    whole = rows.groupBy(file, F.col("article_ord").cast("int").alias("article_ord")).agg(F.array_sort(F.collect_list(F.struct(order, "piece"))).alias("p"))
+    return _headed(whole.select(file, "article_ord", F.array_join(F.transform("p", lambda x: x["piece"]), "").alias("_piece")), [file])
+
+
 def paragraphs(found: DataFrame) -> DataFrame:
     """articles x (paragraph_ord, paragraph_no, paragraph_text): spans of circled marks, or the whole body without any."""
     marks = F.regexp_extract_all("article_body", F.lit(MARK), F.lit(1))

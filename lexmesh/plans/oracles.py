@@ -240,6 +240,7 @@ def oracle_sql() -> dict[str, str]:
         "w08_index_in_root": "WITH r AS (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS idx FROM orders) SELECT *, CAST(idx // 5 AS BIGINT) AS batch FROM r",
         "c02_clean_markdown": f"WITH {W} SELECT doc_id, '제1장' || chr(10) || '제' || (1 + doc_id % 9) || '조 (목적)' || chr(10) || w0 || ' 정한다. <개정 2009.1.30>' || chr(10) || '제2절' || chr(10) || '제' || (2 + doc_id % 9) || '조의' || (2 + doc_id % 3) || ' (정의)' || chr(10) || '① 가 ' || w1 || chr(10) || '  1. 나 ' || w2 || chr(10) || '    가. 다 ' || w3 || chr(10) || '㉑ 라 ' || w4 || chr(10) || '부칙 끝' || chr(10) || '제1조 (시행일)' || chr(10) || '마' || chr(10) AS text FROM parts",
         "c05_articles": "SELECT doc_id, 0 AS article_ord, CAST(1 + doc_id % 9 AS INT) AS article_no, CAST(NULL AS INT) AS article_sub_no, '목적' AS title FROM documents UNION ALL SELECT doc_id, 1, CAST(2 + doc_id % 9 AS INT), CAST(2 + doc_id % 3 AS INT), '정의' FROM documents",
+        "c05_split_articles": "WITH a AS (SELECT source, CAST(1 + doc_id % 9 AS INT) AS article_no, CAST(NULL AS INT) AS article_sub_no, '목적' AS title FROM documents UNION ALL SELECT source, CAST(2 + doc_id % 9 AS INT), CAST(2 + doc_id % 3 AS INT), '정의' FROM documents) SELECT *, count(*) AS n, count(*) AS n_ords FROM a GROUP BY ALL",
         "c06_paragraphs": f"WITH {W} SELECT doc_id, 0 AS article_ord, 0 AS paragraph_ord, CAST(NULL AS INT) AS paragraph_no, trim(w0 || ' 정한다.') AS head FROM parts UNION ALL SELECT doc_id, 1, 0, 1, trim('가 ' || w1) FROM parts UNION ALL SELECT doc_id, 1, 1, 21, trim('라 ' || w4) FROM parts",
         "c07_items": f"WITH {W} SELECT doc_id, 1 AS article_ord, 0 AS paragraph_ord, '1' AS label, trim('나 ' || w2) AS body, 0 AS depth FROM parts UNION ALL SELECT doc_id, 1, 0, '가', trim('다 ' || w3), 1 FROM parts",
         "p03_units": f"WITH {W} SELECT doc_id, 0 AS article_ord, CAST(NULL AS INT) AS paragraph_no, 0 AS unit_ord, trim(w0 || ' 정한다.') AS unit_text FROM parts UNION ALL SELECT doc_id, 1, 1, 0, trim('가 ' || w1) FROM parts UNION ALL SELECT doc_id, 1, 1, 1, trim('나 ' || w2) FROM parts UNION ALL SELECT doc_id, 1, 1, 2, trim('다 ' || w3) FROM parts UNION ALL SELECT doc_id, 1, 21, 0, trim('라 ' || w4) FROM parts",

@@ -460,6 +460,15 @@ def c05_articles(spark, sf):
     return structure.articles(S.statutes(spark, sf)).select("doc_id", "article_ord", "article_no", "article_sub_no", "title")
 
 
+def c05_split_articles(spark, sf):
+    """Articles of one large file for each source, read in pieces; the files have no addenda."""
+    path = sinks.shared_folder(spark)
+    rows = S.statutes(spark, sf).join(S.table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    rows.select("source", structure.body(F.col("raw_text")).alias("value")).repartition("source").write.partitionBy("source").option("compression", "none").text(path)
+    found = structure.articles_of_pieces(readers.markdown_pieces(spark, path, "*.txt").withColumn("file_path", F.regexp_extract("file_path", "source=([^/]+)/", 1)))
+    return found.groupBy(F.col("file_path").alias("source"), "article_no", "article_sub_no", "title").agg(F.count("*").alias("n"), F.countDistinct("article_ord").alias("n_ords"))
+
+
 def c06_paragraphs(spark, sf):
     p = structure.paragraphs(structure.articles(S.statutes(spark, sf)))
     return p.select("doc_id", "article_ord", "paragraph_ord", "paragraph_no", structure.head(F.col("paragraph_text")).alias("head"))

@@ -6,7 +6,7 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import date_text, normalize, truthy
@@ -35,6 +35,25 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("raw_text"))
 
 
+#: What the pieces of a Markdown file begin with.
+HEADING = "#####"
+
+
+def markdown_pieces(spark: SparkSession, path: str, names: str = "*.md") -> DataFrame:
+    """(file_path, at, piece) of all files of those names below path, cut before each heading of the fifth level; at is the order in a file.
+
+    The text reader cuts at the heading, so a file is read by as many tasks as it has splits, and no value holds all of it.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).option("lineSep", f"\n{HEADING}").text(path)
+    begin = F.col("_metadata.file_block_start")
+    # within a split rows come in the order of the file
+    rows = rows.select(F.col("_metadata.file_path").alias("file_path"), F.struct(begin.alias("split"), F.monotonically_increasing_id().alias("row")).alias("at"), "value")
+    own = Window.partitionBy("file_path").orderBy("at")
+    # what the reader took for a separator: the line's end before a heading, and the heading
+    begin, end = F.when(F.row_number().over(own) > 1, HEADING).otherwise(""), F.when(F.lead("at").over(own).isNotNull(), "\n").otherwise("")
+    return rows.select("file_path", "at", F.concat(begin, "value", end).alias("piece"))
+
+
 _KEY = re.compile(r"""("[^"]*"|'[^']*'|[^:#'"\[{]+?)\s*:(?:\s+(.*))?$""")
 _ITEM = re.compile(r"""\s*("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,]*)\s*(?:,|$)""")
 _SINGLE, _DOUBLE = re.compile(r"'((?:[^']|'')*)'"), re.compile(r'"((?:[^"\\]|\\.)*)"')

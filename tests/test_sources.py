@@ -1,11 +1,13 @@
 """Sources as they come: front matter, tagged values, aliases, manifests."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lexmesh.functions import names as N
 from lexmesh.functions import vocab
-from lexmesh.operators import routing
+from lexmesh.operators import routing, structure
 from lexmesh.sources import readers, sinks
 
 
@@ -95,3 +97,27 @@ def test_clashing_columns_and_distinct_names(spark):
     got = routing.type_mentions(rows, typer=lambda names: [("Person", str(len(names))) for _ in names])
     assert got.columns == ["name", "kind", "Resolved", "answer", "label", "subtype", "method"]
     assert sorted((r.name or "", r.label, r.subtype) for r in got.collect()) == [("", "Concept", None), ("a", "Person", "1"), ("a", "Person", "1"), ("국세청", "Organization", "청")]
+
+
+def test_articles_of_files_larger_than_a_split(spark, tmp_path):
+    """Pieces that several tasks read make the same articles as whole texts."""
+    rng = random.Random(4)
+    lines = ["##### 제{}조 (가나)", "##### 제{}조의2 (다)", "##### 제{}조", "###### 깊이", "# 제1장", "#### 절", "본문 {} <개정 2009.1.30>", "**①** 항 {}", "  1\\. 호", "", "말 " * 30]
+    for k in range(6):
+        text = "\n".join(rng.choice(lines).format(rng.randint(1, 99)) for _ in range(150))
+        text = {0: "##### 제1조 (처음)\n" + text, 1: "---\na: 1\n---\n" + text, 2: text[:2000] + "\n## 부칙 <2020>\n" + text, 3: "## 부칙\n" + text, 4: "", 5: text}[k]
+        (tmp_path / f"law{k}").mkdir()
+        (tmp_path / f"law{k}" / "a.md").write_text(text)
+    whole = structure.articles(readers.markdown(spark, str(tmp_path))).drop("raw_text")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        pieces = readers.markdown_pieces(spark, str(tmp_path))
+        assert pieces.select("file_path", "at.split").distinct().count() > 20
+        got = sorted(map(tuple, structure.articles_of_pieces(pieces).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = sorted(map(tuple, whole.collect()), key=str)
+    assert len(want) > 60 and got == want
