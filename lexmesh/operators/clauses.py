@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import extract_root
 from ..functions.vocab import MODAL_STEMS, NP_TAGS
+from .ordering import carried
 
 # Tags and forms of the rules.
 VERBAL, PREDICATE, ENDS, PASSIVE = ("XSV", "XSA"), ("VV", "VA"), ("EF", "SF"), ("되", "받")
@@ -166,9 +167,7 @@ def extract(rows: DataFrame, article: Sequence[str], unit: str = "unit_ord") ->
     """
     keys = [*article, unit]
     found = rows.select(*keys, records(F.col("tokens")).alias("found")).withColumn("hands", hands(F.col("found")))
-    before = Window.partitionBy(*article).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    carried = found.withColumn("inherited", F.last("hands", ignorenulls=True).over(before)["agent"])
-    each = carried.select(*keys, F.explode(assigned(F.col("found"), F.col("inherited"))).alias("r")).select(*keys, "r.*")
+    each = found.withColumn("inherited", carried(F.col("hands"), article, unit)["agent"]).select(*keys, F.explode(assigned(F.col("found"), F.col("inherited"))).alias("r")).select(*keys, "r.*")
     return each.withColumn("verb_root", extract_root(F.col("verb_lemma")))
 
 

@@ -37,3 +37,13 @@ def type_coverage(groups: DataFrame) -> DataFrame:
 def assigned_twice(assignments: DataFrame) -> DataFrame:
     """Roots that more than one type claims."""
     return assignments.groupBy("root").agg(F.countDistinct("edge_type").alias("n")).filter("n > 1")
+
+
+def group_sizes(groups: DataFrame, n: str = "n") -> DataFrame:
+    """How many groups have several members, and how many one."""
+    return groups.agg(F.count_if(F.col(n) > 1).alias("multi"), F.count_if(F.col(n) == 1).alias("single"))
+
+
+def totals(groups: DataFrame, n: str = "n") -> DataFrame:
+    """How many keys there are and what they sum up to."""
+    return groups.agg(F.count("*").alias("n_keys"), F.sum(n).alias("total"))

@@ -163,6 +163,11 @@ def plain_context(paths: DataFrame, edges: DataFrame, vertices: DataFrame) -> Da
     return rows.select(plain_line(F.col("seed_label"), F.col("seed_name"), F.col("edge_type"), F.col("last_label"), F.col("last_name")).alias("line")).distinct()
 
 
+def by_id(vertices: DataFrame, ids: DataFrame) -> DataFrame:
+    """The vertices of a bounded set of ids (id), which is sent to them."""
+    return vertices.join(F.broadcast(ids.select("id").distinct()), "id", "left_semi")
+
+
 def find_by_name(vertices: DataFrame, name: str, labels: Sequence[str]) -> DataFrame:
     """The first vertex of that name: labels in order, then the id."""
     rank = F.array_position(F.array(*map(F.lit, labels)), F.col("label"))

@@ -50,12 +50,16 @@ def hits(searched: Searched, query: list[float], top_k: int) -> DataFrame:
 
 def seed_rows(entities: Searched, relations: Searched, query: list[float], top_k: int) -> DataFrame:
     """(id, name, label, score, ord): entity hits first, then the ends of relation hits; the first of an id counts."""
-    near = hits(entities, query, top_k).select("id", "name", "label", "score")
+    near = hits(entities, query, top_k).select("id", "name", "label", "score", F.struct((-F.col("score")).alias("s"), F.col("id").alias("r"), F.lit(0).alias("side")).alias("o"))
     ends = hits(relations, query, top_k).select(F.col("id").alias("rid"), "score", F.posexplode(F.array("source_entity_id", "target_entity_id")).alias("side", "id"))
-    rows = near.withColumn("o", F.struct(F.lit(0).alias("k"), (-F.col("score")).alias("s"), F.col("id").alias("r"), F.lit(0).alias("side"))).unionByName(
-        ends.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("label"), "score", F.struct(F.lit(1).alias("k"), (-F.col("score")).alias("s"), F.col("rid").alias("r"), "side").alias("o"))
-    )
-    return ordering.first_wins(rows, "id", "o")
+    none = F.lit(None).cast("string")
+    return union_seeds(near, ends.select("id", none.alias("name"), none.alias("label"), "score", F.struct((-F.col("score")).alias("s"), F.col("rid").alias("r"), "side").alias("o")))
+
+
+def union_seeds(near: DataFrame, ends: DataFrame) -> DataFrame:
+    """The rows of both with their order o; the first of an id counts, and those of ends come behind all others."""
+    later = lambda rows, k: rows.withColumn("o", F.struct(F.lit(k).alias("later"), F.col("o").alias("at")))
+    return ordering.first_wins(later(near, 0).unionByName(later(ends, 1)), "id", "o")
 
 
 def answer_question(

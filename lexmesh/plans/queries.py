@@ -9,7 +9,7 @@ from ..functions import names as N
 from ..functions import vocab
 from ..operators import answers, clauses, network, ordering, routing, stats, structure, traversal, upserts, vector_index, vectors
 from ..sources import keyed, readers, sinks
-from . import build
+from . import answer, build
 from . import standins as S
 
 TYPES = ["SUPPLIED_BY", "CONTAINS"]
@@ -42,11 +42,11 @@ def _network(spark: SparkSession, sf: str) -> network.Network:
 
 
 def s12_vertex_lookup(spark, sf):
-    return S.vertices(spark, sf).join(_seeds(spark, sf).select("id"), "id", "left_semi")
+    return traversal.by_id(S.vertices(spark, sf), _seeds(spark, sf))
 
 
 def s10_props_json(spark, sf):
-    rows = S.table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    rows = readers.properties(S.table(spark, sf, "events"), "props", "k long")
     return rows.groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("total"))
 
 
@@ -148,9 +148,7 @@ def g04_capped_seeds(spark, sf):
 
 
 def g05_retry(spark, sf):
-    from .answer import traverse
-
-    paths, source = traverse(_seeds(spark, sf), S.edges(spark, sf, False), 1, ["APPOINTS"])
+    paths, source = answer.traverse(_seeds(spark, sf), S.edges(spark, sf, False), 1, ["APPOINTS"])
     return _counted(paths).withColumn("filtered", F.lit(source))
 
 
@@ -204,7 +202,7 @@ def g09_answer_edges(spark, sf):
 
 def a11_dedup_first(spark, sf):
     rows = S.table(spark, sf, "orders").select(F.concat("o_orderpriority", F.lit("|"), F.col("o_custkey").cast("string")).alias("line"), F.col("o_orderkey").alias("ord"))
-    return rows.groupBy("line").agg(F.min("ord").alias("ord"))
+    return ordering.first_seen(rows, "line", "ord")
 
 
 def a12_last_wins(spark, sf):
@@ -219,9 +217,9 @@ def a13_first_wins(spark, sf):
 
 def j10_seed_union(spark, sf):
     """Entity hits, then both ends of relation hits; the first of an id counts."""
-    near = _seeds(spark, sf).select("id", "ord")
-    ends = S.edges(spark, sf, False).join(near.withColumnRenamed("id", "src"), "src").filter("edge_type = 'SUPPLIED_BY'").select(F.explode(F.array("src", "dst")).alias("id"), (F.col("ord") + 1000).alias("ord"))
-    return near.unionByName(ends).groupBy("id").agg(F.min("ord").alias("ord"))
+    near = _seeds(spark, sf).select("id", F.col("ord").alias("o"))
+    ends = S.edges(spark, sf, False).join(F.broadcast(near.withColumnRenamed("id", "src")), "src").filter("edge_type = 'SUPPLIED_BY'").select(F.explode(F.array("src", "dst")).alias("id"), "o")
+    return answer.union_seeds(near, ends).select("id", (F.col("o.at") + 1000 * F.col("o.later")).alias("ord"))
 
 
 def j04_relation_names(spark, sf):
@@ -402,7 +400,7 @@ def a06_type_coverage(spark, sf):
 
 def a04_group_sizes(spark, sf):
     g = S.table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n"))
-    return g.agg(F.count_if(F.col("n") > 1).alias("multi"), F.count_if(F.col("n") == 1).alias("single"))
+    return stats.group_sizes(g)
 
 
 def a14_assigned_twice(spark, sf):
@@ -411,7 +409,7 @@ def a14_assigned_twice(spark, sf):
 
 def a16_totals(spark, sf):
     g = S.table(spark, sf, "lineitem").groupBy("l_shipdate").agg(F.count("*").alias("n"))
-    return g.agg(F.count("*").alias("n_keys"), F.sum("n").alias("total"))
+    return stats.totals(g)
 
 
 def t03_most_common(spark, sf):
@@ -428,28 +426,26 @@ def t07_first_documents(spark, sf):
 
 def u02_union_distinct(spark, sf):
     t = S.table(spark, sf, "lineitem")
-    return t.select(F.col("l_partkey").alias("k")).union(t.select(F.col("l_suppkey").alias("k"))).distinct()
+    return ordering.either(t.select(F.col("l_partkey").alias("k")), t.select(F.col("l_suppkey").alias("k")))
 
 
 def u03_except(spark, sf):
-    return S.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(S.table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k")))
+    return ordering.without(S.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), S.table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k")))
 
 
 def w01_carry_forward(spark, sf):
     """The last user's text before each turn."""
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    return S.table(spark, sf, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("turn")), ignorenulls=True).over(w).alias("carried"))
+    last = ordering.carried(F.when(F.col("role") == "user", F.col("turn")), ["conv_id"], "turn")
+    return S.table(spark, sf, "conversations").select("conv_id", "turn", last.alias("carried"))
 
 
 def w02_backfill(spark, sf):
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(1, Window.unboundedFollowing)
-    return S.table(spark, sf, "conversations").select("conv_id", "turn", F.first(F.when(F.col("role") == "assistant", F.col("turn")), ignorenulls=True).over(w).alias("later"))
+    later = ordering.coming(F.when(F.col("role") == "assistant", F.col("turn")), ["conv_id"], "turn")
+    return S.table(spark, sf, "conversations").select("conv_id", "turn", later.alias("later"))
 
 
 def w08_index_in_root(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    rows = S.table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.row_number().over(w) - 1).alias("idx"))
-    return rows.withColumn("batch", F.floor(F.col("idx") / 5))
+    return ordering.batched(S.table(spark, sf, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey", 5)
 
 
 def c02_clean_markdown(spark, sf):

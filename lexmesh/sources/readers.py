@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import date_text, normalize, truthy
+from ..functions.names import date_text, normalize, truthy, unused
 
 LAW = (
     "struct<no: int, requested_name: string, matched_dir: string, alias_applied: boolean, "
@@ -242,3 +242,9 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 def frequencies(rows: DataFrame, column: str) -> DataFrame:
     """(key, n) from JSON arrays of [key, n] pairs."""
     return rows.select(F.explode(F.from_json(column, "array<array<string>>")).alias("p")).select(F.get("p", F.lit(0)).alias("key"), F.get("p", F.lit(1)).cast("long").alias("n"))
+
+
+def properties(rows: DataFrame, column: str, schema: str) -> DataFrame:
+    """rows with the properties of a JSON column as columns; one that is missing, or of another kind, is null."""
+    (held,) = unused(rows.columns, "properties")
+    return rows.withColumn(held, F.from_json(column, schema)).select(*rows.columns, f"{held}.*")
