@@ -54,7 +54,7 @@ def s03_front_matter(spark, sf):
     """With a list, a repeated key, quotes and a comment before the text."""
     d = F.col("doc_id").cast("string")
     more = F.concat(F.lit("---\nno: 0 # first\nof: ['a, b', "), d, F.lit("]\nby:\n  - x\n  - 'it''s'\nno: \""), d, F.lit("\" # last\nnone: ~\n"))
-    rows = S.statutes(spark, sf).withColumn("m", readers.front_matter(F.concat(more, F.substring("raw_text", 5, 1 << 30))))
+    rows = S.statutes(spark, sf).withColumn("m", readers.front_lists(F.concat(more, F.substring("raw_text", 5, 1 << 30))))
     listed = lambda k: F.array_join(F.try_element_at("m", F.lit(k)), "|").alias(k)
     return rows.select("doc_id", *(readers.one_of(F.col("m"), k).alias(k) for k in ("title", "lang", "no", "none")), listed("of"), listed("by"))
 

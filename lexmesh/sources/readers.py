@@ -105,6 +105,11 @@ def parse_block(block: str) -> dict[str, list[str]]:
 
 
 def front_matter(text: Column) -> Column:
+    """The keys between the opening and closing --- of a text, as a map to scalars, of a list the first; empty without both."""
+    return F.transform_values(front_lists(text), lambda _, v: F.get(v, F.lit(0)))
+
+
+def front_lists(text: Column) -> Column:
     """The keys between the opening and closing --- of a text, as a map to lists; empty without both. A scalar is a list of one."""
 
     @F.pandas_udf("map<string, array<string>>")
@@ -141,7 +146,7 @@ def law_files(matched: DataFrame, files: DataFrame) -> DataFrame:
 
     files (file_path, raw_text). A law's files are few, so they make one value; the laws stay rows.
     """
-    m = front_matter(F.col("raw_text"))
+    m = front_lists(F.col("raw_text"))
     rows = files.select(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("directory"), F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file"), m.alias("m"))
     scalar = lambda k: one_of(F.col("m"), k).alias(k)
     day = lambda k: date_text(one_of(F.col("m"), k)).alias(k)

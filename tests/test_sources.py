@@ -26,8 +26,9 @@ def test_front_matter_blocks(block, want):
 
 def test_front_matter_of_texts(spark):
     texts = ["---\na: 1\n---\nrest: 2", "---\na: 1\nno end", "x\n---\na: 1\n---\n", "", None, "---\n---\n"]
-    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", readers.front_matter(F.col("t")).alias("m")).collect()
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", readers.front_lists(F.col("t")).alias("m"), readers.front_matter(F.col("t")).alias("s")).collect()
     assert {r.i: r.m for r in got} == {0: {"a": ["1"]}, 1: {}, 2: {}, 3: {}, 4: {}, 5: {}}
+    assert {r.i: r.s for r in got}[0] == {"a": "1"}
 
 
 @pytest.mark.parametrize(("text", "want"), [
