@@ -62,9 +62,14 @@ def _sentences(tokens: Column) -> Column:
     """The tokens as an array of sentences, each with its place in the unit and its end token."""
     ends = F.filter(F.transform(tokens, lambda t, i: F.when(t["tag"].isin(*ENDS), i)), lambda i: i.isNotNull())
     # one more behind the last end, empty if nothing follows
-    stops = F.concat(ends, F.array(F.size(tokens) - 1))
-    begin = lambda n: F.when(n > 0, F.get(stops, n - 1) + 1).otherwise(0)
-    return F.transform(stops, lambda stop, n: F.struct(begin(n).alias("begin"), F.slice(tokens, begin(n) + 1, stop - begin(n) + 1).alias("tokens")))
+    stops = F.array(F.concat(ends, F.array(F.size(tokens) - 1)))
+
+    def cut(every: Column) -> Column:
+        begin = lambda n: F.when(n > 0, F.get(every, n - 1) + 1).otherwise(0)
+        return F.transform(every, lambda stop, n: F.struct(begin(n).alias("begin"), F.slice(tokens, begin(n) + 1, stop - begin(n) + 1).alias("tokens")))
+
+    # worked out once, then looked at by every sentence
+    return F.get(F.transform(stops, cut), F.lit(0))
 
 
 def _registered(sentence: Column) -> Column:
@@ -131,8 +136,8 @@ def records(tokens: Column) -> Column:
 def hands(found: Column) -> Column:
     """struct(agent) that a unit hands on: of its last record whose source is a subject or a topic, a null one too; null without one."""
     own = F.filter(F.flatten(found), lambda r: (r["subj"].isNotNull() | r["topic"].isNotNull()) & ((r["voice"] != PASSIVE_VOICE) | r["by_agent"].isNull()))
-    last = F.try_element_at(own, F.lit(-1))
-    return F.when(last.isNotNull(), F.struct(F.when(last["voice"] != PASSIVE_VOICE, F.coalesce(last["subj"], last["topic"])).alias("agent")))
+    agent = lambda r: F.struct(F.when(r["voice"] != PASSIVE_VOICE, F.coalesce(r["subj"], r["topic"])).alias("agent"))
+    return F.get(F.transform(F.slice(F.reverse(own), 1, 1), agent), F.lit(0))
 
 
 def assigned(found: Column, inherited: Column) -> Column:
