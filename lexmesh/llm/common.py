@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -218,6 +220,9 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
         for lo in range(0, b.num_rows, rows):
             yield b.slice(lo, rows)
     pa.default_memory_pool().release_unused()
+    # what NumPy has freed goes back too, where the C library can do that: workers live from task to task
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 1 << 18) -> Iterator[Words]:
