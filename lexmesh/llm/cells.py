@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_twice, in_bitmap
+from .common import cut, held_twice, in_bitmap, tidy
 
 BLOCK, SMALL, FANOUT = 1024, 8, 8
 #: Pairs of nodes whose bitmaps are compared at once.
@@ -268,11 +268,13 @@ def grouped(cells: DataFrame, about: DataFrame, enough: Callable, verify: Callab
     rows = cells.join(about, "id")
     found = components(verify(_first_round(rows, enough)))
     found = cut(found.withColumnsRenamed({"node": "id"}))
+    tidy(rows.sparkSession)
     largest = cells.agg(F.max("n")).first()[0] or 0
     if largest <= SMALL:
         return found
     rows = rows.filter(F.col("n") > SMALL).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     more = cut(verify(_second_round(rows, enough, largest > BLOCK)))
+    tidy(rows.sparkSession)
     if more.isEmpty():
         return found
     top: Callable[[str], Column] = lambda k: found.select(F.col("id").alias(k), F.col("component").alias(f"top_{k}"))

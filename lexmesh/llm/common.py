@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, upon which Spark removes shuffle files and checkpoints that no DataFrame refers to any more.
+
+    A driver with little to do collects seldom, and until then these files stay on all machines' disks and their records in its heap.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 #: A bitmap over hashes, of 16 MB whatever it stands for: it is built in BUCKETS segments and broadcast.
 BITS, BUCKET_BITS = 27, 10
 #: Hashes that a task holds before it passes them on.
@@ -49,7 +58,8 @@ def _bitmap(values: DataFrame, twice: bool) -> np.ndarray:
     """From one column of longs or arrays of longs: the bitmap of those that stand at all, or maybe twice.
 
     Only 42 bits of a hash travel, four bytes each: a bucket's come sorted in one value. Longs that share
-    them are taken for the same, so the bitmap may hold more than it should, never less.
+    them are taken for the same, so the bitmap may hold more than it should, never less. Segments come to the
+    driver compressed: most are nearly empty, and its memory is then spared their full size.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +96,7 @@ def _bitmap(values: DataFrame, twice: bool) -> np.ndarray:
                 low = low[1:][low[1:] == low[:-1]]
             bits = np.zeros(1 << (BITS - BUCKET_BITS), np.uint8)
             bits[low >> np.uint32(32 - BITS + BUCKET_BITS)] = 1
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bucket", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([zlib.compress(np.packbits(bits), 1)], pa.binary())], ["bucket", "bits"])
 
         for b in batches:
             for bucket, low in zip(b.column("bucket").to_pylist(), b.column("low"), strict=True):
@@ -101,7 +111,7 @@ def _bitmap(values: DataFrame, twice: bool) -> np.ndarray:
     dealt = values.mapInArrow(deal, "bucket int, low binary").repartition("bucket").sortWithinPartitions("bucket")
     bitmap = np.zeros((1 << BUCKET_BITS, 1 << (BITS - BUCKET_BITS - 3)), np.uint8)
     for bucket, bits in dealt.mapInArrow(find, "bucket int, bits binary").toArrow().to_pandas().itertuples(index=False):
-        bitmap[bucket] = np.frombuffer(bits, np.uint8)
+        bitmap[bucket] = np.frombuffer(zlib.decompress(bits), np.uint8)
     return bitmap.ravel()
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import SPACES, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, unused
+from .common import SPACES, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, tidy, unused
 from .components import connected
 
 SHINGLE, PERCENT = 3, 90
@@ -185,8 +185,10 @@ def components(docs: DataFrame, shingle: int, percent: int, nameless: bool = Fal
     alike = named.groupBy("s1", "s2", "n_shingles").agg(best.alias("best"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
     classes = cut(alike.withColumn("id", F.col("s1")))
     cells = cut(shared(classes.select("id", "keys")))
+    tidy(docs.sparkSession)
     ids = cut(classes.select("id", F.col("best.row").alias("row")).join(cells.select("id").distinct(), "id", "left_semi"))
     about = cut(_contents(docs, ids, shingle))
+    tidy(docs.sparkSession)
     shingles = about.select("id", "shingles", "size")
 
     def verify(pairs: DataFrame) -> DataFrame:

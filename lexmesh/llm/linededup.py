@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import grouped, shared
-from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, text_bytes, unused
+from .common import NOT_ALNUM, Words, byte_table, cut, held_once, in_bitmap, iter_words, mix64, sliced, text_bytes, tidy, unused
 from .components import connected
 
 MIN_WORDS, LONG, SHORT_BLOCKS, BLOCKS, SIMILAR = 5, 16, 6, 10, 0.8
@@ -269,10 +269,12 @@ def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     kept = [F.first(c).alias(c) for c in ("size", "spare", "signature", "keys")]
     different = cut(every.withColumn("at", F.struct(place.alias("place"), "row")).groupBy(F.col("hash").alias("id")).agg(*kept, F.min("at").alias("at"), F.count("*").alias("n")))
     cells = cut(shared(different.select("id", "keys")))
+    tidy(docs.sparkSession)
     inside = different.join(cells.select("id").distinct(), "id", "left_semi")
     about = cut(inside.select("id", F.unhex(F.lpad(F.hex("signature"), 16, "0")).alias("signature"), "size", "spare", F.col("at.row").alias("row")))
 
     texts = cut(_line_texts(docs, about.select("id", "row")))
+    tidy(docs.sparkSession)
 
     def verify(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
@@ -291,6 +293,7 @@ def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     lot = different.join(found, "id", "left").filter("n > 1 or component is not null").select("id", F.col("at.place").alias("place"), F.coalesce("component", "id").alias("component"))
     first = lot.groupBy("component").agg(F.min("place").alias("stays"))
     stays = cut(lot.join(first, "component").select(F.col("id").alias("hash"), "stays"))
+    tidy(docs.sparkSession)
     gone = _occurrences(docs, stays.select("hash")).join(stays, "hash").filter(place != F.col("stays"))
     return gone.groupBy("row").agg(F.collect_set("line").alias("gone"))
 
