@@ -176,8 +176,9 @@ def _separates(b: int, separators: str) -> bool:
 
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: dict[str, np.ndarray] = {}
+_MIX_PLACE = np.uint64(0xD1342543DE82EF95)
+#: Of the eight bytes from a place on, those of a word with so many bytes left.
+_LEFT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -187,14 +188,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 19)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words low[start:end], which hold no zero byte, from eight bytes at a time; a word's come from its bytes alone."""
+    eights = np.zeros(len(low) // 8 + 2, "<u8")
+    eights.view(np.uint8)[: len(low)] = low
+
+    def mixed(at: np.ndarray, left: np.ndarray, place: np.ndarray | None) -> np.ndarray:
+        """Of the eight bytes at `at`, those that are left of the word, scrambled by their place in it."""
+        i, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+        # two shifts, as one by 64 bits isn't defined
+        x = (eights[i] >> shift | eights[i + 1] << np.uint64(1) << (np.uint64(63) - shift)) & _LEFT[np.minimum(left, 8)]
+        return mix64(x if place is None else x + place.astype(np.uint64) * _MIX_PLACE)
+
+    size = end - start
+    out = mixed(start, size, None)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        n = (size[long] - 1) >> 3
+        first = np.cumsum(n) - n
+        place = np.arange(1, n.sum() + 1) - np.repeat(first, n)
+        out[long] += np.add.reduceat(mixed(np.repeat(start[long], n) + 8 * place, np.repeat(size[long], n) - 8 * place, place), first)
+    return out
 
 
 @dataclass
@@ -241,24 +255,18 @@ def iter_words(column: pa.Array, table: np.ndarray, at_once: int = 1 << 18) -> I
     lo, n = 0, len(column)
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + at_once, "right")) - 1)
-        raw = data[offsets[lo] : offsets[hi]]
         bounds = offsets[lo : hi + 1] - offsets[lo]
-        low = table[raw]
-        word = low != 0
-        fresh = np.zeros(len(low) + 1, bool)
-        fresh[bounds] = True
-        before = np.empty(len(low), bool)
-        before[:1] = False
-        before[1:] = word[:-1]
-        after = np.empty(len(low), bool)
-        after[-1:] = False
-        after[:-1] = word[1:]
-        start = np.flatnonzero(word & (~before | fresh[:-1]))
-        end = np.flatnonzero(word & (~after | fresh[1:])) + 1
-        up, down = _powers(len(low) + 1)
-        total = np.zeros(len(low) + 1, np.uint64)
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)], out=total[1:])
-        hashed = mix64((total[end] - total[start]) * down[start])
+        low = np.frombuffer(data[offsets[lo] : offsets[hi]].tobytes().translate(table.tobytes()), np.uint8)
+        word = np.zeros(len(low) + 2, bool)
+        word[1:-1] = low != 0
+        turns = np.flatnonzero(word[1:] != word[:-1])
+        start, end = turns[::2], turns[1::2]
+        # words that a text ends with and the next one begins with
+        split = np.unique(bounds[1:-1])
+        split = split[word[split] & word[split + 1]]
+        if len(split):
+            start, end = np.sort(np.r_[start, split]), np.sort(np.r_[end, split])
+        hashed = _word_hashes(low, start, end)
         yield Words(lo, hi, low, bounds, start, end, hashed, np.searchsorted(start, bounds))
         lo = hi
 

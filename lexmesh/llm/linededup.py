@@ -38,7 +38,6 @@ MIN_WORDS, LONG, SHORT_BLOCKS, BLOCKS, SIMILAR = 5, 16, 6, 10, 0.8
 SLOTS, COMMON = 1 << 14, 2.0**-12
 
 _TABLE = byte_table(NOT_ALNUM, lower=True)
-_MAP = np.where(_TABLE == 0, 32, _TABLE).astype(np.uint8).tobytes()
 _SALT = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _LAST = np.uint64(2**64 - 1)
 
@@ -70,25 +69,55 @@ def common_slots(docs: DataFrame) -> np.ndarray:
     return (n >= COMMON * n.sum()) & (n > 0)
 
 
+def _firsts(hashes: np.ndarray, n: np.ndarray, late: np.ndarray, blocks: range, many: int) -> np.ndarray:
+    """[line, block, i]: the i-th of the `many` different words of each line that come first in each block's order; _LAST where a line has no more.
+
+    late: a row of flags of words that come behind the others, for blocks with even and one for those with odd numbers.
+    """
+    first = np.cumsum(n) - n
+    out = np.empty((len(n), len(blocks), many), np.uint64)
+    for k in blocks if len(n) else ():
+        order = hashes * _SALT[k] >> np.uint64(1) | late[k % 2]
+        for i in range(many):
+            if i:
+                order[order == np.repeat(least, n)] = _LAST
+            out[:, k - blocks[0], i] = least = np.minimum.reduceat(order, first)
+    return out
+
+
+def _picked(hashes: np.ndarray, n: np.ndarray, common: np.ndarray, blocks: range, many: int) -> np.ndarray:
+    """_firsts with all common words behind the others. Where a line has enough others, only those are looked at."""
+    late = common[_slot(hashes)]
+    # lines of less than eight words may have no two uncommon ones: every other block of theirs takes words as they come
+    short = n < 8
+    first = np.cumsum(n) - n
+    rich = ~short & (np.add.reduceat(~late, first, dtype=np.int64) >= many) if len(n) else short
+    out = np.empty((len(n), len(blocks), many), np.uint64)
+    at = np.flatnonzero(rich)
+    some = ~late & np.repeat(rich, n)
+    out[at] = _firsts(hashes[some], np.add.reduceat(some, first, dtype=np.int64)[at] if len(n) else n, np.zeros((2, 1), np.uint64), blocks, many)
+    # few words may stand often in a line
+    rest = np.flatnonzero(~rich)
+    rest = np.r_[rest, at[(out[at] == _LAST).any((1, 2))]]
+    rest.sort()
+    words = np.repeat(np.isin(np.arange(len(n)), rest), n)
+    behind = late[words].astype(np.uint64) << np.uint64(63)
+    out[rest] = _firsts(hashes[words], n[rest], np.stack([behind, np.where(np.repeat(short[rest], n[rest]), np.uint64(0), behind)]), blocks, many)
+    return out
+
+
 def block_keys(hashes: np.ndarray, first: np.ndarray, n: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys, how many of each line) of lines that begin at `first` and have n words each, line by line."""
-    late = common[_slot(hashes)].astype(np.uint64) << np.uint64(63)
-    line = np.repeat(np.arange(len(first)), n)
-    # lines of less than eight words may have no two uncommon ones: every other block of theirs takes words as they come
-    few = np.where((n < 8)[line], np.uint64(0), late)
     found = np.zeros((len(first), SHORT_BLOCKS + BLOCKS), np.uint64)
-    for k in range(BLOCKS):
-        # an order of the block's own, with all common words behind the others
-        order = hashes * _SALT[k] >> np.uint64(1) | (few if k % 2 else late)
-        least = []
-        for _ in range(3):
-            least.append(np.minimum.reduceat(order, first))
-            order[order == least[-1][line]] = _LAST
-        x, y, z = (mix64(v) for v in least)
-        if k < SHORT_BLOCKS:
-            found[:, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
-        found[:, SHORT_BLOCKS + k] = mix64((x & y | z & (x | y)) + np.uint64(2 * k + 1))
     short, long = (n >= MIN_WORDS) & (n < LONG + LONG // 4), n >= LONG
+    for which, blocks, many in ((short & ~long, range(SHORT_BLOCKS), 2), (long, range(BLOCKS), 3)):
+        least = mix64(_picked(hashes[np.repeat(which, n)], n[which], common, blocks, many))
+        for k in blocks:
+            x, y, *z = (least[:, k, i] for i in range(many))
+            if k < SHORT_BLOCKS:
+                found[which, k] = mix64((x & y | _SALT[32] & (x | y)) + np.uint64(2 * k))
+            if z:
+                found[which, SHORT_BLOCKS + k] = mix64((x & y | z[0] & (x | y)) + np.uint64(2 * k + 1))
     has = np.concatenate([np.repeat(short[:, None], SHORT_BLOCKS, 1), np.repeat(long[:, None], BLOCKS, 1)], 1)
     return found[has], has.sum(1)
 
@@ -201,8 +230,34 @@ def alike(a: list, b: list, similar: float) -> bool:
     return few is not None or most > FEW and edits(a, b) <= most
 
 
-def normal(line: bytes) -> list[bytes]:
-    return line.translate(_MAP).split()
+def _hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and the number of words of each."""
+    runs = list(iter_words(column, _TABLE))
+    return np.concatenate([w.hash for w in runs]), np.concatenate([np.diff(w.first) for w in runs])
+
+
+def _one_gap(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Edits that turn each line of a into that of b: words replaced, and at one place words dropped or added. Never less than the edit distance."""
+    n = np.minimum(na, nb)
+    first = np.cumsum(n) - n
+    place = np.arange(n.sum()) - np.repeat(first, n)
+    starts, ends = (np.repeat(np.cumsum(k) - k, n) + place for k in (na, nb)), (np.repeat(np.cumsum(k) - n, n) + place for k in (na, nb))
+    # words that differ if lines are laid together at their starts, and at their ends; before the gap the former count, behind it the latter
+    x, y = (np.r_[0, np.cumsum(a[i] != b[j])] for i, j in (starts, ends))
+    saved = np.minimum(np.minimum.reduceat((x - y)[1:], first) - (x - y)[first], 0)
+    return y[first + n] - y[first] + saved + np.abs(na - nb)
+
+
+def alike_pairs(left: pa.Array, right: pa.Array, similar: float) -> np.ndarray:
+    """alike of each pair of lines, which have words. What one gap settles is settled for all pairs at once."""
+    if not len(left):
+        return np.zeros(0, bool)
+    (a, na), (b, nb) = _hashed(left), _hashed(right)
+    out = _one_gap(a, na, b, nb) <= ((1 - similar) * np.maximum(na, nb) + 1e-9).astype(np.int64)
+    i, j = np.cumsum(na), np.cumsum(nb)
+    for k in np.flatnonzero(~out):
+        out[k] = alike(a[i[k] - na[k] : i[k]].tolist(), b[j[k] - nb[k] : j[k]].tolist(), similar)
+    return out
 
 
 #: A place orders lines by document, then by number, then by row, in one decimal.
@@ -281,10 +336,7 @@ def duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in sliced(batches):
-                keep = []
-                for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist(), strict=True):
-                    keep.append(alike(normal(x), normal(y), similar))
-                yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+                yield b.filter(pa.array(alike_pairs(b.column("ta"), b.column("tb"), similar))).select(["a", "b"])
 
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
