@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, tidy
 
 ROUNDS = 60
 
@@ -29,6 +29,7 @@ def connected(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        tidy(edges.sparkSession)
     else:
         raise RuntimeError(f"links still change after {ROUNDS} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
