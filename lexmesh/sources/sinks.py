@@ -49,7 +49,11 @@ def manifest(laws: DataFrame, path: str) -> None:
 
 
 def copy_files(files: DataFrame, matched: DataFrame, path: str) -> None:
-    """The files of matched laws as a table of (directory, file, raw_text), a folder for each law, files in order of their names."""
+    """The files of matched laws as a table of (directory, file, raw_text), in order of both.
+
+    A law's files lie next to each other, so a reader of one law skips the rest by the bounds of row groups. There is no folder for
+    each law: their number grows with the laws, and each would be made, renamed and listed by itself.
+    """
     rows = files.select(F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("directory"), F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file"), "raw_text")
     own = rows.join(matched.select("directory").distinct(), "directory", "left_semi")
-    own.repartitionByRange("directory", "file").sortWithinPartitions("directory", "file").write.mode("overwrite").partitionBy("directory").parquet(path)
+    own.repartitionByRange("directory", "file").sortWithinPartitions("directory", "file").write.mode("overwrite").parquet(path)

@@ -71,6 +71,16 @@ def test_manifest_and_copy(spark, tmp_path):
     assert sorted((r.directory, r.file, r.raw_text) for r in spark.read.parquet(str(tmp_path / "c")).collect()) == [("은행법", "a.md", "x"), ("은행법", "b.md", text)]
 
 
+def test_copies_of_many_laws_are_few_files_in_order(spark, tmp_path):
+    """Files don't grow in number with the laws, and a folder's name stays a text."""
+    files = spark.range(600).select(F.explode(F.array(F.lit("b"), F.lit("a"))).alias("f"), F.format_string("%04d", "id").alias("d")).select(F.concat(F.lit("/kr/"), "d", F.lit("/"), "f", F.lit(".md")).alias("file_path"), F.col("d").alias("raw_text"))
+    sinks.copy_files(files, spark.range(0, 600, 2).select(F.format_string("%04d", "id").alias("directory")), str(tmp_path / "c"))
+    parts = sorted((tmp_path / "c").rglob("*.parquet"))
+    assert len(parts) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = [tuple(r) for p in parts for r in spark.read.parquet(str(p)).collect()]
+    assert got == [(f"{i:04d}", f"{f}.md", f"{i:04d}") for i in range(0, 600, 2) for f in "ab"]
+
+
 RULES = [("Person", s) for s in vocab.PERSON_SUFFIXES] + [("Organization", s) for s in vocab.ORG_SUFFIXES] + [("Concept", s) for s in vocab.CONCEPT_SUFFIXES]
 
 
