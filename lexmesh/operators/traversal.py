@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import context_line, plain_line
+from ..sources import sinks
 
 MAX_DEPTH, HUB_DEGREE = 3, 300
 MAX_LINES, MAX_NODES, MAX_EDGES = 300, 1000, 1500
+#: Paths or ids that are sent to the edges or vertices, at most. Of more, both sides are shuffled.
+FEW = 100_000
 
 
 def clamp(depth: int) -> int:
@@ -55,31 +58,50 @@ def capped(seeds: DataFrame, edges: DataFrame, depth: int, hub_degree: int = HUB
     return seeds.join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("depth", F.when(F.col("degree") > hub_degree, 1).otherwise(depth))
 
 
+def held(rows: DataFrame) -> DataFrame:
+    """rows, computed once and written below the shared folder."""
+    path = sinks.shared_folder(rows.sparkSession)
+    sinks.snapshot(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """rows, sent to what they are joined with if they are few."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def expand(seeds: DataFrame, edges: DataFrame, depth: int, edge_types: Sequence[str] | None = None, direction: str = "both", one_type: bool | None = None, few: bool = False) -> DataFrame:
     """(seed, path, types, last, hops): all paths of 1..depth steps from seeds (id[, depth]).
 
     A column depth of the seeds bounds each. With edge_types a path keeps the type it began with, unless one_type is False.
-    few: seeds are a bounded top-k, and the first step sends them to the edges.
+    few: seeds are a bounded top-k, and the first step sends them to the edges; what a step finds is written, and sent to them too while
+    it is few.
     """
     depth = clamp(depth)
     one_type = bool(edge_types) if one_type is None else one_type
     steps = adjacency(edges, direction, edge_types)
     own = F.col("depth") if "depth" in seeds.columns else F.lit(depth)
-    start = seeds.select(F.col("id").alias("seed"), own.alias("_depth")).distinct()
+    # distinct in ids alone where it can be: then it is dealt as the join is
+    start = seeds.select("id", *(c for c in ("depth",) if c in seeds.columns)).distinct().select(F.col("id").alias("seed"), own.alias("_depth"))
     start = F.broadcast(start) if few else start
     now = start.join(steps, F.col("seed") == F.col("a")).select("seed", "_depth", F.array("edge_id").alias("path"), F.array("edge_type").alias("types"), F.col("b").alias("last"))
     found = [now]
     for hop in range(2, depth + 1):
-        grown = now.filter(F.col("_depth") >= hop).join(steps, F.col("last") == F.col("a"))
+        if few:
+            now = found[-1] = held(now)
+        going = now.filter(F.col("_depth") >= hop)
+        grown = (sent(going) if few else going).join(steps, F.col("last") == F.col("a"))
         fresh = ~F.array_contains("path", F.col("edge_id"))
         if one_type:
             fresh = fresh & (F.col("edge_type") == F.get("types", F.lit(0)))
         now = grown.filter(fresh).select("seed", "_depth", F.array_append("path", F.col("edge_id")).alias("path"), F.array_append("types", F.col("edge_type")).alias("types"), F.col("b").alias("last"))
         found.append(now)
+    # a length that is known beforehand, so a count of paths need not carry their edges
+    found = [x.drop("_depth").withColumn("hops", F.lit(hop)) for hop, x in enumerate(found, 1)]
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    return out.drop("_depth").withColumn("hops", F.size("path"))
+    return out
 
 
 def with_ends(paths: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -112,19 +134,28 @@ def context(paths: DataFrame, edges: DataFrame, vertices: DataFrame, limit: int
     return first.orderBy("at", "line").limit(limit)
 
 
+def reached(paths: DataFrame, edges: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges on paths and the vertices at their ends. Where these are few, their ids are sent to the tables, which aren't shuffled then."""
+    ids = lambda *columns: held(paths.select(F.explode(*columns).alias("id")).distinct())
+    some = lambda rows, of: rows.join(sent(of), "id", "left_semi")
+    return some(edges, ids("path")), some(vertices, ids(F.array("seed", "last")))
+
+
 def bounded_context(seeds: DataFrame, edges: DataFrame, vertices: DataFrame, depth: int, limit: int = MAX_LINES, **how) -> DataFrame:
     """(line, place): the lines of context over expand(seeds, edges, depth, **how), but seeds are expanded only until `limit` lines are found.
 
     The order of discovery begins with the seed, so lines of later seeds can't come before those of earlier ones.
     seeds are a bounded top-k; they are taken in batches that double.
     """
+    seeds = seeds.sparkSession.createDataFrame(seeds.collect(), seeds.schema)  # computed once
     ids = [r.id for r in seeds.select("id").distinct().orderBy("id").collect()]
     lines: dict[str, None] = {}
     at, size = 0, 1
     while at < len(ids) and len(lines) < limit:
         some = seeds.filter(F.col("id").isin(ids[at : at + size]))
+        paths = held(expand(some, edges, depth, few=True, **how))
         # of its first lines some may have been found before
-        got = context(expand(some, edges, depth, few=True, **how), edges, vertices, limit + len(lines)).collect()
+        got = context(paths, *reached(paths, edges, vertices), limit + len(lines)).collect()
         lines |= dict.fromkeys(r.line for r in got)
         at, size = at + size, 2 * size
     return seeds.sparkSession.createDataFrame([(line, i + 1) for i, line in enumerate(list(lines)[:limit])], "line string, place int")

@@ -81,6 +81,31 @@ def test_a_step_does_not_shuffle_the_adjacency(spark, tmp_path):
             j -= 1
 
 
+@pytest.mark.parametrize("few", [0, 2, 100_000])
+def test_few_paths_are_sent_to_the_edges_and_more_are_joined(spark, few, monkeypatch):
+    """The same paths and the same context either way; where few are sent, no edge or vertex is shuffled before it is filtered."""
+    monkeypatch.setattr(traversal, "FEW", few)
+    rows = [(i, t, s, d, "l", 1, 1, "n", "v") for i, t, s, d in edges_of(3, 24)]
+    edges = spark.createDataFrame(rows, f"{SCHEMA}, source_law string, article_no int, paragraph_no int, modality string, voice string")
+    vertices = spark.createDataFrame([(v, "Concept", v.upper()) for v in "abcdefgh"], "id string, label string, name string")
+    seeds = spark.createDataFrame([("a", 1), ("c", 2)], "id string, depth int")
+    paths = traversal.expand(seeds, edges, 3, few=True)
+    plain = [r[:4] for r in rows]
+    assert sorted((r.seed, tuple(r.path), tuple(r.types), r.last) for r in paths.collect()) == sorted(brute(plain, 1, ["a"]) + brute(plain, 2, ["c"]))
+    assert {(r.hops, len(r.path)) for r in paths.collect()} == {(1, 1), (2, 2)}
+    near = traversal.reached(paths, edges, vertices)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in near]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert all(("BroadcastHashJoin" in x) == (few > 2) for x in plans), plans
+    assert near[0].count() < edges.count()
+    both = [[tuple(r) for r in traversal.context(paths, *of, 1000).select("line").collect()] for of in ((edges, vertices), near)]
+    assert both[0] == both[1] and both[0]
+
+
 def test_directions(spark, tmp_path):
     net = stored(spark, [("1", "X", "a", "b")], str(tmp_path / "net"))
     with pytest.raises(ValueError, match="direction"):
