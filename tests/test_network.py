@@ -101,7 +101,7 @@ def test_one_hop_from_all_vertices_shuffles_edges_and_vertices_once(spark, sf):
 def test_few_paths_are_sent_to_the_edges_and_more_are_joined(spark, few, monkeypatch):
     """The same paths and the same context either way; where few are sent, no edge or vertex is shuffled before it is filtered."""
     monkeypatch.setattr(traversal, "FEW", few)
-    rows = [(i, t, s, d, "l", 1, 1, "n", "v") for i, t, s, d in edges_of(3, 24)]
+    rows = [(i, t, s, d, "l", 1, 1, "n", "v") for i, t, s, d in [*edges_of(3, 24), ("far", "X", "y", "z")]]
     edges = spark.createDataFrame(rows, f"{SCHEMA}, source_law string, article_no int, paragraph_no int, modality string, voice string")
     vertices = spark.createDataFrame([(v, "Concept", v.upper()) for v in "abcdefgh"], "id string, label string, name string")
     seeds = spark.createDataFrame([("a", 1), ("c", 2)], "id string, depth int")
