@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import resolve_alias, stable_id
+from ..sources import sinks
 
 EVIDENCE = 2000
 
@@ -37,12 +38,17 @@ def merge_map(entities: DataFrame) -> DataFrame:
 
     The target is the entity of that label and name, or else the first of the variants, which is renamed.
     """
-    rows = entities.withColumn("resolved", resolve_alias(F.col("name")))
-    known = entities.groupBy("label", F.col("name").alias("resolved")).agg(F.min("id").alias("canonical"))
-    variants = rows.filter("resolved <> name").groupBy("label", "resolved").agg(F.min("id").alias("first"))
-    moved = rows.filter("resolved <> name").join(known, ["label", "resolved"], "left").join(variants, ["label", "resolved"])
-    target = F.coalesce("canonical", "first")
-    return moved.select("id", "label", "name", "resolved", target.alias("target"), F.when(target == F.col("id"), "rename").otherwise("merge").alias("action"))
+    firsts = entities.groupBy("label", "name").agg(F.min("id").alias("first"))
+    # a name that another resolves to resolves to itself, so it stands among its variants
+    same = Window.partitionBy("label", "resolved")
+    least = lambda which: F.min(F.when(which, F.col("first"))).over(same)
+    target = F.coalesce(least(F.col("name") == F.col("resolved")), least(F.col("name") != F.col("resolved")))
+    named = firsts.withColumn("resolved", resolve_alias(F.col("name"))).withColumn("target", target)
+    # as many as there are fillers and aliases of canonical names, for each label; a filter on nulls would be pushed down to every entity
+    other = F.coalesce(F.col("resolved") != F.col("name"), F.lit(False))
+    targets = F.broadcast(named.filter(other).select("label", "name", "resolved", "target"))
+    moved = entities.join(targets, ["label", "name"])
+    return moved.select("id", "label", "name", "resolved", "target", F.when(F.col("target") == F.col("id"), "rename").otherwise("merge").alias("action"))
 
 
 def merge_entities(entities: DataFrame, merges: DataFrame) -> DataFrame:
@@ -61,6 +67,9 @@ def repoint(relations: DataFrame, merges: DataFrame, *columns: str) -> DataFrame
 
 def merge_report(merges: DataFrame, relations: DataFrame, *columns: str) -> DataFrame:
     """(action, n): entities renamed and merged, and the ends of relations that are repointed."""
+    path = sinks.shared_folder(merges.sparkSession)
+    sinks.snapshot(merges.select("id", "action"), path)  # found once, not again for each count
+    merges = merges.sparkSession.read.parquet(path)
     moved = merges.filter("action = 'merge'").select("id")
     ends = relations.select(F.explode(F.array(*(F.col(c) for c in columns))).alias("id")).join(moved, "id", "left_semi")
     return merges.groupBy("action").agg(F.count("*").alias("n")).unionByName(ends.agg(F.count("*").alias("n")).select(F.lit("repointed").alias("action"), "n"))

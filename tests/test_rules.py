@@ -1,5 +1,7 @@
 """Rules on small fixtures."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,3 +283,27 @@ def test_bounds_of_a_question(spark, how):
 def test_nearest(spark):
     docs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None)], "id int, embedding array<float>")
     assert [r.id for r in vectors.nearest(docs, [1.0, 0.1], 5).collect()] == [1, 2]
+
+
+def test_entities_are_merged_without_being_dealt_by_what_they_resolve_to(spark):
+    """All variants of a name resolve to one of a few, which would be one task's work."""
+    names = [*vocab.ALIASES, *vocab.CANONICAL, *(j + c for j in vocab.JUNK_PREFIXES for c in vocab.CANONICAL)]
+    resolved = dict(spark.createDataFrame([(n,) for n in names], "name string").select("name", N.resolve_alias(F.col("name"))).collect())
+    assert all(resolved.get(r, r) == r for r in resolved.values())  # what a name resolves to stays
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["Organization", "Person", None]), rng.choice([*names[:6], names[-1], "이름", None])) for i in range(300)]
+    e = spark.createDataFrame(rows, "id long, label string, name string")
+    firsts = lambda key: {k: min(i for i, la, n in rows if la and n and key(la, n) == k) for k in {key(la, n) for _, la, n in rows if la and n} if k}
+    known, variants = firsts(lambda la, n: (la, n)), firsts(lambda la, n: (la, resolved[n]) if resolved.get(n, n) != n else None)
+    want = sorted((i, la, n, resolved[n], known.get((la, resolved[n]), variants[la, resolved[n]])) for i, la, n in rows if la and n and resolved.get(n, n) != n)
+    found = upserts.merge_map(e)
+    assert sorted(tuple(r)[:5] for r in found.collect()) == want
+    assert all(r.action == ("rename" if r.target == r.id else "merge") for r in found.collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = upserts.merge_map(e)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert not any("Filter" in x and "element_at" in x for x in plan.split("\n")), plan  # names are resolved once each
