@@ -4,18 +4,20 @@ A table is a folder: data/version=v/bucket=b holds a bucket as of version v, and
 which version holds it. A merge reads the buckets that incoming keys fall into, writes what becomes of them as a new
 version, and writes the pointers last, as one file: a run that fails before leaves the version before it, and readers
 never see half a merge. Other buckets' files stay as they are. One writer at a time is assumed.
+
+Rows that are only added, as what is there stays, are written beside it: a pointer also names the versions that added to a bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 64
-_POINTERS = "version long, bucket int, held_by long, keys array<string>, buckets int, columns string"
+_POINTERS = "version long, bucket int, held_by long, keys array<string>, buckets int, columns string, added array<long>"
 
 
 @dataclass(frozen=True)
@@ -29,10 +31,11 @@ class KeyedTable:
     buckets: int
     columns: str  # schema of the rows
     held_by: dict[int, int]  # the version of each bucket that has rows
+    added: dict[int, tuple[int, ...]] = field(default_factory=dict)  # later versions with more rows of it
 
     def read(self, of: set[int] | None = None) -> DataFrame:
         """The rows, of some buckets alone if they are named."""
-        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(self.held_by.items()) if of is None or b in of]
+        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, first in sorted(self.held_by.items()) if of is None or b in of for v in (first, *self.added.get(b, ()))]
         return self.spark.read.schema(self.columns).parquet(*paths) if paths else self.spark.createDataFrame([], self.columns)
 
     def place(self) -> Column:
@@ -46,29 +49,63 @@ class KeyedTable:
         return _write(self.spark, combine(self.read(touched), incoming), self, touched)
 
 
+    def add(self, incoming: DataFrame) -> KeyedTable:
+        """The table with the incoming rows whose keys it lacks, one of each key; its own rows are neither rewritten nor moved but for their keys."""
+        rows = self.read()
+        rest = F.struct(*(c for c in rows.columns if c not in self.keys)) if len(rows.columns) > len(self.keys) else F.lit(True)
+        new = incoming.select(self.place().alias("bucket"), *self.keys, rest.alias("row"), F.lit(False).alias("known"))
+        old = rows.select(self.place().alias("bucket"), *self.keys, F.lit(None).cast(new.schema["row"].dataType).alias("row"), F.lit(True).alias("known"))
+        # dealt by bucket as the files are, so this is the only exchange; an anti join would go below the unions that incoming is made of
+        each = new.unionByName(old).repartition("bucket").groupBy("bucket", *self.keys).agg(F.max("known").alias("known"), F.first("row", ignorenulls=True).alias("row"))
+        fresh = each.filter("not known").select("bucket", *(F.col(c) if c in self.keys else F.col("row")[c].alias(c) for c in rows.columns))
+        version, written = self.version + 1, _put(fresh, self, self.version + 1)
+        del fresh, each, new, old, rows
+        _tidy(self.spark)
+        if not written:
+            return self
+        more = {b: (*self.added.get(b, ()), version) for b in written if b in self.held_by}
+        return _point(self, version, dict.fromkeys(written, version) | self.held_by, self.added | more)
+
+
+def _tidy(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, upon which Spark removes the shuffle files of a write that is done."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _place(keys: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def _write(spark: SparkSession, rows: DataFrame, before: KeyedTable, touched: set[int] | None) -> KeyedTable:
     version = before.version + 1
-    out = f"{before.path}/data/version={version}"
     if "bucket" in {c.lower() for c in rows.columns}:
         raise ValueError("a keyed table has no column named bucket of its own")
-    rows.withColumn("bucket", before.place()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-    written = {r[0] for r in spark.read.schema("bucket int").parquet(out).select("bucket").distinct().collect()}
+    written = _put(rows.withColumn("bucket", before.place()).repartition("bucket"), before, version)
     if touched is not None and not written <= touched:
         raise ValueError("combine gave rows of other keys than the incoming ones")
-    held_by = {b: v for b, v in before.held_by.items() if touched is not None and b not in touched} | dict.fromkeys(written, version)
-    pointers = [(version, b, held_by.get(b), list(before.keys), before.buckets, before.columns) for b in range(before.buckets)]
-    spark.createDataFrame(pointers, _POINTERS).coalesce(1).write.mode("overwrite").json(f"{before.path}/pointers/{version}")
-    return KeyedTable(spark, before.path, version, before.keys, before.buckets, before.columns, held_by)
+    left = lambda x: {b: v for b, v in x.items() if touched is not None and b not in touched}
+    return _point(before, version, left(before.held_by) | dict.fromkeys(written, version), left(before.added))
+
+
+def _put(rows: DataFrame, table: KeyedTable, version: int) -> set[int]:
+    """Writes rows with their bucket as the data of a version; the buckets that have some. In order of their keys they take less room."""
+    out = f"{table.path}/data/version={version}"
+    rows.sortWithinPartitions("bucket", *table.keys).write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(out)
+    return {r[0] for r in table.spark.read.schema("bucket int").parquet(out).select("bucket").distinct().collect()}
+
+
+def _point(before: KeyedTable, version: int, held_by: dict[int, int], added: dict[int, tuple[int, ...]]) -> KeyedTable:
+    pointers = [(version, b, held_by.get(b), list(before.keys), before.buckets, before.columns, list(added.get(b, ()))) for b in range(before.buckets)]
+    before.spark.createDataFrame(pointers, _POINTERS).coalesce(1).write.mode("overwrite").json(f"{before.path}/pointers/{version}")
+    return KeyedTable(before.spark, before.path, version, before.keys, before.buckets, before.columns, held_by, added)
 
 
 def create(rows: DataFrame, path: str, *keys: str, buckets: int = BUCKETS) -> KeyedTable:
     """Writes rows as the first version of a table at a new path."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return _write(rows.sparkSession, rows, KeyedTable(rows.sparkSession, path, -1, keys, buckets, columns, {}), None)
+    table = _write(rows.sparkSession, rows, KeyedTable(rows.sparkSession, path, -1, keys, buckets, columns, {}), None)
+    _tidy(rows.sparkSession)
+    return table
 
 
 def open_table(spark: SparkSession, path: str, version: int | None = None) -> KeyedTable:
@@ -79,4 +116,5 @@ def open_table(spark: SparkSession, path: str, version: int | None = None) -> Ke
     if not found:
         raise ValueError(f"{path} has no version {last}")
     held_by = {r.bucket: r.held_by for r in found if r.held_by is not None}
-    return KeyedTable(spark, path, last, tuple(found[0]["keys"]), found[0]["buckets"], found[0]["columns"], held_by)
+    added = {r.bucket: tuple(r.added) for r in found if r.added}
+    return KeyedTable(spark, path, last, tuple(found[0]["keys"]), found[0]["buckets"], found[0]["columns"], held_by, added)

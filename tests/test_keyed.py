@@ -59,6 +59,28 @@ def test_emptied_buckets_and_empty_tables(spark, tmp_path):
         keyed.create(rows.withColumn("Bucket", F.lit(1)), str(tmp_path / "b"), "k")
 
 
+def test_added_rows_lie_beside_what_is_there(spark, nodes):
+    """As upserts.merge_edges gives it, but no row is written again, and a second time nothing is."""
+    new = spark.createDataFrame([("7", "Person", "seven"), ("new", "Person", "x"), ("new", "Person", "x"), ("2001", None, "y")], "id string, label string, name string")
+    before = files(nodes)
+    once = nodes.add(new)
+    want = sorted(map(str, upserts.merge_edges(nodes.read(), new).collect()))
+    assert sorted(map(str, once.read().collect())) == want and len(want) == 2002
+    assert {p: x for p, x in files(once).items() if p in before} == before
+    added = spark.read.parquet(*(set(files(once)) - set(before)))
+    assert sorted(r.id for r in added.collect()) == ["2001", "new"]
+    assert once.version == 1 and once.held_by == nodes.held_by and sum(map(len, once.added.values())) in (1, 2)
+    assert once.add(new) == once and keyed.open_table(spark, nodes.path) == once
+    assert keyed.open_table(spark, nodes.path, 0).read().count() == 2000
+    later = once.merge(new.filter("id = 'new'"), lambda old, incoming: old.withColumn("name", F.upper("name")))  # of all versions of its bucket
+    got = {r.id: r.name for r in later.read().collect()}
+    assert len(got) == 2002 and got["new"] == "X" and got["2001"] in ("y", "Y")
+    assert not set(later.added) & {b for b, v in later.held_by.items() if v == 2}
+    assert keyed.open_table(spark, nodes.path) == later and keyed.open_table(spark, nodes.path, 1) == once
+    empty = keyed.create(nodes.read().filter("1 = 0"), f"{nodes.path}-empty", "id").add(new)
+    assert empty.read().count() == 3 and not empty.added
+
+
 def test_last_row_of_an_id_wins(spark):
     old = spark.createDataFrame([("1", "A", "x"), ("2", "B", "y")], "id string, label string, name string")
     new = spark.createDataFrame([("1", None, "first", 1), ("1", "C", None, 2), ("1", None, "last", 3), ("3", "D", "z", 1)], "id string, label string, name string, at int")
