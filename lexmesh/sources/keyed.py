@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 64
+#: Rows whose keys are compared at once where rows are added, and rounds at most: each reads the incoming rows again, and has its share of them on disk.
+ROUND_ROWS, MOST_ROUNDS = 5_000_000, 3
 _POINTERS = "version long, bucket int, held_by long, keys array<string>, buckets int, columns string, added array<long>"
 
 
@@ -48,24 +50,30 @@ class KeyedTable:
             return self
         return _write(self.spark, combine(self.read(touched), incoming), self, touched)
 
-
     def add(self, incoming: DataFrame) -> KeyedTable:
         """The table with the incoming rows whose keys it lacks, one of each key; its own rows are neither rewritten nor moved but for their keys."""
-        rows = self.read()
-        rest = F.struct(*(c for c in rows.columns if c not in self.keys)) if len(rows.columns) > len(self.keys) else F.lit(True)
-        new = incoming.select(self.place().alias("bucket"), *self.keys, rest.alias("row"), F.lit(False).alias("known"))
-        old = rows.select(self.place().alias("bucket"), *self.keys, F.lit(None).cast(new.schema["row"].dataType).alias("row"), F.lit(True).alias("known"))
-        # dealt by bucket as the files are, so this is the only exchange; an anti join would go below the unions that incoming is made of
-        each = new.unionByName(old).repartition("bucket").groupBy("bucket", *self.keys).agg(F.max("known").alias("known"), F.first("row", ignorenulls=True).alias("row"))
-        fresh = each.filter("not known").select("bucket", *(F.col(c) if c in self.keys else F.col("row")[c].alias(c) for c in rows.columns))
-        version, written = self.version + 1, _put(fresh, self, self.version + 1)
-        del fresh, each, new, old, rows
-        _tidy(self.spark)
+        version, written = self.version + 1, set()
+        rounds = max(1, min(MOST_ROUNDS, (incoming.count() + self.read().count()) // ROUND_ROWS))
+        for k in range(rounds):
+            fresh = self._fresh(incoming, {b for b in range(self.buckets) if b % rounds == k})
+            written |= _put(fresh, self, version, "append" if k else "overwrite")
+            del fresh
+            _tidy(self.spark)
         if not written:
             return self
         more = {b: (*self.added.get(b, ()), version) for b in written if b in self.held_by}
         return _point(self, version, dict.fromkeys(written, version) | self.held_by, self.added | more)
 
+    def _fresh(self, incoming: DataFrame, of: set[int]) -> DataFrame:
+        """The incoming rows, with their bucket, of some buckets and of keys that those lack, one of each key."""
+        rows = self.read(of)
+        rest = F.struct(*(c for c in rows.columns if c not in self.keys)) if len(rows.columns) > len(self.keys) else F.lit(True)
+        new = incoming.select(self.place().alias("bucket"), *self.keys, rest.alias("row"), F.lit(False).alias("known")).filter(F.col("bucket").isin(of))
+        old = rows.select(self.place().alias("bucket"), *self.keys, F.lit(None).cast(new.schema["row"].dataType).alias("row"), F.lit(True).alias("known"))
+        # dealt by bucket as the files are, so this is the only exchange; an anti join would go below the unions that incoming is made of
+        each = new.unionByName(old).repartition("bucket").groupBy("bucket", *self.keys).agg(F.max("known").alias("known"), F.first("row", ignorenulls=True).alias("row"))
+        return each.filter("not known").select("bucket", *(F.col(c) if c in self.keys else F.col("row")[c].alias(c) for c in rows.columns))
+
 
 def _tidy(spark: SparkSession) -> None:
     """Has the driver collect its garbage, upon which Spark removes the shuffle files of a write that is done."""
@@ -87,10 +95,10 @@ def _write(spark: SparkSession, rows: DataFrame, before: KeyedTable, touched: se
     return _point(before, version, left(before.held_by) | dict.fromkeys(written, version), left(before.added))
 
 
-def _put(rows: DataFrame, table: KeyedTable, version: int) -> set[int]:
+def _put(rows: DataFrame, table: KeyedTable, version: int, mode: str = "overwrite") -> set[int]:
     """Writes rows with their bucket as the data of a version; the buckets that have some. In order of their keys they take less room."""
     out = f"{table.path}/data/version={version}"
-    rows.sortWithinPartitions("bucket", *table.keys).write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(out)
+    rows.sortWithinPartitions("bucket", *table.keys).write.mode(mode).option("compression", "zstd").partitionBy("bucket").parquet(out)
     return {r[0] for r in table.spark.read.schema("bucket int").parquet(out).select("bucket").distinct().collect()}
 
 

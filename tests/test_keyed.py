@@ -59,8 +59,10 @@ def test_emptied_buckets_and_empty_tables(spark, tmp_path):
         keyed.create(rows.withColumn("Bucket", F.lit(1)), str(tmp_path / "b"), "k")
 
 
-def test_added_rows_lie_beside_what_is_there(spark, nodes):
-    """As upserts.merge_edges gives it, but no row is written again, and a second time nothing is."""
+@pytest.mark.parametrize("at_once", [5_000_000, 600])
+def test_added_rows_lie_beside_what_is_there(spark, nodes, at_once, monkeypatch):
+    """As upserts.merge_edges gives it, in one round or three, but no row is written again, and a second time nothing is."""
+    monkeypatch.setattr(keyed, "ROUND_ROWS", at_once)
     new = spark.createDataFrame([("7", "Person", "seven"), ("new", "Person", "x"), ("new", "Person", "x"), ("2001", None, "y")], "id string, label string, name string")
     before = files(nodes)
     once = nodes.add(new)
